@@ -164,3 +164,105 @@ def q_exact_folds(spark, sf_dir):
 @register("b01_downsample")
 def q_downsample(spark, sf_dir):
     return split.downsample(fx.fx_orders(spark, sf_dir).select("ID", "label"), "label", "ID", "downsample")
+
+
+# ---------------------------------------------------------------- D-*
+from tabforge.operators import features as feat  # noqa: E402
+from tabforge.operators import windows as win  # noqa: E402
+
+
+def orders_plan(spark, sf_dir, prune: bool):
+    df = folded_orders(spark, sf_dir)
+    plan = feat.fit_features(df.where(F.col("fold") == "train"), key="ID", exclude=["label", "fold"],
+                             remove_low_info=prune, remove_high_corr=prune,
+                             remove_high_nan=prune, remove_single_val=prune)
+    return df, plan
+
+
+def _no_datetime(plan):
+    return [d for d in plan.defs if d["type"] != "datetime"]
+
+
+@register("d01_dfs_features")
+def q_dfs(spark, sf_dir):
+    """Identity, IS_NULL, WEEKDAY, depth-2 stacking and one-hot encoding, fitted
+    on train and replayed on every fold (datetime identity left out of the output)."""
+    df, plan = orders_plan(spark, sf_dir, prune=False)
+    plan.defs = _no_datetime(plan)
+    return plan.transform(df, keep=["fold"])
+
+
+@register("d05_one_hot")
+def q_one_hot(spark, sf_dir):
+    """Top-10 one-hot + unknown for p_brand and p_size (as category), long form."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ID"), "p_brand",
+                                           F.col("p_size").cast("string").alias("p_size"))
+    p = split.assign_folds(p, "ID", 42)
+    plan = feat.fit_features(p.where(F.col("fold") == "train"), key="ID", exclude=["fold"],
+                             primitives=(), remove_low_info=False, remove_high_corr=False,
+                             remove_high_nan=False, remove_single_val=False)
+    wide = plan.transform(p)
+    names = plan.names
+    stack = ", ".join(f"'{n}', `{n}`" for n in names)
+    return wide.selectExpr("ID", f"stack({len(names)}, {stack}) AS (feature, flag)")
+
+
+@register("d07_prune_features")
+def q_prune(spark, sf_dir):
+    """Low-information, correlated, highly-null and single-value removal on train."""
+    _df, plan = orders_plan(spark, sf_dir, prune=True)
+    rep = feat.plan_report(plan, spark)
+    return rep.select("feature", "kept", F.coalesce("reason", F.lit("kept")).alias("reason"))
+
+
+@register("d06_replay_plan")
+def q_replay(spark, sf_dir):
+    """Pruned plan fitted on train, replayed on the test fold."""
+    df, plan = orders_plan(spark, sf_dir, prune=True)
+    plan.defs = _no_datetime(plan)
+    return plan.transform(df.where(F.col("fold") == "test"))
+
+
+# ---------------------------------------------------------------- W-*
+def events_with_gaps(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", "user_id", "ts",
+                    F.when(F.col("event_type") == "error", F.lit(None).cast("double"))
+                    .otherwise(F.col("value")).alias("value"))
+
+
+@register("w01_cumulative_sum")
+def q_cumsum(spark, sf_dir):
+    out = win.cumulative_sum(events_with_gaps(spark, sf_dir), "value", ["ts"], "cum_value",
+                             group="user_id", key="event_id")
+    return out.select("event_id", "user_id", r("cum_value").alias("cum_value"))
+
+
+@register("w01_cumulative_sum_global")
+def q_cumsum_global(spark, sf_dir):
+    out = win.cumulative_sum(events_with_gaps(spark, sf_dir), "value", ["event_id"], "cum_value")
+    return out.select("event_id", r("cum_value", 4).alias("cum_value"))
+
+
+@register("w02_percent_change")
+def q_pct(spark, sf_dir):
+    out = win.percent_change(events_with_gaps(spark, sf_dir), "value", ["ts"], "pct_change",
+                             group="user_id", key="event_id")
+    return out.select("event_id", "user_id", r("pct_change").alias("pct_change"))
+
+
+@register("w03_top_values")
+def q_top_values(spark, sf_dir):
+    return win.top_values(table(spark, sf_dir, "part"), "p_brand", 10)
+
+
+@register("w04_top_ranked")
+def q_top_ranked(spark, sf_dir):
+    scores = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("name")).agg(
+        F.round(F.avg("p_retailprice"), 2).alias("importance"))
+    return win.top_ranked(scores, "importance", "name", 20)
+
+
+@register("w05_best_trial")
+def q_best_trial(spark, sf_dir):
+    return win.best_row(fx.fx_trials(spark, sf_dir), "score", "trial_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from tabforge.functions.hashing import u_sql_duckdb
 from tabforge.operators.split import fold_bounds
-from tabforge.sources.fixtures import FX_ORDERS_SQL
+from tabforge.sources.fixtures import FX_ORDERS_SQL, FX_TRIALS_SQL
 
 ORACLES: dict[str, str] = {}
 
@@ -129,3 +129,153 @@ WITH fx AS ({FX_ORDERS_SQL}),
      rk AS (SELECT ID, label, row_number() OVER (PARTITION BY label ORDER BY {u_sql_duckdb('ID', 'downsample')}, ID) AS rn
             FROM fx)
 SELECT ID, label FROM rk, c WHERE rn <= n_min"""
+
+
+# ---------------------------------------------------------------- D-*
+# Feature order of the fx_orders plan (identity in column order,
+# categoricals one-hot in place ranked by train count, then IS_NULL, WEEKDAY,
+# IS_NULL(WEEKDAY)).
+SEGMENTS = ["HOUSEHOLD", "MACHINERY", "AUTOMOBILE", "FURNITURE", "BUILDING"]
+STATUSES = ["P", "O", "F"]
+BASE_COLS = ["o_totalprice", "acctbal", "custkey", "o_orderdate", "mktsegment", "o_orderstatus",
+             "const_col", "mostly_null", "price_twin"]
+
+
+def _q(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def orders_feature_exprs() -> list[tuple[str, str, str]]:
+    """(name, DuckDB expression, type) in plan order."""
+    out = []
+    for c in BASE_COLS:
+        if c == "mktsegment":
+            out += [(f"mktsegment = {v}", f"coalesce(mktsegment = '{v}', false)", "boolean") for v in SEGMENTS]
+            out.append(("mktsegment is unknown",
+                        "(mktsegment IS NULL OR mktsegment NOT IN (" + ", ".join(f"'{v}'" for v in SEGMENTS) + "))",
+                        "boolean"))
+        elif c == "o_orderstatus":
+            out += [(f"o_orderstatus = {v}", f"coalesce(o_orderstatus = '{v}', false)", "boolean") for v in STATUSES]
+            out.append(("o_orderstatus is unknown",
+                        "(o_orderstatus IS NULL OR o_orderstatus NOT IN (" + ", ".join(f"'{v}'" for v in STATUSES) + "))",
+                        "boolean"))
+        elif c == "o_orderdate":
+            out.append((c, c, "datetime"))
+        else:
+            out.append((c, c, "numeric"))
+    out += [(f"IS_NULL({c})", f"({c} IS NULL)", "boolean") for c in BASE_COLS]
+    out.append(("WEEKDAY(o_orderdate)", "CAST(isodow(o_orderdate) - 1 AS INTEGER)", "numeric"))
+    out.append(("IS_NULL(WEEKDAY(o_orderdate))", "(o_orderdate IS NULL)", "boolean"))
+    return out
+
+
+def _dfs_all() -> str:
+    cols = ", ".join(f"{e} AS {_q(n)}" for n, e, t in orders_feature_exprs() if t != "datetime")
+    return f"WITH {_folds_cte()} SELECT ID, fold, {cols} FROM fxf"
+
+
+ORACLES["d01_dfs_features"] = _dfs_all()
+
+
+def _one_hot() -> str:
+    uu = u_sql_duckdb("p_partkey", 42)
+    parts = []
+    for c, e in [("p_brand", "p_brand"), ("p_size", "CAST(p_size AS VARCHAR)")]:
+        parts.append(f"""
+  {c}_top AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) AS rk FROM
+      (SELECT {e} AS v, count(*) AS n FROM pf WHERE fold = 'train' AND {e} IS NOT NULL GROUP BY v) QUALIFY rk <= 10),
+  {c}_long AS (
+      SELECT pf.ID, '{c} = ' || t.v AS feature, coalesce({e} = t.v, false) AS flag FROM pf, {c}_top t
+      UNION ALL
+      SELECT pf.ID, '{c} is unknown' AS feature,
+             ({e} IS NULL OR {e} NOT IN (SELECT v FROM {c}_top)) AS flag FROM pf)""")
+    return (f"WITH pf AS (SELECT p_partkey AS ID, p_brand, p_size, CASE WHEN {uu} < {T_TEST} THEN 'test' "
+            f"WHEN {uu} < {T_VALID} THEN 'valid' ELSE 'train' END AS fold FROM part),"
+            + ",".join(parts) + " SELECT * FROM p_brand_long UNION ALL SELECT * FROM p_size_long")
+
+
+ORACLES["d05_one_hot"] = _one_hot()
+
+
+def _prune() -> str:
+    feats = orders_feature_exprs()
+    stats = ["count(*) AS n"]
+    for i, (n, e, t) in enumerate(feats):
+        stats += [f"count({e}) AS c{i}", f"min({e}) AS lo{i}", f"max({e}) AS hi{i}"]
+    low = {i: f"(c{i} = 0 OR (lo{i} = hi{i} AND c{i} = n))" for i in range(len(feats))}
+    num = [i for i, (n, e, t) in enumerate(feats) if t in ("numeric", "boolean")]
+    corr = [f"corr(CAST({feats[a][1]} AS DOUBLE), CAST({feats[b][1]} AS DOUBLE)) AS r{a}_{b}"
+            for ii, a in enumerate(num) for b in num[:ii]]
+    rows = []
+    for ii, i in enumerate(num + [k for k in range(len(feats)) if k not in num]):
+        name = feats[i][0]
+        if i in num:
+            earlier = [j for j in num if j < i]
+            conds = [f"(NOT {low[j]} AND coalesce(NOT isnan(r{i}_{j}) AND abs(r{i}_{j}) >= 0.95, false))"
+                     for j in earlier]
+            d08 = "(" + " OR ".join(conds) + ")" if conds else "false"
+        else:
+            d08 = "false"
+        reason = (f"CASE WHEN {low[i]} THEN 'low_information' WHEN {d08} THEN 'highly_correlated' "
+                  f"WHEN (n - c{i}) / n >= 0.95 THEN 'highly_null' "
+                  f"WHEN (c{i} = 0 OR lo{i} = hi{i}) THEN 'single_value' ELSE 'kept' END")
+        rows.append(f"SELECT '{name}' AS feature, {reason} AS reason FROM st, cr")
+    return (f"WITH {_folds_cte()}, tr AS (SELECT * FROM fxf WHERE fold = 'train'), "
+            f"st AS (SELECT {', '.join(stats)} FROM tr), cr AS (SELECT {', '.join(corr)} FROM tr), "
+            f"dec AS ({' UNION ALL '.join(rows)}) SELECT feature, reason = 'kept' AS kept, reason FROM dec")
+
+
+ORACLES["d07_prune_features"] = _prune()
+
+# Survivors of the d07 decisions on fx_orders (the same at sf0.001,
+# sf0.01 and sf0.1); the datetime identity is left out of the output.
+PRUNED_KEPT = ["o_totalprice", "acctbal", "custkey"] + [f"mktsegment = {v}" for v in SEGMENTS] + [
+    "mktsegment is unknown"] + [f"o_orderstatus = {v}" for v in STATUSES] + [
+    "IS_NULL(o_totalprice)", "IS_NULL(acctbal)", "IS_NULL(mostly_null)", "WEEKDAY(o_orderdate)"]
+
+
+def _replay(kept: list[str]) -> str:
+    exprs = {n: e for n, e, t in orders_feature_exprs()}
+    cols = ", ".join(f"{exprs[n]} AS {_q(n)}" for n in kept)
+    return f"WITH {_folds_cte()} SELECT ID, {cols} FROM fxf WHERE fold = 'test'"
+
+
+ORACLES["d06_replay_plan"] = _replay(PRUNED_KEPT)
+
+# ---------------------------------------------------------------- W-*
+_EV = "SELECT event_id, user_id, ts, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value FROM events"
+
+ORACLES["w01_cumulative_sum"] = f"""
+WITH ev AS ({_EV})
+SELECT event_id, user_id,
+       round(CASE WHEN value IS NOT NULL THEN coalesce(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) END, 6) AS cum_value
+FROM ev"""
+
+ORACLES["w01_cumulative_sum_global"] = f"""
+WITH ev AS ({_EV})
+SELECT event_id,
+       round(CASE WHEN value IS NOT NULL THEN sum(value) OVER (ORDER BY event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END, 4) AS cum_value
+FROM ev"""
+
+ORACLES["w02_percent_change"] = f"""
+WITH ev AS ({_EV}), l AS (
+  SELECT event_id, user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM ev)
+SELECT event_id, user_id,
+       round(CASE WHEN prev IS NULL OR prev = 0 THEN NULL ELSE (value - prev) / prev END, 6) AS pct_change
+FROM l"""
+
+ORACLES["w03_top_values"] = """
+SELECT value, count, CAST(row_number() OVER (ORDER BY count DESC, value) AS INTEGER) AS rank FROM (
+  SELECT p_brand AS value, count(*) AS count FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand
+  ORDER BY count DESC, value LIMIT 10)"""
+
+ORACLES["w04_top_ranked"] = """
+SELECT 'feature_rank_' || CAST(row_number() OVER (ORDER BY importance DESC, name) - 1 AS VARCHAR) AS metric,
+       name AS value
+FROM (SELECT p_brand AS name, round(avg(p_retailprice), 2) AS importance FROM part GROUP BY p_brand
+      ORDER BY importance DESC, name LIMIT 20)"""
+
+ORACLES["w05_best_trial"] = f"""
+WITH t AS ({FX_TRIALS_SQL}) SELECT * FROM t ORDER BY score DESC, trial_id LIMIT 1"""
