@@ -266,3 +266,55 @@ def q_top_ranked(spark, sf_dir):
 @register("w05_best_trial")
 def q_best_trial(spark, sf_dir):
     return win.best_row(fx.fx_trials(spark, sf_dir), "score", "trial_id")
+
+
+# ---------------------------------------------------------------- J-02, I-01, I-02
+from tabforge.operators import impute as imp  # noqa: E402
+from tabforge.operators import knn  # noqa: E402
+
+
+def _knn_vectors(spark, sf_dir, strategy):
+    v = fx.fx_vectors(spark, sf_dir)
+    res = knn.knn_join(v, v, fx.vector_columns(), k=5, key="ID", exclude_self=True, strategy=strategy,
+                       block_rows=200)
+    return res.select("query_id", "donor_id", F.col("rank").cast("int").alias("rank"),
+                      r("distance").alias("distance"))
+
+
+@register("j02_knn_join")
+def q_knn(spark, sf_dir):
+    """Exact 5-NN of every embedding among the others (broadcast strategy)."""
+    return _knn_vectors(spark, sf_dir, "broadcast")
+
+
+@register("j02_knn_join_blocked")
+def q_knn_blocked(spark, sf_dir):
+    """Same result through the blocked (query block x donor block) strategy."""
+    return _knn_vectors(spark, sf_dir, "blocked")
+
+
+@register("j02_knn_within_class")
+def q_knn_class(spark, sf_dir):
+    """3-NN restricted to the same class (SMOTE's neighbour search)."""
+    v = fx.fx_vectors(spark, sf_dir)
+    res = knn.knn_join(v, v, fx.vector_columns(), k=3, key="ID", exclude_self=True, group="label",
+                       strategy="blocked", block_rows=150)
+    return res.select("query_id", "donor_id", F.col("rank").cast("int").alias("rank"),
+                      r("distance").alias("distance"))
+
+
+@register("i01_mean_impute")
+def q_mean_impute(spark, sf_dir):
+    df = folded_orders(spark, sf_dir)
+    model = imp.fit_mean_imputer(df.where(F.col("fold") == "train"), exclude=["ID", "label"])
+    out = model.transform(df)
+    return out.select("ID", "fold", *[r(c).alias(c) for c in ORDER_NUMERIC])
+
+
+@register("i02_knn_impute")
+def q_knn_impute(spark, sf_dir):
+    """5-NN nan-euclidean imputation of every NULL cell of fx_vectors(missing)."""
+    v = fx.fx_vectors(spark, sf_dir, missing=True)
+    model = imp.fit_knn_imputer(v, "ID", columns=fx.vector_columns(), k=5, block_rows=200)
+    cells = model.imputed_cells(v)
+    return cells.select("ID", "feature", r("value").alias("value"))

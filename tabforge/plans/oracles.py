@@ -279,3 +279,57 @@ FROM (SELECT p_brand AS name, round(avg(p_retailprice), 2) AS importance FROM pa
 
 ORACLES["w05_best_trial"] = f"""
 WITH t AS ({FX_TRIALS_SQL}) SELECT * FROM t ORDER BY score DESC, trial_id LIMIT 1"""
+
+
+# ---------------------------------------------------------------- J-02, I-01, I-02
+from tabforge.sources.fixtures import fx_vectors_sql  # noqa: E402
+
+
+def _knn(k: int, within_class: bool) -> str:
+    same = "AND a.label = b.label" if within_class else ""
+    return f"""
+WITH v AS (SELECT vec_id AS ID, embedding, CASE WHEN label = 0 THEN 1 ELSE 0 END AS label FROM embeddings),
+pairs AS (
+  SELECT a.ID AS query_id, b.ID AS donor_id,
+         sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding),
+              lambda z: (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)) * (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)))))
+           AS distance
+  FROM v a JOIN v b ON a.ID <> b.ID {same}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, donor_id) AS rank FROM pairs)
+SELECT query_id, donor_id, CAST(rank AS INTEGER) AS rank, round(distance, {R}) AS distance FROM ranked
+WHERE rank <= {k}"""
+
+
+ORACLES["j02_knn_join"] = _knn(5, False)
+ORACLES["j02_knn_join_blocked"] = _knn(5, False)
+ORACLES["j02_knn_within_class"] = _knn(3, True)
+
+ORACLES["i01_mean_impute"] = (
+    f"WITH {_folds_cte()}, m AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in NUM)
+    + " FROM fxf WHERE fold = 'train') SELECT ID, fold, "
+    + ", ".join(f"round(coalesce({c}, m_{c}), {R}) AS {c}" for c in NUM) + " FROM fxf, m")
+
+
+def _knn_impute() -> str:
+    cols = ", ".join(f"d{j}" for j in range(64))
+    return f"""
+WITH v AS ({fx_vectors_sql(missing=True)}),
+long AS (SELECT ID, j, x FROM (SELECT ID, unnest(range(64)) AS j, unnest([{cols}]) AS x FROM v)),
+pairs AS (
+  SELECT a.ID AS q, b.ID AS d,
+         sum(CASE WHEN a.x IS NOT NULL AND b.x IS NOT NULL THEN (a.x - b.x) * (a.x - b.x) END) AS ss,
+         count(CASE WHEN a.x IS NOT NULL AND b.x IS NOT NULL THEN 1 END) AS n
+  FROM long a JOIN long b ON a.j = b.j AND a.ID <> b.ID GROUP BY a.ID, b.ID),
+dist AS (SELECT q, d, sqrt(ss * 64.0 / n) AS dist FROM pairs WHERE n > 0),
+miss AS (SELECT ID AS q, j FROM long WHERE x IS NULL),
+cand AS (
+  SELECT m.q, m.j, dd.d, dd.dist, b.x,
+         row_number() OVER (PARTITION BY m.q, m.j ORDER BY dd.dist, dd.d) AS rk
+  FROM miss m JOIN dist dd ON dd.q = m.q JOIN long b ON b.ID = dd.d AND b.j = m.j AND b.x IS NOT NULL),
+means AS (SELECT j, avg(x) AS mx FROM long GROUP BY j),
+imp AS (SELECT q, j, avg(x) AS value FROM cand WHERE rk <= 5 GROUP BY q, j)
+SELECT m.q AS ID, 'd' || CAST(m.j AS VARCHAR) AS feature, round(coalesce(i.value, mm.mx), {R}) AS value
+FROM miss m LEFT JOIN imp i ON i.q = m.q AND i.j = m.j JOIN means mm ON mm.j = m.j"""
+
+
+ORACLES["i02_knn_impute"] = _knn_impute()
