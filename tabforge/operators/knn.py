@@ -37,6 +37,12 @@ def pair_distances(Q: np.ndarray, D: np.ndarray, metric: str = "euclidean",
     sum over coordinates present in both); NaN when nothing is shared.
     ``mixed``: euclidean^2 + cat_penalty per nominal mismatch (SMOTENC)."""
     diff = Q[:, None, :] - D[None, :, :]
+    if metric == "vdm":
+        # value difference: columns hold, per feature, P(class | value) for
+        # ``cat_penalty`` classes; delta_f = sum_c |dP|, distance = sum_f delta_f^2
+        c = int(cat_penalty)
+        delta = np.abs(diff).reshape(diff.shape[0], diff.shape[1], -1, c).sum(axis=3)
+        return (delta * delta).sum(axis=2)
     if metric == "nan_euclidean":
         present = ~np.isnan(diff)
         n = present.sum(axis=2)
@@ -52,8 +58,9 @@ def pair_distances(Q: np.ndarray, D: np.ndarray, metric: str = "euclidean",
 
 
 def local_topk(qids, Q, dids, D, k, metric="euclidean", exclude_self=False,
-               qcat=None, dcat=None, cat_penalty=0.0):
-    """Top-k donors per query inside one (query set, donor set) pair of blocks."""
+               qcat=None, dcat=None, cat_penalty=0.0, farthest=False):
+    """Top-k donors per query inside one (query set, donor set) pair of blocks
+    (the k largest distances with ``farthest``)."""
     out_q, out_d, out_v = [], [], []
     if len(qids) == 0 or len(dids) == 0:
         return out_q, out_d, out_v
@@ -64,6 +71,8 @@ def local_topk(qids, Q, dids, D, k, metric="euclidean", exclude_self=False,
         dist = pair_distances(Q[qs], D, metric,
                               None if qcat is None else qcat[qs], dcat, cat_penalty)
         dist = np.where(np.isnan(dist), np.inf, dist)
+        if farthest:
+            dist = np.where(np.isinf(dist), np.inf, -dist)
         if exclude_self:
             dist = np.where(np.asarray(qids[qs])[:, None] == order_keys[None, :], np.inf, dist)
         kk = min(k, dist.shape[1])
@@ -79,7 +88,7 @@ def local_topk(qids, Q, dids, D, k, metric="euclidean", exclude_self=False,
             o = cand[np.lexsort((order_keys[cand], row[cand]))][:kk]
             out_q.extend([qids[s + i]] * len(o))
             out_d.extend(order_keys[o].tolist())
-            out_v.extend(row[o].tolist())
+            out_v.extend((-row[o] if farthest else row[o]).tolist())
     return out_q, out_d, out_v
 
 
@@ -104,10 +113,10 @@ def _prepare(df: DataFrame, key: str, features: list[str], cat_features: list[st
     return df.select(*cols)
 
 
-def _rank(cands: DataFrame, k: int) -> DataFrame:
+def _rank(cands: DataFrame, k: int, farthest: bool = False) -> DataFrame:
     """Merge candidates: the window partition is one query's candidates
     (blocks x k rows), never a whole group."""
-    w = Window.partitionBy("query_id").orderBy("distance", "donor_id")
+    w = Window.partitionBy("query_id").orderBy(F.desc("distance") if farthest else F.asc("distance"), "donor_id")
     return (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
 
 
@@ -115,7 +124,7 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
              key: str = "ID", metric: str = "euclidean", exclude_self: bool = False,
              group: str | None = None, cat_features: list[str] = (), cat_penalty: float = 0.0,
              strategy: str = "auto", broadcast_budget: int = 256 << 20,
-             block_rows: int = 20_000) -> DataFrame:
+             block_rows: int = 20_000, farthest: bool = False) -> DataFrame:
     """k nearest donors for every query row -> (query_id, donor_id, distance, rank).
 
     ``group`` restricts neighbours to donors of the same group value (e.g. the
@@ -130,15 +139,17 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
         strategy = "broadcast" if n_d * row_bytes <= broadcast_budget else "blocked"
     if strategy == "broadcast":
         cands = _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty,
-                                broadcast_budget)
+                                broadcast_budget, farthest)
     elif strategy == "blocked":
-        cands = _blocked_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, block_rows)
+        cands = _blocked_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, block_rows,
+                              farthest)
     else:
         raise ValueError(strategy)
-    return _rank(cands, k)
+    return _rank(cands, k, farthest)
 
 
-def _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, budget):
+def _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, budget,
+                    farthest=False):
     spark = q.sparkSession
     n_d = d.count()
     row_bytes = 8 * (len(features) + 2) + 16 * len(cat_features)
@@ -162,7 +173,7 @@ def _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_p
                     continue
                 dids, D, dcat = groups[g]
                 a, b, c = local_topk(part["__id"].to_numpy(), _matrix(part, xcols), dids, D, k, metric,
-                                     exclude_self, _cats(part, ccols), dcat, cat_penalty)
+                                     exclude_self, _cats(part, ccols), dcat, cat_penalty, farthest)
                 oq += a
                 od += b
                 ov += c
@@ -179,7 +190,8 @@ def _lookup(mapping: dict, col):
     return F.element_at(F.create_map(*args), col) if args else F.lit(1)
 
 
-def _blocked_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, block_rows):
+def _blocked_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, block_rows,
+                  farthest=False):
     qn = {r[0]: r[1] for r in q.groupBy("__g").count().collect()}  # one row per group
     dn = {r[0]: r[1] for r in d.groupBy("__g").count().collect()}
     groups = [g for g in qn if g in dn]
@@ -196,7 +208,7 @@ def _blocked_topk(q, d, features, cat_features, k, metric, exclude_self, cat_pen
     def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         a, b, c = local_topk(left["__id"].to_numpy(), _matrix(left, xcols), right["__id"].to_numpy(),
                              _matrix(right, xcols), k, metric, exclude_self,
-                             _cats(left, ccols), _cats(right, ccols), cat_penalty)
+                             _cats(left, ccols), _cats(right, ccols), cat_penalty, farthest)
         return pd.DataFrame({"query_id": pd.Series(a, dtype="int64"), "donor_id": pd.Series(b, dtype="int64"),
                              "distance": pd.Series(c, dtype="float64")})
 

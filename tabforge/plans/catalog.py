@@ -318,3 +318,88 @@ def q_knn_impute(spark, sf_dir):
     model = imp.fit_knn_imputer(v, "ID", columns=fx.vector_columns(), k=5, block_rows=200)
     cells = model.imputed_cells(v)
     return cells.select("ID", "feature", r("value").alias("value"))
+
+
+# ---------------------------------------------------------------- B-02 ... B-13
+from tabforge.operators import balance as bal  # noqa: E402
+
+TOXIC_NUM = ["n_chars", "n_spaces", "n_dots"]
+
+
+def toxic_numeric(spark, sf_dir):
+    return fx.fx_toxic(spark, sf_dir).select("ID", *TOXIC_NUM, "label")
+
+
+def _over_out(df, cols):
+    return df.select("ID", "label", *[r(c).alias(c) for c in cols], "is_synthetic", "draw_id")
+
+
+@register("b02_random_oversample")
+def q_ros(spark, sf_dir):
+    return _over_out(bal.random_oversample(toxic_numeric(spark, sf_dir)), TOXIC_NUM)
+
+
+@register("b03_smote")
+def q_smote(spark, sf_dir):
+    return _over_out(bal.smote(toxic_numeric(spark, sf_dir), features=TOXIC_NUM, block_rows=100), TOXIC_NUM)
+
+
+@register("b04_smotenc")
+def q_smotenc(spark, sf_dir):
+    df = fx.fx_toxic(spark, sf_dir)
+    out = bal.smote(df, features=TOXIC_NUM, cat_features=["lang", "source"], block_rows=100)
+    return out.select("ID", "label", *[r(c).alias(c) for c in TOXIC_NUM], "lang", "source",
+                      "is_synthetic", "draw_id")
+
+
+@register("b05_smoten")
+def q_smoten(spark, sf_dir):
+    df = fx.fx_toxic(spark, sf_dir).select("ID", "lang", "source", "label")
+    out = bal.smote(df, features=[], cat_features=["lang", "source"], block_rows=100)
+    return out.select("ID", "label", "lang", "source", "is_synthetic", "draw_id")
+
+
+@register("b06_adasyn")
+def q_adasyn(spark, sf_dir):
+    return _over_out(bal.adasyn(toxic_numeric(spark, sf_dir), features=TOXIC_NUM, block_rows=150), TOXIC_NUM)
+
+
+@register("b07_borderline_smote")
+def q_borderline(spark, sf_dir):
+    return _over_out(bal.borderline_smote(toxic_numeric(spark, sf_dir), features=TOXIC_NUM, block_rows=150),
+                     TOXIC_NUM)
+
+
+@register("b08_kmeans_smote")
+def q_kmeans_smote(spark, sf_dir):
+    return _over_out(bal.kmeans_smote(toxic_numeric(spark, sf_dir), features=TOXIC_NUM, block_rows=150),
+                     TOXIC_NUM)
+
+
+def _under(spark, sf_dir, fn, **kw):
+    return fn(toxic_numeric(spark, sf_dir), features=TOXIC_NUM, block_rows=150, **kw).select("ID", "label")
+
+
+@register("b09_near_miss_1")
+def q_nm1(spark, sf_dir):
+    return _under(spark, sf_dir, bal.near_miss, version=1)
+
+
+@register("b10_near_miss_2")
+def q_nm2(spark, sf_dir):
+    return _under(spark, sf_dir, bal.near_miss, version=2)
+
+
+@register("b11_near_miss_3")
+def q_nm3(spark, sf_dir):
+    return _under(spark, sf_dir, bal.near_miss, version=3)
+
+
+@register("b12_neighbourhood_cleaning")
+def q_ncr(spark, sf_dir):
+    return _under(spark, sf_dir, bal.neighbourhood_cleaning)
+
+
+@register("b13_one_sided_selection")
+def q_oss(spark, sf_dir):
+    return _under(spark, sf_dir, bal.one_sided_selection)

@@ -333,3 +333,254 @@ FROM miss m LEFT JOIN imp i ON i.q = m.q AND i.j = m.j JOIN means mm ON mm.j = m
 
 
 ORACLES["i02_knn_impute"] = _knn_impute()
+
+
+# ---------------------------------------------------------------- B-02 ... B-13
+from tabforge.sources.fixtures import FX_TOXIC_SQL  # noqa: E402
+
+TX = ["n_chars", "n_spaces", "n_dots"]
+
+
+def _u(expr: str, salt: str) -> str:
+    return u_sql_duckdb(expr, salt)
+
+
+def _dist(a: str, b: str, cols=TX) -> str:
+    return " + ".join(f"({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c})" for c in cols)
+
+
+_TX_BASE = f"""
+t AS ({FX_TOXIC_SQL}),
+x AS (SELECT ID, n_chars, n_spaces, n_dots, label, lang, source FROM t),
+cnt AS (SELECT label, count(*) AS n FROM x GROUP BY label),
+mx AS (SELECT max(n) AS n_max FROM cnt)"""
+
+
+def _orig(cols=TX, extra="") -> str:
+    return (f"SELECT ID, label, {', '.join(f'round({c}, {R}) AS {c}' for c in cols)}{extra}, "
+            "false AS is_synthetic, CAST(NULL AS VARCHAR) AS draw_id FROM x")
+
+
+def _knn_sql(name: str, q_where: str, d_where: str, k: int, same_class: bool, dist: str | None = None,
+             exclude_self: bool = True, farthest: bool = False) -> str:
+    dist = dist or f"sqrt({_dist('a', 'b')})"
+    conds = ["a.ID <> b.ID"] if exclude_self else ["true"]
+    if same_class:
+        conds.append("a.label = b.label")
+    order = "distance DESC" if farthest else "distance"
+    return f"""
+{name} AS (SELECT * FROM (
+  SELECT a.ID AS query_id, b.ID AS donor_id, {dist} AS distance,
+         row_number() OVER (PARTITION BY a.ID ORDER BY {dist} {'DESC' if farthest else ''}, b.ID) AS rank
+  FROM x a JOIN x b ON {' AND '.join(conds)} WHERE {q_where} AND {d_where}) WHERE rank <= {k})"""
+
+
+def _interp_sql(draws: str, seed: str, kexpr: str, nn: str, cols=TX) -> str:
+    """draws(label, draw_id, base_id, kk) -> synthetic rows."""
+    feats = ", ".join(f"round(b.{c} + d.gap * (nb.{c} - b.{c}), {R}) AS {c}" for c in cols)
+    return f"""
+syn AS (
+  SELECT CAST(NULL AS BIGINT) AS ID, d.label, {feats}, true AS is_synthetic, d.draw_id
+  FROM (SELECT *, CAST(1 + floor({_u('draw_id', seed + ':nn')} * {kexpr}) AS BIGINT) AS nrank,
+               {_u('draw_id', seed + ':gap')} AS gap FROM {draws}) d
+  JOIN x b ON b.ID = d.base_id
+  JOIN {nn} ON {nn}.query_id = d.base_id AND {nn}.rank = d.nrank
+  JOIN x nb ON nb.ID = {nn}.donor_id)"""
+
+
+_DRAWS = """
+dr AS (SELECT c.label, c.n, unnest(range(mx.n_max - c.n)) AS j FROM cnt c, mx WHERE c.n < mx.n_max AND c.n >= 2),
+dr2 AS (SELECT label, n, CAST(label AS VARCHAR) || ':' || CAST(j AS VARCHAR) AS draw_id FROM dr),
+idx AS (SELECT ID, label, row_number() OVER (PARTITION BY label ORDER BY ID) - 1 AS idx FROM x)"""
+
+
+def _ros() -> str:
+    return f"""
+WITH {_TX_BASE}, {_DRAWS}
+{_orig()}
+UNION ALL
+SELECT CAST(NULL AS BIGINT) AS ID, d.label, {', '.join(f'round(i2.{c}, {R}) AS {c}' for c in TX)},
+       true AS is_synthetic, d.draw_id
+FROM dr2 d JOIN idx i ON i.label = d.label AND i.idx = CAST(floor({_u('d.draw_id', 'ros:base')} * d.n) AS BIGINT)
+JOIN x i2 ON i2.ID = i.ID"""
+
+
+ORACLES["b02_random_oversample"] = _ros()
+
+
+def _smote() -> str:
+    return f"""
+WITH {_TX_BASE}, {_DRAWS},
+minor AS (SELECT c.label FROM cnt c, mx WHERE c.n < mx.n_max AND c.n >= 2),
+{_knn_sql('nn', 'a.label IN (SELECT label FROM minor)', 'true', 5, True)[1:]},
+db AS (SELECT d.label, d.draw_id, d.n, i.ID AS base_id FROM dr2 d JOIN idx i ON i.label = d.label
+       AND i.idx = CAST(floor({_u('d.draw_id', 'smote:base')} * d.n) AS BIGINT)),
+{_interp_sql('db', 'smote', 'least(5, n - 1)', 'nn')[1:]}
+{_orig()}
+UNION ALL SELECT * FROM syn"""
+
+
+ORACLES["b03_smote"] = _smote()
+
+
+def _smotenc() -> str:
+    med = """
+sd AS (SELECT stddev_pop(n_chars) AS s1, stddev_pop(n_spaces) AS s2, stddev_pop(n_dots) AS s3 FROM x
+       WHERE label = (SELECT label FROM cnt ORDER BY n, CAST(label AS VARCHAR) LIMIT 1)),
+md AS (SELECT (CASE WHEN s1 <= s2 AND s2 <= s3 OR s3 <= s2 AND s2 <= s1 THEN s2
+                    WHEN s2 <= s1 AND s1 <= s3 OR s3 <= s1 AND s1 <= s2 THEN s1 ELSE s3 END) AS med FROM sd)"""
+    dist = (f"sqrt({_dist('a', 'b')} + (SELECT med * med FROM md) * "
+            "(CAST(a.lang <> b.lang AS INTEGER) + CAST(a.source <> b.source AS INTEGER)))")
+    modes = []
+    for c in ["lang", "source"]:
+        modes.append(f"""
+m_{c} AS (SELECT query_id, v AS {c} FROM (
+  SELECT nn.query_id, x.{c} AS v, count(*) AS k,
+         row_number() OVER (PARTITION BY nn.query_id ORDER BY count(*) DESC, x.{c}) AS rk
+  FROM nn JOIN x ON x.ID = nn.donor_id JOIN cnt c ON c.label = x.label
+  WHERE nn.rank <= least(5, c.n - 1) GROUP BY nn.query_id, x.{c}) WHERE rk = 1)""")
+    feats = ", ".join(f"round(b.{c} + d.gap * (nb.{c} - b.{c}), {R}) AS {c}" for c in TX)
+    return f"""
+WITH {_TX_BASE}, {_DRAWS},
+minor AS (SELECT c.label FROM cnt c, mx WHERE c.n < mx.n_max AND c.n >= 2),
+{med[1:]},
+{_knn_sql('nn', 'a.label IN (SELECT label FROM minor)', 'true', 5, True, dist)[1:]},
+{','.join(m[1:] for m in modes)},
+db AS (SELECT d.label, d.draw_id, d.n, i.ID AS base_id FROM dr2 d JOIN idx i ON i.label = d.label
+       AND i.idx = CAST(floor({_u('d.draw_id', 'smote:base')} * d.n) AS BIGINT)),
+syn AS (
+  SELECT CAST(NULL AS BIGINT) AS ID, d.label, {feats}, ml.lang, ms.source, true AS is_synthetic, d.draw_id
+  FROM (SELECT *, CAST(1 + floor({_u('draw_id', 'smote:nn')} * least(5, n - 1)) AS BIGINT) AS nrank,
+               {_u('draw_id', 'smote:gap')} AS gap FROM db) d
+  JOIN x b ON b.ID = d.base_id
+  JOIN nn ON nn.query_id = d.base_id AND nn.rank = d.nrank
+  JOIN x nb ON nb.ID = nn.donor_id
+  LEFT JOIN m_lang ml ON ml.query_id = d.base_id LEFT JOIN m_source ms ON ms.query_id = d.base_id)
+{_orig(extra=', lang, source')}
+UNION ALL SELECT * FROM syn"""
+
+
+ORACLES["b04_smotenc"] = _smotenc()
+
+
+def _adasyn() -> str:
+    return f"""
+WITH {_TX_BASE},
+minor AS (SELECT c.label, c.n, mx.n_max - c.n AS m FROM cnt c, mx WHERE c.n < mx.n_max AND c.n >= 2),
+{_knn_sql('alln', 'a.label IN (SELECT label FROM minor)', 'true', 5, False)[1:]},
+oth AS (SELECT q.ID, q.label, count_if(d.label <> q.label) AS n_other
+        FROM alln JOIN x q ON q.ID = alln.query_id JOIN x d ON d.ID = alln.donor_id GROUP BY q.ID, q.label),
+tot AS (SELECT label, sum(n_other) AS s FROM oth GROUP BY label HAVING sum(n_other) > 0),
+quota AS (SELECT o.ID, o.label, mi.n,
+                 CAST(round_even(CAST(mi.m AS DOUBLE) * o.n_other / CAST(t.s AS DOUBLE), 0) AS BIGINT) AS q
+          FROM oth o JOIN tot t ON t.label = o.label JOIN minor mi ON mi.label = o.label),
+dr AS (SELECT ID AS base_id, label, n, unnest(range(q)) AS t FROM quota WHERE q > 0),
+db AS (SELECT label, n, base_id, CAST(label AS VARCHAR) || ':' || CAST(base_id AS VARCHAR) || ':' || CAST(t AS VARCHAR)
+              AS draw_id FROM dr),
+{_knn_sql('nn', 'a.label IN (SELECT label FROM minor)', 'true', 5, True)[1:]},
+{_interp_sql('db', 'adasyn', 'least(5, n - 1)', 'nn')[1:]}
+{_orig()}
+UNION ALL SELECT * FROM syn"""
+
+
+ORACLES["b06_adasyn"] = _adasyn()
+
+
+def _borderline() -> str:
+    return f"""
+WITH {_TX_BASE}, {_DRAWS},
+minor AS (SELECT c.label, c.n FROM cnt c, mx WHERE c.n < mx.n_max AND c.n >= 2),
+{_knn_sql('alln', 'a.label IN (SELECT label FROM minor)', 'true', 10, False)[1:]},
+oth AS (SELECT q.ID, q.label, count_if(d.label <> q.label) AS n_other
+        FROM alln JOIN x q ON q.ID = alln.query_id JOIN x d ON d.ID = alln.donor_id GROUP BY q.ID, q.label),
+danger AS (SELECT ID, label, row_number() OVER (PARTITION BY label ORDER BY ID) - 1 AS didx,
+                  count(*) OVER (PARTITION BY label) AS nd
+           FROM oth WHERE n_other >= 5 AND n_other < 10),
+{_knn_sql('nn', 'a.label IN (SELECT label FROM minor)', 'true', 5, True)[1:]},
+db AS (SELECT d.label, d.draw_id, d.n, g.ID AS base_id FROM dr2 d
+       JOIN (SELECT DISTINCT label, nd FROM danger) dn ON dn.label = d.label
+       JOIN danger g ON g.label = d.label AND g.didx = CAST(floor({_u('d.draw_id', 'borderline:base')} * dn.nd) AS BIGINT)),
+{_interp_sql('db', 'borderline', 'least(5, n - 1)', 'nn')[1:]}
+{_orig()}
+UNION ALL SELECT * FROM syn"""
+
+
+ORACLES["b07_borderline_smote"] = _borderline()
+
+
+def _near_miss(version: int) -> str:
+    mino = "(SELECT label FROM cnt ORDER BY n, CAST(label AS VARCHAR) LIMIT 1)"
+    head = f"""
+WITH {_TX_BASE},
+mn AS (SELECT {mino} AS label, (SELECT min(n) FROM cnt) AS n_min)"""
+    if version in (1, 2):
+        knn = _knn_sql("nn", "a.label <> (SELECT label FROM mn)", "b.label = (SELECT label FROM mn)", 3, False,
+                       exclude_self=False, farthest=(version == 2))
+        pool = "x"
+        order = "sc.score, p.ID"
+    else:
+        short = _knn_sql("sl", "a.label = (SELECT label FROM mn)", "b.label <> (SELECT label FROM mn)", 3, False,
+                         exclude_self=False)
+        knn = short + ",\nslx AS (SELECT x.* FROM x WHERE ID IN (SELECT donor_id FROM sl))," + _knn_sql(
+            "nn", "a.ID IN (SELECT donor_id FROM sl)", "b.label = (SELECT label FROM mn)", 3, False,
+            exclude_self=False)
+        pool = "slx"
+        order = "-sc.score, p.ID"
+    return f"""{head},{knn[1:] if version != 3 else knn[1:]},
+sc AS (SELECT query_id AS ID, round(avg(distance), 9) AS score FROM nn GROUP BY query_id),
+kept AS (SELECT p.ID, p.label, row_number() OVER (PARTITION BY p.label ORDER BY {order}) AS rk
+         FROM {pool} p JOIN sc ON sc.ID = p.ID WHERE p.label <> (SELECT label FROM mn))
+SELECT ID, label FROM x WHERE label = (SELECT label FROM mn)
+UNION ALL SELECT ID, label FROM kept WHERE rk <= (SELECT n_min FROM mn)"""
+
+
+ORACLES["b09_near_miss_1"] = _near_miss(1)
+ORACLES["b10_near_miss_2"] = _near_miss(2)
+ORACLES["b11_near_miss_3"] = _near_miss(3)
+
+
+def _vote_sql(nn: str, name: str) -> str:
+    return f"""
+{name} AS (SELECT query_id, lbl AS pred FROM (
+  SELECT {nn}.query_id, d.label AS lbl, row_number() OVER (PARTITION BY {nn}.query_id ORDER BY count(*) DESC, d.label) AS rk
+  FROM {nn} JOIN x d ON d.ID = {nn}.donor_id GROUP BY {nn}.query_id, d.label) WHERE rk = 1)"""
+
+
+def _ncr() -> str:
+    mino = "(SELECT label FROM cnt ORDER BY n, CAST(label AS VARCHAR) LIMIT 1)"
+    return f"""
+WITH {_TX_BASE},
+mn AS (SELECT {mino} AS label),
+{_knn_sql('nn', 'true', 'true', 3, False)[1:]},
+{_vote_sql('nn', 'vt')[1:]},
+wrong AS (SELECT x.ID, x.label FROM vt JOIN x ON x.ID = vt.query_id WHERE vt.pred <> x.label),
+drops AS (SELECT ID FROM wrong WHERE label <> (SELECT label FROM mn)
+          UNION SELECT nn.donor_id FROM nn JOIN wrong w ON w.ID = nn.query_id AND w.label = (SELECT label FROM mn)
+                JOIN x d ON d.ID = nn.donor_id WHERE d.label <> (SELECT label FROM mn))
+SELECT ID, label FROM x WHERE ID NOT IN (SELECT ID FROM drops)"""
+
+
+ORACLES["b12_neighbourhood_cleaning"] = _ncr()
+
+
+def _oss() -> str:
+    mino = "(SELECT label FROM cnt ORDER BY n, CAST(label AS VARCHAR) LIMIT 1)"
+    d = f"sqrt({_dist('a', 'b')})"
+    return f"""
+WITH {_TX_BASE},
+mn AS (SELECT {mino} AS label),
+seed AS (SELECT ID FROM x WHERE label <> (SELECT label FROM mn) ORDER BY {_u('ID', 'oss')}, ID LIMIT 1),
+pool AS (SELECT * FROM x WHERE label = (SELECT label FROM mn) OR ID IN (SELECT ID FROM seed)),
+nn1 AS (SELECT * FROM (SELECT a.ID AS query_id, b.ID AS donor_id, b.label AS dl,
+        row_number() OVER (PARTITION BY a.ID ORDER BY {d}, b.ID) AS rank
+        FROM x a JOIN pool b ON a.ID <> b.ID WHERE a.label <> (SELECT label FROM mn)) WHERE rank = 1),
+s AS (SELECT * FROM pool UNION SELECT x.* FROM x JOIN nn1 ON nn1.query_id = x.ID
+      WHERE nn1.dl = (SELECT label FROM mn) AND x.ID NOT IN (SELECT ID FROM seed)),
+t1 AS (SELECT * FROM (SELECT a.ID AS qa, b.ID AS qb, a.label AS la, b.label AS lb,
+       row_number() OVER (PARTITION BY a.ID ORDER BY {d}, b.ID) AS rank
+       FROM s a JOIN s b ON a.ID <> b.ID) WHERE rank = 1),
+links AS (SELECT p.qa, p.la FROM t1 p JOIN t1 q ON p.qa = q.qb AND p.qb = q.qa WHERE p.la <> p.lb)
+SELECT ID, label FROM s WHERE ID NOT IN (SELECT qa FROM links WHERE la <> (SELECT label FROM mn))"""
+
+
+ORACLES["b13_one_sided_selection"] = _oss()
