@@ -403,3 +403,102 @@ def q_ncr(spark, sf_dir):
 @register("b13_one_sided_selection")
 def q_oss(spark, sf_dir):
     return _under(spark, sf_dir, bal.one_sided_selection)
+
+
+# ---------------------------------------------------------------- A-10 ... A-12, P-16
+from tabforge.operators import report as rep  # noqa: E402
+
+
+@register("a10_classification_report")
+def q_report(spark, sf_dir):
+    out = rep.classification_report(fx.fx_scores(spark, sf_dir), "label", "yhat")
+    return out.select("metric", r("value").alias("value"))
+
+
+@register("a11_neg_rmse")
+def q_rmse(spark, sf_dir):
+    return rep.neg_rmse(fx.fx_scores(spark, sf_dir), "label", "p").select(r("neg_rmse").alias("neg_rmse"))
+
+
+@register("a12_brier_score")
+def q_brier(spark, sf_dir):
+    return rep.brier_score(fx.fx_scores(spark, sf_dir), "label", "p").select(r("brier").alias("brier"))
+
+
+@register("p16_classify")
+def q_classify(spark, sf_dir):
+    s = fx.fx_scores(spark, sf_dir)
+    return s.select("ID", clean.classify("p", 0.5).alias("yhat"))
+
+
+# ---------------------------------------------------------------- M-*
+from tabforge.operators import model as mdl  # noqa: E402
+from tabforge.operators import sweep as swp  # noqa: E402
+from tabforge.operators.variant import variant  # noqa: E402
+
+
+def toxic_folds(spark, sf_dir):
+    return split.assign_folds(toxic_numeric(spark, sf_dir), "ID", 42)
+
+
+def _toxic_model(spark, sf_dir, task="Classification"):
+    df = toxic_folds(spark, sf_dir)
+    if task == "Regression":
+        df = df.drop("label").withColumnRenamed("n_chars", "label")
+    feats = [c for c in TOXIC_NUM if c in df.columns]
+    parts = {f: variant(df, f, "mean", "none", features=feats) for f in ("train", "valid", "test")}
+    model = mdl.fit_gbt(parts["train"], feats, "label", mdl.TrialParams(max_depth=5, num_leaves=31, max_iter=20),
+                        task, valid=parts["valid"])
+    return model, parts
+
+
+@register("m01_gbt_classifier")
+def q_gbt(spark, sf_dir):
+    model, parts = _toxic_model(spark, sf_dir)
+    return model.predict(parts["test"]).select("ID", "label", "yhat", r("p").alias("p"))
+
+
+@register("m02_gbt_regressor")
+def q_gbt_reg(spark, sf_dir):
+    model, parts = _toxic_model(spark, sf_dir, "Regression")
+    return model.predict(parts["test"]).select("ID", "label", r("yhat").alias("yhat"))
+
+
+@register("m04_predict_report")
+def q_predict_report(spark, sf_dir):
+    model, parts = _toxic_model(spark, sf_dir)
+    out = rep.classification_report(model.predict(parts["test"]), "label", "yhat")
+    return out.select("metric", r("value").alias("value"))
+
+
+@register("m05_sweep")
+def q_sweep(spark, sf_dir):
+    df = toxic_folds(spark, sf_dir)
+    trials = swp.trial_table(spark, 3, ["mean", "knn"], ["none", "ros", "smote"])
+    table, _models = swp.run_sweep(df, trials, features=TOXIC_NUM, max_iter=10, parallelism=3,
+                                   balance_kw={"block_rows": 2000} if False else None)
+    return table.select("trial_id", "imputer", "balancer", r("score").alias("score"))
+
+
+@register("m07_sweep_summary")
+def q_sweep_summary(spark, sf_dir):
+    t = fx.fx_trials(spark, sf_dir)
+    s = swp.sweep_summary(t.select("trial_id", "score"), t.select("trial_id", "imputer", "balancer"))
+    return s.select("best_trial_id", "num_balancer", "num_imputer",
+                    F.size("sweep_run_ids").alias("n_trials"),
+                    F.array_join(F.transform("sweep_run_ids", lambda x: x.cast("string")), ",").alias("run_ids"),
+                    F.array_join("sweep_balancer", ",").alias("balancers"))
+
+
+@register("m08_feature_ranking")
+def q_rank(spark, sf_dir):
+    model, _parts = _toxic_model(spark, sf_dir)
+    return mdl.rank_features(model, spark, 20)
+
+
+@register("m09_calibrate")
+def q_calibrate(spark, sf_dir):
+    model, parts = _toxic_model(spark, sf_dir)
+    cal = mdl.calibrate(model, parts["valid"], parts["test"])
+    return spark.createDataFrame([(round(cal.brier_before, 6), round(cal.brier_after, 6), cal.used)],
+                                 "brier_before double, brier_after double, calibrated boolean")

@@ -584,3 +584,94 @@ SELECT ID, label FROM s WHERE ID NOT IN (SELECT qa FROM links WHERE la <> (SELEC
 
 
 ORACLES["b13_one_sided_selection"] = _oss()
+
+
+def _smoten() -> str:
+    probs = []
+    for f in ["lang", "source"]:
+        probs.append(f"""
+p_{f} AS (SELECT {f} AS v, label, CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER (PARTITION BY {f}) AS DOUBLE) AS p
+          FROM x GROUP BY {f}, label)""")
+    joins = " ".join(
+        f"LEFT JOIN p_{f} {f}{c} ON {f}{c}.v = x.{f} AND {f}{c}.label = {c}" for f in ["lang", "source"] for c in (0, 1))
+    pcols = ", ".join(f"coalesce({f}{c}.p, 0.0) AS p_{f}{c}" for f in ["lang", "source"] for c in (0, 1))
+    delta = " + ".join(
+        f"(abs(a.p_{f}0 - b.p_{f}0) + abs(a.p_{f}1 - b.p_{f}1)) * (abs(a.p_{f}0 - b.p_{f}0) + abs(a.p_{f}1 - b.p_{f}1))"
+        for f in ["lang", "source"])
+    modes = []
+    for c in ["lang", "source"]:
+        modes.append(f"""
+m_{c} AS (SELECT query_id, v AS {c} FROM (
+  SELECT nn.query_id, x.{c} AS v,
+         row_number() OVER (PARTITION BY nn.query_id ORDER BY count(*) DESC, x.{c}) AS rk
+  FROM nn JOIN x ON x.ID = nn.donor_id JOIN cnt c ON c.label = x.label
+  WHERE nn.rank <= least(5, c.n - 1) GROUP BY nn.query_id, x.{c}) WHERE rk = 1)""")
+    return f"""
+WITH t AS ({FX_TOXIC_SQL}),
+x0 AS (SELECT ID, lang, source, label FROM t),
+cnt AS (SELECT label, count(*) AS n FROM x0 GROUP BY label),
+mx AS (SELECT max(n) AS n_max FROM cnt),
+x AS (SELECT * FROM x0),
+{','.join(p[1:] for p in probs)},
+xp AS (SELECT x.ID, x.label, {pcols} FROM x {joins}),
+minor AS (SELECT c.label FROM cnt c, mx WHERE c.n < mx.n_max AND c.n >= 2),
+nn AS (SELECT * FROM (
+  SELECT a.ID AS query_id, b.ID AS donor_id,
+         row_number() OVER (PARTITION BY a.ID ORDER BY {delta}, b.ID) AS rank
+  FROM xp a JOIN xp b ON a.ID <> b.ID AND a.label = b.label WHERE a.label IN (SELECT label FROM minor))
+  WHERE rank <= 5),
+{_DRAWS[1:]},
+{','.join(m[1:] for m in modes)},
+db AS (SELECT d.label, d.draw_id, d.n, i.ID AS base_id FROM dr2 d JOIN idx i ON i.label = d.label
+       AND i.idx = CAST(floor({_u('d.draw_id', 'smote:base')} * d.n) AS BIGINT))
+SELECT ID, label, lang, source, false AS is_synthetic, CAST(NULL AS VARCHAR) AS draw_id FROM x
+UNION ALL
+SELECT CAST(NULL AS BIGINT), d.label, ml.lang, ms.source, true, d.draw_id
+FROM db d LEFT JOIN m_lang ml ON ml.query_id = d.base_id LEFT JOIN m_source ms ON ms.query_id = d.base_id"""
+
+
+ORACLES["b05_smoten"] = _smoten()
+
+
+# ---------------------------------------------------------------- A-10 ... A-12, P-16, M-07
+from tabforge.sources.fixtures import fx_scores_sql  # noqa: E402
+
+ORACLES["a10_classification_report"] = f"""
+WITH s AS ({fx_scores_sql()}),
+cm AS (SELECT label AS y, yhat, count(*) AS n FROM s GROUP BY label, yhat),
+cls AS (SELECT y AS c FROM cm UNION SELECT yhat FROM cm),
+per AS (SELECT c.c,
+          coalesce((SELECT sum(n) FROM cm WHERE y = c.c AND yhat = c.c), 0) AS tp,
+          coalesce((SELECT sum(n) FROM cm WHERE y = c.c), 0) AS support,
+          coalesce((SELECT sum(n) FROM cm WHERE yhat = c.c), 0) AS pred FROM cls c),
+pr AS (SELECT c, support, CASE WHEN pred > 0 THEN tp / pred ELSE 0.0 END AS precision,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM per),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
+      FROM pr)
+SELECT CAST(c AS VARCHAR) || '_precision' AS metric, round(precision, {R}) AS value FROM f
+UNION ALL SELECT CAST(c AS VARCHAR) || '_recall', round(recall, {R}) FROM f
+UNION ALL SELECT CAST(c AS VARCHAR) || '_f1-score', round(f1, {R}) FROM f
+UNION ALL SELECT CAST(c AS VARCHAR) || '_support', round(CAST(support AS DOUBLE), {R}) FROM f
+UNION ALL SELECT 'macro-avg_precision', round(avg(precision), {R}) FROM f
+UNION ALL SELECT 'macro-avg_recall', round(avg(recall), {R}) FROM f
+UNION ALL SELECT 'macro-avg_f1-score', round(avg(f1), {R}) FROM f
+UNION ALL SELECT 'macro-avg_support', round(CAST(sum(support) AS DOUBLE), {R}) FROM f
+UNION ALL SELECT 'weighted-avg_precision', round(sum(precision * support) / sum(support), {R}) FROM f
+UNION ALL SELECT 'weighted-avg_recall', round(sum(recall * support) / sum(support), {R}) FROM f
+UNION ALL SELECT 'weighted-avg_f1-score', round(sum(f1 * support) / sum(support), {R}) FROM f
+UNION ALL SELECT 'weighted-avg_support', round(CAST(sum(support) AS DOUBLE), {R}) FROM f"""
+
+ORACLES["a11_neg_rmse"] = (f"WITH s AS ({fx_scores_sql()}) "
+                           f"SELECT round(-sqrt(avg((CAST(label AS DOUBLE) - p) * (CAST(label AS DOUBLE) - p))), {R}) AS neg_rmse FROM s")
+ORACLES["a12_brier_score"] = (f"WITH s AS ({fx_scores_sql()}) "
+                              f"SELECT round(avg((p - CAST(label AS DOUBLE)) * (p - CAST(label AS DOUBLE))), {R}) AS brier FROM s")
+ORACLES["p16_classify"] = f"WITH s AS ({fx_scores_sql()}) SELECT ID, CAST(p >= 0.5 AS INTEGER) AS yhat FROM s"
+
+ORACLES["m07_sweep_summary"] = f"""
+WITH t AS ({FX_TRIALS_SQL})
+SELECT (SELECT trial_id FROM t ORDER BY score DESC, trial_id LIMIT 1) AS best_trial_id,
+       count(DISTINCT balancer) AS num_balancer, count(DISTINCT imputer) AS num_imputer,
+       CAST(count(*) AS INTEGER) AS n_trials,
+       string_agg(CAST(trial_id AS VARCHAR), ',' ORDER BY trial_id) AS run_ids,
+       string_agg(balancer, ',' ORDER BY trial_id) AS balancers
+FROM t"""
