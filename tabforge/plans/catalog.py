@@ -502,3 +502,158 @@ def q_calibrate(spark, sf_dir):
     cal = mdl.calibrate(model, parts["valid"], parts["test"])
     return spark.createDataFrame([(round(cal.brier_before, 6), round(cal.brier_after, 6), cal.used)],
                                  "brier_before double, brier_after double, calibrated boolean")
+
+
+# ---------------------------------------------------------------- R-*, U-*, P-17
+import uuid  # noqa: E402
+
+from tabforge.operators import runlog  # noqa: E402
+from tabforge.session import ensure_checkpoint_dir  # noqa: E402
+
+
+def scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint location."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tabforge-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def runs_long(spark, sf_dir):
+    runs = runlog.with_end_time(fx.fx_runs(spark, sf_dir))
+    return runlog.job_rows(runs, metrics=["metric"])
+
+
+@register("r01_run_log")
+def q_run_log(spark, sf_dir):
+    merged = runlog.merge_last_writer(runs_long(spark, sf_dir))
+    return merged.select("run_id", "key", r("num_value").alias("num_value"), "str_value")
+
+
+RUN_KEYS = [f"JOB_{j}.{m}" for j in ["click", "purchase", "signup", "view"]
+            for m in ["duration", "isreused", "startTime"]] + ["metric"]
+
+
+@register("r01_run_row_wide")
+def q_run_row(spark, sf_dir):
+    merged = runlog.merge_last_writer(runs_long(spark, sf_dir))
+    keys = sorted(r_[0] for r_ in merged.select("key").distinct().collect())
+    wide = runlog.run_rows(merged, keys, {k for k in keys if k.endswith(".duration") or k == "metric"},
+                           header={"experiment": "fx_runs", "downsample": "False", "drop_bools": "False"})
+    return wide.select(*[r(c).alias(c) if (c.endswith(".duration") or c == "metric") else F.col(f"`{c}`")
+                         for c in wide.columns])
+
+
+@register("r02_duration_minutes")
+def q_duration(spark, sf_dir):
+    runs = runlog.with_end_time(fx.fx_runs(spark, sf_dir))
+    return runs.select("seq", runlog.duration_minutes(F.col("start_ts"), F.col("end_ts")).alias("duration"))
+
+
+@register("p17_completed")
+def q_completed(spark, sf_dir):
+    return clean.completed(fx.fx_runs(spark, sf_dir)).select("run_id", "job", "seq")
+
+
+def _day_parity():
+    return F.datediff(F.to_date("start_ts"), F.lit("2024-01-01").cast("date")) % 2
+
+
+@register("u01_union_outer")
+def q_union(spark, sf_dir):
+    runs = fx.fx_runs(spark, sf_dir).withColumn("__even", _day_parity() == 0)
+    even = runs.where("__even").select("run_id", "job", "seq", "status")
+    odd = runs.where("NOT __even").select("seq", "run_id", "metric", F.col("job").alias("job"))
+    return runlog.union_outer([even, odd]).select("run_id", "job", "seq", "status", "metric")
+
+
+@register("u03_merge_last_writer")
+def q_merge(spark, sf_dir):
+    runs = runlog.with_end_time(fx.fx_runs(spark, sf_dir))
+    long = runs.select("run_id", F.col("job").alias("key"), F.col("metric").alias("num_value"),
+                       F.lit(None).cast("string").alias("str_value"), "end_ts", "seq")
+    return runlog.merge_last_writer(long).select("run_id", "key", r("num_value").alias("num_value"))
+
+
+# ---------------------------------------------------------------- S-*
+from tabforge.sources import catalog as gold  # noqa: E402
+from tabforge.sources import delimited, history, stage  # noqa: E402
+
+
+@register("s01_read_delimited")
+def q_read_delimited(spark, sf_dir):
+    """orders written as ';' CSV with messy headers, read back, sanitised and typed."""
+    path = scratch(spark, "delimited")
+    o = table(spark, sf_dir, "orders").drop("o_orderdate")
+    delimited.write_delimited(o.toDF(*[MESSY.get(c, c) for c in o.columns]), path, "semicolon")
+    df = clean.sanitize_columns(delimited.read_delimited(spark, path, "semicolon"))
+    return clean.cast_columns(df, {"oorderkey": "int64", "ocustkey": "int64", "o_totalprice": "float64",
+                                   "o_orderstatus": "category", "oorderpriority": "category"})
+
+
+@register("s03_stage_roundtrip")
+def q_stage(spark, sf_dir):
+    """Folds staged as Parquet partitioned by fold; the read prunes to test."""
+    path = scratch(spark, "stage")
+    stage.write_stage(folded_orders(spark, sf_dir).select("ID", "label", "fold"), path, partition_by="fold")
+    return stage.read_stage(spark, path).where(F.col("fold") == "test").select("ID", "label")
+
+
+@register("s06_gold_roundtrip")
+def q_gold(spark, sf_dir):
+    root = scratch(spark, "gold")
+    df = toxic_folds(spark, sf_dir)
+    gold.publish_gold(df, root, "toxic", downsample=False, drop_bools=True, imputers="mean", balancers="smote")
+    gold.publish_gold(df.where(F.col("fold") == "test"), root, "toxic", downsample=False, drop_bools=True)
+    latest = gold.read_gold(spark, root, "toxic", downsample=False, drop_bools=True)
+    return latest.select("ID", "label", "fold")
+
+
+@register("s08_registry_tags")
+def q_registry_tags(spark, sf_dir):
+    t = fx.fx_trials(spark, sf_dir)
+    keys = t.select(F.concat(F.lit("imputer____"), F.col("imputer")).alias("key")).unionByName(
+        t.select(F.concat(F.lit("balancer____"), F.col("imputer"), F.lit("_"), F.lower("balancer")).alias("key")))
+    return gold.registry_tags(keys)
+
+
+def _write_deltas(spark, sf_dir) -> str:
+    folder = scratch(spark, "history")
+    runs = fx.fx_runs(spark, sf_dir).withColumn("day", F.datediff(F.to_date("start_ts"),
+                                                                  F.lit("2024-01-01").cast("date")))
+    even = runs.where(F.col("day") % 2 == 0).select("day", "run_id", "job", "seq", "status")
+    odd = runs.where(F.col("day") % 2 == 1).select("day", "seq", "metric", "run_id", "job", "status")
+    even.write.partitionBy("day").option("header", True).csv(f"{folder}/even")
+    odd.write.partitionBy("day").option("header", True).csv(f"{folder}/odd")
+    return folder
+
+
+def _history_out(df):
+    return df.select(F.col("run_id").cast("string").alias("run_id"), F.col("job").cast("string").alias("job"),
+                     F.col("seq").cast("long").alias("seq"), F.col("metric").cast("double").alias("metric"))
+
+
+@register("s11_compact_history")
+def q_compact(spark, sf_dir):
+    folder = _write_deltas(spark, sf_dir)
+    hist = None
+    for sub in ("even", "odd"):  # two compactions: the second appends to the first
+        files = history.list_deltas(spark, f"{folder}/{sub}", "*/*.csv")
+        new = history.read_deltas(spark, files)
+        old = history.current_history(spark, folder)
+        hist = runlog.union_outer([x for x in (old, new) if x is not None])
+        ver = int(stage._read_text(spark, f"{folder}/_history/CURRENT") or 0) + 1
+        hist.write.mode("overwrite").parquet(f"{folder}/_history/v={ver}")
+        stage._write_text(spark, f"{folder}/_history/CURRENT", str(ver))
+    return _history_out(history.current_history(spark, folder))
+
+
+@register("s12_compact_stream")
+def q_compact_stream(spark, sf_dir):
+    from tabforge.streaming.compact_stream import compact_history_stream
+    folder = _write_deltas(spark, sf_dir)
+    import os
+    hist = None
+    for sub in ("even", "odd"):
+        hist = compact_history_stream(spark, f"{folder}/{sub}", f"{folder}/_ckpt_{sub}",
+                                      history=f"{folder}/_stream_history", max_files_per_trigger=50)
+    del os
+    return _history_out(hist)

@@ -675,3 +675,85 @@ SELECT (SELECT trial_id FROM t ORDER BY score DESC, trial_id LIMIT 1) AS best_tr
        string_agg(CAST(trial_id AS VARCHAR), ',' ORDER BY trial_id) AS run_ids,
        string_agg(balancer, ',' ORDER BY trial_id) AS balancers
 FROM t"""
+
+
+# ---------------------------------------------------------------- R-*, U-*, P-17, S-*
+from tabforge.sources.fixtures import FX_RUNS_SQL  # noqa: E402
+
+def _dur_sql() -> str:
+    m = "date_diff('microsecond', start_ts, end_ts)"
+    q = f"CAST(floor({m} / 600000) AS BIGINT)"
+    return (f"CAST(({q} + CASE WHEN ({m} - {q} * 600000) * 2 > 600000 OR (({m} - {q} * 600000) * 2 = 600000 "
+            f"AND {q} % 2 = 1) THEN 1 ELSE 0 END) / 100.0 AS DOUBLE)")
+
+
+_RUNS_END = f"""
+runs AS ({FX_RUNS_SQL}),
+re AS (SELECT *, start_ts + to_microseconds(CAST(round(metric * 1000000.0) AS BIGINT)) AS end_ts FROM runs)"""
+
+_LONG = f"""{_RUNS_END},
+done AS (SELECT * FROM re WHERE status = 'Completed'),
+lg AS (
+  SELECT run_id, 'JOB_' || job || '.isreused' AS key, CAST(NULL AS DOUBLE) AS num_value, 'False' AS str_value, end_ts, seq FROM done
+  UNION ALL SELECT run_id, 'JOB_' || job || '.startTime', NULL, strftime(start_ts, '%Y-%m-%dT%H:%M:%S.%fZ'), end_ts, seq FROM done
+  UNION ALL SELECT run_id, 'JOB_' || job || '.duration', {_dur_sql()}, NULL, end_ts, seq FROM done
+  UNION ALL SELECT run_id, 'metric', metric, NULL, end_ts, seq FROM done),
+mg AS (SELECT run_id, key, arg_max(num_value, (end_ts, seq)) AS num_value, arg_max(str_value, (end_ts, seq)) AS str_value
+       FROM lg GROUP BY run_id, key)"""
+
+ORACLES["r01_run_log"] = f"WITH {_LONG[1:]} SELECT run_id, key, round(num_value, {R}) AS num_value, str_value FROM mg"
+
+
+def _wide() -> str:
+    keys = [f"JOB_{j}.{m}" for j in ["click", "purchase", "signup", "view"]
+            for m in ["duration", "isreused", "startTime"]] + ["metric"]
+    cols = []
+    for k in keys:
+        if k.endswith(".duration") or k == "metric":
+            cols.append(f"round(max(CASE WHEN key = '{k}' THEN num_value END), {R}) AS {_q(k)}")
+        else:
+            cols.append(f"max(CASE WHEN key = '{k}' THEN str_value END) AS {_q(k)}")
+    return (f"WITH {_LONG[1:]} SELECT 'fx_runs' AS experiment, 'False' AS downsample, 'False' AS drop_bools, "
+            f"run_id, {', '.join(cols)} FROM mg GROUP BY run_id")
+
+
+ORACLES["r01_run_row_wide"] = _wide()
+ORACLES["r02_duration_minutes"] = f"WITH {_RUNS_END[1:]} SELECT seq, {_dur_sql()} AS duration FROM re"
+ORACLES["p17_completed"] = f"WITH runs AS ({FX_RUNS_SQL}) SELECT run_id, job, seq FROM runs WHERE status = 'Completed'"
+
+_PARITY = "date_diff('day', DATE '2024-01-01', CAST(start_ts AS DATE)) % 2"
+ORACLES["u01_union_outer"] = f"""
+WITH runs AS ({FX_RUNS_SQL})
+SELECT run_id, job, seq, status, CAST(NULL AS DOUBLE) AS metric FROM runs WHERE {_PARITY} = 0
+UNION ALL SELECT run_id, job, seq, NULL, metric FROM runs WHERE {_PARITY} = 1"""
+
+ORACLES["u03_merge_last_writer"] = (f"WITH {_RUNS_END[1:]} SELECT run_id, job AS key, "
+                                    f"round(arg_max(metric, (end_ts, seq)), {R}) AS num_value FROM re GROUP BY run_id, job")
+
+ORACLES["s01_read_delimited"] = """
+SELECT o_orderkey AS oorderkey, o_custkey AS ocustkey, o_orderstatus, o_totalprice, o_orderpriority AS oorderpriority
+FROM orders"""
+
+ORACLES["s03_stage_roundtrip"] = f"WITH {_folds_cte()} SELECT ID, label FROM fxf WHERE fold = 'test'"
+
+
+def _toxic_folds_sql() -> str:
+    uu = u_sql_duckdb("ID", 42)
+    return (f"SELECT ID, label, CASE WHEN {uu} < {T_TEST} THEN 'test' WHEN {uu} < {T_VALID} THEN 'valid' "
+            f"ELSE 'train' END AS fold FROM ({FX_TOXIC_SQL}) t")
+
+
+ORACLES["s06_gold_roundtrip"] = f"SELECT * FROM ({_toxic_folds_sql()}) WHERE fold = 'test'"
+
+ORACLES["s08_registry_tags"] = f"""
+WITH t AS ({FX_TRIALS_SQL}),
+k AS (SELECT 'imputer____' || imputer AS key FROM t UNION ALL SELECT 'balancer____' || imputer || '_' || lower(balancer) FROM t),
+p AS (SELECT string_split(key, '_')[5] AS imputer, string_split(key, '_')[6] AS balancer FROM k)
+SELECT (SELECT string_agg(DISTINCT imputer, ',' ORDER BY imputer) FROM p WHERE imputer IS NOT NULL AND imputer <> '') AS imputers,
+       (SELECT string_agg(DISTINCT balancer, ',' ORDER BY balancer) FROM p WHERE balancer IS NOT NULL AND balancer <> '') AS balancers"""
+
+_HIST = f"""
+WITH runs AS ({FX_RUNS_SQL})
+SELECT run_id, job, seq, CASE WHEN {_PARITY} = 1 THEN metric END AS metric FROM runs"""
+ORACLES["s11_compact_history"] = _HIST
+ORACLES["s12_compact_stream"] = _HIST
