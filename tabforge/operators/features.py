@@ -46,11 +46,40 @@ def _kind(dtype) -> str:
     return "other"
 
 
+# Ordered (sequence) primitives: fn(df, value, out, order, group, key) -> df.
+SEQUENCE_PRIMITIVES: dict[str, dict] = {}
+
+
+def register_sequence_primitive(name: str, input_kind: str, return_kind: str, fn, description: str = ""):
+    """Register a primitive that needs row order (running totals, changes)."""
+    SEQUENCE_PRIMITIVES[name] = {"input": input_kind, "return": return_kind, "fn": fn, "description": description}
+
+
+def apply_sequence_primitive(df: DataFrame, name: str, value: str, order, group: str | None = None,
+                             key: str | None = None) -> DataFrame:
+    spec = SEQUENCE_PRIMITIVES[name]
+    return spec["fn"](df, value, f"{name}({value})", order, group, key)
+
+
 register_primitive("IS_NULL", "any", "boolean", lambda c: c.isNull(), "whether {} is null")
 # weekday(): Monday = 0 ... Sunday = 6
 register_primitive("WEEKDAY", "datetime", "numeric", lambda c: F.weekday(c), "the day of the week of {}")
 
 
+def _cum_sum(df, value, out, order, group, key):
+    from tabforge.operators.windows import cumulative_sum
+    return cumulative_sum(df, value, order, out, group=group, key=key)
+
+
+def _pct_change(df, value, out, order, group, key):
+    from tabforge.operators.windows import percent_change
+    return percent_change(df, value, order, out, group=group, key=key)
+
+
+register_sequence_primitive("CUM_SUM", "numeric", "numeric", _cum_sum, "the cumulative sum of {}")
+register_sequence_primitive("PERCENT_CHANGE", "numeric", "numeric", _pct_change, "the percent change of {}")
+
+
 @dataclass
 class FeaturePlan:
     key: str

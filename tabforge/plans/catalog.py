@@ -657,3 +657,83 @@ def q_compact_stream(spark, sf_dir):
                                       history=f"{folder}/_stream_history", max_files_per_trigger=50)
     del os
     return _history_out(hist)
+
+
+# ---------------------------------------------------------------- I-04, X-01
+from tabforge.operators import outliers as iso  # noqa: E402
+
+
+@register("i04_isolation_forest")
+def q_iforest(spark, sf_dir):
+    df = clean_orders(spark, sf_dir)
+    feats = ["o_totalprice", "acctbal", "custkey", "price_twin"]
+    filled = imp.fit_mean_imputer(df, feats).transform(df)
+    model = iso.fit_isolation_forest(filled, feats, "ID")
+    return model.score(filled, "ID").select("ID", r("outlier_score").alias("outlier_score"), "outlier")
+
+
+@register("x01_custom_primitive")
+def q_primitive(spark, sf_dir):
+    """The running-sum primitive, registered and applied through the registry."""
+    out = feat.apply_sequence_primitive(events_with_gaps(spark, sf_dir), "CUM_SUM", "value", ["ts"],
+                                        group="user_id", key="event_id")
+    return out.select("event_id", "user_id", r("CUM_SUM(value)").alias("cum_value"))
+
+
+# ---------------------------------------------------------------- X-02 ... X-04
+from tabforge.config import CompactConfig, FeaturizeConfig, TrainConfig  # noqa: E402
+
+
+@register("x02_featurize")
+def q_featurize(spark, sf_dir):
+    """The whole featurize plan on fx_orders (label 1-URGENT vs rest)."""
+    cfg = FeaturizeConfig(project="orders", label="label", root=scratch(spark, "featurize"),
+                          unwanted="o_orderstatus", imputers=["mean", "knn"])
+    res = featurize_plan(spark, cfg, fx.fx_orders(spark, sf_dir))
+    from pyspark.sql import types as T
+    out = res.data.where(F.col("fold") == "train")
+    return out.select("ID", "label", *[
+        F.col(f"`{f.name}`") if isinstance(f.dataType, T.BooleanType) else r(f.name).alias(f.name)
+        for f in out.schema.fields if f.name not in ("ID", "label", "fold")])
+
+
+@register("x03_train")
+def q_train(spark, sf_dir):
+    """Featurize fx_toxic, then a 3-trial sweep, best trial, calibration and registry."""
+    root = scratch(spark, "train")
+    cfg = FeaturizeConfig(project="toxic", label="label", root=root, imputers=["mean"])
+    featurize_plan(spark, cfg, fx.fx_toxic(spark, sf_dir))
+    res = train_plan(spark, TrainConfig(project="toxic", label="label", root=root, imputers=["mean"],
+                                        balancers=["none", "ros"], num_trials=3, max_iter=10, parallelism=3))
+    return res.trials.select("trial_id", "imputer", "balancer", r("score").alias("score"))
+
+
+@register("x04_compact")
+def q_compact_plan(spark, sf_dir):
+    """runinfo deltas (differing headers) compacted by the compact plan."""
+    root = scratch(spark, "compact")
+    runs = fx.fx_runs(spark, sf_dir).withColumn("day", F.datediff(F.to_date("start_ts"),
+                                                                  F.lit("2024-01-01").cast("date")))
+    even = runs.where(F.col("day") % 2 == 0).select("run_id", "job", "seq", "status")
+    odd = runs.where(F.col("day") % 2 == 1).select("seq", "metric", "run_id", "job", "status")
+    even.coalesce(4).write.option("header", True).csv(f"{root}/fx/runinfo/even")
+    odd.coalesce(4).write.option("header", True).csv(f"{root}/fx/runinfo/odd")
+    for sub in ("even", "odd"):  # move parts to the folder root as delta files
+        history_move(spark, f"{root}/fx/runinfo/{sub}", f"{root}/fx/runinfo", sub)
+    out = compact_plan(spark, CompactConfig(root=root, project="fx", export_csv=False))
+    return _history_out(out["runinfo"])
+
+
+def history_move(spark, src: str, dst: str, prefix: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(src)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.endswith(".csv"):
+            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{dst}/{prefix}-{name}"))
+
+
+from tabforge.plans.compact import compact as compact_plan  # noqa: E402
+from tabforge.plans.featurize import featurize as featurize_plan  # noqa: E402
+from tabforge.plans.train import train as train_plan  # noqa: E402

@@ -757,3 +757,6 @@ WITH runs AS ({FX_RUNS_SQL})
 SELECT run_id, job, seq, CASE WHEN {_PARITY} = 1 THEN metric END AS metric FROM runs"""
 ORACLES["s11_compact_history"] = _HIST
 ORACLES["s12_compact_stream"] = _HIST
+
+ORACLES["x01_custom_primitive"] = ORACLES["w01_cumulative_sum"]
+ORACLES["x04_compact"] = _HIST
