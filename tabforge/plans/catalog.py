@@ -737,3 +737,13 @@ def history_move(spark, src: str, dst: str, prefix: str):
 from tabforge.plans.compact import compact as compact_plan  # noqa: E402
 from tabforge.plans.featurize import featurize as featurize_plan  # noqa: E402
 from tabforge.plans.train import train as train_plan  # noqa: E402
+
+
+@register("b03_smote_orders")
+def q_smote_orders(spark, sf_dir):
+    """SMOTE on the cleaned, mean-imputed numeric fx_orders columns (about 20 % positive)."""
+    feats = ["o_totalprice", "acctbal", "custkey"]
+    df = clean_orders(spark, sf_dir).select("ID", *feats, "label")
+    df = imp.fit_mean_imputer(df, feats).transform(df)
+    out = bal.smote(df, features=feats, strategy="blocked", block_rows=5000)
+    return out.select("ID", "label", *[r(c).alias(c) for c in feats], "is_synthetic", "draw_id")

@@ -760,3 +760,34 @@ ORACLES["s12_compact_stream"] = _HIST
 
 ORACLES["x01_custom_primitive"] = ORACLES["w01_cumulative_sum"]
 ORACLES["x04_compact"] = _HIST
+
+
+def _smote_orders() -> str:
+    feats = ["o_totalprice", "acctbal", "custkey"]
+    base = (f"{_clean_orders_cte()}, m AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in feats)
+            + " FROM fxc), x AS (SELECT ID, " + ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in feats)
+            + ", label FROM fxc, m), cnt AS (SELECT label, count(*) AS n FROM x GROUP BY label), "
+            "mx AS (SELECT max(n) AS n_max FROM cnt)")
+    d = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in feats)
+    feat_out = ", ".join(f"round(b.{c} + d.gap * (nb.{c} - b.{c}), {R}) AS {c}" for c in feats)
+    return f"""
+WITH {base}, {_DRAWS[1:]},
+minor AS (SELECT c.label FROM cnt c, mx WHERE c.n < mx.n_max AND c.n >= 2),
+nn AS (SELECT * FROM (
+  SELECT a.ID AS query_id, b.ID AS donor_id,
+         row_number() OVER (PARTITION BY a.ID ORDER BY sqrt({d}), b.ID) AS rank
+  FROM x a JOIN x b ON a.ID <> b.ID AND a.label = b.label WHERE a.label IN (SELECT label FROM minor)) WHERE rank <= 5),
+db AS (SELECT d.label, d.draw_id, d.n, i.ID AS base_id FROM dr2 d JOIN idx i ON i.label = d.label
+       AND i.idx = CAST(floor({_u('d.draw_id', 'smote:base')} * d.n) AS BIGINT)),
+syn AS (
+  SELECT CAST(NULL AS BIGINT) AS ID, d.label, {feat_out}, true AS is_synthetic, d.draw_id
+  FROM (SELECT *, CAST(1 + floor({_u('draw_id', 'smote:nn')} * least(5, n - 1)) AS BIGINT) AS nrank,
+               {_u('draw_id', 'smote:gap')} AS gap FROM db) d
+  JOIN x b ON b.ID = d.base_id JOIN nn ON nn.query_id = d.base_id AND nn.rank = d.nrank
+  JOIN x nb ON nb.ID = nn.donor_id)
+SELECT ID, label, {', '.join(f'round({c}, {R}) AS {c}' for c in feats)}, false AS is_synthetic,
+       CAST(NULL AS VARCHAR) AS draw_id FROM x
+UNION ALL SELECT * FROM syn"""
+
+
+ORACLES["b03_smote_orders"] = _smote_orders()
