@@ -166,13 +166,20 @@ def category_tops(df: DataFrame, columns: list[str], top_n: int = TOP_N) -> dict
     ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull())
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     from pyspark.sql import Window
-    w = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    # one row per (column, distinct value): the window input is the distinct
-    # value set, not the rows
-    top = counts.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= top_n)
+    order = [F.desc("n"), F.asc("value")]
+    # two-stage top-n: values are first cut per hash slice (about 200k distinct
+    # values per slice), so no task ranks all distinct values of a column
+    counts = counts.persist()
+    slices = max(1, -(-counts.count() // 200_000))
+    cut = counts.withColumn("__s", F.pmod(F.xxhash64("value"), F.lit(slices)))
+    cut = cut.withColumn("rk", F.row_number().over(Window.partitionBy("column", "__s").orderBy(*order))) \
+        .where(F.col("rk") <= top_n).drop("rk", "__s")
+    top = cut.withColumn("rk", F.row_number().over(Window.partitionBy("column").orderBy(*order))) \
+        .where(F.col("rk") <= top_n)
     res: dict[str, list] = {c: [] for c in columns}
     for r in top.orderBy("column", "rk").collect():  # <= columns x top_n rows
         res[r["column"]].append(r["value"])
+    counts.unpersist()
     return res
 
 

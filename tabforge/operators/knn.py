@@ -60,34 +60,54 @@ def pair_distances(Q: np.ndarray, D: np.ndarray, metric: str = "euclidean",
 def local_topk(qids, Q, dids, D, k, metric="euclidean", exclude_self=False,
                qcat=None, dcat=None, cat_penalty=0.0, farthest=False):
     """Top-k donors per query inside one (query set, donor set) pair of blocks
-    (the k largest distances with ``farthest``)."""
+    (the k largest distances with ``farthest``), ties by donor key.
+
+    Vectorised: donors are put in key order once, ``argpartition`` finds the
+    k-th distance per row, and rows whose candidate set is exactly k (the
+    usual case) are sorted with a stable sort, which keeps key order on equal
+    distances. Rows with ties at the k-th distance take the exact slow path."""
     out_q, out_d, out_v = [], [], []
     if len(qids) == 0 or len(dids) == 0:
         return out_q, out_d, out_v
-    per = max(1, PAIR_CHUNK // max(1, len(dids) * max(1, Q.shape[1])))
-    order_keys = np.asarray(dids)
+    dids = np.asarray(dids)
+    order = np.argsort(dids, kind="stable")
+    dids, D = dids[order], D[order]
+    if dcat is not None:
+        dcat = dcat[order]
+    qids = np.asarray(qids)
+    n = len(dids)
+    per = max(1, PAIR_CHUNK // max(1, n * max(1, Q.shape[1])))
     for s in range(0, len(qids), per):
         qs = slice(s, s + per)
-        dist = pair_distances(Q[qs], D, metric,
-                              None if qcat is None else qcat[qs], dcat, cat_penalty)
+        dist = pair_distances(Q[qs], D, metric, None if qcat is None else qcat[qs], dcat, cat_penalty)
         dist = np.where(np.isnan(dist), np.inf, dist)
         if farthest:
             dist = np.where(np.isinf(dist), np.inf, -dist)
         if exclude_self:
-            dist = np.where(np.asarray(qids[qs])[:, None] == order_keys[None, :], np.inf, dist)
-        kk = min(k, dist.shape[1])
-        for i in range(dist.shape[0]):
+            dist = np.where(qids[qs][:, None] == dids[None, :], np.inf, dist)
+        kk = min(k, n)
+        if kk < n:
+            kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
+        else:
+            kth = np.full(dist.shape[0], np.inf)
+        mask = (dist <= kth[:, None]) & np.isfinite(dist)
+        cnt = mask.sum(axis=1)
+        fast = np.nonzero(cnt == kk)[0]
+        if fast.size:
+            cols = np.nonzero(mask[fast])[1].reshape(-1, kk)  # ascending position = ascending key
+            dv = np.take_along_axis(dist[fast], cols, axis=1)
+            o = np.argsort(dv, axis=1, kind="stable")
+            cols = np.take_along_axis(cols, o, axis=1)
+            dv = np.take_along_axis(dv, o, axis=1)
+            out_q.extend(np.repeat(qids[qs][fast], kk).tolist())
+            out_d.extend(dids[cols].ravel().tolist())
+            out_v.extend((-dv if farthest else dv).ravel().tolist())
+        for i in np.nonzero(cnt != kk)[0]:
             row = dist[i]
-            if kk < len(row):
-                # candidates: everything not worse than the k-th smallest (keeps ties)
-                kth = np.partition(row, kk - 1)[kk - 1]
-                cand = np.nonzero(row <= kth)[0]
-            else:
-                cand = np.arange(len(row))
-            cand = cand[np.isfinite(row[cand])]
-            o = cand[np.lexsort((order_keys[cand], row[cand]))][:kk]
+            cand = np.nonzero(mask[i])[0]
+            o = cand[np.lexsort((dids[cand], row[cand]))][:kk]
             out_q.extend([qids[s + i]] * len(o))
-            out_d.extend(order_keys[o].tolist())
+            out_d.extend(dids[o].tolist())
             out_v.extend((-row[o] if farthest else row[o]).tolist())
     return out_q, out_d, out_v
 
@@ -123,26 +143,38 @@ def _rank(cands: DataFrame, k: int, farthest: bool = False) -> DataFrame:
 def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int = 5,
              key: str = "ID", metric: str = "euclidean", exclude_self: bool = False,
              group: str | None = None, cat_features: list[str] = (), cat_penalty: float = 0.0,
-             strategy: str = "auto", broadcast_budget: int = 256 << 20,
+             strategy: str = "auto", broadcast_budget: int = 128 << 20,
              block_rows: int = 20_000, farthest: bool = False) -> DataFrame:
     """k nearest donors for every query row -> (query_id, donor_id, distance, rank).
 
     ``group`` restricts neighbours to donors of the same group value (e.g. the
     same class). ``strategy``: ``broadcast`` (donors under ``broadcast_budget``
-    bytes), ``blocked``, or ``auto`` (broadcast when the measured size fits)."""
+    bytes, measured), ``partitioned`` (exact, range-pruned cells),
+    ``blocked`` (exact, every block pair) or ``auto``: broadcast when the
+    donors fit, else partitioned when the metric allows pruning, else blocked."""
     cat_features = list(cat_features)
     q = _prepare(queries, key, features, cat_features, group)
     d = _prepare(donors, key, features, cat_features, group)
     if strategy == "auto":
         n_d = d.count()
         row_bytes = 8 * (len(features) + 2) + 16 * len(cat_features)
-        strategy = "broadcast" if n_d * row_bytes <= broadcast_budget else "blocked"
+        if n_d * row_bytes <= broadcast_budget:
+            strategy = "broadcast"
+        elif metric in ("euclidean", "mixed") and not farthest and features:
+            strategy = "partitioned"
+        else:
+            strategy = "blocked"
     if strategy == "broadcast":
         cands = _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty,
                                 broadcast_budget, farthest)
     elif strategy == "blocked":
         cands = _blocked_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, block_rows,
                               farthest)
+    elif strategy == "partitioned":
+        if metric not in ("euclidean", "mixed") or farthest or not features:
+            raise ValueError("the partitioned strategy needs a euclidean-type metric, nearest neighbours and a "
+                             "continuous feature to prune on; use strategy='blocked'")
+        cands = _partitioned_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, block_rows)
     else:
         raise ValueError(strategy)
     return _rank(cands, k, farthest)
@@ -180,7 +212,9 @@ def _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_p
             yield pd.DataFrame({"query_id": pd.Series(oq, dtype="int64"),
                                 "donor_id": pd.Series(od, dtype="int64"),
                                 "distance": pd.Series(ov, dtype="float64")})
-    return q.mapInPandas(run, OUT_SCHEMA)
+    # explicit partition count: AQE must not fold a small query set into one task
+    n_parts = max(q.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    return q.repartition(n_parts).mapInPandas(run, OUT_SCHEMA)
 
 
 def _lookup(mapping: dict, col):
@@ -276,3 +310,97 @@ def impute_candidates(queries: DataFrame, donors: DataFrame, features: list[str]
     cands = qb.groupBy("__qb", "__db").cogroup(db.groupBy("__qb", "__db")).applyInPandas(pair, IMPUTE_SCHEMA)
     w = Window.partitionBy("query_id", "col").orderBy("distance", "donor_id")
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+# ------------------------------------------------------------------ partitioned (pruned) strategy
+def _cells(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    return np.searchsorted(bounds, values, side="right")
+
+
+def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, metric, exclude_self, cat_penalty,
+                      block_rows: int) -> DataFrame:
+    """Exact k-NN with range pruning on one coordinate.
+
+    Donors are cut into cells of about ``block_rows`` rows by quantiles of the
+    highest-variance coordinate (per group). Pass 1 searches each query's own
+    cell; the k-th distance r found there bounds the answer, and since
+    |x_p - y_p| <= distance, pass 2 only visits the other cells that
+    intersect [x_p - r, x_p + r]. Queries of a crowded cell are split into
+    sub-blocks, so every task holds at most about block_rows donors and
+    block_rows queries."""
+    spark = q.sparkSession
+    xcols = [f"__x{i}" for i in range(len(features))]
+    ccols = [f"__c{i}" for i in range(len(cat_features))]
+    var = d.agg(*[F.var_pop(c).alias(c) for c in xcols]).first()
+    pivot = max(xcols, key=lambda c: (var[c] or 0.0))
+    dn = {r[0]: r[1] for r in d.groupBy("__g").count().collect()}  # one row per group
+    bounds: dict = {}
+    for g, n in dn.items():
+        cells = max(1, math.ceil(n / block_rows))
+        if cells == 1:
+            bounds[g] = np.array([], dtype="float64")
+            continue
+        fr = [i / cells for i in range(1, cells)]
+        qs = d.where(F.col("__g") == F.lit(g)).agg(
+            F.percentile_approx(pivot, fr, 10_000).alias("b")).first()["b"]  # cells - 1 numbers
+        bounds[g] = np.unique(np.asarray(qs, dtype="float64"))
+    bb = spark.sparkContext.broadcast(bounds)  # total cells ~ rows / block_rows numbers
+
+    @F.pandas_udf("int")
+    def cell_of(g: pd.Series, x: pd.Series) -> pd.Series:
+        b = bb.value
+        out = np.zeros(len(x), dtype="int32")
+        for gv in pd.unique(g):
+            m = (g == gv).to_numpy()
+            out[m] = _cells(x[m].to_numpy(dtype="float64"), b.get(gv, np.array([])))
+        return pd.Series(out)
+
+    dc = d.withColumn("__cell", cell_of(F.col("__g"), F.col(pivot)))
+    qc = q.withColumn("__cell", cell_of(F.col("__g"), F.col(pivot)))
+
+    def run_pass(queries: DataFrame) -> DataFrame:
+        # split crowded query cells into sub-blocks; donors are copied to each
+        qcount = {(r[0], r[1]): r[2] for r in queries.groupBy("__g", "__cell").count().collect()}  # <= cells
+        subs = {key: max(1, math.ceil(n / block_rows)) for key, n in qcount.items() if n > block_rows}
+        if subs:
+            keymap = F.create_map(*[x for (g, c), s in subs.items()
+                                    for x in (F.concat(F.lit(str(g)), F.lit("#"), F.lit(str(c))), F.lit(s))])
+            ckey = F.concat(F.col("__g").cast("string"), F.lit("#"), F.col("__cell").cast("string"))
+            nsub = F.coalesce(F.element_at(keymap, ckey), F.lit(1))
+        else:
+            nsub = F.lit(1)
+        qq = queries.withColumn("__sub", F.pmod(F.xxhash64("__id"), nsub).cast("int"))
+        dd = dc.withColumn("__sub", F.explode(F.sequence(F.lit(0), nsub - 1)))
+        keys = ["__g", "__cell", "__sub"]
+
+        def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            a, b, c = local_topk(left["__id"].to_numpy(), _matrix(left, xcols), right["__id"].to_numpy(),
+                                 _matrix(right, xcols), k, metric, exclude_self,
+                                 _cats(left, ccols), _cats(right, ccols), cat_penalty)
+            return pd.DataFrame({"query_id": pd.Series(a, dtype="int64"), "donor_id": pd.Series(b, dtype="int64"),
+                                 "distance": pd.Series(c, dtype="float64")})
+
+        return qq.groupBy(*keys).cogroup(dd.groupBy(*keys)).applyInPandas(pair, OUT_SCHEMA)
+
+    first = run_pass(qc).persist()
+    # radius: k-th distance in the own cell (infinite when the cell has fewer than k donors)
+    kth = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("r"))
+    radius = F.when(F.col("n") >= k, F.col("r")).otherwise(F.lit(float("inf")))
+    qr = qc.join(kth.select(F.col("query_id").alias("__id"), radius.alias("__r")), "__id", "left") \
+        .withColumn("__r", F.coalesce("__r", F.lit(float("inf"))))
+
+    @F.pandas_udf("array<int>")
+    def other_cells(g: pd.Series, x: pd.Series, r: pd.Series, own: pd.Series) -> pd.Series:
+        b = bb.value
+        out = []
+        for gv, xv, rv, ov in zip(g, x, r, own):
+            bounds_g = b.get(gv, np.array([]))
+            lo = int(_cells(np.array([xv - rv]), bounds_g)[0]) if np.isfinite(rv) else 0
+            hi = int(_cells(np.array([xv + rv]), bounds_g)[0]) if np.isfinite(rv) else len(bounds_g)
+            out.append([c for c in range(lo, hi + 1) if c != ov])
+        return pd.Series(out)
+
+    second_q = qr.withColumn("__cells", other_cells(F.col("__g"), F.col(pivot), F.col("__r"), F.col("__cell"))) \
+        .where(F.size("__cells") > 0).withColumn("__cell", F.explode("__cells")).drop("__cells", "__r")
+    second = run_pass(second_q)
+    return first.unionByName(second)

@@ -747,3 +747,9 @@ def q_smote_orders(spark, sf_dir):
     df = imp.fit_mean_imputer(df, feats).transform(df)
     out = bal.smote(df, features=feats, strategy="blocked", block_rows=5000)
     return out.select("ID", "label", *[r(c).alias(c) for c in feats], "is_synthetic", "draw_id")
+
+
+@register("j02_knn_join_partitioned")
+def q_knn_partitioned(spark, sf_dir):
+    """Same result through the range-pruned partitioned strategy."""
+    return _knn_vectors(spark, sf_dir, "partitioned")

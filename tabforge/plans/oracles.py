@@ -791,3 +791,4 @@ UNION ALL SELECT * FROM syn"""
 
 
 ORACLES["b03_smote_orders"] = _smote_orders()
+ORACLES["j02_knn_join_partitioned"] = ORACLES["j02_knn_join"]
