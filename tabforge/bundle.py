@@ -57,3 +57,14 @@ def split_roles(df: DataFrame, label: str, unwanted=None, key: str = "ID"):
     (features, label, unwanted), each keeping the key for alignment."""
     b = package(df, key, label, unwanted)
     return b.X, b.y, b.xtra
+
+
+def attach_label(features: DataFrame, labels: DataFrame, key: str = "ID", validate: bool = True) -> DataFrame:
+    """J-01: join a separately delivered label table to its features by key;
+    ``validate`` checks the pairing is one to one (counts on both sides)."""
+    joined = features.join(labels, key, "inner")
+    if validate:
+        n_f, n_l, n_j = features.count(), labels.count(), joined.count()
+        if not (n_f == n_l == n_j):
+            raise ValueError(f"label join is not 1:1 (features {n_f}, labels {n_l}, matched {n_j})")
+    return joined
