@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from tabforge.functions.hashing import u
 from tabforge.operators.indexing import global_index, keep_smallest
 from tabforge.operators.knn import knn_join
+from tabforge.session import cut_lineage
 
 K_NEIGHBORS = 5        # SMOTE family
 M_NEIGHBORS = 10       # Borderline danger test
@@ -194,8 +195,11 @@ def smote(df: DataFrame, key: str = "ID", label: str = "label", features: list[s
     if not usable:
         return _tag_original(df, df.columns)
     k_of = {c: min(k, n - 1) for c, n in usable.items()}
+    # one checkpointed copy of the classes to grow: kNN, base rows and
+    # neighbour rows all read it instead of recomputing the input
+    idx = global_index(df.where(F.col(label).isin(list(usable))), key, "__idx", group=label)
     metric, penalty, knn_feats, knn_cats = "euclidean", 0.0, features, cat_features
-    space = df
+    space = idx
     if features and cat_features:
         metric = "mixed"
         minority = min(counts, key=lambda c: (counts[c], str(c)))
@@ -207,25 +211,24 @@ def smote(df: DataFrame, key: str = "ID", label: str = "label", features: list[s
         report.notes["median_std"] = med
     elif not features:
         metric = "vdm"
-        space, knn_feats, n_classes = vdm_space(df, key, label, cat_features)
+        space, knn_feats, n_classes = vdm_space(df, key, label, cat_features, rows=idx)
         knn_cats, penalty = [], float(n_classes)
-    nn = knn_join(space.where(F.col(label).isin(list(usable))), space.where(F.col(label).isin(list(usable))),
-                  knn_feats, k=k, key=key, metric=metric, exclude_self=True, group=label,
+    nn = knn_join(space, space, knn_feats, k=k, key=key, metric=metric, exclude_self=True, group=label,
                   cat_features=knn_cats, cat_penalty=penalty, strategy=strategy, block_rows=block_rows)
-    idx = global_index(df.where(F.col(label).isin(list(usable))), key, "__idx", group=label)
     draws = draw_table(df.sparkSession, {c: n_max - n for c, n in usable.items()}, label, df.schema[label].dataType)
     n_of = _lit_map(usable, F.col(label), "bigint")
     draws = draws.withColumn("__idx", F.floor(u("draw_id", f"{seed}:base") * n_of).cast("long"))
     draws = draws.join(idx.select(label, "__idx", F.col(key).cast("long").alias("__base_key")), [label, "__idx"])
-    nominal = _neighbour_modes(nn, df, key, cat_features, k_of, label) if cat_features else None
+    nominal = _neighbour_modes(nn, idx, key, cat_features, k_of, label) if cat_features else None
     k_col = _lit_map(k_of, F.col(label), "int")
-    j, cols = _interpolate(draws, df, nn, df, key, label, features, k_col, seed, nominal, cat_features)
+    j, cols = _interpolate(draws, idx, nn, idx, key, label, features, k_col, seed, nominal, cat_features)
     return _assemble(df, j, cols, key, label)
 
 
-def vdm_space(df: DataFrame, key: str, label: str, cat_features: list[str]):
+def vdm_space(df: DataFrame, key: str, label: str, cat_features: list[str], rows: DataFrame | None = None):
     """Rows mapped to P(class | value) per nominal column (value-difference
-    metric space). Value x class counts are bounded by the categories."""
+    metric space; probabilities from all of ``df``, applied to ``rows``).
+    Value x class counts are bounded by the categories."""
     classes = sorted(class_counts(df, label), key=str)
     long = df.select(F.col(label), F.explode(F.array(*[
         F.struct(F.lit(c).alias("col"), F.col(f"`{c}`").cast("string").alias("v")) for c in cat_features
@@ -245,7 +248,7 @@ def vdm_space(df: DataFrame, key: str, label: str, cat_features: list[str]):
             name = f"__p_{c}_{ci}"
             cols.append(F.coalesce(_lit_map(m, F.col(f"`{c}`").cast("string"), "double"), F.lit(0.0)).alias(name))
             names.append(name)
-    space = df.select(F.col(key), F.col(label), *cols)
+    space = (rows if rows is not None else df).select(F.col(key), F.col(label), *cols)
     return space, names, len(classes)
 
 
@@ -290,9 +293,10 @@ def adasyn(df: DataFrame, key: str = "ID", label: str = "label", features: list[
     draws = draws.select(F.col(label), F.col("query_id").alias("__base_key"),
                          F.concat(F.col(label).cast("string"), F.lit(":"), F.col("query_id").cast("string"),
                                   F.lit(":"), F.col("t").cast("string")).alias("draw_id"))
-    nn = _neighbour_table(df, key, label, features, k, keep, strategy=strategy, block_rows=block_rows)
+    cls_rows = cut_lineage(df.where(F.col(label).isin(list(keep))))  # read once by kNN and both joins
+    nn = _neighbour_table(cls_rows, key, label, features, k, keep, strategy=strategy, block_rows=block_rows)
     k_col = _lit_map({c: min(k, n - 1) for c, n in keep.items()}, F.col(label), "int")
-    j, cols = _interpolate(draws, df, nn, df, key, label, features, k_col, seed)
+    j, cols = _interpolate(draws, cls_rows, nn, cls_rows, key, label, features, k_col, seed)
     return _assemble(df, j, cols, key, label)
 
 
@@ -331,9 +335,10 @@ def borderline_smote(df: DataFrame, key: str = "ID", label: str = "label", featu
     nd_of = _lit_map({c: n_danger[c] for c in keep}, F.col(label), "bigint")
     draws = draws.withColumn("__idx", F.floor(u("draw_id", f"{seed}:base") * nd_of).cast("long"))
     draws = draws.join(didx.select(label, "__idx", F.col("query_id").alias("__base_key")), [label, "__idx"])
-    nn = _neighbour_table(df, key, label, features, k, keep, strategy=strategy, block_rows=block_rows)
+    cls_rows = cut_lineage(df.where(F.col(label).isin(list(keep))))  # read once by kNN and both joins
+    nn = _neighbour_table(cls_rows, key, label, features, k, keep, strategy=strategy, block_rows=block_rows)
     k_col = _lit_map({c: min(k, n - 1) for c, n in keep.items()}, F.col(label), "int")
-    j, cols = _interpolate(draws, df, nn, df, key, label, features, k_col, seed)
+    j, cols = _interpolate(draws, cls_rows, nn, cls_rows, key, label, features, k_col, seed)
     return _assemble(df, j, cols, key, label)
 
 
@@ -411,16 +416,16 @@ def kmeans_smote(df: DataFrame, key: str = "ID", label: str = "label", features:
     wanted = [f"{c}#{cl}" for c, cl, _ in pieces]
     rows = rows.where(F.col("__grp").isin(wanted))
     gcount = {r[0]: r[1] for r in rows.groupBy("__grp").count().collect()}
-    nn = knn_join(rows, rows, features, k=k, key=key, exclude_self=True, group="__grp", strategy=strategy,
+    idx = global_index(rows, key, "__idx", group="__grp")  # checkpointed: kNN and joins read it
+    nn = knn_join(idx, idx, features, k=k, key=key, exclude_self=True, group="__grp", strategy=strategy,
                   block_rows=block_rows)
-    idx = global_index(rows.select(key, "__grp"), key, "__idx", group="__grp")
     draws = draw_table(df.sparkSession, {f"{c}#{cl}": q for c, cl, q in pieces}, "__grp", T.StringType())
     draws = draws.withColumn(label, F.element_at(F.split("__grp", "#"), 1).cast(df.schema[label].dataType))
     n_of = _lit_map(gcount, F.col("__grp"), "bigint")
     draws = draws.withColumn("__idx", F.floor(u("draw_id", f"{seed}:base") * n_of).cast("long"))
     draws = draws.join(idx.select("__grp", "__idx", F.col(key).cast("long").alias("__base_key")), ["__grp", "__idx"])
     k_col = F.least(F.lit(k), n_of - 1).cast("int")
-    j, cols = _interpolate(draws, df, nn, df, key, label, features, k_col, seed)
+    j, cols = _interpolate(draws, idx, nn, idx, key, label, features, k_col, seed)
     return _assemble(df, j, cols, key, label)
 
 

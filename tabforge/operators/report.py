@@ -14,40 +14,36 @@ def confusion(df: DataFrame, y: str, yhat: str) -> DataFrame:
 def classification_report(df: DataFrame, y: str = "label", yhat: str = "yhat") -> DataFrame:
     """Long (metric, value): ``{class}_{precision,recall,f1-score,support}`` and
     the ``macro-avg_*`` / ``weighted-avg_*`` rows; 0/0 counts as 0; the scalar
-    accuracy entry is not emitted."""
-    cm = confusion(df, y, yhat)
-    tp = cm.where(F.col("y") == F.col("yhat")).select(F.col("y").alias("c"), F.col("n").alias("tp"))
-    sup = cm.groupBy(F.col("y").alias("c")).agg(F.sum("n").alias("support"))
-    pred = cm.groupBy(F.col("yhat").alias("c")).agg(F.sum("n").alias("pred"))
-    classes = sup.select("c").union(pred.select("c")).distinct()
-    per = (classes.join(tp, "c", "left").join(sup, "c", "left").join(pred, "c", "left")
-           .select("c", F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("support", F.lit(0)).alias("support"),
-                   F.coalesce("pred", F.lit(0)).alias("pred")))
-    prec = F.when(F.col("pred") > 0, F.col("tp") / F.col("pred")).otherwise(F.lit(0.0))
-    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
-    per = per.withColumn("precision", prec).withColumn("recall", rec)
-    per = per.withColumn("f1", F.when((F.col("precision") + F.col("recall")) > 0,
-                                      2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
-                         .otherwise(F.lit(0.0)))
-    name = F.col("c").cast("string")
-    rows = per.select(F.explode(F.array(
-        F.struct(F.concat(name, F.lit("_precision")).alias("metric"), F.col("precision").alias("value")),
-        F.struct(F.concat(name, F.lit("_recall")).alias("metric"), F.col("recall").alias("value")),
-        F.struct(F.concat(name, F.lit("_f1-score")).alias("metric"), F.col("f1").alias("value")),
-        F.struct(F.concat(name, F.lit("_support")).alias("metric"), F.col("support").cast("double").alias("value")),
-    )).alias("m")).select("m.*")
-    avg = per.agg(
-        F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-        F.sum("support").alias("s"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("wf"))
-    avgs = avg.select(F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value")) for m, c in [
-            ("macro-avg_precision", "mp"), ("macro-avg_recall", "mr"), ("macro-avg_f1-score", "mf"),
-            ("macro-avg_support", "s"), ("weighted-avg_precision", "wp"), ("weighted-avg_recall", "wr"),
-            ("weighted-avg_f1-score", "wf"), ("weighted-avg_support", "s")]])).alias("m")).select("m.*")
-    return rows.unionByName(avgs)
+    accuracy entry is not emitted.
+
+    One scan: the confusion counts (classes x classes rows) are aggregated
+    once and the report is derived from them."""
+    cells = confusion(df, y, yhat).collect()  # bounded by classes^2
+    classes = sorted({r["y"] for r in cells} | {r["yhat"] for r in cells}, key=lambda v: (v is None, str(v)))
+    tp = {c: 0 for c in classes}
+    sup = {c: 0 for c in classes}
+    pred = {c: 0 for c in classes}
+    for r in cells:
+        sup[r["y"]] += r["n"]
+        pred[r["yhat"]] += r["n"]
+        if r["y"] == r["yhat"]:
+            tp[r["y"]] += r["n"]
+    rows, per = [], []
+    for c in classes:
+        p = tp[c] / pred[c] if pred[c] else 0.0
+        rc = tp[c] / sup[c] if sup[c] else 0.0
+        f1 = 2 * p * rc / (p + rc) if (p + rc) > 0 else 0.0
+        per.append((p, rc, f1, sup[c]))
+        rows += [(f"{c}_precision", p), (f"{c}_recall", rc), (f"{c}_f1-score", f1), (f"{c}_support", float(sup[c]))]
+    total = sum(s for *_, s in per)
+    k = max(1, len(per))
+    for name, i in (("precision", 0), ("recall", 1), ("f1-score", 2)):
+        rows.append((f"macro-avg_{name}", sum(x[i] for x in per) / k))
+    rows.append(("macro-avg_support", float(total)))
+    for name, i in (("precision", 0), ("recall", 1), ("f1-score", 2)):
+        rows.append((f"weighted-avg_{name}", sum(x[i] * x[3] for x in per) / total if total else 0.0))
+    rows.append(("weighted-avg_support", float(total)))
+    return df.sparkSession.createDataFrame(rows, "metric string, value double")
 
 
 def neg_rmse(df: DataFrame, y: str = "label", yhat: str = "prediction") -> DataFrame:
