@@ -27,32 +27,49 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 OUT_SCHEMA = "query_id long, donor_id long, distance double"
-PAIR_CHUNK = 4_000_000  # float64 cells per distance chunk inside a task
+PAIR_CHUNK = 2_000_000  # float64 cells (queries x donors) per distance chunk inside a task
 
 
 def pair_distances(Q: np.ndarray, D: np.ndarray, metric: str = "euclidean",
                    qcat: np.ndarray | None = None, dcat: np.ndarray | None = None,
                    cat_penalty: float = 0.0) -> np.ndarray:
-    """(len(Q), len(D)) distance matrix. ``nan_euclidean``: sqrt(p / present *
-    sum over coordinates present in both); NaN when nothing is shared.
-    ``mixed``: euclidean^2 + cat_penalty per nominal mismatch (SMOTENC)."""
-    diff = Q[:, None, :] - D[None, :, :]
+    """(len(Q), len(D)) distance matrix, accumulated one coordinate at a time
+    (2-D arrays only, terms added left to right as SQL does).
+
+    ``nan_euclidean``: sqrt(p / present * sum over coordinates present in
+    both); NaN when nothing is shared. ``mixed``: euclidean^2 + cat_penalty
+    per nominal mismatch (SMOTENC). ``vdm``: columns hold P(class | value) for
+    ``cat_penalty`` classes per feature; delta_f = sum_c |dP|, distance =
+    sum_f delta_f^2."""
+    m, n, p = Q.shape[0], D.shape[0], Q.shape[1]
     if metric == "vdm":
-        # value difference: columns hold, per feature, P(class | value) for
-        # ``cat_penalty`` classes; delta_f = sum_c |dP|, distance = sum_f delta_f^2
         c = int(cat_penalty)
-        delta = np.abs(diff).reshape(diff.shape[0], diff.shape[1], -1, c).sum(axis=3)
-        return (delta * delta).sum(axis=2)
+        total = np.zeros((m, n))
+        for f in range(p // c):
+            delta = np.zeros((m, n))
+            for j in range(f * c, (f + 1) * c):
+                delta += np.abs(Q[:, j][:, None] - D[:, j][None, :])
+            total += delta * delta
+        return total
     if metric == "nan_euclidean":
-        present = ~np.isnan(diff)
-        n = present.sum(axis=2)
-        ss = np.where(present, diff * diff, 0.0).sum(axis=2)
+        ss = np.zeros((m, n))
+        cnt = np.zeros((m, n))
+        for j in range(p):
+            diff = Q[:, j][:, None] - D[:, j][None, :]
+            ok = ~np.isnan(diff)
+            ss += np.where(ok, diff * diff, 0.0)
+            cnt += ok
         with np.errstate(invalid="ignore", divide="ignore"):
-            d2 = np.where(n > 0, ss * (Q.shape[1] / np.maximum(n, 1)), np.nan)
+            d2 = np.where(cnt > 0, ss * (p / np.maximum(cnt, 1)), np.nan)
         return np.sqrt(d2)
-    d2 = (diff * diff).sum(axis=2)
+    d2 = np.zeros((m, n))
+    for j in range(p):
+        diff = Q[:, j][:, None] - D[:, j][None, :]
+        d2 += diff * diff
     if metric == "mixed" and qcat is not None and qcat.shape[1] > 0:
-        mism = (qcat[:, None, :] != dcat[None, :, :]).sum(axis=2)
+        mism = np.zeros((m, n))
+        for j in range(qcat.shape[1]):
+            mism += qcat[:, j][:, None] != dcat[:, j][None, :]
         d2 = d2 + cat_penalty * mism
     return np.sqrt(d2)
 
@@ -76,7 +93,9 @@ def local_topk(qids, Q, dids, D, k, metric="euclidean", exclude_self=False,
         dcat = dcat[order]
     qids = np.asarray(qids)
     n = len(dids)
-    per = max(1, PAIR_CHUNK // max(1, n * max(1, Q.shape[1])))
+    if metric == "euclidean" and Q.shape[1] > 0:
+        return _euclid_topk(qids, Q, dids, D, k, exclude_self, farthest)
+    per = max(1, PAIR_CHUNK // max(1, n))
     for s in range(0, len(qids), per):
         qs = slice(s, s + per)
         dist = pair_distances(Q[qs], D, metric, None if qcat is None else qcat[qs], dcat, cat_penalty)
@@ -112,6 +131,59 @@ def local_topk(qids, Q, dids, D, k, metric="euclidean", exclude_self=False,
     return out_q, out_d, out_v
 
 
+def _exact_d2(Qr: np.ndarray, Dr: np.ndarray) -> np.ndarray:
+    """Squared distance of row pairs by direct differences, left to right."""
+    d2 = np.zeros(len(Qr))
+    for j in range(Qr.shape[1]):
+        diff = Qr[:, j] - Dr[:, j]
+        d2 += diff * diff
+    return d2
+
+
+def _euclid_topk(qids, Q, dids, D, k, exclude_self, farthest):
+    """Euclidean top-k: BLAS screening, exact re-ranking.
+
+    On centred data the squared distance |q|^2 + |d|^2 - 2 q.d (one matrix
+    product) is within eps = 4 (p + 2) u (|q|^2 + max |d|^2) of the exact
+    value. Every true top-k donor is within 2 eps of the k-th screened value,
+    so those candidates (usually k, a few more on near ties) are re-scored by
+    direct differences and ranked by (distance, key): identical to the
+    brute-force result."""
+    out_q, out_d, out_v = [], [], []
+    n, p = D.shape
+    kk = min(k, n)
+    mu = D.mean(axis=0)
+    Qc, Dc = Q - mu, D - mu
+    qn, dn = (Qc * Qc).sum(axis=1), (Dc * Dc).sum(axis=1)
+    dmax = dn.max() if n else 0.0
+    unit = 4.0 * (p + 2) * np.finfo("float64").eps
+    per = max(1, PAIR_CHUNK // max(1, n))
+    for s in range(0, len(qids), per):
+        qs = slice(s, s + per)
+        a2 = qn[qs][:, None] + dn[None, :] - 2.0 * (Qc[qs] @ Dc.T)
+        eps = unit * (qn[qs] + dmax)
+        key = -a2 if farthest else a2
+        if exclude_self:
+            key = np.where(qids[qs][:, None] == dids[None, :], np.inf, key)
+        if kk < n:
+            kth = np.partition(key, kk - 1, axis=1)[:, kk - 1]
+        else:
+            kth = np.where(np.isfinite(key), key, -np.inf).max(axis=1)
+        mask = (key <= (kth + 2.0 * eps)[:, None]) & np.isfinite(key)
+        rows, cols = np.nonzero(mask)
+        if rows.size == 0:
+            continue
+        dist = np.sqrt(np.maximum(_exact_d2(Q[qs][rows], D[cols]), 0.0))
+        order = np.lexsort((dids[cols], -dist if farthest else dist, rows))
+        rows, cols, dist = rows[order], cols[order], dist[order]
+        first = np.searchsorted(rows, rows, side="left")
+        keep = (np.arange(len(rows)) - first) < kk
+        out_q.extend(qids[qs][rows[keep]].tolist())
+        out_d.extend(dids[cols[keep]].tolist())
+        out_v.extend(dist[keep].tolist())
+    return out_q, out_d, out_v
+
+
 def _matrix(pdf: pd.DataFrame, cols: list[str]) -> np.ndarray:
     if not cols:
         return np.zeros((len(pdf), 0))
@@ -260,7 +332,7 @@ def local_impute_candidates(qids, Q, dids, D, k):
     out = ([], [], [], [], [])
     if len(qids) == 0 or len(dids) == 0:
         return out
-    per = max(1, PAIR_CHUNK // max(1, len(dids) * max(1, Q.shape[1])))
+    per = max(1, PAIR_CHUNK // max(1, len(dids)))
     dids = np.asarray(dids)
     dmiss = np.isnan(D)
     for s in range(0, len(qids), per):
