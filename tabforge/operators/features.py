@@ -320,6 +320,19 @@ def fit_features(train: DataFrame, key: str = "ID", exclude=(), top_n: int = TOP
                  remove_high_nan: bool = True, remove_single_val: bool = True,
                  corr_threshold: float = CORR_THRESHOLD, null_threshold: float = NULL_THRESHOLD,
                  primitives=("IS_NULL", "WEEKDAY"), max_depth: int = 2) -> FeaturePlan:
+    from pyspark import StorageLevel
+    # the fit reads train three times (category counts, column stats, Gram
+    # cells): keep it for the duration of the fit (recomputed if evicted)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit(train, key, exclude, top_n, remove_low_info, remove_high_corr, remove_high_nan,
+                    remove_single_val, corr_threshold, null_threshold, primitives, max_depth)
+    finally:
+        train.unpersist()
+
+
+def _fit(train, key, exclude, top_n, remove_low_info, remove_high_corr, remove_high_nan, remove_single_val,
+         corr_threshold, null_threshold, primitives, max_depth) -> FeaturePlan:
     defs = synthesize(train, key, exclude, primitives, max_depth)
     cats = [d["name"] for d in defs if d["type"] == "categorical"]
     tops = category_tops(train.select(*[_build(d).alias(d["name"]) for d in defs if d["type"] == "categorical"]),

@@ -753,3 +753,54 @@ def q_smote_orders(spark, sf_dir):
 def q_knn_partitioned(spark, sf_dir):
     """Same result through the range-pruned partitioned strategy."""
     return _knn_vectors(spark, sf_dir, "partitioned")
+
+
+# ---------------------------------------------------------------- P-13, P-14, S-05, S-09, S-10
+@register("p13_align_columns")
+def q_align(spark, sf_dir):
+    """Test rows projected into the train frame's column order."""
+    df = folded_orders(spark, sf_dir)
+    train = df.where(F.col("fold") == "train").select("label", "ID", "price_twin", "acctbal")
+    return clean.align_columns(df.where(F.col("fold") == "test"), train)
+
+
+@register("p14_normalize_booleans")
+def q_booleans(spark, sf_dir):
+    df = clean_orders(spark, sf_dir).select("ID", (F.col("o_totalprice") > 100000).alias("big"),
+                                            (F.col("mktsegment") == "BUILDING").alias("building"))
+    return clean.normalize_booleans(df, fill_null=False)
+
+
+@register("s05_bundle_roundtrip")
+def q_bundle(spark, sf_dir):
+    """Bundle (rows by fold + roles + fitted scaler) saved and loaded back."""
+    from tabforge.bundle import TableBundle
+    df, model = scale.standardize(folded_orders(spark, sf_dir).select("ID", "label", "fold", "o_totalprice",
+                                                                      "acctbal"), exclude=["ID", "label"])
+    path = scratch(spark, "bundle")
+    stage.save_bundle(TableBundle(df, "ID", "label", ["o_totalprice", "acctbal"], [], "fold"), path,
+                      {"scaler": model.to_json()})
+    b, fitted = stage.load_bundle(spark, path)
+    assert set(fitted["scaler"]["means"]) == {"o_totalprice", "acctbal"}
+    return b.df.select("ID", "label", "fold", r("o_totalprice").alias("o_totalprice"), r("acctbal").alias("acctbal"))
+
+
+@register("s09_write_metrics")
+def q_metrics(spark, sf_dir):
+    """Profile metrics written as JSON lines and read back."""
+    path = scratch(spark, "metrics")
+    stage.write_metrics(profile.profile(fx.fx_orders(spark, sf_dir)), path)
+    return spark.read.schema("metric string, value bigint").json(path)
+
+
+@register("s10_write_run_row")
+def q_run_row_sink(spark, sf_dir):
+    """Each run's wide row written as its own delta CSV, compacted back."""
+    root = scratch(spark, "runrows")
+    merged = runlog.merge_last_writer(runs_long(spark, sf_dir))
+    wide = runlog.run_rows(merged, ["metric"], {"metric"}).withColumnRenamed("run_id", "runId")
+    # one delta per run, as the run-log step writes them (runs are few: users)
+    wide.repartition("runId").write.partitionBy("runId").option("header", True).csv(f"{root}/p/runinfo")
+    files = history.list_deltas(spark, f"{root}/p/runinfo", "*/*.csv")
+    back = history.read_deltas(spark, files)
+    return back.select(F.col("metric").cast("double").alias("metric")).select(r("metric").alias("metric"))

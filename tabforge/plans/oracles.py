@@ -792,3 +792,21 @@ UNION ALL SELECT * FROM syn"""
 
 ORACLES["b03_smote_orders"] = _smote_orders()
 ORACLES["j02_knn_join_partitioned"] = ORACLES["j02_knn_join"]
+
+ORACLES["p13_align_columns"] = f"WITH {_folds_cte()} SELECT label, ID, price_twin, acctbal FROM fxf WHERE fold = 'test'"
+ORACLES["p14_normalize_booleans"] = (f"WITH {_clean_orders_cte()} SELECT ID, coalesce(o_totalprice > 100000, false) AS big, "
+                                     "coalesce(mktsegment = 'BUILDING', false) AS building FROM fxc")
+
+
+def _bundle() -> str:
+    c = ["o_totalprice", "acctbal"]
+    st = ", ".join(f"avg({x}) AS m_{x}, stddev_pop({x}) AS s_{x}" for x in c)
+    sc = ", ".join(f"round(({x} - m_{x}) / CASE WHEN s_{x} IS NULL OR s_{x} = 0 THEN 1 ELSE s_{x} END, {R}) AS {x}"
+                   for x in c)
+    return (f"WITH {_folds_cte()}, st AS (SELECT {st} FROM fxf WHERE fold = 'train') "
+            f"SELECT ID, label, fold, {sc} FROM fxf, st")
+
+
+ORACLES["s05_bundle_roundtrip"] = _bundle()
+ORACLES["s09_write_metrics"] = ORACLES["a01_profile"]
+ORACLES["s10_write_run_row"] = f"WITH {_LONG[1:]} SELECT round(num_value, {R}) AS metric FROM mg WHERE key = 'metric'"
