@@ -46,12 +46,16 @@ def downsample(df: DataFrame, label: str = "label", key: str = "ID", seed="downs
     """Random under-sampling: every class keeps as many rows as the smallest
     class, the ones with the smallest (u, key). With ``fold`` this runs per fold."""
     if fold is not None:
-        folds = [r[0] for r in df.select(fold).distinct().collect()]
-        out = None
-        for fv in sorted(folds):
-            part = downsample(df.where(F.col(fold) == fv), label, key, seed)
-            out = part if out is None else out.unionByName(part)
-        return out
+        # one pass for all folds: the group is (fold, label), the quota the
+        # smallest class of that fold
+        grp = F.concat_ws("|", F.col(fold).cast("string"), F.col(label).cast("string"))
+        counts = {(r[0], r[1]): r[2] for r in df.groupBy(fold, label).count().collect()}  # folds x classes
+        n_min: dict = {}
+        for (fv, _c), n in counts.items():
+            n_min[fv] = min(n_min.get(fv, n), n)
+        quota = {f"{fv}|{c}": n_min[fv] for (fv, c) in counts}
+        scored = df.withColumn("__tf_g", grp).withColumn("__tf_u", u(key, seed))
+        return keep_smallest(scored, "__tf_g", "__tf_u", key, quota).drop("__tf_g", "__tf_u")
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
     if not counts:
         return df
