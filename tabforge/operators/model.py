@@ -145,3 +145,44 @@ def calibrate(model: GbtModel, valid: DataFrame, test: DataFrame) -> Calibrated:
     after_df = iso.transform(pt.withColumnRenamed("p", "__p_raw"))
     after = brier_score(after_df, label, "prediction").first()[0]
     return Calibrated(model, iso if after < before else None, before, after)
+
+
+def permutation_importance(model: GbtModel, df: DataFrame, key: str = "ID", n_values: int = 1024,
+                           seed: str = "perm") -> DataFrame:
+    """Distributed permutation importance: (feature, importance).
+
+    For every row and feature f, f is replaced by a value drawn (by
+    ``u(key, f)``) from a sample of ``n_values`` values of that column, which
+    breaks its link to the label like a shuffle would. All p variants are
+    scored in one ``transform`` (rows x (p + 1)), and the importance is the
+    drop in accuracy (classification) or in -RMSE (regression) against the
+    unchanged rows. Only the per-feature samples (p x n_values numbers) and
+    p + 1 metric rows reach the driver."""
+    from tabforge.functions.hashing import u
+    from tabforge.operators.indexing import keep_smallest
+    spark = df.sparkSession
+    feats = list(model.features)
+    base = df.select(F.col(key), F.col(model.label), *[F.col(f"`{c}`").cast("double").alias(c) for c in feats])
+    # bounded marginal sample: the n_values rows with the smallest u(key, seed)
+    smp = keep_smallest(base.withColumn("__g", F.lit(1)).withColumn("__u", u(key, seed)), "__g", "__u", key,
+                        {1: n_values}).select(*feats).collect()
+    pools = {c: [r[c] for r in smp] for c in feats}
+    n_pool = max(1, len(smp))
+    variants = [F.struct(F.lit("__none__").alias("__variant"), *[F.col(c) for c in feats])]
+    for c in feats:
+        pick = F.floor(u(key, f"{seed}:{c}") * F.lit(n_pool)).cast("int") + 1
+        val = F.element_at(F.array(*[F.lit(v).cast("double") for v in pools[c]]), pick)
+        variants.append(F.struct(F.lit(c).alias("__variant"),
+                                 *[(val if o == c else F.col(o)).alias(o) for o in feats]))
+    exploded = base.select(F.col(key), F.col(model.label), F.explode(F.array(*variants)).alias("__v")) \
+        .select(key, model.label, "__v.*")
+    pred = model.predict(exploded)
+    y = F.col(model.label).cast("double")
+    if model.task == "Regression":
+        score = -F.sqrt(F.avg((y - F.col("yhat")) ** 2))
+    else:
+        score = F.avg((y == F.col("yhat").cast("double")).cast("double"))
+    scores = {r["__variant"]: r["s"] for r in pred.groupBy("__variant").agg(score.alias("s")).collect()}
+    ref = scores.get("__none__")
+    rows = [(c, float(ref - scores[c]) if ref is not None and scores.get(c) is not None else None) for c in feats]
+    return spark.createDataFrame(rows, "feature string, importance double")

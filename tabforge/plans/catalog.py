@@ -804,3 +804,11 @@ def q_run_row_sink(spark, sf_dir):
     files = history.list_deltas(spark, f"{root}/p/runinfo", "*/*.csv")
     back = history.read_deltas(spark, files)
     return back.select(F.col("metric").cast("double").alias("metric")).select(r("metric").alias("metric"))
+
+
+@register("m08_permutation_importance")
+def q_perm(spark, sf_dir):
+    """Permutation importance of the fx_toxic model on the test fold."""
+    model, parts = _toxic_model(spark, sf_dir)
+    imp_df = mdl.permutation_importance(model, parts["test"], "ID")
+    return imp_df.select("feature", r("importance").alias("importance"))
