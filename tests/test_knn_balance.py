@@ -66,3 +66,21 @@ def test_applicable_balancers_rule():
     assert bal.applicable_balancers(3, 1) == ["ros", "smote"]
     assert "nearmiss3" in bal.applicable_balancers(3, 0)
     assert "onesidedselection" in bal.applicable_balancers(3, 0, enable_slow=True)
+
+
+def test_partitioned_strategy_matches_blocked_within_groups(spark):
+    pdf, df = _points(spark, n=600, seed=5)
+    a = knn.knn_join(df, df, ["a", "b"], k=3, exclude_self=True, group="label", strategy="partitioned",
+                     block_rows=60).toPandas()
+    b = knn.knn_join(df, df, ["a", "b"], k=3, exclude_self=True, group="label", strategy="blocked",
+                     block_rows=60).toPandas()
+    key = ["query_id", "rank"]
+    assert a.sort_values(key)[["query_id", "donor_id", "rank"]].values.tolist() == \
+        b.sort_values(key)[["query_id", "donor_id", "rank"]].values.tolist()
+
+
+def test_kmeans_smote_balances(spark):
+    pdf, df = _points(spark, n=400, seed=11)
+    out = bal.kmeans_smote(df, features=["a", "b"], n_clusters=4, block_rows=100).toPandas()
+    counts = out.groupby("label").size()
+    assert counts[0] == counts[1]

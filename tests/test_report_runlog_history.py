@@ -41,3 +41,23 @@ def test_compaction_groups_headers_and_is_idempotent(spark, tmp_path):
     assert [(r["runId"], r["a"], r["b"], r["c"]) for r in out] == [("r1", 1, "x", None), ("r2", None, "y", 2.5)]
     again = history.compact_history(spark, folder)  # nothing new: same rows
     assert again.count() == 2
+
+
+def test_stream_compaction_rerun_adds_nothing(spark, tmp_path):
+    import os
+    from tabforge.streaming.compact_stream import compact_history_stream
+    folder = str(tmp_path / "deltas")
+    os.makedirs(folder)
+    for i in range(3):
+        with open(f"{folder}/r{i}.csv", "w") as f:
+            f.write("runId,m\n" if i % 2 else "m,runId\n")
+            f.write(f"r{i},{i}\n" if i % 2 else f"{i},r{i}\n")
+    ck = str(tmp_path / "ck")
+    hist = str(tmp_path / "hist")
+    first = compact_history_stream(spark, folder, ck, hist)
+    assert sorted((r["runId"], r["m"]) for r in first.collect()) == [("r0", "0"), ("r1", "1"), ("r2", "2")]
+    again = compact_history_stream(spark, folder, ck, hist)  # same checkpoint: nothing new
+    assert again.count() == 3
+    with open(f"{folder}/r9.csv", "w") as f:
+        f.write("runId,m\nr9,9\n")
+    assert compact_history_stream(spark, folder, ck, hist).count() == 4
