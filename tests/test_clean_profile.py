@@ -44,3 +44,16 @@ def test_standardize_population_std_and_zero_std(spark):
     assert model.means["x"] == 2.0 and math.isclose(model.stds["x"], 1.0)
     out = {r["ID"]: (r["x"], r["k"]) for r in model.transform(df).collect()}
     assert out[1] == (-1.0, 0.0) and out[3] == (None, 0.0)
+
+
+def test_schema_report_dtype_histogram_selectors(spark):
+    df = spark.createDataFrame([(1, 2.0, "a", True)], "ID long, x double, c string, b boolean")
+    rep = {r["column"]: r["dtype"] for r in profile.schema_report(df).collect()}
+    assert rep == {"ID": "bigint", "x": "double", "c": "string", "b": "boolean"}
+    hist = {r["metric"]: r["value"] for r in profile.dtype_histogram(df, "predfs").collect()}
+    assert hist["dtypes.predfs.bigint"] == 1 and hist["dtypes.predfs.string"] == 1
+    assert clean.numeric_columns(df, ["ID"]) == ["x"]
+    assert clean.categorical_columns(df) == ["c", "b"]
+    assert clean.align_columns(df, ["c", "ID"]).columns == ["c", "ID"]
+    assert clean.select_columns(df, "ID,%20x").columns == ["ID", "x"]
+    assert clean.select_complement(df, "c").columns == ["ID", "x", "b"]
