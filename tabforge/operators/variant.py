@@ -22,10 +22,19 @@ def model_features(df: DataFrame, key: str, label: str, fold: str = "fold") -> l
             and isinstance(f.dataType, NUMERIC_TYPES + (T.BooleanType,))]
 
 
+def boolean_features(df: DataFrame, features: list[str]) -> list[str]:
+    """Flags count as categorical for the balancer choice (B-14)."""
+    return [c for c in features if isinstance(df.schema[c].dataType, T.BooleanType)]
+
+
 def variant(df: DataFrame, fold: str, imputer: str, balancer: str, key: str = "ID", label: str = "label",
             features: list[str] | None = None, fold_col: str = "fold", fit_on: str = "train",
             refit_per_fold: bool = False, balance_all_folds: bool = False, imputer_model=None, **balance_kw):
+    """Rows of ``fold`` with every feature as double, imputed, and balanced
+    when ``fold`` is the fit fold. Boolean features (0/1 after the cast) are
+    the nominal columns of SMOTENC / SMOTEN."""
     features = features or model_features(df, key, label, fold_col)
+    flags = boolean_features(df, features)
     rows = df.where(F.col(fold_col) == fold).select(key, label, *[F.col(f"`{c}`").cast("double").alias(c)
                                                                  for c in features])
     if imputer_model is None:
@@ -34,6 +43,10 @@ def variant(df: DataFrame, fold: str, imputer: str, balancer: str, key: str = "I
         imputer_model = fit_imputer(imputer, fit_rows, key)
     out = imputer_model.transform(rows)
     if balancer != "none" and (fold == fit_on or balance_all_folds):
-        out = balance(balancer, out, key, label, features, **balance_kw)
+        if balancer == "smote" and flags:
+            cont = [c for c in features if c not in flags]
+            out = balance(balancer, out, key, label, cont, cat_features=flags, **balance_kw)
+        else:
+            out = balance(balancer, out, key, label, features, **balance_kw)
         out = out.drop("is_synthetic", "draw_id") if "is_synthetic" in out.columns else out
     return out

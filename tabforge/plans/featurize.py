@@ -91,16 +91,21 @@ def featurize(spark: SparkSession, cfg: FeaturizeConfig, df: DataFrame | None =
         for name in cfg.imputers:
             fitted[name] = impute.fit_imputer(name, train.select(cfg.key, *[F.col(f"`{c}`").cast("double").alias(c)
                                                                             for c in feats]), cfg.key)
-    n_cat = 0  # after encoding every feature is numeric or boolean
-    names = balance.applicable_balancers(len(feats), n_cat, cfg.enable_slow)
+    from pyspark.sql import types as T
+    flags = [c for c in feats if isinstance(data.schema[c].dataType, T.BooleanType)]
+    names = balance.applicable_balancers(len(feats), len(flags), cfg.enable_slow)
     if cfg.materialize_balancers and cfg.task != "Regression":
         for imp_name, model in fitted.items():
             base = model.transform(train.select(cfg.key, cfg.label, *[F.col(f"`{c}`").cast("double").alias(c)
                                                                      for c in feats]))
+            cont = [c for c in feats if c not in flags]
             for b in names:
                 with timer.step(f"balancer.{imp_name}_{b}"):
                     try:
-                        balance.balance(b, base, cfg.key, cfg.label, feats).count()
+                        if b == "smote" and flags:  # SMOTENC / SMOTEN over the flags
+                            balance.balance(b, base, cfg.key, cfg.label, cont, cat_features=flags).count()
+                        else:
+                            balance.balance(b, base, cfg.key, cfg.label, feats).count()
                     except Exception as e:  # recorded, the others go on
                         timer.rows.append((run_id, f"balancer.{imp_name}_{b}.error", None, str(e)[:200], None,
                                            len(timer.rows)))
