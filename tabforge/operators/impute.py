@@ -56,6 +56,7 @@ class KnnImputerModel:
     k: int = 5
     fallback: MeanImputerModel | None = None
     block_rows: int = 20_000
+    strategy: str = "auto"
 
     def imputed_cells(self, df: DataFrame) -> DataFrame:
         """(key, feature, value) for every NULL cell of ``df``."""
@@ -64,7 +65,8 @@ class KnnImputerModel:
             cond = F.col(f"`{c}`").isNull()
             any_null = cond if any_null is None else (any_null | cond)
         queries = df.where(any_null)
-        cands = impute_candidates(queries, self.donors, self.features, self.k, self.key, self.block_rows)
+        cands = impute_candidates(queries, self.donors, self.features, self.k, self.key, self.block_rows,
+                                  self.strategy)
         found = cands.groupBy("query_id", "col").agg(F.avg("value").alias("value"))
         names = F.element_at(F.array(*[F.lit(c) for c in self.features]), F.col("col") + 1)
         found = found.select(F.col("query_id"), names.alias("feature"), "value")
@@ -90,9 +92,9 @@ class KnnImputerModel:
 
 
 def fit_knn_imputer(train: DataFrame, key: str = "ID", columns=None, exclude=(), k: int = 5,
-                    block_rows: int = 20_000) -> KnnImputerModel:
+                    block_rows: int = 20_000, strategy: str = "auto") -> KnnImputerModel:
     cols = _feature_cols(train, columns, list(exclude) + [key])
-    return KnnImputerModel(train, cols, key, k, fit_mean_imputer(train, cols), block_rows)
+    return KnnImputerModel(train, cols, key, k, fit_mean_imputer(train, cols), block_rows, strategy)
 
 
 IMPUTERS = ("mean", "knn")

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 OUT_SCHEMA = "query_id long, donor_id long, distance double"
 PAIR_CHUNK = 2_000_000  # float64 cells (queries x donors) per distance chunk inside a task
+PRUNE_MAX_DIMS = 8      # auto uses one-coordinate pruning up to this many continuous features
 
 
 def pair_distances(Q: np.ndarray, D: np.ndarray, metric: str = "euclidean",
@@ -232,7 +233,7 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
         row_bytes = 8 * (len(features) + 2) + 16 * len(cat_features)
         if n_d * row_bytes <= broadcast_budget:
             strategy = "broadcast"
-        elif metric in ("euclidean", "mixed") and not farthest and features:
+        elif metric in ("euclidean", "mixed") and not farthest and 0 < len(features) <= PRUNE_MAX_DIMS:
             strategy = "partitioned"
         else:
             strategy = "blocked"
@@ -359,11 +360,21 @@ def local_impute_candidates(qids, Q, dids, D, k):
 
 
 def impute_candidates(queries: DataFrame, donors: DataFrame, features: list[str], k: int = 5,
-                      key: str = "ID", block_rows: int = 20_000) -> DataFrame:
+                      key: str = "ID", block_rows: int = 20_000, strategy: str = "auto") -> DataFrame:
     """(query_id, col, donor_id, distance, value) for the k nearest donors per
-    missing cell; blocked like ``knn_join`` and merged per (query, column)."""
+    missing cell, merged per (query, column). ``partitioned`` (the ``auto``
+    choice when the donors span several cells) prunes by one coordinate;
+    ``blocked`` compares every query block with every donor block."""
     q = _prepare(queries, key, features, [], None)
     d = _prepare(donors, key, features, [], None)
+    # one coordinate prunes well only in a few dimensions
+    if strategy == "partitioned" or (strategy == "auto" and len(features) <= PRUNE_MAX_DIMS):
+        cands = _partitioned_impute(q, d, features, k, block_rows)
+        if cands is not None:
+            w = Window.partitionBy("query_id", "col").orderBy("distance", "donor_id")
+            return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        if strategy == "partitioned":
+            raise ValueError("no coordinate to prune on (too many missing values or one cell)")
     nq, nd = q.count(), d.count()
     bq, bd = max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nd / block_rows))
     qb = q.withColumn("__qb", F.pmod(F.xxhash64("__id"), F.lit(bq)).cast("int")) \
@@ -380,7 +391,7 @@ def impute_candidates(queries: DataFrame, donors: DataFrame, features: list[str]
                              "value": pd.Series(v, dtype="float64")})
 
     cands = qb.groupBy("__qb", "__db").cogroup(db.groupBy("__qb", "__db")).applyInPandas(pair, IMPUTE_SCHEMA)
-    w = Window.partitionBy("query_id", "col").orderBy("distance", "donor_id")
+    w = Window.partitionBy("query_id", "col").orderBy("distance", "donor_id")  # blocks x k rows
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -476,3 +487,89 @@ def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, met
         .where(F.size("__cells") > 0).withColumn("__cell", F.explode("__cells")).drop("__cells", "__r")
     second = run_pass(second_q)
     return first.unionByName(second)
+
+
+def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int, block_rows: int):
+    """Range-pruned candidates for kNN imputation (nan-euclidean).
+
+    For donors whose pivot coordinate is present, |dx_pivot| <= distance
+    (the weight p / present is at least 1), so the cell pruning of
+    ``_partitioned_topk`` holds per (query, missing column): pass 1 searches
+    the own cell, pass 2 the cells within the largest k-th distance of the
+    query's missing columns. Donors missing the pivot carry no bound: they sit
+    in hash-blocked cells (-1, -2, ...) that every query visits. Queries
+    missing the pivot visit every cell."""
+    spark = q.sparkSession
+    xcols = [f"__x{i}" for i in range(len(features))]
+    n_d = d.count()
+    stats = d.agg(*[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(xcols)],
+                  *[F.count(c).alias(f"n{i}") for i, c in enumerate(xcols)]).first()
+    ok = [i for i in range(len(xcols)) if n_d and stats[f"n{i}"] >= 0.9 * n_d and (stats[f"v{i}"] or 0) > 0]
+    if not ok:
+        return None
+    pi = max(ok, key=lambda i: stats[f"v{i}"])
+    pivot = xcols[pi]
+    cells = max(1, math.ceil(stats[f"n{pi}"] / block_rows))
+    if cells == 1:
+        return None
+    fr = [i / cells for i in range(1, cells)]
+    b = d.where(F.col(pivot).isNotNull()).agg(F.percentile_approx(pivot, fr, 10_000).alias("b")).first()["b"]
+    bounds = np.unique(np.asarray(b, dtype="float64"))
+    n_cells = len(bounds) + 1
+    n_miss_blocks = max(1, math.ceil((n_d - stats[f"n{pi}"]) / block_rows))
+    bb = spark.sparkContext.broadcast(bounds)
+
+    cell = F.when(F.col(pivot).isNull(), -1 - F.pmod(F.xxhash64("__id"), F.lit(n_miss_blocks)))
+    bucket = F.lit(0)
+    for i, bv in enumerate(bounds):  # cells - 1 literals: bounded by rows / block_rows
+        bucket = bucket + F.when(F.col(pivot) >= F.lit(float(bv)), 1).otherwise(0)
+    dc = d.withColumn("__cell", cell.otherwise(bucket).cast("int"))
+    qc = q.withColumn("__cell", F.when(F.col(pivot).isNull(), F.lit(-1)).otherwise(bucket).cast("int"))
+
+    def kernel(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        a, c, bb_, dist, v = local_impute_candidates(left["__id"].to_numpy(), _matrix(left, xcols),
+                                                     right["__id"].to_numpy(), _matrix(right, xcols), k)
+        return pd.DataFrame({"query_id": pd.Series(a, dtype="int64"), "col": pd.Series(c, dtype="int32"),
+                             "donor_id": pd.Series(bb_, dtype="int64"), "distance": pd.Series(dist, dtype="float64"),
+                             "value": pd.Series(v, dtype="float64")})
+
+    def run(queries: DataFrame, donors: DataFrame) -> DataFrame:
+        qcount = {r[0]: r[1] for r in queries.groupBy("__cell").count().collect()}  # <= cells
+        subs = {c: max(1, math.ceil(n / block_rows)) for c, n in qcount.items() if n > block_rows}
+        nsub = F.coalesce(F.element_at(F.create_map(*[x for c, s in subs.items() for x in (F.lit(c), F.lit(s))]),
+                                       F.col("__cell")), F.lit(1)) if subs else F.lit(1)
+        qq = queries.withColumn("__sub", F.pmod(F.xxhash64("__id"), nsub).cast("int"))
+        dd = donors.withColumn("__sub", F.explode(F.sequence(F.lit(0), nsub - 1)))
+        return qq.groupBy("__cell", "__sub").cogroup(dd.groupBy("__cell", "__sub")).applyInPandas(kernel, IMPUTE_SCHEMA)
+
+    # pass 1: pivot-present queries in their own cell
+    first = run(qc.where(F.col("__cell") >= 0), dc.where(F.col("__cell") >= 0)).persist()
+    per_col = first.groupBy("query_id", "col").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("r"))
+    rad = per_col.groupBy("query_id").agg(
+        F.max(F.when(F.col("n") >= k, F.col("r")).otherwise(F.lit(float("inf")))).alias("__r"),
+        F.count(F.lit(1)).alias("__ncols"))
+    # a missing column without any candidate in pass 1 has no bound either
+    miss_cols = sum(F.col(c).isNull().cast("int") for c in xcols)
+    qr = qc.join(rad.select(F.col("query_id").alias("__id"), "__r", "__ncols"), "__id", "left") \
+        .withColumn("__r", F.when(F.coalesce(F.col("__ncols"), F.lit(0)) < miss_cols, F.lit(float("inf")))
+                    .otherwise(F.col("__r")))
+
+    @F.pandas_udf("array<int>")
+    def targets(x: pd.Series, r: pd.Series, own: pd.Series) -> pd.Series:
+        bnd = bb.value
+        miss = [-1 - i for i in range(n_miss_blocks)]
+        out = []
+        for xv, rv, ov in zip(x, r, own):
+            if ov < 0 or not np.isfinite(rv):
+                cand = list(range(n_cells))
+            else:
+                lo = int(np.searchsorted(bnd, xv - rv, side="right"))
+                hi = int(np.searchsorted(bnd, xv + rv, side="right"))
+                cand = [c for c in range(lo, hi + 1) if c != ov]
+            out.append(cand + miss)
+        return pd.Series(out)
+
+    second_q = qr.withColumn("__cells", targets(F.col(pivot), F.col("__r"), F.col("__cell"))) \
+        .withColumn("__cell", F.explode("__cells")).drop("__cells", "__r", "__ncols")
+    second = run(second_q, dc)
+    return first.unionByName(second)

@@ -812,3 +812,12 @@ def q_perm(spark, sf_dir):
     model, parts = _toxic_model(spark, sf_dir)
     imp_df = mdl.permutation_importance(model, parts["test"], "ID")
     return imp_df.select("feature", r("importance").alias("importance"))
+
+
+@register("i02_knn_impute_partitioned")
+def q_knn_impute_partitioned(spark, sf_dir):
+    """I-02 through the range-pruned strategy (auto uses it in few dimensions)."""
+    v = fx.fx_vectors(spark, sf_dir, missing=True)
+    model = imp.fit_knn_imputer(v, "ID", columns=fx.vector_columns(), k=5, block_rows=200,
+                                strategy="partitioned")
+    return model.imputed_cells(v).select("ID", "feature", r("value").alias("value"))

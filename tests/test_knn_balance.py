@@ -84,3 +84,19 @@ def test_kmeans_smote_balances(spark):
     out = bal.kmeans_smote(df, features=["a", "b"], n_clusters=4, block_rows=100).toPandas()
     counts = out.groupby("label").size()
     assert counts[0] == counts[1]
+
+
+def test_knn_impute_partitioned_matches_blocked_with_missing_pivot(spark):
+    from tabforge.operators import impute
+    rng = np.random.default_rng(9)
+    n = 500
+    pdf = pd.DataFrame({"ID": np.arange(n), "a": rng.normal(size=n) * 10, "b": rng.normal(size=n),
+                        "c": rng.normal(size=n)})
+    for col, step in (("a", 13), ("b", 7), ("c", 5)):
+        pdf.loc[pdf.index[::step], col] = np.nan
+    df = spark.createDataFrame(pdf)
+    res = {}
+    for strategy in ("partitioned", "blocked"):
+        m = impute.fit_knn_imputer(df, "ID", columns=["a", "b", "c"], k=3, block_rows=60, strategy=strategy)
+        res[strategy] = sorted((r["ID"], r["feature"], round(r["value"], 9)) for r in m.imputed_cells(df).collect())
+    assert res["partitioned"] == res["blocked"] and len(res["blocked"]) > 100
