@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabforge.session import cut_lineage
+
 OUT_SCHEMA = "query_id long, donor_id long, distance double"
 PAIR_CHUNK = 2_000_000  # float64 cells (queries x donors) per distance chunk inside a task
 PRUNE_MAX_DIMS = 8      # auto uses one-coordinate pruning up to this many continuous features
@@ -465,7 +467,7 @@ def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, met
 
         return qq.groupBy(*keys).cogroup(dd.groupBy(*keys)).applyInPandas(pair, OUT_SCHEMA)
 
-    first = run_pass(qc).persist()
+    first = cut_lineage(run_pass(qc))  # read twice: radius and final union
     # radius: k-th distance in the own cell (infinite when the cell has fewer than k donors)
     kth = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("r"))
     radius = F.when(F.col("n") >= k, F.col("r")).otherwise(F.lit(float("inf")))
@@ -543,7 +545,7 @@ def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int,
         return qq.groupBy("__cell", "__sub").cogroup(dd.groupBy("__cell", "__sub")).applyInPandas(kernel, IMPUTE_SCHEMA)
 
     # pass 1: pivot-present queries in their own cell
-    first = run(qc.where(F.col("__cell") >= 0), dc.where(F.col("__cell") >= 0)).persist()
+    first = cut_lineage(run(qc.where(F.col("__cell") >= 0), dc.where(F.col("__cell") >= 0)))  # read twice
     per_col = first.groupBy("query_id", "col").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("r"))
     rad = per_col.groupBy("query_id").agg(
         F.max(F.when(F.col("n") >= k, F.col("r")).otherwise(F.lit(float("inf")))).alias("__r"),

@@ -66,10 +66,12 @@ def featurize(spark: SparkSession, cfg: FeaturizeConfig, df: DataFrame | None =
     data = bundle.df.select(cfg.key, cfg.label, *[F.col(f"`{c}`") for c in bundle.features])
     with timer.step("split"):
         data = split.assign_folds(data, cfg.key, cfg.seed, cfg.test_size, cfg.valid_size).persist()
+        stages = [data]  # persisted stage outputs, released once the gold copy is written
         metrics_of(profile.class_counts(data, "fold", cfg.label))
     if cfg.downsample:
         with timer.step("downsample"):
             data = split.downsample(data, cfg.label, cfg.key, fold="fold").persist()
+            stages.append(data)
     with timer.step("dfs"):
         train = data.where(F.col("fold") == "train")
         metrics_of(profile.dtype_histogram(train.drop("fold", cfg.label, cfg.key), "predfs"))
@@ -78,6 +80,7 @@ def featurize(spark: SparkSession, cfg: FeaturizeConfig, df: DataFrame | None =
                                      remove_high_nan=cfg.remove_high_nan, remove_single_val=cfg.remove_single_val)
         plan.defs = [d for d in plan.defs if d["type"] != "datetime"]  # models take numbers and flags
         data = plan.transform(data, keep=[cfg.label, "fold"]).persist()
+        stages.append(data)
         metrics_of(profile.dtype_histogram(data.drop("fold", cfg.label, cfg.key), "postdfs"))
     train = data.where(F.col("fold") == "train")
     with timer.step("stats"):
@@ -112,6 +115,10 @@ def featurize(spark: SparkSession, cfg: FeaturizeConfig, df: DataFrame | None =
     with timer.step("register"):
         gold = catalog.publish_gold(data, cfg.root, cfg.project, cfg.downsample, cfg.drop_bools,
                                     ",".join(sorted(fitted)), ",".join(sorted(names)))
+    # continue from the written gold copy; the in-memory stages are released
+    data = spark.read.parquet(gold["path"])
+    for st in stages:
+        st.unpersist()
     metrics = metric_frames[0]
     for m in metric_frames[1:]:
         metrics = metrics.unionByName(m)
