@@ -475,8 +475,7 @@ def q_predict_report(spark, sf_dir):
 def q_sweep(spark, sf_dir):
     df = toxic_folds(spark, sf_dir)
     trials = swp.trial_table(spark, 3, ["mean", "knn"], ["none", "ros", "smote"])
-    table, _models = swp.run_sweep(df, trials, features=TOXIC_NUM, max_iter=10, parallelism=3,
-                                   balance_kw={"block_rows": 2000} if False else None)
+    table, _models = swp.run_sweep(df, trials, features=TOXIC_NUM, max_iter=10, parallelism=3)
     return table.select("trial_id", "imputer", "balancer", r("score").alias("score"))
 
 

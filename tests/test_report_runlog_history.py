@@ -61,3 +61,18 @@ def test_stream_compaction_rerun_adds_nothing(spark, tmp_path):
     with open(f"{folder}/r9.csv", "w") as f:
         f.write("runId,m\nr9,9\n")
     assert compact_history_stream(spark, folder, ck, hist).count() == 4
+
+
+def test_many_deltas_grouped_by_header_on_executors(spark, tmp_path):
+    import os
+    folder = str(tmp_path / "many")
+    os.makedirs(folder)
+    for i in range(30):
+        with open(f"{folder}/r{i}.csv", "w") as f:
+            f.write("runId,a\n" if i % 2 else "a,runId\n")
+            f.write(f"r{i},{i}\n" if i % 2 else f"{i},r{i}\n")
+    files = history.list_deltas(spark, folder)
+    heads = history.file_headers(spark, files)
+    assert len(heads) == 30 and set(heads.values()) == {"runId,a", "a,runId"}
+    rows = history.read_deltas(spark, files).collect()
+    assert len(rows) == 30 and all(r["runId"] == f"r{r['a']}" for r in rows)
