@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.hashing import u
 from tabforge.operators.model import TrialParams, fit_gbt, rank_features
 from tabforge.operators.report import classification_report, neg_rmse
+from tabforge.operators.impute import fit_imputer
 from tabforge.operators.variant import model_features, variant
 
 # The search space of the reference's sweep.
@@ -51,15 +52,25 @@ def run_sweep(df: DataFrame, trials: DataFrame, key: str = "ID", label: str = "l
               max_iter: int = 20, parallelism: int = 5, features: list[str] | None = None,
               balance_kw: dict | None = None) -> tuple[DataFrame, dict]:
     """Run every trial; returns (trial results table, {trial_id: (model, metrics)})."""
+    from pyspark import StorageLevel
     spark = df.sparkSession
     features = features or model_features(df, key, label)
     rows = trials.orderBy("trial_id").collect()  # the trial table: n_trials rows
+    # every variant of every trial reads the same projection: compute it once
+    base = df.select(key, label, "fold", *[F.col(f"`{c}`") for c in features]).persist(
+        StorageLevel.MEMORY_AND_DISK)
     cache: dict = {}
+    imputers: dict = {}
 
     def folds(imputer, balancer):
         if (imputer, balancer) not in cache:
-            parts = {f: variant(df, f, imputer, balancer, key, label, features, **(balance_kw or {})).persist()
-                     for f in ("train", "valid", "test")}
+            if imputer not in imputers:
+                fit_rows = base.where(F.col("fold") == "train").select(
+                    key, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+                imputers[imputer] = fit_imputer(imputer, fit_rows, key)
+            parts = {f: variant(base, f, imputer, balancer, key, label, features,
+                                imputer_model=imputers[imputer], **(balance_kw or {})).persist(
+                StorageLevel.MEMORY_AND_DISK) for f in ("train", "valid", "test")}
             cache[(imputer, balancer)] = parts
         return cache[(imputer, balancer)]
 
@@ -91,6 +102,7 @@ def run_sweep(df: DataFrame, trials: DataFrame, key: str = "ID", label: str = "l
     for parts in cache.values():
         for p in parts.values():
             p.unpersist()
+    base.unpersist()
     return table, {tid: (model, m) for tid, model, m in results}
 
 

@@ -50,3 +50,21 @@ def variant(df: DataFrame, fold: str, imputer: str, balancer: str, key: str = "I
             out = balance(balancer, out, key, label, features, **balance_kw)
         out = out.drop("is_synthetic", "draw_id") if "is_synthetic" in out.columns else out
     return out
+
+
+def fold_variants(df: DataFrame, imputer: str, balancer: str, key: str = "ID", label: str = "label",
+                  features: list[str] | None = None, fold_col: str = "fold", fit_on: str = "train",
+                  folds=("train", "valid", "test"), **balance_kw) -> tuple[dict, DataFrame]:
+    """All folds of one (imputer, balancer) variant from a single persisted
+    projection of ``df`` and a single imputer fit. Returns (folds, base);
+    ``base.unpersist()`` when done."""
+    from pyspark import StorageLevel
+    features = features or model_features(df, key, label, fold_col)
+    base = df.select(key, label, fold_col, *[F.col(f"`{c}`") for c in features]).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    fit_rows = base.where(F.col(fold_col) == fit_on).select(
+        key, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+    model = fit_imputer(imputer, fit_rows, key)
+    out = {f: variant(base, f, imputer, balancer, key, label, features, fold_col, fit_on,
+                      imputer_model=model, **balance_kw) for f in folds}
+    return out, base

@@ -434,7 +434,7 @@ def q_classify(spark, sf_dir):
 # ---------------------------------------------------------------- M-*
 from tabforge.operators import model as mdl  # noqa: E402
 from tabforge.operators import sweep as swp  # noqa: E402
-from tabforge.operators.variant import variant  # noqa: E402
+from tabforge.operators.variant import fold_variants  # noqa: E402
 
 
 def toxic_folds(spark, sf_dir):
@@ -446,7 +446,7 @@ def _toxic_model(spark, sf_dir, task="Classification"):
     if task == "Regression":
         df = df.drop("label").withColumnRenamed("n_chars", "label")
     feats = [c for c in TOXIC_NUM if c in df.columns]
-    parts = {f: variant(df, f, "mean", "none", features=feats) for f in ("train", "valid", "test")}
+    parts, _base = fold_variants(df, "mean", "none", features=feats)
     model = mdl.fit_gbt(parts["train"], feats, "label", mdl.TrialParams(max_depth=5, num_leaves=31, max_iter=20),
                         task, valid=parts["valid"])
     return model, parts

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabforge.config import TrainConfig
 from tabforge.operators import model as mdl
 from tabforge.operators import sweep
-from tabforge.operators.variant import model_features, variant
+from tabforge.operators.variant import fold_variants, model_features
 from tabforge.sources import catalog
 from tabforge.sources.stage import save_model
 
@@ -37,8 +37,8 @@ def train(spark: SparkSession, cfg: TrainConfig, data: DataFrame | None = None)
     table = table.persist()
     best = sweep.best_trial(table).first().asDict()
     model, _metrics = models[best["trial_id"]]
-    parts = {f: variant(data, f, best["imputer"], best["balancer"], cfg.key, cfg.label, feats)
-             for f in ("valid", "test")}
+    parts, _base = fold_variants(data, best["imputer"], best["balancer"], cfg.key, cfg.label, feats,
+                                 folds=("valid", "test"))
     cal = mdl.calibrate(model, parts["valid"], parts["test"])
     ranking = mdl.rank_features(model, spark, 20)
     path = f"{cfg.root}/{cfg.project}/models/trial={best['trial_id']}"
