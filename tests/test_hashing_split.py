@@ -41,3 +41,10 @@ def test_downsample_balances_every_class(spark):
     out = split.downsample(df, "label", "ID")
     counts = {r["label"]: r["count"] for r in out.groupBy("label").count().collect()}
     assert counts == {0: 300, 1: 300, 2: 300}
+
+
+def test_exact_folds_do_not_depend_on_partitioning(spark):
+    df = spark.range(777).select(F.col("id").alias("ID"))
+    a = {r["ID"]: r["fold"] for r in split.assign_folds(df, "ID", 5, exact=True).collect()}
+    b = {r["ID"]: r["fold"] for r in split.assign_folds(df.repartition(5), "ID", 5, exact=True).collect()}
+    assert a == b

@@ -100,3 +100,17 @@ def test_knn_impute_partitioned_matches_blocked_with_missing_pivot(spark):
         m = impute.fit_knn_imputer(df, "ID", columns=["a", "b", "c"], k=3, block_rows=60, strategy=strategy)
         res[strategy] = sorted((r["ID"], r["feature"], round(r["value"], 9)) for r in m.imputed_cells(df).collect())
     assert res["partitioned"] == res["blocked"] and len(res["blocked"]) > 100
+
+
+def test_balancers_do_not_depend_on_partitioning(spark):
+    pdf, df = _points(spark, n=250, seed=21)
+    other = df.repartition(7, "a")
+
+    def rows(out):
+        return sorted(((r["ID"] if r["ID"] is not None else -1), r["label"], round(r["a"], 9), round(r["b"], 9),
+                       r["draw_id"] or "") for r in out.collect())
+    assert rows(bal.smote(df, features=["a", "b"], block_rows=40)) == \
+        rows(bal.smote(other, features=["a", "b"], block_rows=40, strategy="blocked"))
+    assert rows(bal.random_oversample(df)) == rows(bal.random_oversample(other))
+    assert sorted(r["ID"] for r in bal.near_miss(df, features=["a", "b"], version=1).collect()) == \
+        sorted(r["ID"] for r in bal.near_miss(other, features=["a", "b"], version=1).collect())
