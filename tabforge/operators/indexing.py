@@ -120,6 +120,8 @@ def keep_smallest(df: DataFrame, group: str, score: str, key: str, quota: dict,
                     cut = (b, cnt)
                     break
                 cum += cnt
+            if cut is None:  # the counts cannot fall short for non-NULL scores
+                raise ValueError(f"keep_smallest: group {gv!r} has fewer rows than counted; is {score} NULL?")
             b_star, cnt = cut
             width = (v["hi"] - v["lo"]) / bins
             keep_parts.append(v["undecided"] & (bucket < b_star))

@@ -96,8 +96,10 @@ def local_topk(qids, Q, dids, D, k, metric="euclidean", exclude_self=False,
         dcat = dcat[order]
     qids = np.asarray(qids)
     n = len(dids)
-    if metric == "euclidean" and Q.shape[1] > 0:
-        return _euclid_topk(qids, Q, dids, D, k, exclude_self, farthest)
+    if metric in ("euclidean", "mixed") and Q.shape[1] > 0:
+        mixed = metric == "mixed" and qcat is not None and qcat.shape[1] > 0
+        return _euclid_topk(qids, Q, dids, D, k, exclude_self, farthest,
+                            qcat if mixed else None, dcat if mixed else None, cat_penalty)
     per = max(1, PAIR_CHUNK // max(1, n))
     for s in range(0, len(qids), per):
         qs = slice(s, s + per)
@@ -143,7 +145,14 @@ def _exact_d2(Qr: np.ndarray, Dr: np.ndarray) -> np.ndarray:
     return d2
 
 
-def _euclid_topk(qids, Q, dids, D, k, exclude_self, farthest):
+def _mismatches(qc: np.ndarray, dc: np.ndarray) -> np.ndarray:
+    m = np.zeros((qc.shape[0], dc.shape[0]))
+    for j in range(qc.shape[1]):
+        m += qc[:, j][:, None] != dc[:, j][None, :]
+    return m
+
+
+def _euclid_topk(qids, Q, dids, D, k, exclude_self, farthest, qcat=None, dcat=None, cat_penalty=0.0):
     """Euclidean top-k: BLAS screening, exact re-ranking.
 
     On centred data the squared distance |q|^2 + |d|^2 - 2 q.d (one matrix
@@ -164,6 +173,8 @@ def _euclid_topk(qids, Q, dids, D, k, exclude_self, farthest):
     for s in range(0, len(qids), per):
         qs = slice(s, s + per)
         a2 = qn[qs][:, None] + dn[None, :] - 2.0 * (Qc[qs] @ Dc.T)
+        if qcat is not None:  # SMOTENC: nominal mismatches are exact, only the euclidean part is screened
+            a2 = a2 + cat_penalty * _mismatches(qcat[qs], dcat)
         eps = unit * (qn[qs] + dmax)
         key = -a2 if farthest else a2
         if exclude_self:
@@ -176,7 +187,13 @@ def _euclid_topk(qids, Q, dids, D, k, exclude_self, farthest):
         rows, cols = np.nonzero(mask)
         if rows.size == 0:
             continue
-        dist = np.sqrt(np.maximum(_exact_d2(Q[qs][rows], D[cols]), 0.0))
+        d2 = _exact_d2(Q[qs][rows], D[cols])
+        if qcat is not None:
+            mm = np.zeros(len(rows))
+            for j in range(qcat.shape[1]):
+                mm += qcat[qs][rows, j] != dcat[cols, j]
+            d2 = d2 + cat_penalty * mm
+        dist = np.sqrt(np.maximum(d2, 0.0))
         order = np.lexsort((dids[cols], -dist if farthest else dist, rows))
         rows, cols, dist = rows[order], cols[order], dist[order]
         first = np.searchsorted(rows, rows, side="left")
