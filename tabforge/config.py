@@ -50,6 +50,7 @@ class TrainConfig:
     downsample: bool = False
     drop_bools: bool = False
     key: str = "ID"
+    ranking: str = "shap"  # M-08: "shap" (mean |SHAP| on test, as the reference), "gain" or "permutation"
 
 
 @dataclass

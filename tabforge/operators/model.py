@@ -106,9 +106,27 @@ def fit_gbt(train: DataFrame, features: list[str], label: str = "label", params:
     return GbtModel(model, list(features), label, task, n, losses)
 
 
-def rank_features(model: GbtModel, spark, n: int = 20) -> DataFrame:
+def feature_importances(model: GbtModel, spark, method: str = "gain", data: DataFrame | None = None,
+                        key: str = "ID") -> DataFrame:
+    """(feature, importance) by ``gain`` (Spark's split gains), ``shap`` (mean
+    |Shapley value| over ``data``, what the reference ranks by) or
+    ``permutation`` (accuracy / -RMSE drop over ``data``)."""
+    if method == "gain":
+        return model.importances(spark)
+    if data is None:
+        raise ValueError(f"method {method!r} needs the rows to explain (data=...)")
+    if method == "shap":
+        from tabforge.operators.explain import shap_importance
+        return shap_importance(model, data)
+    if method == "permutation":
+        return permutation_importance(model, data, key)
+    raise ValueError(f"unknown ranking method {method!r}")
+
+
+def rank_features(model: GbtModel, spark, n: int = 20, method: str = "gain", data: DataFrame | None = None,
+                  key: str = "ID") -> DataFrame:
     from tabforge.operators.windows import top_ranked
-    return top_ranked(model.importances(spark), "importance", "feature", n)
+    return top_ranked(feature_importances(model, spark, method, data, key), "importance", "feature", n)
 
 
 @dataclass

@@ -495,6 +495,21 @@ def q_rank(spark, sf_dir):
     return mdl.rank_features(model, spark, 20)
 
 
+@register("m08_shap_ranking")
+def q_shap_rank(spark, sf_dir):
+    """Top-20 features by mean |Shapley value| of the fx_toxic model over the whole test fold."""
+    model, parts = _toxic_model(spark, sf_dir)
+    return mdl.rank_features(model, spark, 20, method="shap", data=parts["test"])
+
+
+@register("m08_shap_importance")
+def q_shap_importance(spark, sf_dir):
+    """Mean |Shapley value| per feature (every feature, not only the top 20)."""
+    model, parts = _toxic_model(spark, sf_dir)
+    imp_df = mdl.feature_importances(model, spark, "shap", parts["test"])
+    return imp_df.select("feature", r("importance").alias("importance"))
+
+
 @register("m09_calibrate")
 def q_calibrate(spark, sf_dir):
     model, parts = _toxic_model(spark, sf_dir)

@@ -40,7 +40,7 @@ def train(spark: SparkSession, cfg: TrainConfig, data: DataFrame | None = None)
     parts, _base = fold_variants(data, best["imputer"], best["balancer"], cfg.key, cfg.label, feats,
                                  folds=("valid", "test"))
     cal = mdl.calibrate(model, parts["valid"], parts["test"])
-    ranking = mdl.rank_features(model, spark, 20)
+    ranking = mdl.rank_features(model, spark, 20, cfg.ranking, parts["test"], cfg.key)
     path = f"{cfg.root}/{cfg.project}/models/trial={best['trial_id']}"
     save_model(model, path, {"runId": str(best["trial_id"]), "best_score": best["score"], "label": cfg.label,
                              "imputer": best["imputer"], "balancer": best["balancer"]})
