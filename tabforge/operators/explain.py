@@ -34,8 +34,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# array cells per NumPy step inside a task (rows x leaves x depth); ~32 MB of float64
-_CELLS = 4_000_000
+# array cells per NumPy step inside a task (rows x leaves x depth); ~16 MB of float64
+_CELLS = 2_000_000
 
 
 @dataclass
@@ -215,8 +215,9 @@ def _scatter_plan(tt: TreeTables):
 # Per-process cache of leaf pattern tables, keyed by the tree tables' id: a
 # Python worker builds the table once and reuses it for every batch and task.
 _PATTERNS: dict = {}
-# pattern-table budget per worker (leaves x 2^depth x depth float64 cells, 256 MB)
-_TABLE_CELLS = 32_000_000
+# pattern-table budget per Python worker (leaves x 2^depth x depth float64 cells, 64 MB;
+# an executor runs one worker per core): 250 trees of 64 leaves fit at depth 6
+_TABLE_CELLS = 8_000_000
 
 
 def pattern_table(tt: TreeTables) -> np.ndarray | None:
