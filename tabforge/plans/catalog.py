@@ -730,8 +730,8 @@ def q_compact_plan(spark, sf_dir):
                                                                   F.lit("2024-01-01").cast("date")))
     even = runs.where(F.col("day") % 2 == 0).select("run_id", "job", "seq", "status")
     odd = runs.where(F.col("day") % 2 == 1).select("seq", "metric", "run_id", "job", "status")
-    even.coalesce(4).write.option("header", True).csv(f"{root}/fx/runinfo/even")
-    odd.coalesce(4).write.option("header", True).csv(f"{root}/fx/runinfo/odd")
+    even.write.option("header", True).csv(f"{root}/fx/runinfo/even")
+    odd.write.option("header", True).csv(f"{root}/fx/runinfo/odd")
     for sub in ("even", "odd"):  # move parts to the folder root as delta files
         history_move(spark, f"{root}/fx/runinfo/{sub}", f"{root}/fx/runinfo", sub)
     out = compact_plan(spark, CompactConfig(root=root, project="fx", export_csv=False))
