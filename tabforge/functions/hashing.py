@@ -21,6 +21,13 @@ def u(key, salt) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(TWO_32)
 
 
+def u_col(key, salt: Column) -> Column:
+    """``u`` with a per-row salt column: equals ``u(key, s)`` where the column holds ``s``."""
+    key_col = F.col(key) if isinstance(key, str) else key
+    text = F.concat(key_col.cast("string"), F.lit(":"), salt.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(TWO_32)
+
+
 def u_sql_spark(key_sql: str, salt) -> str:
     return (f"(CAST(conv(substr(md5(concat(CAST({key_sql} AS STRING), ':{salt}')), 1, 8), 16, 10)"
             f" AS DOUBLE) / 4294967296D)")

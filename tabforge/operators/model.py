@@ -176,7 +176,7 @@ def permutation_importance(model: GbtModel, df: DataFrame, key: str = "ID", n_va
     drop in accuracy (classification) or in -RMSE (regression) against the
     unchanged rows. Only the per-feature samples (p x n_values numbers) and
     p + 1 metric rows reach the driver."""
-    from tabforge.functions.hashing import u
+    from tabforge.functions.hashing import u, u_col
     from tabforge.operators.indexing import keep_smallest
     spark = df.sparkSession
     feats = list(model.features)
@@ -184,16 +184,19 @@ def permutation_importance(model: GbtModel, df: DataFrame, key: str = "ID", n_va
     # bounded marginal sample: the n_values rows with the smallest u(key, seed)
     smp = keep_smallest(base.withColumn("__g", F.lit(1)).withColumn("__u", u(key, seed)), "__g", "__u", key,
                         {1: n_values}).select(*feats).collect()
-    pools = {c: [r[c] for r in smp] for c in feats}
     n_pool = max(1, len(smp))
-    variants = [F.struct(F.lit("__none__").alias("__variant"), *[F.col(c) for c in feats])]
-    for c in feats:
-        pick = F.floor(u(key, f"{seed}:{c}") * F.lit(n_pool)).cast("int") + 1
-        val = F.element_at(F.array(*[F.lit(v).cast("double") for v in pools[c]]), pick)
-        variants.append(F.struct(F.lit(c).alias("__variant"),
-                                 *[(val if o == c else F.col(o)).alias(o) for o in feats]))
-    exploded = base.select(F.col(key), F.col(model.label), F.explode(F.array(*variants)).alias("__v")) \
-        .select(key, model.label, "__v.*")
+    # (feature, slot, value): p x n_values rows, a size fixed by the parameters, not by the data
+    pools = spark.createDataFrame([(c, i + 1, None if r[c] is None else float(r[c]))
+                                   for c in feats for i, r in enumerate(smp)],
+                                  "__variant string, __pick int, __pval double")
+    names = F.array(F.lit("__none__"), *[F.lit(c) for c in feats])
+    exploded = base.select(F.col(key), F.col(model.label), *[F.col(c) for c in feats],
+                           F.explode(names).alias("__variant"))
+    # variant f replaces f by pool value floor(u(key, seed:f) * n_pool) + 1
+    pick = F.floor(u_col(key, F.concat(F.lit(f"{seed}:"), F.col("__variant"))) * F.lit(n_pool)).cast("int") + 1
+    exploded = exploded.withColumn("__pick", pick).join(F.broadcast(pools), ["__variant", "__pick"], "left")
+    exploded = exploded.select(key, model.label, "__variant", *[
+        F.when(F.col("__variant") == F.lit(c), F.col("__pval")).otherwise(F.col(c)).alias(c) for c in feats])
     pred = model.predict(exploded)
     y = F.col(model.label).cast("double")
     if model.task == "Regression":
