@@ -419,6 +419,22 @@ def _cells(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.searchsorted(bounds, values, side="right")
 
 
+def _sub_blocks(queries: DataFrame, donors: DataFrame, keys: list[str], block_rows: int):
+    """Split every cell with more than ``block_rows`` queries into
+    ceil(n / block_rows) sub-blocks: queries are hashed to one, donors copied
+    to each. The per-cell counts stay a DataFrame joined back by the cell key
+    (AQE broadcasts it when small), so no per-cell literal reaches the plan."""
+    n = F.count(F.lit(1))
+    subs = (queries.groupBy(*keys).agg(n.alias("__n")).where(F.col("__n") > F.lit(block_rows))
+            .select(*keys, F.ceil(F.col("__n") / F.lit(block_rows)).cast("int").alias("__nsub")))
+    nsub = F.coalesce(F.col("__nsub"), F.lit(1))
+    qq = queries.join(subs, keys, "left").withColumn("__sub", F.pmod(F.xxhash64("__id"), nsub).cast("int")) \
+        .drop("__nsub")
+    dd = donors.join(subs, keys, "left").withColumn("__sub", F.explode(F.sequence(F.lit(0), nsub - 1))) \
+        .drop("__nsub")
+    return qq, dd
+
+
 def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, metric, exclude_self, cat_penalty,
                       block_rows: int) -> DataFrame:
     """Exact k-NN with range pruning on one coordinate.
@@ -462,17 +478,7 @@ def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, met
 
     def run_pass(queries: DataFrame) -> DataFrame:
         # split crowded query cells into sub-blocks; donors are copied to each
-        qcount = {(r[0], r[1]): r[2] for r in queries.groupBy("__g", "__cell").count().collect()}  # <= cells
-        subs = {key: max(1, math.ceil(n / block_rows)) for key, n in qcount.items() if n > block_rows}
-        if subs:
-            keymap = F.create_map(*[x for (g, c), s in subs.items()
-                                    for x in (F.concat(F.lit(str(g)), F.lit("#"), F.lit(str(c))), F.lit(s))])
-            ckey = F.concat(F.col("__g").cast("string"), F.lit("#"), F.col("__cell").cast("string"))
-            nsub = F.coalesce(F.element_at(keymap, ckey), F.lit(1))
-        else:
-            nsub = F.lit(1)
-        qq = queries.withColumn("__sub", F.pmod(F.xxhash64("__id"), nsub).cast("int"))
-        dd = dc.withColumn("__sub", F.explode(F.sequence(F.lit(0), nsub - 1)))
+        qq, dd = _sub_blocks(queries, dc, ["__g", "__cell"], block_rows)
         keys = ["__g", "__cell", "__sub"]
 
         def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -539,11 +545,14 @@ def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int,
     bb = spark.sparkContext.broadcast(bounds)
 
     cell = F.when(F.col(pivot).isNull(), -1 - F.pmod(F.xxhash64("__id"), F.lit(n_miss_blocks)))
-    bucket = F.lit(0)
-    for i, bv in enumerate(bounds):  # cells - 1 literals: bounded by rows / block_rows
-        bucket = bucket + F.when(F.col(pivot) >= F.lit(float(bv)), 1).otherwise(0)
-    dc = d.withColumn("__cell", cell.otherwise(bucket).cast("int"))
-    qc = q.withColumn("__cell", F.when(F.col(pivot).isNull(), F.lit(-1)).otherwise(bucket).cast("int"))
+    # bucket = number of bounds <= pivot: a JVM-side binary search over the bounds (NULL rows replaced below)
+    from pyspark.ml.feature import Bucketizer
+    buck = Bucketizer(splits=[float("-inf"), *[float(v) for v in bounds], float("inf")], inputCol=pivot,
+                      outputCol="__bucket", handleInvalid="keep")
+    bucket = F.col("__bucket")
+    dc = buck.transform(d).withColumn("__cell", cell.otherwise(bucket).cast("int")).drop("__bucket")
+    qc = buck.transform(q).withColumn("__cell", F.when(F.col(pivot).isNull(), F.lit(-1))
+                                      .otherwise(bucket).cast("int")).drop("__bucket")
 
     def kernel(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         a, c, bb_, dist, v = local_impute_candidates(left["__id"].to_numpy(), _matrix(left, xcols),
@@ -553,12 +562,7 @@ def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int,
                              "value": pd.Series(v, dtype="float64")})
 
     def run(queries: DataFrame, donors: DataFrame) -> DataFrame:
-        qcount = {r[0]: r[1] for r in queries.groupBy("__cell").count().collect()}  # <= cells
-        subs = {c: max(1, math.ceil(n / block_rows)) for c, n in qcount.items() if n > block_rows}
-        nsub = F.coalesce(F.element_at(F.create_map(*[x for c, s in subs.items() for x in (F.lit(c), F.lit(s))]),
-                                       F.col("__cell")), F.lit(1)) if subs else F.lit(1)
-        qq = queries.withColumn("__sub", F.pmod(F.xxhash64("__id"), nsub).cast("int"))
-        dd = donors.withColumn("__sub", F.explode(F.sequence(F.lit(0), nsub - 1)))
+        qq, dd = _sub_blocks(queries, donors, ["__cell"], block_rows)
         return qq.groupBy("__cell", "__sub").cogroup(dd.groupBy("__cell", "__sub")).applyInPandas(kernel, IMPUTE_SCHEMA)
 
     # pass 1: pivot-present queries in their own cell
