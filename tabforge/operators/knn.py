@@ -415,6 +415,12 @@ def impute_candidates(queries: DataFrame, donors: DataFrame, features: list[str]
 
 
 # ------------------------------------------------------------------ partitioned (pruned) strategy
+def _accuracy(cells: int) -> int:
+    """percentile_approx accuracy (relative error 1 / accuracy) fine enough to
+    tell ``cells`` quantiles apart; a fixed 10,000 would merge cells beyond that."""
+    return max(10_000, 4 * cells)
+
+
 def _cells(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.searchsorted(bounds, values, side="right")
 
@@ -460,7 +466,7 @@ def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, met
             continue
         fr = [i / cells for i in range(1, cells)]
         qs = d.where(F.col("__g") == F.lit(g)).agg(
-            F.percentile_approx(pivot, fr, 10_000).alias("b")).first()["b"]  # cells - 1 numbers
+            F.percentile_approx(pivot, fr, _accuracy(cells)).alias("b")).first()["b"]  # cells - 1 numbers
         bounds[g] = np.unique(np.asarray(qs, dtype="float64"))
     bb = spark.sparkContext.broadcast(bounds)  # total cells ~ rows / block_rows numbers
 
@@ -538,7 +544,7 @@ def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int,
     if cells == 1:
         return None
     fr = [i / cells for i in range(1, cells)]
-    b = d.where(F.col(pivot).isNotNull()).agg(F.percentile_approx(pivot, fr, 10_000).alias("b")).first()["b"]
+    b = d.where(F.col(pivot).isNotNull()).agg(F.percentile_approx(pivot, fr, _accuracy(cells)).alias("b")).first()["b"]
     bounds = np.unique(np.asarray(b, dtype="float64"))
     n_cells = len(bounds) + 1
     n_miss_blocks = max(1, math.ceil((n_d - stats[f"n{pi}"]) / block_rows))
