@@ -114,3 +114,19 @@ def test_balancers_do_not_depend_on_partitioning(spark):
     assert rows(bal.random_oversample(df)) == rows(bal.random_oversample(other))
     assert sorted(r["ID"] for r in bal.near_miss(df, features=["a", "b"], version=1).collect()) == \
         sorted(r["ID"] for r in bal.near_miss(other, features=["a", "b"], version=1).collect())
+
+
+def test_partitioned_splits_crowded_query_cells(spark):
+    """Queries packed into one donor cell: that cell is cut into sub-blocks
+    (donors copied to each), and the answer stays the blocked one."""
+    rng = np.random.default_rng(21)
+    # pruning coordinate a (highest variance); 8 donor cells, every query in the first
+    donors = pd.DataFrame({"ID": np.arange(400), "a": rng.uniform(0, 10, 400), "b": rng.uniform(0, 1, 400)})
+    queries = pd.DataFrame({"ID": np.arange(1000, 1300), "a": rng.uniform(0, 0.3, 300),
+                            "b": rng.uniform(0, 1, 300)})
+    q, d = spark.createDataFrame(queries), spark.createDataFrame(donors)
+    res = {}
+    for strategy in ("partitioned", "blocked"):
+        out = knn.knn_join(q, d, ["a", "b"], k=4, strategy=strategy, block_rows=50)
+        res[strategy] = sorted((r["query_id"], r["rank"], r["donor_id"]) for r in out.collect())
+    assert res["partitioned"] == res["blocked"] and len(res["blocked"]) == 300 * 4
