@@ -548,7 +548,6 @@ def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int,
     bounds = np.unique(np.asarray(b, dtype="float64"))
     n_cells = len(bounds) + 1
     n_miss_blocks = max(1, math.ceil((n_d - stats[f"n{pi}"]) / block_rows))
-    bb = spark.sparkContext.broadcast(bounds)
 
     cell = F.when(F.col(pivot).isNull(), -1 - F.pmod(F.xxhash64("__id"), F.lit(n_miss_blocks)))
     # bucket = number of bounds <= pivot: a JVM-side binary search over the bounds (NULL rows replaced below)
@@ -583,22 +582,18 @@ def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int,
         .withColumn("__r", F.when(F.coalesce(F.col("__ncols"), F.lit(0)) < miss_cols, F.lit(float("inf")))
                     .otherwise(F.col("__r")))
 
-    @F.pandas_udf("array<int>")
-    def targets(x: pd.Series, r: pd.Series, own: pd.Series) -> pd.Series:
-        bnd = bb.value
-        miss = [-1 - i for i in range(n_miss_blocks)]
-        out = []
-        for xv, rv, ov in zip(x, r, own):
-            if ov < 0 or not np.isfinite(rv):
-                cand = list(range(n_cells))
-            else:
-                lo = int(np.searchsorted(bnd, xv - rv, side="right"))
-                hi = int(np.searchsorted(bnd, xv + rv, side="right"))
-                cand = [c for c in range(lo, hi + 1) if c != ov]
-            out.append(cand + miss)
-        return pd.Series(out)
-
-    second_q = qr.withColumn("__cells", targets(F.col(pivot), F.col("__r"), F.col("__cell"))) \
-        .withColumn("__cell", F.explode("__cells")).drop("__cells", "__r", "__ncols")
+    # cells to visit: those meeting [x - r, x + r] except the own one, found by the same
+    # JVM-side binary search; every cell when the pivot is missing or r is unbounded; plus
+    # every missing-pivot block
+    win = Bucketizer(splitsArray=[buck.getSplits()] * 2, inputCols=["__lo_x", "__hi_x"],
+                     outputCols=["__lo", "__hi"], handleInvalid="keep")
+    ranged = win.transform(qr.withColumn("__lo_x", F.col(pivot) - F.col("__r"))
+                           .withColumn("__hi_x", F.col(pivot) + F.col("__r")))
+    unbounded = (F.col("__cell") < 0) | F.col("__r").isNull() | (F.col("__r") == F.lit(float("inf")))
+    near = F.array_remove(F.sequence(F.col("__lo").cast("int"), F.col("__hi").cast("int")), F.col("__cell"))
+    visit = F.concat(F.when(unbounded, F.sequence(F.lit(0), F.lit(n_cells - 1))).otherwise(near),
+                     F.sequence(F.lit(-n_miss_blocks), F.lit(-1)))
+    second_q = ranged.withColumn("__cell", F.explode(visit)) \
+        .drop("__r", "__ncols", "__lo_x", "__hi_x", "__lo", "__hi")
     second = run(second_q, dc)
     return first.unionByName(second)
