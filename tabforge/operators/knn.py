@@ -503,19 +503,28 @@ def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, met
     qr = qc.join(kth.select(F.col("query_id").alias("__id"), radius.alias("__r")), "__id", "left") \
         .withColumn("__r", F.coalesce("__r", F.lit(float("inf"))))
 
-    @F.pandas_udf("array<int>")
-    def other_cells(g: pd.Series, x: pd.Series, r: pd.Series, own: pd.Series) -> pd.Series:
+    @F.pandas_udf("lo int, hi int")
+    def window_cells(g: pd.Series, x: pd.Series, r: pd.Series) -> pd.DataFrame:
+        """First and last cell of the group's cells that meet [x - r, x + r]
+        (vectorised per group; unbounded r spans every cell)."""
         b = bb.value
-        out = []
-        for gv, xv, rv, ov in zip(g, x, r, own):
-            bounds_g = b.get(gv, np.array([]))
-            lo = int(_cells(np.array([xv - rv]), bounds_g)[0]) if np.isfinite(rv) else 0
-            hi = int(_cells(np.array([xv + rv]), bounds_g)[0]) if np.isfinite(rv) else len(bounds_g)
-            out.append([c for c in range(lo, hi + 1) if c != ov])
-        return pd.Series(out)
-
-    second_q = qr.withColumn("__cells", other_cells(F.col("__g"), F.col(pivot), F.col("__r"), F.col("__cell"))) \
-        .where(F.size("__cells") > 0).withColumn("__cell", F.explode("__cells")).drop("__cells", "__r")
+        xv = x.to_numpy(dtype="float64")
+        rv = r.to_numpy(dtype="float64", na_value=np.inf)
+        lo = np.zeros(len(x), dtype="int32")
+        hi = np.zeros(len(x), dtype="int32")
+        for gv in pd.unique(g):
+            m = (g == gv).to_numpy()
+            bg = b.get(gv, np.array([]))
+            fin = np.isfinite(rv[m])
+            with np.errstate(invalid="ignore"):
+                lo[m] = np.where(fin, _cells(xv[m] - rv[m], bg), 0)
+                hi[m] = np.where(fin, _cells(xv[m] + rv[m], bg), len(bg))
+        return pd.DataFrame({"lo": lo, "hi": hi})
+
+    win = window_cells(F.col("__g"), F.col(pivot), F.col("__r"))
+    second_q = qr.withColumn("__w", win) \
+        .withColumn("__cells", F.array_remove(F.sequence(F.col("__w.lo"), F.col("__w.hi")), F.col("__cell"))) \
+        .where(F.size("__cells") > 0).withColumn("__cell", F.explode("__cells")).drop("__cells", "__w", "__r")
     second = run_pass(second_q)
     return first.unionByName(second)
 
