@@ -29,3 +29,21 @@ def test_gbt_and_permutation_importance(spark):
     assert (pred["yhat"] == pred["label"]).mean() > 0.9
     imp = {r["feature"]: r["importance"] for r in mdl.permutation_importance(m, df, "ID", 256).collect()}
     assert imp["signal"] > 0.2 and abs(imp["noise"]) < 0.05
+
+
+def test_ranking_methods_share_one_contract(spark):
+    rng = np.random.default_rng(5)
+    n = 400
+    x = rng.normal(size=n)
+    pdf = pd.DataFrame({"ID": np.arange(n), "signal": x, "noise": rng.normal(size=n),
+                        "label": (x > 0).astype("int32")})
+    df = spark.createDataFrame(pdf)
+    m = mdl.fit_gbt(df, ["signal", "noise"], "label", mdl.TrialParams(max_depth=3, num_leaves=8, max_iter=5))
+    for method in ("gain", "shap", "permutation"):
+        top = mdl.rank_features(m, spark, 1, method=method, data=df).collect()
+        assert [(r["metric"], r["value"]) for r in top] == [("feature_rank_0", "signal")], method
+    import pytest
+    with pytest.raises(ValueError):
+        mdl.feature_importances(m, spark, "shap")  # needs the rows to explain
+    with pytest.raises(ValueError):
+        mdl.feature_importances(m, spark, "lime", df)
