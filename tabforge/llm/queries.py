@@ -13,5 +13,30 @@ def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups(table(spark, sf_dir, "documents"), words=2)
 
 
-QUERIES = {"op1_near_dups": op1_near_dups}
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from tabforge.llm.token_files import token_roundtrip
+    return token_roundtrip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm.decontaminate import contamination
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("spans", "items")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm.language import fold_of, identify, train
+    docs = table(spark, sf_dir, "documents")
+    langs, logp = train(docs.where(fold_of(4) != 2))
+    found = identify(docs, langs, logp)
+    return found.select("doc_id", (fold_of(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm.warc import archive_roundtrip
+    return archive_roundtrip(table(spark, sf_dir, "pages")).drop("url")
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dups, op6_token_files, op7_decontaminate, op9_language, op10_warc)}
 ORACLES: dict[str, str] = {}
