@@ -3,7 +3,7 @@ parameters, to its whole table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabforge.session import table
 
@@ -13,6 +13,11 @@ def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups(table(spark, sf_dir, "documents"), words=2)
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm.personal_data import find_personal_data
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from tabforge.llm.token_files import token_roundtrip
@@ -25,6 +30,16 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans", "items")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm.language import fold_of
+    from tabforge.llm.quality import score, train, word_vectors
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    vec = word_vectors(docs)
+    net = train(docs, labels.where(fold_of(5) != 0), vec)
+    found = score(docs, vec, net)
+    return found.select("doc_id", (fold_of(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabforge.llm.language import fold_of, identify, train
     docs = table(spark, sf_dir, "documents")
@@ -38,5 +53,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_roundtrip(table(spark, sf_dir, "pages")).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dups, op6_token_files, op7_decontaminate, op9_language, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_near_dups, op5_personal_data, op6_token_files, op7_decontaminate, op8_quality, op9_language, op10_warc)}
 ORACLES: dict[str, str] = {}
