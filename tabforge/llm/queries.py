@@ -13,6 +13,11 @@ def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups(table(spark, sf_dir, "documents"), words=2)
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm.nearest import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabforge.llm.personal_data import find_personal_data
     return find_personal_data(table(spark, sf_dir, "documents"))
@@ -53,5 +58,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_roundtrip(table(spark, sf_dir, "pages")).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dups, op5_personal_data, op6_token_files, op7_decontaminate, op8_quality, op9_language, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_near_dups, op4_nearest, op5_personal_data, op6_token_files, op7_decontaminate, op8_quality, op9_language, op10_warc)}
 ORACLES: dict[str, str] = {}
