@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabforge.llm import licences
 from tabforge.session import table
 
 
@@ -13,6 +14,11 @@ def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups(table(spark, sf_dir, "documents"), words=2)
 
 
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm.licences import scan_licences
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabforge.llm.nearest import nearest
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -58,5 +64,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_roundtrip(table(spark, sf_dir, "pages")).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dups, op4_nearest, op5_personal_data, op6_token_files, op7_decontaminate, op8_quality, op9_language, op10_warc)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_near_dups, op3_licences, op4_nearest, op5_personal_data, op6_token_files, op7_decontaminate, op8_quality, op9_language, op10_warc)}
+ORACLES: dict[str, str] = {"op3_licences": licences.oracle()}
