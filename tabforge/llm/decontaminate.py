@@ -24,12 +24,14 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from tabforge.llm._store import stored
 from tabforge.llm._text import ALNUM, U, gram_hashes, rows_of, runs, span_hashes, string_buffers, word_spans
 
 WINDOW = 13
-_HELD = "doc_id long, text string, spans array<int>, items array<string>"
+_HELD = "text string, spans array<int>, items array<string>"
+_FOUND = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<int>, items array<string>"
 
 
 def word_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -140,30 +142,31 @@ def scan_run(buf: np.ndarray, offs: np.ndarray, patterns: dict) -> tuple[np.ndar
 
 
 def _scanner(patterns, last: bool, held: bool):
+    """Rows (row, text[, spans, items]) -> the same with more found, or the final columns."""
     def run(batches):
         pats = patterns.value
         for batch in batches:
-            ids, text = batch.column("doc_id"), batch.column("text")
+            row, text = batch.column("row"), batch.column("text")
             for lo, hi, buf, offs in runs(text):
                 n, spans, items = scan_run(buf, offs, pats)
                 if held:
                     old_s, old_i = (batch.column(c).slice(lo, hi - lo).to_pylist() for c in ("spans", "items"))
                     spans = [_union(a, b) for a, b in zip(old_s, spans)]
                     items = [a + b for a, b in zip(old_i, items)]
-                doc = ids.slice(lo, hi - lo)
+                own = row.slice(lo, hi - lo)
                 if not last:
-                    yield pa.RecordBatch.from_arrays([doc, text.slice(lo, hi - lo), pa.array(spans, pa.list_(pa.int32())),
-                                                      pa.array(items, pa.list_(pa.string()))], names=["doc_id", "text", "spans", "items"])
+                    yield pa.RecordBatch.from_arrays([own, text.slice(lo, hi - lo), pa.array(spans, pa.list_(pa.int32())),
+                                                      pa.array(items, pa.list_(pa.string()))], names=["row", "text", "spans", "items"])
                     continue
                 n_hit = [sum(s[1::2]) - sum(s[::2]) for s in spans]
                 names = [sorted(set(i)) for i in items]
                 yield pa.RecordBatch.from_arrays(
-                    [doc, pa.array(n, pa.int64()), pa.array(n_hit, pa.int64()),
+                    [own, pa.array(n, pa.int64()), pa.array(n_hit, pa.int64()),
                      pa.array([len(x) for x in names], pa.int64()),
                      pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]),
                      pa.array([h > 0 and 20 * h >= k for h, k in zip(n_hit, n.tolist())], pa.bool_()),
                      pa.array(spans, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string()))],
-                    names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items"])
+                    names=["row", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items"])
     return run
 
 
@@ -189,23 +192,34 @@ def _slices(benchmark: DataFrame, slice_words: int):
     yield part
 
 
+def _scan(rows: DataFrame, benchmark: DataFrame, window: int, slice_words: int) -> DataFrame:
+    """``rows`` (row, text) -> (row, what was found)."""
+    sc, kind = rows.sparkSession.sparkContext, StructType([rows.schema["row"]])
+    schema = lambda ddl: StructType([*kind.fields, *StructType.fromDDL(ddl).fields])
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    held, ahead = False, None
+    for part in _slices(items, slice_words):
+        if ahead is not None:
+            rows, held = stored(rows.mapInArrow(_scanner(ahead, False, held), schema(_HELD)), "scanned"), True
+        ahead = sc.broadcast(build_patterns(part, window))
+    return rows.mapInArrow(_scanner(ahead, True, held), schema(_FOUND))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_words: int = 4_000_000) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans, items), one row per
     row of ``docs``: ``spans`` are the hit words as first, end, first, end, ...; ``items`` the
-    sorted ids of the items with an occurring window.
+    sorted ids of the items with an occurring window. A document is contaminated if 5 % of its
+    words or more are hit.
 
     Defined cases: a null or empty text has no words and is clean; a null item text has no
     window; a null item_id is named "null"; repeated rows of either table count as they stand
     (an item id counts once per document); an empty benchmark hits nothing; other columns are
     ignored."""
-    sc = docs.sparkSession.sparkContext
-    cur = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null")
-    held, ahead = False, None
-    for part in _slices(items, slice_words):
-        if ahead is not None:
-            cur, held = stored(cur.mapInArrow(_scanner(ahead, False, held), _HELD), "scanned"), True
-        ahead = sc.broadcast(build_patterns(part, window))
-    return cur.mapInArrow(_scanner(ahead, True, held),
-                          "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
-                          "contaminated boolean, spans array<int>, items array<string>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("row"), F.col("text").cast("string").alias("text"))
+    return _scan(rows, benchmark, window, slice_words).withColumnRenamed("row", "doc_id")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_words: int = 4_000_000) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not contaminated."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
+    return _scan(rows, benchmark, window, slice_words).where("not contaminated").select("row.*")

@@ -114,39 +114,55 @@ def mixtures(buf: np.ndarray, offs: np.ndarray, logp: np.ndarray, turns: int = 8
     return out
 
 
+def _predictions(text: pa.Array, langs: list[str], logp: np.ndarray):
+    """(first row, end row, languages, scores, mixtures) of runs of rows."""
+    for lo, hi, buf, offs in runs(text):
+        pi = mixtures(buf, offs, logp)
+        letter = byte_set((0x41, 0x5A), (0x61, 0x7A))[buf]
+        seen = np.diff(np.concatenate(([0], np.cumsum(letter)))[offs]) > 0
+        best, score, mix = [], [], []
+        for i in range(hi - lo):
+            known = langs and (seen[i] or any(c.isalpha() for c in text[lo + i].as_py() or ""))
+            j = int(pi[i].argmax()) if known else -1
+            best.append(langs[j] if known else UNKNOWN)
+            score.append(float(min(1.0, pi[i, j])) if known else 0.0)
+            mix.append([(langs[x], float(pi[i, x])) for x in np.flatnonzero(pi[i] > 0)] if known else [])
+        yield lo, hi, best, score, mix
+
+
 def identify(docs: DataFrame, langs: list[str], logp: np.ndarray) -> DataFrame:
     """``docs`` (doc_id, text) -> (doc_id, lang_pred, score, mixture map<string,double>). The
     predicted language is the one with the largest proportion (ties: the first by name).
 
     Defined cases: a null text, or one without any letter, is ``und`` with score 0; so is every
-    text if no language was learned; an empty table gives no rows; other columns are ignored."""
+    text if no language was learned; rows count as they stand; an empty table gives no rows;
+    other columns are ignored."""
     model = docs.sparkSession.sparkContext.broadcast((langs, logp))
 
     def run(batches):
         langs, logp = model.value
         for batch in batches:
-            ids, text = batch.column("doc_id"), batch.column("text")
-            for lo, hi, buf, offs in runs(text):
-                pi = mixtures(buf, offs, logp)
-                ascii_letters = byte_set((0x41, 0x5A), (0x61, 0x7A))[buf]
-                seen = np.diff(np.concatenate(([0], np.cumsum(ascii_letters)))[offs]) > 0
-                best, score, mix = [], [], []
-                for i in range(hi - lo):
-                    known = langs and (seen[i] or any(c.isalpha() for c in text[lo + i].as_py() or ""))
-                    if not known:
-                        best.append(UNKNOWN), score.append(0.0), mix.append([])
-                        continue
-                    j = int(pi[i].argmax())
-                    best.append(langs[j]), score.append(float(min(1.0, pi[i, j])))
-                    mix.append([(langs[x], float(pi[i, x])) for x in np.flatnonzero(pi[i] > 0)])
+            for lo, hi, best, score, mix in _predictions(batch.column("text"), langs, logp):
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo), pa.array(best, pa.string()), pa.array(score, pa.float64()),
+                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(best, pa.string()), pa.array(score, pa.float64()),
                      pa.array(mix, pa.map_(pa.string(), pa.float64()))], names=["doc_id", "lang_pred", "score", "mixture"])
 
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return base.mapInArrow(run, "doc_id long, lang_pred string, score double, mixture map<string,double>")
 
 
+def drop_unknown(docs: DataFrame, langs: list[str], logp: np.ndarray) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has a known language."""
+    model = docs.sparkSession.sparkContext.broadcast((langs, logp))
+
+    def run(batches):
+        langs, logp = model.value
+        for batch in batches:
+            for lo, hi, best, _, _ in _predictions(batch.column("text"), langs, logp):
+                yield batch.slice(lo, hi - lo).filter(pa.array([b != UNKNOWN for b in best], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold_of(modulus: int):
     """crc32 of the doc_id as text, modulo ``modulus`` (0 for a null doc_id)."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(0))

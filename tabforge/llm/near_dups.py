@@ -234,3 +234,15 @@ def _named(owner: DataFrame, comps: DataFrame) -> DataFrame:
     return owner.join(comps, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"),
         F.coalesce(comp == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def drop_copies(docs: DataFrame, **params) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``near_dups`` keeps: one document of
+    each group. Rows that repeat a kept doc_id are copies too; one of them stays."""
+    found = stored(near_dups(docs, **params), "groups")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    if again.isEmpty():
+        return left
+    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).union(left.where("doc_id is null"))

@@ -317,6 +317,9 @@ def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def mask_personal_data(docs: DataFrame, min_prob: float = 0.9) -> DataFrame:
     """``docs`` with the spans in ``text`` replaced by <EMAIL>, <IP>, <CARD> or <PHONE>; all
-    other columns and rows stay. A null text stays null."""
+    other columns and rows stay. A null text stays null. ``n_chars``, if there, follows the text."""
     sent = docs.sparkSession.sparkContext.broadcast(train(docs.select("text")))
-    return docs.mapInArrow(_masker(sent, min_prob), docs.schema)
+    out = docs.mapInArrow(_masker(sent, min_prob), docs.schema)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out

@@ -14,6 +14,12 @@ def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups(table(spark, sf_dir, "documents"), words=2)
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from tabforge.llm.bpe import roundtrip
+    return roundtrip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabforge.llm.licences import scan_licences
     return scan_licences(table(spark, sf_dir, "documents"))
@@ -64,5 +70,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_roundtrip(table(spark, sf_dir, "pages")).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dups, op3_licences, op4_nearest, op5_personal_data, op6_token_files, op7_decontaminate, op8_quality, op9_language, op10_warc)}
+QUERIES = {f.__name__: f for f in (
+    op1_near_dups, op2_byte_bpe, op3_licences, op4_nearest, op5_personal_data, op6_token_files, op7_decontaminate,
+    op8_quality, op9_language, op10_warc)}
 ORACLES: dict[str, str] = {"op3_licences": licences.oracle()}

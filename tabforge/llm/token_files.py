@@ -55,9 +55,9 @@ def unpack(payload: bytes, width: int, start: int, stop: int) -> np.ndarray:
 class ChunkEncoder:
     """Ids of whole texts from the ids of their distinct chunks."""
 
-    def __init__(self, path: str):
+    def __init__(self, spec: str):
         from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
+        self.tok = Tokenizer.from_str(spec)
         self.width = max(1, (self.tok.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self._clear()
 
@@ -100,9 +100,9 @@ class ChunkEncoder:
         return out, out_off
 
 
-def _block_writer(path: str, block_ids: int):
+def _block_writer(spec, block_ids: int):
     def run(batches):
-        enc, part, block = ChunkEncoder(path), TaskContext.get().partitionId(), 0
+        enc, part, block = ChunkEncoder(spec.value), TaskContext.get().partitionId(), 0
         docs: list = []
         ids: list[np.ndarray] = []
         size = first = 0
@@ -139,7 +139,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, block_ids: int =
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = [F.col("doc_id"), F.crc32(F.coalesce("text", F.lit("")).cast("binary"))]
     ordered = base.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.mapInArrow(_block_writer(tokenizer, block_ids), SCHEMA).write.option("compression", "none").parquet(folder)
+    with open(tokenizer, encoding="utf-8") as f:             # a vocabulary file on the driver, a few MB
+        spec = docs.sparkSession.sparkContext.broadcast(f.read())
+    ordered.mapInArrow(_block_writer(spec, block_ids), SCHEMA).write.option("compression", "none").parquet(folder)
 
 
 def _reader(before: dict[int, int]):
