@@ -2,8 +2,7 @@
 
 * ``global_index``: dense 0-based position by an order, optionally within a
   group. Range partitioning spreads the rows; each task numbers its own rows and
-  a tiny (partitions x groups) offset table, computed from per-partition counts,
-  shifts them into place. No window over a whole group.
+  one carried count per slice shifts them into place. No window over a whole group.
 * ``keep_smallest``: per group, keep the n rows with the smallest (score, key).
   Histogram refinement narrows each group's cut to one bucket; only that
   bucket's rows are ranked exactly.
@@ -41,31 +40,33 @@ def global_index(df: DataFrame, order, index_col: str = "index", group: str | No
     pid = F.shiftright(F.col(_POS), 33)
     within = F.col(_POS) - F.shiftleft(pid, 33)
     ranged = ranged.withColumn(_PID, pid).withColumn(_POS, within)
-    gcols = [group] if group else []
-    stats = (ranged.groupBy(_PID, *gcols)
-             .agg(F.min(_POS).alias("first"), F.count(F.lit(1)).alias("n"))
-             .collect())  # bounded: partitions x groups rows
-    stats.sort(key=lambda r: (tuple(_sortable(r[g]) for g in gcols), r[_PID]))
-    running: dict = {}
-    rows = []
-    for r in stats:
-        g = tuple(r[c] for c in gcols)
-        before = running.get(g, 0)
-        rows.append((r[_PID], *g, before - r["first"]))
-        running[g] = before + r["n"]
-    schema = f"{_PID} bigint" + "".join(f", `{c}` {ranged.schema[c].dataType.simpleString()}" for c in gcols) \
-        + ", __tf_shift bigint"
-    offsets = df.sparkSession.createDataFrame(rows, schema)
-    cond = [ranged[_PID] == offsets[_PID]] + [ranged[c].eqNullSafe(offsets[c]) for c in gcols]
-    out = ranged.join(F.broadcast(offsets), cond, "inner")  # offsets: partitions x groups rows
+    if not group:
+        counts = sorted((r[_PID], r["n"]) for r in ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect())
+        rows, before = [], 0                      # one row per slice
+        for pid_, n_ in counts:
+            rows.append((pid_, before))
+            before += n_
+        offsets = df.sparkSession.createDataFrame(rows, f"{_PID} bigint, __tf_shift bigint")
+        out = ranged.join(F.broadcast(offsets), _PID)
+    else:
+        # a group starts anew in every slice but the one it crosses into: one carried count per slice
+        per = cut_lineage(ranged.groupBy(_PID, F.struct(F.col(f"`{group}`").alias("v")).alias("__tf_g"))
+                          .agg(F.min(_POS).alias("a"), F.count(F.lit(1)).alias("n")))
+        edges = per.groupBy(_PID).agg(F.min_by("__tf_g", "a").alias("fg"), F.max_by(F.struct("__tf_g", "n"), "a").alias("l")).collect()
+        rows, before = [], (None, 0)
+        for r in sorted(edges, key=lambda r: r[_PID]):
+            carry = before[1] if before[0] == r["fg"] else 0
+            rows.append((r[_PID], carry))
+            before = (r["l"]["__tf_g"], r["l"]["n"] + (carry if r["fg"] == r["l"]["__tf_g"] else 0))
+        carried = df.sparkSession.createDataFrame(rows, "__tf_slice bigint, __tf_carry bigint")
+        offsets = per.join(F.broadcast(carried), F.col(_PID) == F.col("__tf_slice")).select(
+            F.col(_PID).alias("__tf_slice"), F.col("__tf_g.v").alias("__tf_v"),
+            (F.when(F.col("a") == 0, F.col("__tf_carry")).otherwise(0) - F.col("a")).alias("__tf_shift"))
+        out = ranged.join(offsets, (ranged[_PID] == offsets["__tf_slice"]) & ranged[f"`{group}`"].eqNullSafe(offsets["__tf_v"]))
     idx = (F.col(_POS) + F.col("__tf_shift")).alias(index_col)
     return out.select(*[ranged[f"`{c}`"] for c in df.columns], idx)
 
 
-def _sortable(v):
-    return (v is None, v)
-
-
 def _lookup(mapping: dict, key_col: Column, dtype: str = "double") -> Column:
     if not mapping:
         return F.lit(None).cast(dtype)
@@ -157,7 +158,3 @@ def keep_smallest(df: DataFrame, group: str, score: str, key: str, quota: dict,
     if chosen is None:
         return decided
     return decided.unionByName(chosen)
-
-
-def bucket_bits(n_rows: int, rows_per_bucket: int) -> int:
-    return max(1, math.ceil(n_rows / max(1, rows_per_bucket)))

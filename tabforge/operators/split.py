@@ -44,21 +44,18 @@ def assign_folds(df: DataFrame, key: str = "ID", seed=42, test_size: float = TES
 def downsample(df: DataFrame, label: str = "label", key: str = "ID", seed="downsample",
                fold: str | None = None) -> DataFrame:
     """Random under-sampling: every class keeps as many rows as the smallest
-    class, the ones with the smallest (u, key). With ``fold`` this runs per fold."""
-    if fold is not None:
-        # one pass for all folds: the group is (fold, label), the quota the
-        # smallest class of that fold
-        grp = F.concat_ws("|", F.col(fold).cast("string"), F.col(label).cast("string"))
-        counts = {(r[0], r[1]): r[2] for r in df.groupBy(fold, label).count().collect()}  # folds x classes
-        n_min: dict = {}
-        for (fv, _c), n in counts.items():
-            n_min[fv] = min(n_min.get(fv, n), n)
-        quota = {f"{fv}|{c}": n_min[fv] for (fv, c) in counts}
-        scored = df.withColumn("__tf_g", grp).withColumn("__tf_u", u(key, seed))
-        return keep_smallest(scored, "__tf_g", "__tf_u", key, quota).drop("__tf_g", "__tf_u")
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    class, the ones with the smallest (u, key). With ``fold`` this runs per fold.
+    Labels of any type; a NULL label is no class and raises."""
+    parts = ([fold] if fold is not None else []) + [label]
+    group = F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(parts)]), {"ignoreNullFields": "false"})
+    scored = df.withColumn("__tf_g", group).withColumn("__tf_u", u(key, seed))
+    fold_of = F.col(f"`{fold}`").cast("string") if fold is not None else F.lit("")
+    counts = scored.groupBy("__tf_g", fold_of.alias("f"), F.col(f"`{label}`").isNull().alias("none")).count().collect()
+    if any(r["none"] for r in counts):           # folds x classes rows
+        raise ValueError(f"downsample: {sum(r['count'] for r in counts if r['none'])} rows without {label!r}")
+    smallest: dict = {}
+    for r in counts:
+        smallest[r["f"]] = min(smallest.get(r["f"], r["count"]), r["count"])
     if not counts:
         return df
-    n_min = min(counts.values())
-    scored = df.withColumn("__tf_u", u(key, seed))
-    return keep_smallest(scored, label, "__tf_u", key, {c: n_min for c in counts}).drop("__tf_u")
+    return keep_smallest(scored, "__tf_g", "__tf_u", key, {r["__tf_g"]: smallest[r["f"]] for r in counts}).drop("__tf_g", "__tf_u")

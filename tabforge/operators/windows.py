@@ -2,8 +2,10 @@
 
 Running sums and lags over a whole table or over groups never use a window
 whose partition is a whole group: rows are range-partitioned by
-(group, order, key), each task works on its slice, and a small table of
-per-slice totals (slices x groups rows) carries the state across slices.
+(group, order, key) and each task works on its slice. Only the group that
+crosses from one slice into the next needs state from outside, so one row per
+slice is collected and one carried value per slice is broadcast; the number of
+groups does not matter.
 """
 
 from __future__ import annotations
@@ -26,6 +28,28 @@ def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None = None) -
     return ranged.withColumn(_PID, pid)
 
 
+def slice_edges(ranged: DataFrame, gcols: list[str], agg) -> list[tuple]:
+    """(slice, first group, last group, ``agg`` over the last group's rows) of each slice, in order."""
+    g = F.struct(*[F.col(f"`{c}`") for c in gcols]) if gcols else F.struct(F.lit(0).alias("all"))
+    per = ranged.groupBy(_PID, g.alias("__tf_g")).agg(agg.alias("t"), F.min(_POS).alias("a"), F.max(_POS).alias("z"))
+    edges = per.groupBy(_PID).agg(F.min_by("__tf_g", "a").alias("fg"), F.max_by("__tf_g", "z").alias("lg"),
+                                  F.max_by(F.struct("t"), "z").alias("last"))
+    return [(r[_PID], r["fg"], r["lg"], r["last"]["t"]) for r in sorted(edges.collect(), key=lambda r: r[_PID])]
+
+
+def _carried(ranged: DataFrame, gcols: list[str], rows: list[tuple], kind: str) -> DataFrame:
+    """Add ``__tf_carry``: the value of ``rows`` (slice, value) on the rows of the slice's first
+    group, NULL elsewhere. ``rows`` has at most one entry per slice."""
+    carry = ranged.sparkSession.createDataFrame(rows, f"__tf_slice bigint, __tf_value {kind}")
+    first = Window.partitionBy(_PID).orderBy(_POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    j = ranged.join(F.broadcast(carry), F.col(_PID) == F.col("__tf_slice"), "left")
+    same = F.lit(True)
+    if gcols:
+        g = F.struct(*[F.col(f"`{c}`") for c in gcols])
+        same = g.eqNullSafe(F.first(g).over(first))
+    return j.withColumn("__tf_carry", F.when(same, F.col("__tf_value"))).drop("__tf_slice", "__tf_value")
+
+
 def cumulative_sum(df: DataFrame, value: str, order, out: str | None = None, group: str | None = None,
                    key: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Running total of ``value`` by ``order`` (within ``group``); NULL rows stay
@@ -36,23 +60,17 @@ def cumulative_sum(df: DataFrame, value: str, order, out: str | None = None, gro
         order_cols = order_cols + [key]
     gcols = [group] if group else []
     ranged = _ranged(df, gcols + order_cols, num_partitions)
-    totals = (ranged.groupBy(_PID, *gcols).agg(F.sum(F.col(f"`{value}`")).alias("t")).collect())
-    totals.sort(key=lambda r: (tuple((r[g] is None, r[g]) for g in gcols), r[_PID]))
-    rows, run = [], {}
-    for r in totals:
-        g = tuple(r[c] for c in gcols)
-        rows.append((r[_PID], *g, float(run.get(g, 0.0))))
-        run[g] = run.get(g, 0.0) + (r["t"] or 0.0)
-    spark = df.sparkSession
-    schema = f"{_PID} bigint" + "".join(
-        f", `{c}` {ranged.schema[c].dataType.simpleString()}" for c in gcols) + ", __tf_off double"
-    offsets = F.broadcast(spark.createDataFrame(rows, schema))  # slices x groups rows
-    cond = [ranged[_PID] == offsets[_PID]] + [ranged[c].eqNullSafe(offsets[c]) for c in gcols]
-    j = ranged.join(offsets, cond, "inner").select(ranged["*"], offsets["__tf_off"])
+    x = F.col(f"`{value}`")
+    rows, last_group, run = [], None, 0.0
+    for pid, fg, lg, total in slice_edges(ranged, gcols, F.sum(x)):
+        carry = run if rows and fg == last_group else 0.0
+        rows.append((pid, float(carry)))
+        run = (carry if fg == lg else 0.0) + float(total or 0.0)
+        last_group = lg
+    j = _carried(ranged, gcols, rows, "double")
     w = (Window.partitionBy(_PID, *gcols).orderBy(_POS)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    x = F.col(f"`{value}`")
-    running = F.coalesce(F.sum(x).over(w), F.lit(0.0)) + F.col("__tf_off")
+    running = F.coalesce(F.sum(x).over(w), F.lit(0.0)) + F.coalesce("__tf_carry", F.lit(0.0))
     res = j.withColumn(out, F.when(x.isNotNull(), running))
     return res.select(*[F.col(f"`{c}`") for c in df.columns], F.col(f"`{out}`"))
 
@@ -68,25 +86,16 @@ def percent_change(df: DataFrame, value: str, order, out: str | None = None, gro
     gcols = [group] if group else []
     ranged = _ranged(df, gcols + order_cols, num_partitions)
     x = F.col(f"`{value}`")
-    # last row of each slice per group, handed to the next slice of that group
-    lasts = (ranged.groupBy(_PID, *gcols)
-             .agg(F.max_by(x, F.col(_POS)).alias("last")).collect())
-    lasts.sort(key=lambda r: (tuple((r[g] is None, r[g]) for g in gcols), r[_PID]))
-    rows, prev = [], {}
-    for r in lasts:
-        g = tuple(r[c] for c in gcols)
-        if g in prev:
-            rows.append((r[_PID], *g, prev[g]))
-        prev[g] = r["last"]
-    spark = df.sparkSession
-    schema = f"{_PID} bigint" + "".join(
-        f", `{c}` {ranged.schema[c].dataType.simpleString()}" for c in gcols) + ", __tf_prev double"
-    carry = F.broadcast(spark.createDataFrame(rows, schema))
-    cond = [ranged[_PID] == carry[_PID]] + [ranged[c].eqNullSafe(carry[c]) for c in gcols]
-    j = ranged.join(carry, cond, "left").select(ranged["*"], carry["__tf_prev"])
+    # the last value of each slice, handed to the next slice if its first group goes on
+    rows, before = [], None
+    for pid, fg, lg, last in slice_edges(ranged, gcols, F.max_by(x, F.col(_POS))):
+        if before is not None and before[0] == fg:
+            rows.append((pid, None if before[1] is None else float(before[1])))
+        before = (lg, last)
+    j = _carried(ranged, gcols, rows, "double")
     w = Window.partitionBy(_PID, *gcols).orderBy(_POS)
     first = F.row_number().over(w) == 1
-    lag = F.when(first, F.col("__tf_prev")).otherwise(F.lag(x).over(w))
+    lag = F.when(first, F.col("__tf_carry")).otherwise(F.lag(x).over(w))
     res = j.withColumn("__tf_lag", lag).withColumn(
         out, F.when(F.col("__tf_lag").isNull() | (F.col("__tf_lag") == 0), F.lit(None).cast("double"))
         .otherwise((x - F.col("__tf_lag")) / F.col("__tf_lag")))

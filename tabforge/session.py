@@ -14,6 +14,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -34,14 +35,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "tab
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is. Only
-    when it is unset (local tests) a fresh scratch folder is created."""
+    On a cluster that setting points at shared storage and is used as is; it must be
+    set there. Only a local master gets a fresh scratch folder when it is unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
         configured = tempfile.mkdtemp(prefix="tabforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.sources.stage import write_stage
+from tabforge.sources.stage import exists, write_stage
 
 GOLD_SCHEMA = ("project string, variant string, version int, path string, imputers string, "
                "balancers string, downsample boolean, drop_bools boolean, published_at timestamp")
@@ -21,10 +21,11 @@ def gold_variant(downsample: bool, drop_bools: bool) -> str:
 
 
 def _catalog(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # first publication: the catalog does not exist yet
+    """The catalog table, empty before the first publication. Any other failure is raised:
+    taking it for "no catalog yet" would start again at version 1."""
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def registry_tags(keys: DataFrame, col: str = "key") -> DataFrame:

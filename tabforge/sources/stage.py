@@ -23,6 +23,11 @@ def write_stage(df: DataFrame, path: str, partition_by=None, mode: str = "overwr
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
     """Small JSON side files through the Hadoop file system (works on any shared store)."""
     jvm = spark.sparkContext._jvm

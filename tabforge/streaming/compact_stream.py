@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.sources.history import read_deltas
+from tabforge.sources.stage import exists
 
 
 def compact_history_stream(spark: SparkSession, folder: str, checkpoint: str, history: str | None = None,
@@ -43,9 +44,8 @@ def compact_history_stream(spark: SparkSession, folder: str, checkpoint: str, hi
     return read_history(spark, history)
 
 
-def read_history(spark: SparkSession, history: str) -> DataFrame:
-    try:
-        df = spark.read.option("mergeSchema", True).parquet(history)
-    except Exception:
+def read_history(spark: SparkSession, history: str) -> DataFrame | None:
+    """All appended batches; None before the first one. Read errors are raised."""
+    if not exists(spark, history):
         return None
-    return df.drop("stream", "batch")
+    return spark.read.option("mergeSchema", True).parquet(history).drop("stream", "batch")

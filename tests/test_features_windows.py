@@ -56,3 +56,28 @@ def test_cumulative_sum_and_percent_change_across_slices(spark):
     s["pexp"] = np.where((s["prev"] == 0) | s["prev"].isna(), np.nan, (s["v"] - s["prev"]) / s["prev"])
     m = s.merge(pc[["k", "pc"]], on="k")
     assert np.allclose(m["pexp"].fillna(-1e9), m["pc"].fillna(-1e9))
+
+
+def test_groups_that_cross_slices(spark):
+    """One group with most rows and many small ones over more slices than groups of the large one."""
+    import pandas as pd
+    from tabforge.operators.indexing import global_index
+    from tabforge.operators.windows import cumulative_sum, percent_change
+    rows = [(i, "big" if i % 3 else (None if i % 30 == 0 else f"g{i % 60:02d}"), float(i % 7) or None) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, g string, x double")
+    pdf = pd.DataFrame(rows, columns=["k", "g", "x"])
+    pdf["x"] = pdf["x"].astype(float)
+    by = pdf.sort_values("k").groupby("g", dropna=False)["x"]
+    want = by.cumsum()
+    got = {r["k"]: r["s"] for r in cumulative_sum(df, "x", "k", "s", "g", num_partitions=13).collect()}
+    assert all((got[k] is None) == pd.isna(v) and (got[k] is None or abs(got[k] - v) < 1e-9) for k, v in want.items())
+    prev = by.shift()
+    got = {r["k"]: r["s"] for r in percent_change(df, "x", "k", "s", "g", num_partitions=13).collect()}
+    for k in range(600):
+        p, x = prev[k], pdf["x"][k]
+        w = None if pd.isna(p) or p == 0 or pd.isna(x) else (x - p) / p
+        assert (got[k] is None) == (w is None) and (w is None or abs(got[k] - w) < 1e-9), k
+    want = pdf.sort_values("k").groupby("g", dropna=False).cumcount()
+    got = {r["k"]: r["i"] for r in global_index(df, "k", "i", group="g", num_partitions=13).collect()}
+    assert got == want.to_dict()
+    assert sorted(r["i"] for r in global_index(df, "k", "i", num_partitions=13).collect()) == list(range(600))

@@ -48,3 +48,26 @@ def test_exact_folds_do_not_depend_on_partitioning(spark):
     a = {r["ID"]: r["fold"] for r in split.assign_folds(df, "ID", 5, exact=True).collect()}
     b = {r["ID"]: r["fold"] for r in split.assign_folds(df.repartition(5), "ID", 5, exact=True).collect()}
     assert a == b
+
+
+def test_downsample_takes_labels_of_any_type(spark):
+    import pytest
+    from tabforge.operators.split import downsample
+    rows = [(i, i % 5 == 0, "a" if i % 2 else "b#1") for i in range(200)]
+    df = spark.createDataFrame(rows, "ID long, label boolean, fold string")
+    got = {(r["fold"], r["label"]): r["count"] for r in downsample(df, fold="fold").groupBy("fold", "label").count().collect()}
+    assert got == {(f, v): 20 for f in ("a", "b#1") for v in (True, False)}
+    assert downsample(df).groupBy("label").count().where("count = 40").count() == 2
+    with pytest.raises(ValueError, match="1 rows without"):
+        downsample(df.union(spark.createDataFrame([(900, None, "a")], df.schema)))
+
+
+def test_checkpoint_dir_must_be_shared_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from tabforge.session import ensure_checkpoint_dir
+    unset = SimpleNamespace(get=lambda key, default=None: None)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, getConf=lambda: unset)
+        with pytest.raises(RuntimeError, match="shared folder"):
+            ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=unset))
