@@ -46,11 +46,12 @@ class TrainConfig:
     balancers: list[str] = field(default_factory=lambda: ["none"])
     num_trials: int = 5
     parallelism: int = 5
-    max_iter: int = 50
+    max_iter: int = 1000                      # boosting rounds; patience on the valid fold decides
     downsample: bool = False
     drop_bools: bool = False
     key: str = "ID"
-    ranking: str = "shap"  # M-08: "shap" (mean |SHAP| on test, as the reference), "gain" or "permutation"
+    ranking: str = "permutation"              # M-08: "permutation" (every test row), "gain" or "shap"
+    time_limit: float = 7200.0                # seconds after which no further trial starts
 
 
 @dataclass
@@ -58,4 +59,4 @@ class CompactConfig:
     root: str
     project: str
     folders: tuple = ("runinfo", "trainlog")
-    export_csv: bool = True
+    export_csv: bool = False                  # also one CSV file, written by one task

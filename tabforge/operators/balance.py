@@ -40,7 +40,11 @@ class BalanceReport:
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
-    return {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
+    """Rows per class. A NULL label is no class: such rows raise instead of vanishing."""
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
+    if None in counts:
+        raise ValueError(f"{counts[None]} rows without {label!r}; drop or label them before balancing")
+    return counts
 
 
 def _lit_map(mapping: dict, key: Column, dtype: str) -> Column:
@@ -79,10 +83,6 @@ def _prep_common(df, key, label):
     return counts, n_max
 
 
-def _synthetic_frame(cols_out: dict, key: str, label: str, key_type) -> list[Column]:
-    return [F.lit(None).cast(key_type).alias(key)] + [cols_out[c] for c in cols_out]
-
-
 def _tag_original(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns], F.lit(False).alias("is_synthetic"),
                      F.lit(None).cast("string").alias("draw_id"))
@@ -125,9 +125,9 @@ def _interpolate(draws: DataFrame, base_rows: DataFrame, nn: DataFrame, df: Data
              .withColumn("__gap", u("draw_id", f"{seed}:gap"))
     d = d.join(nn.select(F.col("query_id").alias("__base_key"), F.col("rank").cast("int").alias("__rank"),
                          F.col("donor_id").alias("__nn_key")), ["__base_key", "__rank"], "inner")
-    base = base_rows.select(F.col(key).cast("long").alias("__base_key"),
+    base = base_rows.select(F.col(key).alias("__base_key"),
                             *[F.col(f"`{c}`").cast("double").alias(f"__b{i}") for i, c in enumerate(features)])
-    near = df.select(F.col(key).cast("long").alias("__nn_key"),
+    near = df.select(F.col(key).alias("__nn_key"),
                      *[F.col(f"`{c}`").cast("double").alias(f"__n{i}") for i, c in enumerate(features)])
     j = d.join(base, "__base_key", "inner").join(near, "__nn_key", "inner")
     cols = {}
@@ -161,7 +161,7 @@ def _assemble(df: DataFrame, j: DataFrame, cols: dict, key: str, label: str) ->
 def _neighbour_modes(nn: DataFrame, df: DataFrame, key: str, cat_features, k_of_label: dict, label: str):
     """Per base row: the most frequent value of each nominal column among its
     k' neighbours (smallest value on ties)."""
-    vals = df.select(F.col(key).cast("long").alias("donor_id"), F.col(label).alias("__lbl"),
+    vals = df.select(F.col(key).alias("donor_id"), F.col(label).alias("__lbl"),
                      *[F.col(f"`{c}`").cast("string").alias(c) for c in cat_features])
     kk = _lit_map(k_of_label, F.col("__lbl"), "int")
     j = nn.join(vals, "donor_id").where(F.col("rank") <= kk)
@@ -218,7 +218,7 @@ def smote(df: DataFrame, key: str = "ID", label: str = "label", features: list[s
     draws = draw_table(df.sparkSession, {c: n_max - n for c, n in usable.items()}, label, df.schema[label].dataType)
     n_of = _lit_map(usable, F.col(label), "bigint")
     draws = draws.withColumn("__idx", F.floor(u("draw_id", f"{seed}:base") * n_of).cast("long"))
-    draws = draws.join(idx.select(label, "__idx", F.col(key).cast("long").alias("__base_key")), [label, "__idx"])
+    draws = draws.join(idx.select(label, "__idx", F.col(key).alias("__base_key")), [label, "__idx"])
     nominal = _neighbour_modes(nn, idx, key, cat_features, k_of, label) if cat_features else None
     k_col = _lit_map(k_of, F.col(label), "int")
     j, cols = _interpolate(draws, idx, nn, idx, key, label, features, k_col, seed, nominal, cat_features)
@@ -270,10 +270,10 @@ def adasyn(df: DataFrame, key: str = "ID", label: str = "label", features: list[
     queries = df.where(F.col(label).isin(list(usable)))
     allnn = knn_join(queries, df, features, k=k, key=key, exclude_self=True, strategy=strategy,
                      block_rows=block_rows)
-    lbl = df.select(F.col(key).cast("long").alias("donor_id"), F.col(label).alias("__dl"))
-    qlbl = queries.select(F.col(key).cast("long").alias("query_id"), F.col(label))
-    other = (allnn.join(lbl, "donor_id").join(qlbl, "query_id")
-             .groupBy("query_id", label).agg(F.count_if(F.col("__dl") != F.col(label)).alias("n_other")))
+    lbl = df.select(F.col(key).alias("donor_id"), F.col(label).alias("__dl"))
+    qlbl = queries.select(F.col(key).alias("query_id"), F.col(label))
+    other = cut_lineage(allnn.join(lbl, "donor_id").join(qlbl, "query_id")  # read more than once
+                        .groupBy("query_id", label).agg(F.count_if(F.col("__dl") != F.col(label)).alias("n_other")))
     tot = {r[0]: r[1] for r in other.groupBy(label).agg(F.sum("n_other")).collect()}
     keep = {c: n for c, n in usable.items() if tot.get(c)}
     for c in usable:
@@ -318,10 +318,10 @@ def borderline_smote(df: DataFrame, key: str = "ID", label: str = "label", featu
     queries = df.where(F.col(label).isin(list(usable)))
     allnn = knn_join(queries, df, features, k=m, key=key, exclude_self=True, strategy=strategy,
                      block_rows=block_rows)
-    lbl = df.select(F.col(key).cast("long").alias("donor_id"), F.col(label).alias("__dl"))
-    qlbl = queries.select(F.col(key).cast("long").alias("query_id"), F.col(label))
-    other = (allnn.join(lbl, "donor_id").join(qlbl, "query_id")
-             .groupBy("query_id", label).agg(F.count_if(F.col("__dl") != F.col(label)).alias("n_other")))
+    lbl = df.select(F.col(key).alias("donor_id"), F.col(label).alias("__dl"))
+    qlbl = queries.select(F.col(key).alias("query_id"), F.col(label))
+    other = cut_lineage(allnn.join(lbl, "donor_id").join(qlbl, "query_id")  # read more than once
+                        .groupBy("query_id", label).agg(F.count_if(F.col("__dl") != F.col(label)).alias("n_other")))
     danger = other.where((F.col("n_other") >= F.lit(m / 2)) & (F.col("n_other") < F.lit(m)))
     n_danger = {r[0]: r[1] for r in danger.groupBy(label).count().collect()}
     keep = {c: n for c, n in usable.items() if n_danger.get(c)}
@@ -411,19 +411,20 @@ def kmeans_smote(df: DataFrame, key: str = "ID", label: str = "label", features:
     if not pieces:
         return _tag_original(df, df.columns)
     # one SMOTE over (class, cluster) groups; draws indexed per group
-    grp = F.concat(F.col(label).cast("string"), F.lit("#"), F.col("__cluster").cast("string"))
-    rows = withc.withColumn("__grp", grp)
-    wanted = [f"{c}#{cl}" for c, cl, _ in pieces]
-    rows = rows.where(F.col("__grp").isin(wanted))
+    grp, label_of = F.lit(None).cast("string"), F.lit(None).cast(df.schema[label].dataType)
+    for c, cl, _ in pieces:  # classes x clusters; labels are compared and carried as values, never as text
+        grp = F.when((F.col(label) == F.lit(c)) & (F.col("__cluster") == cl), F.lit(f"{c}#{cl}")).otherwise(grp)
+        label_of = F.when(F.col("__grp") == F.lit(f"{c}#{cl}"), F.lit(c)).otherwise(label_of)
+    rows = withc.withColumn("__grp", grp).where(F.col("__grp").isNotNull())
     gcount = {r[0]: r[1] for r in rows.groupBy("__grp").count().collect()}
     idx = global_index(rows, key, "__idx", group="__grp")  # checkpointed: kNN and joins read it
     nn = knn_join(idx, idx, features, k=k, key=key, exclude_self=True, group="__grp", strategy=strategy,
                   block_rows=block_rows)
     draws = draw_table(df.sparkSession, {f"{c}#{cl}": q for c, cl, q in pieces}, "__grp", T.StringType())
-    draws = draws.withColumn(label, F.element_at(F.split("__grp", "#"), 1).cast(df.schema[label].dataType))
+    draws = draws.withColumn(label, label_of)
     n_of = _lit_map(gcount, F.col("__grp"), "bigint")
     draws = draws.withColumn("__idx", F.floor(u("draw_id", f"{seed}:base") * n_of).cast("long"))
-    draws = draws.join(idx.select("__grp", "__idx", F.col(key).cast("long").alias("__base_key")), ["__grp", "__idx"])
+    draws = draws.join(idx.select("__grp", "__idx", F.col(key).alias("__base_key")), ["__grp", "__idx"])
     k_col = F.least(F.lit(k), n_of - 1).cast("int")
     j, cols = _interpolate(draws, idx, nn, idx, key, label, features, k_col, seed)
     return _assemble(df, j, cols, key, label)
@@ -434,7 +435,7 @@ def _mean_distance(queries, donors, features, k, key, farthest, strategy, block_
     nn = knn_join(queries, donors, features, k=k, key=key, strategy=strategy, block_rows=block_rows,
                   farthest=farthest)
     # rounded so that equal neighbour sets tie exactly whatever the summation order
-    return nn.groupBy("query_id").agg(F.round(F.avg("distance"), 9).alias("__score"))
+    return cut_lineage(nn.groupBy("query_id").agg(F.round(F.avg("distance"), 9).alias("__score")))
 
 
 def near_miss(df: DataFrame, key: str = "ID", label: str = "label", features: list[str] | None = None,
@@ -457,10 +458,10 @@ def near_miss(df: DataFrame, key: str = "ID", label: str = "label", features: li
         maj = df.where(F.col(label) == F.lit(c))
         if version == 3:
             short = knn_join(mino, maj, features, k=k3, key=key, strategy=strategy, block_rows=block_rows)
-            ids = short.select(F.col("donor_id").alias("__sid")).distinct()
-            maj = maj.join(ids, F.col(key).cast("long") == F.col("__sid"), "left_semi")
+            ids = cut_lineage(short.select(F.col("donor_id").alias("__sid")).distinct())
+            maj = maj.join(ids, F.col(key) == F.col("__sid"), "left_semi")
         score = _mean_distance(maj, mino, features, k, key, version == 2, strategy, block_rows)
-        scored = maj.join(score, F.col(key).cast("long") == F.col("query_id")).drop("query_id")
+        scored = maj.join(score, F.col(key) == F.col("query_id")).drop("query_id")
         if version == 3:
             scored = scored.withColumn("__score", -F.col("__score"))
         kept = keep_smallest(scored.withColumn("__g", F.lit(1)), "__g", "__score", key, {1: n_min})
@@ -471,7 +472,7 @@ def near_miss(df: DataFrame, key: str = "ID", label: str = "label", features: li
 # ------------------------------------------------------------------ B-12 NCR, B-13 OSS
 def _vote(nn: DataFrame, df: DataFrame, key: str, label: str) -> DataFrame:
     """query_id -> predicted label = most frequent neighbour label (smallest on ties)."""
-    lbl = df.select(F.col(key).cast("long").alias("donor_id"), F.col(label).alias("__dl"))
+    lbl = df.select(F.col(key).alias("donor_id"), F.col(label).alias("__dl"))
     cnt = nn.join(lbl, "donor_id").groupBy("query_id", "__dl").agg(F.count(F.lit(1)).alias("n"))
     return cnt.groupBy("query_id").agg(F.min_by("__dl", F.struct((-F.col("n")).alias("nn"), F.col("__dl"))).alias("__pred"))
 
@@ -486,31 +487,31 @@ def neighbourhood_cleaning(df: DataFrame, key: str = "ID", label: str = "label",
     if len(counts) < 2:
         return df
     minority = min(counts, key=lambda c: (counts[c], str(c)))
-    nn = knn_join(df, df, features, k=k, key=key, exclude_self=True, strategy=strategy, block_rows=block_rows)
-    pred = _vote(nn, df, key, label)
-    own = df.select(F.col(key).cast("long").alias("query_id"), F.col(label).alias("__own"))
+    nn = cut_lineage(knn_join(df, df, features, k=k, key=key, exclude_self=True, strategy=strategy, block_rows=block_rows))
+    pred = cut_lineage(_vote(nn, df, key, label))
+    own = df.select(F.col(key).alias("query_id"), F.col(label).alias("__own"))
     wrong = pred.join(own, "query_id").where(F.col("__pred") != F.col("__own"))
     drop1 = wrong.where(F.col("__own") != F.lit(minority)).select(F.col("query_id").alias("__drop"))
     bad_min = wrong.where(F.col("__own") == F.lit(minority)).select("query_id")
-    lbl = df.select(F.col(key).cast("long").alias("donor_id"), F.col(label).alias("__dl"))
+    lbl = df.select(F.col(key).alias("donor_id"), F.col(label).alias("__dl"))
     drop2 = nn.join(bad_min, "query_id", "left_semi").join(lbl, "donor_id") \
         .where(F.col("__dl") != F.lit(minority)).select(F.col("donor_id").alias("__drop"))
     drops = drop1.unionByName(drop2).distinct()
-    return df.join(drops, F.col(key).cast("long") == F.col("__drop"), "left_anti")
+    return df.join(drops, F.col(key) == F.col("__drop"), "left_anti")
 
 
 def tomek_drop(df: DataFrame, key: str, label: str, features: list[str], keep_class, strategy="auto",
                block_rows: int = 20_000) -> DataFrame:
     """Remove members of Tomek links (mutual 1-NN of different classes) that are not ``keep_class``."""
-    nn = knn_join(df, df, features, k=1, key=key, exclude_self=True, strategy=strategy, block_rows=block_rows)
+    nn = cut_lineage(knn_join(df, df, features, k=1, key=key, exclude_self=True, strategy=strategy, block_rows=block_rows))
     a = nn.select(F.col("query_id").alias("a"), F.col("donor_id").alias("b"))
     b = nn.select(F.col("query_id").alias("b"), F.col("donor_id").alias("a"))
     mutual = a.join(b, ["a", "b"])
-    lbl = df.select(F.col(key).cast("long").alias("a"), F.col(label).alias("__la"))
-    lblb = df.select(F.col(key).cast("long").alias("b"), F.col(label).alias("__lb"))
+    lbl = df.select(F.col(key).alias("a"), F.col(label).alias("__la"))
+    lblb = df.select(F.col(key).alias("b"), F.col(label).alias("__lb"))
     links = mutual.join(lbl, "a").join(lblb, "b").where(F.col("__la") != F.col("__lb"))
     drops = links.where(F.col("__la") != F.lit(keep_class)).select(F.col("a").alias("__drop")).distinct()
-    return df.join(drops, F.col(key).cast("long") == F.col("__drop"), "left_anti")
+    return df.join(drops, F.col(key) == F.col("__drop"), "left_anti")
 
 
 def one_sided_selection(df: DataFrame, key: str = "ID", label: str = "label",
@@ -528,21 +529,20 @@ def one_sided_selection(df: DataFrame, key: str = "ID", label: str = "label",
     out = mino
     for c in sorted((c for c in counts if c != minority), key=str):
         maj = df.where(F.col(label) == F.lit(c))
-        seed_row = maj.withColumn("__u", u(key, seed)).orderBy("__u", key).limit(1).drop("__u")
+        seed_row = cut_lineage(maj.withColumn("__u", u(key, seed)).orderBy("__u", key).limit(1).drop("__u"))
         pool = mino.unionByName(seed_row)
         nn = knn_join(maj, pool, features, k=1, key=key, exclude_self=True, strategy=strategy,
                       block_rows=block_rows)
-        lbl = pool.select(F.col(key).cast("long").alias("donor_id"), F.col(label).alias("__dl"))
+        lbl = pool.select(F.col(key).alias("donor_id"), F.col(label).alias("__dl"))
         hit = nn.join(lbl, "donor_id").where(F.col("__dl") == F.lit(minority)).select(F.col("query_id").alias("__k"))
-        kept = maj.join(hit, F.col(key).cast("long") == F.col("__k"), "left_semi")
+        kept = maj.join(hit, F.col(key) == F.col("__k"), "left_semi")
+        hit = cut_lineage(hit)
         out = out.unionByName(seed_row).unionByName(kept.join(seed_row.select(F.col(key).alias("__s")),
                                                               F.col(key) == F.col("__s"), "left_anti"))
-    return tomek_drop(out, key, label, features, minority, strategy, block_rows)
+    return tomek_drop(cut_lineage(out), key, label, features, minority, strategy, block_rows)
 
 
 # ------------------------------------------------------------------ B-14, B-15
-OVERSAMPLERS = ("ros", "smote", "adasyn", "borderlinesmote", "kmeanssmote")
-UNDERSAMPLERS = ("nearmiss1", "nearmiss2", "nearmiss3")
 SLOW = ("neighborhoodcleaningrule", "onesidedselection")
 
 

@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tabforge.session import cut_lineage
 
@@ -217,14 +218,37 @@ def _cats(pdf: pd.DataFrame, cols: list[str]) -> np.ndarray | None:
 
 
 def _prepare(df: DataFrame, key: str, features: list[str], cat_features: list[str],
-             group: str | None) -> DataFrame:
+             group: str | None, missing_ok: bool = False) -> DataFrame:
+    """Key, coordinates and group under fixed names. A distance to a missing coordinate is not
+    defined, so unless the metric takes them (``missing_ok``) such a row fails the query."""
     cols = [F.col(key).cast("long").alias("__id")]
-    cols += [F.col(f"`{c}`").cast("double").alias(f"__x{i}") for i, c in enumerate(features)]
+    for i, c in enumerate(features):
+        x = F.col(f"`{c}`").cast("double")
+        if not missing_ok:
+            x = F.when(x.isNull() | F.isnan(x), F.raise_error(F.concat(
+                F.lit(f"neighbour search: feature {c!r} is missing in row "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")),
+                F.lit("; impute it first")))).otherwise(x)
+        cols.append(x.alias(f"__x{i}"))
     cols += [F.col(f"`{c}`").cast("string").alias(f"__c{i}") for i, c in enumerate(cat_features)]
     cols += [F.col(f"`{group}`").alias("__g")] if group else [F.lit(0).alias("__g")]
     return df.select(*cols)
 
 
+def _by_rank(queries: DataFrame, donors: DataFrame, key: str, search) -> DataFrame:
+    """``search(queries, donors)`` for keys that are not integers: rows are numbered in key order
+    (so ties still go by key) and the numbers are turned back into keys."""
+    from tabforge.operators.indexing import global_index
+    names = queries.select(F.col(f"`{key}`").alias("__key")).union(donors.select(F.col(f"`{key}`").alias("__key")))
+    ids = cut_lineage(global_index(names.where(F.col("__key").isNotNull()).distinct(), "__key", "__kid"))
+
+    def numbered(df: DataFrame) -> DataFrame:
+        return df.join(ids, F.col(f"`{key}`") == F.col("__key")).drop(key, "__key").withColumnRenamed("__kid", key)
+    nn = search(numbered(queries), numbered(donors))
+    for side in ("query_id", "donor_id"):
+        nn = nn.join(ids, nn[side] == ids["__kid"]).drop(side, "__kid").withColumnRenamed("__key", side)
+    return nn.select("query_id", "donor_id", "distance", "rank")
+
+
 def _rank(cands: DataFrame, k: int, farthest: bool = False) -> DataFrame:
     """Merge candidates: the window partition is one query's candidates
     (blocks x k rows), never a whole group."""
@@ -245,12 +269,15 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
     ``blocked`` (exact, every block pair) or ``auto``: broadcast when the
     donors fit, else partitioned when the metric allows pruning, else blocked."""
     cat_features = list(cat_features)
-    q = _prepare(queries, key, features, cat_features, group)
-    d = _prepare(donors, key, features, cat_features, group)
+    if not isinstance(queries.schema[key].dataType, IntegralType):
+        return _by_rank(queries, donors, key, lambda q, d: knn_join(
+            q, d, features, k, key, metric, exclude_self, group, cat_features, cat_penalty, strategy, broadcast_budget,
+            block_rows, farthest))
+    missing_ok = metric == "nan_euclidean"
+    q = _prepare(queries, key, features, cat_features, group, missing_ok)
+    d = _prepare(donors, key, features, cat_features, group, missing_ok)
     if strategy == "auto":
-        n_d = d.count()
-        row_bytes = 8 * (len(features) + 2) + 16 * len(cat_features)
-        if n_d * row_bytes <= broadcast_budget:
+        if _bytes(d, len(features), len(cat_features)) <= broadcast_budget:
             strategy = "broadcast"
         elif metric in ("euclidean", "mixed") and not farthest and 0 < len(features) <= PRUNE_MAX_DIMS:
             strategy = "partitioned"
@@ -272,13 +299,19 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
     return _rank(cands, k, farthest)
 
 
+def _bytes(d: DataFrame, n_features: int, n_cats: int) -> int:
+    """Measured size of the prepared donors as arrays: 8 bytes a number, the strings' own length."""
+    text = sum((F.coalesce(F.octet_length(f"__c{i}"), F.lit(0)) + 64 for i in range(n_cats)), F.lit(0))
+    r = d.agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first()
+    return r[0] * 8 * (n_features + 2) + r[1]
+
+
 def _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, budget,
                     farthest=False):
     spark = q.sparkSession
-    n_d = d.count()
-    row_bytes = 8 * (len(features) + 2) + 16 * len(cat_features)
-    if n_d * row_bytes > budget:
-        raise ValueError(f"donors need ~{n_d * row_bytes} bytes, over the broadcast budget {budget}; "
+    size = _bytes(d, len(features), len(cat_features))
+    if size > budget:
+        raise ValueError(f"donors need ~{size} bytes, over the broadcast budget {budget}; "
                          "use strategy='blocked'")
     pdf = d.toPandas()  # size checked above
     xcols = [f"__x{i}" for i in range(len(features))]
@@ -384,8 +417,8 @@ def impute_candidates(queries: DataFrame, donors: DataFrame, features: list[str]
     missing cell, merged per (query, column). ``partitioned`` (the ``auto``
     choice when the donors span several cells) prunes by one coordinate;
     ``blocked`` compares every query block with every donor block."""
-    q = _prepare(queries, key, features, [], None)
-    d = _prepare(donors, key, features, [], None)
+    q = _prepare(queries, key, features, [], None, missing_ok=True)
+    d = _prepare(donors, key, features, [], None, missing_ok=True)
     # one coordinate prunes well only in a few dimensions
     if strategy == "partitioned" or (strategy == "auto" and len(features) <= PRUNE_MAX_DIMS):
         cands = _partitioned_impute(q, d, features, k, block_rows)

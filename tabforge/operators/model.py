@@ -11,9 +11,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Seed and early-stopping patience of the reference's trainer.
+# Seed, boosting rounds and early-stopping patience of the reference's trainer.
 SEED = 314
+ROUNDS = 1000
 PATIENCE = 10
+#: With a valid set, boosting is tried with this many rounds first, then twice as many, and so on.
+FIRST_ROUNDS = 32
 
 
 @dataclass
@@ -23,7 +26,7 @@ class TrialParams:
     colsample: float = 1.0
     subsample: float = 1.0
     learning_rate: float = 0.1
-    max_iter: int = 50
+    max_iter: int = ROUNDS
 
     @property
     def depth(self) -> int:
@@ -84,26 +87,53 @@ def early_stop_rounds(losses: list[float], patience: int = PATIENCE) -> int:
     return best_i + 1
 
 
+def stopped(losses: list[float], patience: int = PATIENCE) -> bool:
+    """Whether early stopping ends inside ``losses``."""
+    return len(losses) - early_stop_rounds(losses, patience) >= patience
+
+
+def tree_prefix(spark, model, n: int, task: str):
+    """The model of the first ``n`` trees. Boosting is sequential and seeded, so this is the model
+    that a fit with ``n`` rounds would give, without that fit."""
+    from pyspark.ml.classification import GBTClassificationModel
+    from pyspark.ml.regression import GBTRegressionModel
+    sc = spark.sparkContext
+    jvm, java = sc._jvm, model._java_obj
+    trees, weights = list(java.trees())[:n], list(java.treeWeights())[:n]
+    jt = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
+    jw = sc._gateway.new_array(jvm.double, len(weights))
+    for i in range(len(trees)):
+        jt[i], jw[i] = trees[i], weights[i]
+    if task == "Regression":
+        cut = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), jt, jw, java.numFeatures()))
+    else:
+        cut = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+            java.uid(), jt, jw, java.numFeatures(), java.numClasses()))
+    return cut.setFeaturesCol("__features")
+
+
 def fit_gbt(train: DataFrame, features: list[str], label: str = "label", params: TrialParams | None = None,
             task: str = "Classification", valid: DataFrame | None = None, seed: int = SEED,
             patience: int = PATIENCE) -> GbtModel:
-    """Fit up to ``params.max_iter`` trees; with ``valid`` keep the prefix that
-    early stopping (patience 10 on the valid loss) would have kept."""
+    """Fit up to ``params.max_iter`` trees. With ``valid``, patience decides: the number of rounds
+    is doubled until ``patience`` rounds have passed without a better valid loss, and the trees up
+    to the best round are kept."""
     params = params or TrialParams()
     shell = GbtModel(None, list(features), label, task, params.max_iter)
     data = shell._vec(train.withColumn(label, F.col(label).cast("double")))
-    model = _estimator(task, label, params, params.max_iter, seed).fit(data)
-    losses = []
-    n = params.max_iter
-    if valid is not None:
-        vdata = shell._vec(valid.withColumn(label, F.col(label).cast("double")))
+    if valid is None:
+        return GbtModel(_estimator(task, label, params, params.max_iter, seed).fit(data), list(features), label, task, params.max_iter, [])
+    vdata = shell._vec(valid.withColumn(label, F.col(label).cast("double")))
+    rounds = min(FIRST_ROUNDS, params.max_iter)
+    while True:
+        model = _estimator(task, label, params, rounds, seed).fit(data)
         losses = list(model.evaluateEachIteration(vdata, "squared") if task == "Regression"
                       else model.evaluateEachIteration(vdata))
-        n = early_stop_rounds(losses, patience)
-        if n < params.max_iter:
-            # boosting is sequential and seeded: the refit repeats the first n trees
-            model = _estimator(task, label, params, n, seed).fit(data)
-    return GbtModel(model, list(features), label, task, n, losses)
+        if rounds >= params.max_iter or stopped(losses, patience):
+            break
+        rounds = min(2 * rounds, params.max_iter)
+    n = early_stop_rounds(losses, patience)
+    return GbtModel(tree_prefix(train.sparkSession, model, n, task) if n < len(losses) else model, list(features), label, task, n, losses)
 
 
 def feature_importances(model: GbtModel, spark, method: str = "gain", data: DataFrame | None = None,
@@ -144,7 +174,8 @@ class Calibrated:
         out = self.base.predict(df)
         if self.iso is None:
             return out
-        out = self.iso.transform(out.withColumnRenamed("p", "__p_raw")).withColumnRenamed("prediction", "p")
+        out = self.iso.setFeaturesCol("__p_raw").setPredictionCol("prediction").transform(
+            out.withColumnRenamed("p", "__p_raw")).withColumnRenamed("prediction", "p")
         return out.drop("__p_raw").withColumn("yhat", (F.col("p") >= 0.5).cast("int"))
 
 
@@ -165,39 +196,31 @@ def calibrate(model: GbtModel, valid: DataFrame, test: DataFrame) -> Calibrated:
     return Calibrated(model, iso if after < before else None, before, after)
 
 
-def permutation_importance(model: GbtModel, df: DataFrame, key: str = "ID", n_values: int = 1024,
-                           seed: str = "perm") -> DataFrame:
-    """Distributed permutation importance: (feature, importance).
+def permutation_importance(model: GbtModel, df: DataFrame, key: str = "ID", seed: str = "perm") -> DataFrame:
+    """Distributed permutation importance over every row: (feature, importance).
 
-    For every row and feature f, f is replaced by a value drawn (by
-    ``u(key, f)``) from a sample of ``n_values`` values of that column, which
-    breaks its link to the label like a shuffle would. All p variants are
-    scored in one ``transform`` (rows x (p + 1)), and the importance is the
-    drop in accuracy (classification) or in -RMSE (regression) against the
-    unchanged rows. Only the per-feature samples (p x n_values numbers) and
-    p + 1 metric rows reach the driver."""
-    from tabforge.functions.hashing import u, u_col
-    from tabforge.operators.indexing import keep_smallest
+    Rows are numbered in the random order of ``u(key, seed)``; feature f of a row is replaced by
+    the value in the row that stands a feature-specific offset further on (cyclically), which is a
+    permutation of the whole column. All p variants are scored in one ``transform`` (rows x (p + 1));
+    the importance is the drop in accuracy (classification) or in -RMSE (regression) against the
+    unchanged rows. Only the row count and p + 1 metric rows reach the driver."""
+    from tabforge.functions.hashing import u
+    from tabforge.operators.indexing import global_index
     spark = df.sparkSession
     feats = list(model.features)
     base = df.select(F.col(key), F.col(model.label), *[F.col(f"`{c}`").cast("double").alias(c) for c in feats])
-    # bounded marginal sample: the n_values rows with the smallest u(key, seed)
-    smp = keep_smallest(base.withColumn("__g", F.lit(1)).withColumn("__u", u(key, seed)), "__g", "__u", key,
-                        {1: n_values}).select(*feats).collect()
-    n_pool = max(1, len(smp))
-    # (feature, slot, value): p x n_values rows, a size fixed by the parameters, not by the data
-    pools = spark.createDataFrame([(c, i + 1, None if r[c] is None else float(r[c]))
-                                   for c in feats for i, r in enumerate(smp)],
-                                  "__variant string, __pick int, __pval double")
-    names = F.array(F.lit("__none__"), *[F.lit(c) for c in feats])
-    exploded = base.select(F.col(key), F.col(model.label), *[F.col(c) for c in feats],
-                           F.explode(names).alias("__variant"))
-    # variant f replaces f by pool value floor(u(key, seed:f) * n_pool) + 1
-    pick = F.floor(u_col(key, F.concat(F.lit(f"{seed}:"), F.col("__variant"))) * F.lit(n_pool)).cast("int") + 1
-    exploded = exploded.withColumn("__pick", pick).join(F.broadcast(pools), ["__variant", "__pick"], "left")
-    exploded = exploded.select(key, model.label, "__variant", *[
-        F.when(F.col("__variant") == F.lit(c), F.col("__pval")).otherwise(F.col(c)).alias(c) for c in feats])
-    pred = model.predict(exploded)
+    at = global_index(base.withColumn("__u", u(key, seed)), ["__u", key], "__at").drop("__u")
+    n = at.count()
+    offsets = spark.createDataFrame([(c,) for c in feats], "__variant string")
+    offsets = {r[0]: r[1] for r in offsets.select("__variant", (F.floor(u("__variant", seed) * max(1, n - 1)) + 1).cast("long")).collect()}
+    variants = F.array(F.struct(F.lit("__none__").alias("__variant"), F.lit(0).cast("long").alias("__off")),
+                       *[F.struct(F.lit(c).alias("__variant"), F.lit(offsets[c]).cast("long").alias("__off")) for c in feats])
+    rows = at.withColumn("__v", F.explode(variants)).withColumn("__variant", F.col("__v.__variant")).withColumn(
+        "__from", F.pmod(F.col("__at") + F.col("__v.__off"), F.lit(max(1, n)))).drop("__v")
+    donor = at.select(F.col("__at").alias("__from"), F.struct(*[F.col(c) for c in feats]).alias("__d"))
+    rows = rows.join(donor, "__from").select(key, model.label, "__variant", *[
+        F.when(F.col("__variant") == F.lit(c), F.col(f"__d.{c}")).otherwise(F.col(c)).alias(c) for c in feats])
+    pred = model.predict(rows)
     y = F.col(model.label).cast("double")
     if model.task == "Regression":
         score = -F.sqrt(F.avg((y - F.col("yhat")) ** 2))
@@ -205,5 +228,5 @@ def permutation_importance(model: GbtModel, df: DataFrame, key: str = "ID", n_va
         score = F.avg((y == F.col("yhat").cast("double")).cast("double"))
     scores = {r["__variant"]: r["s"] for r in pred.groupBy("__variant").agg(score.alias("s")).collect()}
     ref = scores.get("__none__")
-    rows = [(c, float(ref - scores[c]) if ref is not None and scores.get(c) is not None else None) for c in feats]
-    return spark.createDataFrame(rows, "feature string, importance double")
+    out = [(c, float(ref - scores[c]) if ref is not None and scores.get(c) is not None else None) for c in feats]
+    return spark.createDataFrame(out, "feature string, importance double")

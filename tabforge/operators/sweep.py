@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.hashing import u
-from tabforge.operators.model import TrialParams, fit_gbt, rank_features
+from tabforge.operators.model import ROUNDS, TrialParams, fit_gbt
 from tabforge.operators.report import classification_report, neg_rmse
 from tabforge.operators.impute import fit_imputer
 from tabforge.operators.variant import model_features, variant
@@ -49,66 +49,88 @@ def trial_table(spark, n_trials: int, imputers: list[str], balancers: list[str])
 
 def run_sweep(df: DataFrame, trials: DataFrame, key: str = "ID", label: str = "label",
               task: str = "Classification", primary_metric: str = "weighted-avg_f1-score",
-              max_iter: int = 20, parallelism: int = 5, features: list[str] | None = None,
-              balance_kw: dict | None = None) -> tuple[DataFrame, dict]:
-    """Run every trial; returns (trial results table, {trial_id: (model, metrics)})."""
+              max_iter: int = ROUNDS, parallelism: int = 5, features: list[str] | None = None,
+              balance_kw: dict | None = None, time_limit: float = 7200.0) -> tuple[DataFrame, dict]:
+    """Run every trial; returns (trial results table, {trial_id: (model, metrics)}).
+
+    A trial or a variant that fails is recorded (score NULL, the reason in ``error``) and the
+    others go on; after ``time_limit`` seconds no further trial starts. Valid and test rows are
+    kept once per imputer, balanced train rows once per variant and only while its trials run."""
     from pyspark import StorageLevel
     spark = df.sparkSession
     features = features or model_features(df, key, label)
     rows = trials.orderBy("trial_id").collect()  # the trial table: n_trials rows
+    began = time.time()
     # every variant of every trial reads the same projection: compute it once
     base = df.select(key, label, "fold", *[F.col(f"`{c}`") for c in features]).persist(
         StorageLevel.MEMORY_AND_DISK)
-    cache: dict = {}
-    imputers: dict = {}
-
-    def folds(imputer, balancer):
-        if (imputer, balancer) not in cache:
-            if imputer not in imputers:
-                fit_rows = base.where(F.col("fold") == "train").select(
-                    key, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
-                imputers[imputer] = fit_imputer(imputer, fit_rows, key)
-            parts = {f: variant(base, f, imputer, balancer, key, label, features,
-                                imputer_model=imputers[imputer], **(balance_kw or {})).persist(
-                StorageLevel.MEMORY_AND_DISK) for f in ("train", "valid", "test")}
-            cache[(imputer, balancer)] = parts
-        return cache[(imputer, balancer)]
-
-    for r in rows:  # variants are built once, on the driver thread
-        folds(r["imputer"], r["balancer"])
-
-    def one(r):
+    fit_rows = base.where(F.col("fold") == "train").select(key, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+    done: dict = {}
+
+    def part(fold, imputer, balancer, model):
+        return variant(base, fold, imputer, balancer, key, label, features, imputer_model=model,
+                       **(balance_kw or {})).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def one(r, train, valid, test):
         t0 = time.time()
-        parts = folds(r["imputer"], r["balancer"])
+        if t0 - began > time_limit:
+            raise TimeoutError(f"not started: the sweep is over its limit of {time_limit:g} s")
         params = TrialParams(r["max_depth"], r["num_leaves"], r["colsample"], r["subsample"],
                              r["learning_rate"], max_iter)
-        model = fit_gbt(parts["train"], features, label, params, task, valid=parts["valid"])
-        pred = model.predict(parts["test"])
+        model = fit_gbt(train, features, label, params, task, valid=valid)
+        pred = model.predict(test)
         if task == "Regression":
             metrics = {"neg_root_mean_squared_error": neg_rmse(pred, label, "yhat").first()[0]}
         else:
             metrics = {m["metric"]: m["value"] for m in classification_report(pred, label, "yhat").collect()}
         metrics["n_trees"] = float(model.n_trees)
         metrics["fit_seconds"] = time.time() - t0
-        return r["trial_id"], model, metrics
+        return model, metrics
+
+    def attempt(r, *parts):
+        try:
+            done[r["trial_id"]] = (*one(r, *parts), None)
+        except Exception as e:  # one bad trial does not end the sweep
+            done[r["trial_id"]] = (None, {}, f"{type(e).__name__}: {e}")
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(one, rows))
-    out_rows = [(tid, r["imputer"], r["balancer"], float(m.get(primary_metric, float("nan"))), m)
-                for (tid, model, m), r in zip(results, rows)]
-    table = spark.createDataFrame(
-        [(t, i, b, s, {k: float(v) for k, v in m.items()}) for t, i, b, s, m in out_rows],
-        "trial_id long, imputer string, balancer string, score double, metrics map<string,double>")
-    for parts in cache.values():
-        for p in parts.values():
-            p.unpersist()
+        for imputer in dict.fromkeys(r["imputer"] for r in rows):
+            mine = [r for r in rows if r["imputer"] == imputer]
+            held = []
+            try:
+                model = fit_imputer(imputer, fit_rows, key)
+                valid, test = (part(f, imputer, "none", model) for f in ("valid", "test"))
+                held += [valid, test]
+                # every balancer of this imputer: trials of all variants share the pool
+                jobs = []
+                for balancer in dict.fromkeys(r["balancer"] for r in mine):
+                    some = [r for r in mine if r["balancer"] == balancer]
+                    try:
+                        train = part("train", imputer, balancer, model)
+                    except Exception as e:
+                        done.update({r["trial_id"]: (None, {}, f"{type(e).__name__}: {e}") for r in some})
+                        continue
+                    held.append(train)
+                    jobs += [pool.submit(attempt, r, train, valid, test) for r in some]
+                for j in jobs:
+                    j.result()
+            except Exception as e:
+                done.update({r["trial_id"]: (None, {}, f"{type(e).__name__}: {e}") for r in mine if r["trial_id"] not in done})
+            finally:
+                for h in held:
+                    h.unpersist()
+    out_rows = [(r["trial_id"], r["imputer"], r["balancer"],
+                 float(m[primary_metric]) if m.get(primary_metric) is not None else None,
+                 {k: float(v) for k, v in m.items()}, error) for r in rows for _model, m, error in [done[r["trial_id"]]]]
+    table = spark.createDataFrame(out_rows, "trial_id long, imputer string, balancer string, score double, "
+                                            "metrics map<string,double>, error string")
     base.unpersist()
-    return table, {tid: (model, m) for tid, model, m in results}
+    return table, {tid: (model, m) for tid, (model, m, error) in done.items() if error is None}
 
 
 def best_trial(trials: DataFrame, score: str = "score") -> DataFrame:
     """W-05: the maximum score, ties by the smaller trial id."""
-    return trials.orderBy(F.desc(score), F.asc("trial_id")).limit(1)
+    return trials.where(F.col(score).isNotNull()).orderBy(F.desc(score), F.asc("trial_id")).limit(1)
 
 
 def sweep_summary(trials: DataFrame, tags: DataFrame | None = None, score: str = "score") -> DataFrame:

@@ -447,7 +447,7 @@ def _toxic_model(spark, sf_dir, task="Classification"):
         df = df.drop("label").withColumnRenamed("n_chars", "label")
     feats = [c for c in TOXIC_NUM if c in df.columns]
     parts, _base = fold_variants(df, "mean", "none", features=feats)
-    model = mdl.fit_gbt(parts["train"], feats, "label", mdl.TrialParams(max_depth=5, num_leaves=31, max_iter=20),
+    model = mdl.fit_gbt(parts["train"], feats, "label", mdl.TrialParams(max_depth=5, num_leaves=31),
                         task, valid=parts["valid"])
     return model, parts
 
@@ -475,7 +475,7 @@ def q_predict_report(spark, sf_dir):
 def q_sweep(spark, sf_dir):
     df = toxic_folds(spark, sf_dir)
     trials = swp.trial_table(spark, 3, ["mean", "knn"], ["none", "ros", "smote"])
-    table, _models = swp.run_sweep(df, trials, features=TOXIC_NUM, max_iter=10, parallelism=3)
+    table, _models = swp.run_sweep(df, trials, features=TOXIC_NUM, parallelism=3)
     return table.select("trial_id", "imputer", "balancer", r("score").alias("score"))
 
 
@@ -648,16 +648,9 @@ def _history_out(df):
 @register("s11_compact_history")
 def q_compact(spark, sf_dir):
     folder = _write_deltas(spark, sf_dir)
-    hist = None
     for sub in ("even", "odd"):  # two compactions: the second appends to the first
-        files = history.list_deltas(spark, f"{folder}/{sub}", "*/*.csv")
-        new = history.read_deltas(spark, files)
-        old = history.current_history(spark, folder)
-        hist = runlog.union_outer([x for x in (old, new) if x is not None])
-        ver = int(stage._read_text(spark, f"{folder}/_history/CURRENT") or 0) + 1
-        hist.write.mode("overwrite").parquet(f"{folder}/_history/v={ver}")
-        stage._write_text(spark, f"{folder}/_history/CURRENT", str(ver))
-    return _history_out(history.current_history(spark, folder))
+        hist = history.compact_history(spark, folder, pattern=f"{sub}/*/*.csv")
+    return _history_out(hist)
 
 
 @register("s12_compact_stream")
@@ -718,7 +711,7 @@ def q_train(spark, sf_dir):
     cfg = FeaturizeConfig(project="toxic", label="label", root=root, imputers=["mean"])
     featurize_plan(spark, cfg, fx.fx_toxic(spark, sf_dir))
     res = train_plan(spark, TrainConfig(project="toxic", label="label", root=root, imputers=["mean"],
-                                        balancers=["none", "ros"], num_trials=3, max_iter=10, parallelism=3))
+                                        balancers=["none", "ros"], num_trials=3, parallelism=3))
     return res.trials.select("trial_id", "imputer", "balancer", r("score").alias("score"))
 
 
@@ -820,6 +813,48 @@ def q_run_row_sink(spark, sf_dir):
     return back.select(F.col("metric").cast("double").alias("metric")).select(r("metric").alias("metric"))
 
 
+@register("b01_downsample_folds")
+def q_downsample_folds(spark, sf_dir):
+    """Down-sampling inside every fold, on a boolean label."""
+    df = split.assign_folds(fx.fx_orders(spark, sf_dir).select("ID", "label"), "ID", 42)
+    out = split.downsample(df.withColumn("label", F.col("label") == 1), "label", "ID", "downsample", fold="fold")
+    return out.select("ID", "fold", F.col("label").cast("int").alias("label"))
+
+
+@register("j01_attach_label")
+def q_attach_label(spark, sf_dir):
+    """A label table delivered apart from its features, joined back one to one."""
+    from tabforge.bundle import attach_label
+    df = fx.fx_orders(spark, sf_dir).select("ID", "o_orderstatus", "label")
+    return attach_label(df.drop("label"), df.select("ID", "label"))
+
+
+@register("s13_model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """The calibrated model saved, registered, loaded back by its registry row, and applied to the
+    test fold: every row must carry the in-memory model's probability."""
+    from tabforge.sources import catalog
+    model, parts = _toxic_model(spark, sf_dir)
+    cal = mdl.calibrate(model, parts["valid"], parts["test"])
+    root = scratch(spark, "models")
+    path = stage.save_model(cal, f"{root}/toxic/m1", {"runId": "m1"})
+    catalog.register_model(spark, root, "toxic", path, {"calibrated": cal.used})
+    entry = spark.read.parquet(f"{root}/_catalog/models").where("name = 'toxic'").orderBy(F.desc("version")).first()
+    loaded, _desc = stage.load_model(spark, entry["path"])
+    a = cal.predict(parts["test"]).select("ID", F.col("p").alias("p_memory"))
+    b = loaded.predict(parts["test"]).select("ID", F.col("p").alias("p_loaded"))
+    return a.join(b, "ID").select("ID", r("p_loaded").alias("p"), (F.abs(F.col("p_memory") - F.col("p_loaded")) < 1e-12).alias("same"))
+
+
+@register("b15_variant")
+def q_variant(spark, sf_dir):
+    """The valid fold of the (mean, ros) variant: imputed by the train fit, never balanced."""
+    from tabforge.operators.variant import variant
+    df = toxic_folds(spark, sf_dir)
+    out = variant(df, "valid", "mean", "ros", features=TOXIC_NUM)
+    return out.select("ID", "label", *[r(c).alias(c) for c in TOXIC_NUM])
+
+
 @register("m08_permutation_importance")
 def q_perm(spark, sf_dir):
     """Permutation importance of the fx_toxic model on the test fold."""

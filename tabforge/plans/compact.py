@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tabforge.config import CompactConfig
-from tabforge.sources.history import compact_history
+from tabforge.sources.history import compact_history, current_history, list_deltas
 
 
 def compact(spark: SparkSession, cfg: CompactConfig) -> dict:
     out = {}
     for folder in cfg.folders:
         path = f"{cfg.root}/{cfg.project}/{folder}"
-        try:
-            out[folder] = compact_history(spark, path, export_csv=cfg.export_csv)
-        except FileNotFoundError:
-            out[folder] = None
+        empty = current_history(spark, path) is None and not list_deltas(spark, path)
+        out[folder] = None if empty else compact_history(spark, path, export_csv=cfg.export_csv)
     return out

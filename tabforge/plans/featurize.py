@@ -7,6 +7,7 @@ feature plan, scaler, imputers, balancers), profile metrics and writes."""
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -16,9 +17,11 @@ from pyspark.sql import functions as F
 from tabforge.bundle import package
 from tabforge.config import FeaturizeConfig
 from tabforge.operators import balance, clean, features, impute, profile, scale, split
-from tabforge.operators.runlog import LONG_SCHEMA, StepTimer
+from tabforge.operators.runlog import LONG_SCHEMA, StepTimer, merge_last_writer, run_rows
 from tabforge.sources import catalog
 from tabforge.sources.delimited import read_delimited
+from tabforge.sources.history import write_run_row
+from tabforge.sources.stage import _read_text, _write_text
 
 
 @dataclass
@@ -31,6 +34,8 @@ class FeaturizeResult:
     metrics: DataFrame         # long run-log rows
     gold: dict
     run_id: str
+    state_path: str            # plan, scaler and imputers, beside the gold data
+    run_row: str               # the delta in the runinfo folder
 
 
 def featurize(spark: SparkSession, cfg: FeaturizeConfig, df: DataFrame | None = None) -> FeaturizeResult:
@@ -110,7 +115,7 @@ def featurize(spark: SparkSession, cfg: FeaturizeConfig, df: DataFrame | None =
                         else:
                             balance.balance(b, base, cfg.key, cfg.label, feats).count()
                     except Exception as e:  # recorded, the others go on
-                        timer.rows.append((run_id, f"balancer.{imp_name}_{b}.error", None, str(e)[:200], None,
+                        timer.rows.append((run_id, f"balancer.{imp_name}_{b}.error", None, str(e), None,
                                            len(timer.rows)))
     with timer.step("register"):
         gold = catalog.publish_gold(data, cfg.root, cfg.project, cfg.downsample, cfg.drop_bools,
@@ -124,4 +129,38 @@ def featurize(spark: SparkSession, cfg: FeaturizeConfig, df: DataFrame | None =
         metrics = metrics.unionByName(m)
     metrics = metrics.unionByName(timer.frame(spark)).unionByName(spark.createDataFrame(
         [(run_id, "runDate", None, dt.datetime.now(dt.timezone.utc).isoformat(), None, 0)], LONG_SCHEMA))
-    return FeaturizeResult(data, plan, scaler, fitted, names, metrics, gold, run_id)
+    state_path = save_state(spark, gold["path"], plan, scaler, fitted)
+    metrics = metrics.persist()
+    wide = run_rows(merge_last_writer(metrics), header={
+        "experiment": cfg.project, "downsample": cfg.downsample, "drop_bools": cfg.drop_bools})
+    delta = write_run_row(wide.withColumnRenamed("run_id", "runId"), cfg.root, cfg.project, "runinfo", run_id)
+    return FeaturizeResult(data, plan, scaler, fitted, names, metrics, gold, run_id, state_path, delta)
+
+
+def save_state(spark: SparkSession, gold_path: str, plan, scaler, imputers: dict) -> str:
+    """Everything that scoring new rows needs, as JSON beside the gold data. The kNN imputer's
+    donors are the gold train rows themselves, so only its parameters are stored."""
+    path = f"{gold_path.rstrip('/')}-state/state.json"
+    state = {"gold": gold_path, "plan": plan.to_json(), "scaler": scaler.to_json(), "imputers": {}}
+    for name, m in imputers.items():
+        means = m.means if name == "mean" else m.fallback.means
+        state["imputers"][name] = {"means": means, **({"k": m.k, "features": m.features, "key": m.key} if name == "knn" else {})}
+    _write_text(spark, path, json.dumps(state))
+    return path
+
+
+def load_state(spark: SparkSession, path: str) -> tuple:
+    """(feature plan, scaler, imputers by name) as ``save_state`` wrote them."""
+    state = json.loads(_read_text(spark, path))
+    plan = features.FeaturePlan.from_json(state["plan"])
+    scaler = scale.StandardScalerModel(**state["scaler"])
+    out = {}
+    for name, m in state["imputers"].items():
+        means = impute.MeanImputerModel(m["means"])
+        if name == "mean":
+            out[name] = means
+            continue
+        gold = spark.read.parquet(state["gold"]).where(F.col("fold") == "train")
+        donors = gold.select(m["key"], *[F.col(f"`{c}`").cast("double").alias(c) for c in m["features"]])
+        out[name] = impute.KnnImputerModel(donors, m["features"], m["key"], m["k"], means)
+    return plan, scaler, out

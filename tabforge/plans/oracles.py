@@ -131,6 +131,16 @@ WITH fx AS ({FX_ORDERS_SQL}),
 SELECT ID, label FROM rk, c WHERE rn <= n_min"""
 
 
+ORACLES["b01_downsample_folds"] = f"""
+WITH {_folds_cte()},
+     c AS (SELECT fold, min(n) AS n_min FROM (SELECT fold, label, count(*) AS n FROM fxf GROUP BY fold, label) GROUP BY fold),
+     rk AS (SELECT ID, fold, label, row_number() OVER (PARTITION BY fold, label ORDER BY {u_sql_duckdb('ID', 'downsample')}, ID) AS rn
+            FROM fxf)
+SELECT ID, rk.fold, CAST(label AS INTEGER) AS label FROM rk JOIN c ON rk.fold = c.fold WHERE rn <= n_min"""
+
+ORACLES["j01_attach_label"] = f"WITH fx AS ({FX_ORDERS_SQL}) SELECT ID, o_orderstatus, label FROM fx"
+
+
 # ---------------------------------------------------------------- D-*
 # Feature order of the fx_orders plan (identity in column order,
 # categoricals one-hot in place ranked by train count, then IS_NULL, WEEKDAY,

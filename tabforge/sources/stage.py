@@ -84,20 +84,29 @@ def write_metrics(metrics: DataFrame, path: str) -> str:
 
 
 def save_model(model, path: str, descriptor: dict) -> str:
-    """Spark ML model + best-run descriptor (runId, best_score, label, imputer, balancer)."""
-    model.model.write().overwrite().save(f"{path}/model")
+    """Spark ML model + best-run descriptor (runId, best_score, label, imputer, balancer). A
+    ``Calibrated`` model is saved with its isotonic stage, if it has one."""
+    from tabforge.operators.model import Calibrated
+    base = model.base if isinstance(model, Calibrated) else model
+    base.model.write().overwrite().save(f"{path}/model")
     desc = dict(descriptor)
-    desc.update({"features": model.features, "label": model.label, "task": model.task,
-                 "n_trees": model.n_trees})
+    desc.update({"features": base.features, "label": base.label, "task": base.task, "n_trees": base.n_trees,
+                 "calibrated": False})
+    if isinstance(model, Calibrated) and model.iso is not None:
+        model.iso.write().overwrite().save(f"{path}/isotonic")
+        desc.update({"calibrated": True, "brier_before": model.brier_before, "brier_after": model.brier_after})
     _write_text(SparkSession.getActiveSession(), f"{path}/best_run.json", json.dumps(desc, default=str))
     return path
 
 
 def load_model(spark: SparkSession, path: str):
+    """(model, descriptor) as saved: a ``GbtModel``, or ``Calibrated`` with its isotonic stage."""
     from pyspark.ml.classification import GBTClassificationModel
-    from pyspark.ml.regression import GBTRegressionModel
-    from tabforge.operators.model import GbtModel
+    from pyspark.ml.regression import GBTRegressionModel, IsotonicRegressionModel
+    from tabforge.operators.model import Calibrated, GbtModel
     desc = json.loads(_read_text(spark, f"{path}/best_run.json"))
     cls = GBTRegressionModel if desc["task"] == "Regression" else GBTClassificationModel
-    m = cls.load(f"{path}/model")
-    return GbtModel(m, desc["features"], desc["label"], desc["task"], desc["n_trees"]), desc
+    m = GbtModel(cls.load(f"{path}/model"), desc["features"], desc["label"], desc["task"], desc["n_trees"])
+    if not desc.get("calibrated"):
+        return m, desc
+    return Calibrated(m, IsotonicRegressionModel.load(f"{path}/isotonic"), desc["brier_before"], desc["brier_after"]), desc

@@ -130,3 +130,38 @@ def test_partitioned_splits_crowded_query_cells(spark):
         out = knn.knn_join(q, d, ["a", "b"], k=4, strategy=strategy, block_rows=50)
         res[strategy] = sorted((r["query_id"], r["rank"], r["donor_id"]) for r in out.collect())
     assert res["partitioned"] == res["blocked"] and len(res["blocked"]) == 300 * 4
+
+
+def test_missing_features_and_labels_raise(spark):
+    import pytest
+    from tabforge.operators import balance as bal
+    rows = [(i, float(i % 9), float(i % 4), int(i % 4 == 0)) for i in range(80)]
+    df = spark.createDataFrame(rows, "ID long, a double, b double, label int")
+    hole = df.union(spark.createDataFrame([(99, None, 1.0, 1)], df.schema))
+    for f in (bal.smote, bal.near_miss, bal.neighbourhood_cleaning, bal.adasyn):
+        with pytest.raises(Exception, match="feature 'a' is missing in row 99"):
+            f(hole).count()
+    no_label = df.union(spark.createDataFrame([(99, 1.0, 1.0, None)], df.schema))
+    for f in (bal.smote, bal.random_oversample, bal.near_miss, bal.one_sided_selection):
+        with pytest.raises(ValueError, match="1 rows without 'label'"):
+            f(no_label)
+
+
+def test_any_key_and_label_type(spark):
+    from pyspark.sql import functions as F
+    from tabforge.operators import balance as bal
+    from tabforge.operators.knn import knn_join
+    rows = [(i, float((i * 7) % 23), float((i * 5) % 11), int(i % 4 == 0)) for i in range(80)]
+    df = spark.createDataFrame(rows, "ID long, a double, b double, label int")
+    text = df.withColumn("ID", F.format_string("k%03d", "ID")).withColumn("label", F.when(F.col("label") == 1, "p#1").otherwise("n"))
+    want = {(r["query_id"], r["rank"]): (r["donor_id"], r["distance"]) for r in knn_join(df, df, ["a", "b"], 3, exclude_self=True).collect()}
+    got = {(int(r["query_id"][1:]), r["rank"]): (int(r["donor_id"][1:]), r["distance"])
+           for r in knn_join(text, text, ["a", "b"], 3, exclude_self=True).collect()}
+    assert got == want
+    flag = df.withColumn("label", F.col("label") == 1)
+    for frame, yes in ((text, "p#1"), (flag, True), (df, 1)):
+        for f in (bal.smote, bal.kmeans_smote, bal.random_oversample):
+            n = {r["label"]: r["count"] for r in f(frame).groupBy("label").count().collect()}
+            assert n == {yes: 60, (False if yes is True else 0 if yes == 1 else "n"): 60}, (f, n)
+    kept = {int(r["ID"][1:]) for r in bal.near_miss(text).collect()}
+    assert kept == {r["ID"] for r in bal.near_miss(df).collect()}
