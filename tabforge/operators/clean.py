@@ -160,7 +160,11 @@ def _compatible(value, dtype) -> bool:
 def replace_values(df: DataFrame, replacements) -> DataFrame:
     """``{old: new}`` applies to every column whose type can hold ``old``;
     ``{col: {old: new}}`` to that column only. Equality is exact, NULL can be
-    replaced with key ``None``."""
+    replaced with key ``None``; the text 'null' is ordinary text (in a numeric
+    column, where JSON cannot write the key None otherwise, it means NULL).
+
+    Replacements of another type than the column's decide the output type
+    first: numbers widen a numeric column, anything else makes the column text."""
     replacements = _decode(replacements) or {}
     nested = all(isinstance(v, Mapping) for v in replacements.values()) and replacements
     per_col: dict[str, Mapping] = {}
@@ -171,28 +175,43 @@ def replace_values(df: DataFrame, replacements) -> DataFrame:
     out = {}
     for c, mapping in per_col.items():
         dtype = df.schema[c].dataType
-        pairs = [(o, n) for o, n in mapping.items() if _compatible(_coerce_key(o, dtype), dtype)]
+        pairs = [(_coerce_key(o, dtype), n) for o, n in mapping.items()]
+        pairs = [(o, n) for o, n in pairs if _compatible(o, dtype)]
         if not pairs:
             continue
         x = F.col(f"`{c}`")
+        to = _output_type([n for _, n in pairs], dtype)
         expr = None
         for old, new in pairs:
-            old = _coerce_key(old, dtype)
             cond = x.isNull() if old is None else (x == _lit_like(old, dtype))
-            expr = (F.when(cond, F.lit(new)) if expr is None else expr.when(cond, F.lit(new)))
-        out[c] = expr.otherwise(x)
+            value = F.lit(_spell(new) if isinstance(to, T.StringType) and not isinstance(new, str) else new).cast(to)
+            expr = F.when(cond, value) if expr is None else expr.when(cond, value)
+        out[c] = expr.otherwise(x.cast(to))
     return df.withColumns(out) if out else df
 
 
+def _spell(value):
+    return None if value is None else str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def _output_type(values: list, dtype: T.DataType) -> T.DataType:
+    """The column's type if it can hold every replacement, else double (numbers) or string."""
+    given = [v for v in values if v is not None]
+    if all(_compatible(v, dtype) for v in given):
+        fractional = any(isinstance(v, float) and not v.is_integer() for v in given)
+        return T.DoubleType() if fractional and isinstance(dtype, T.IntegralType) else dtype
+    return T.StringType()
+
+
 def _coerce_key(key, dtype):
     """JSON object keys are strings; read them as numbers for numeric columns."""
     if isinstance(key, str) and isinstance(dtype, NUMERIC_TYPES):
+        if key == "null":
+            return None
         try:
             return float(key) if any(ch in key for ch in ".eE") else int(key)
         except ValueError:
             return key
-    if key == "null":
-        return None
     return key
 
 

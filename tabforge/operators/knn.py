@@ -459,19 +459,27 @@ def _cells(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _sub_blocks(queries: DataFrame, donors: DataFrame, keys: list[str], block_rows: int):
-    """Split every cell with more than ``block_rows`` queries into
-    ceil(n / block_rows) sub-blocks: queries are hashed to one, donors copied
-    to each. The per-cell counts stay a DataFrame joined back by the cell key
-    (AQE broadcasts it when small), so no per-cell literal reaches the plan."""
+    """Deal every cell out so that a task gets about ``block_rows`` queries and ``block_rows``
+    donors: a cell with more of either is cut into ceil(n / block_rows) hash slices on that side,
+    and each slice of one side meets each slice of the other. A value that most donors share
+    makes one large cell, so the donor side is cut like the query side. The counts of large cells
+    stay DataFrames joined back by the cell key, so nothing per cell reaches the plan."""
     n = F.count(F.lit(1))
-    subs = (queries.groupBy(*keys).agg(n.alias("__n")).where(F.col("__n") > F.lit(block_rows))
-            .select(*keys, F.ceil(F.col("__n") / F.lit(block_rows)).cast("int").alias("__nsub")))
-    nsub = F.coalesce(F.col("__nsub"), F.lit(1))
-    qq = queries.join(subs, keys, "left").withColumn("__sub", F.pmod(F.xxhash64("__id"), nsub).cast("int")) \
-        .drop("__nsub")
-    dd = donors.join(subs, keys, "left").withColumn("__sub", F.explode(F.sequence(F.lit(0), nsub - 1))) \
-        .drop("__nsub")
-    return qq, dd
+
+    def slices(df: DataFrame, name: str) -> DataFrame:
+        return (df.groupBy(*keys).agg(n.alias("__n")).where(F.col("__n") > F.lit(block_rows))
+                .select(*keys, F.ceil(F.col("__n") / F.lit(block_rows)).cast("int").alias(name)))
+    nq, nd = slices(queries, "__nq"), slices(donors, "__nd")
+
+    def counted(df: DataFrame) -> DataFrame:
+        j = df.join(nq, keys, "left").join(nd, keys, "left")
+        return j.withColumns({c: F.coalesce(F.col(c), F.lit(1)) for c in ("__nq", "__nd")})
+    own_q, own_d = F.pmod(F.xxhash64("__id"), F.col("__nq")), F.pmod(F.xxhash64("__id", F.lit("donor")), F.col("__nd"))
+    qq = counted(queries).withColumn("__sub", F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("__nd") - 1), lambda s: (own_q * F.col("__nd") + s).cast("int"))))
+    dd = counted(donors).withColumn("__sub", F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("__nq") - 1), lambda s: (s * F.col("__nd") + own_d).cast("int"))))
+    return qq.drop("__nq", "__nd"), dd.drop("__nq", "__nd")
 
 
 def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, metric, exclude_self, cat_penalty,
@@ -482,9 +490,8 @@ def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, met
     highest-variance coordinate (per group). Pass 1 searches each query's own
     cell; the k-th distance r found there bounds the answer, and since
     |x_p - y_p| <= distance, pass 2 only visits the other cells that
-    intersect [x_p - r, x_p + r]. Queries of a crowded cell are split into
-    sub-blocks, so every task holds at most about block_rows donors and
-    block_rows queries."""
+    intersect [x_p - r, x_p + r]. Crowded cells are cut on both sides, so every
+    task holds at most about block_rows donors and block_rows queries."""
     spark = q.sparkSession
     xcols = [f"__x{i}" for i in range(len(features))]
     ccols = [f"__c{i}" for i in range(len(cat_features))]
@@ -516,7 +523,7 @@ def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, met
     qc = q.withColumn("__cell", cell_of(F.col("__g"), F.col(pivot)))
 
     def run_pass(queries: DataFrame) -> DataFrame:
-        # split crowded query cells into sub-blocks; donors are copied to each
+        # crowded cells are cut on both sides
         qq, dd = _sub_blocks(queries, dc, ["__g", "__cell"], block_rows)
         keys = ["__g", "__cell", "__sub"]
 

@@ -57,3 +57,16 @@ def test_schema_report_dtype_histogram_selectors(spark):
     assert clean.align_columns(df, ["c", "ID"]).columns == ["c", "ID"]
     assert clean.select_columns(df, "ID,%20x").columns == ["ID", "x"]
     assert clean.select_complement(df, "c").columns == ["ID", "x", "b"]
+
+
+def test_replacements_of_another_type_and_the_text_null(spark):
+    from tabforge.operators import clean
+    df = spark.createDataFrame([(1, "Y", 3), (2, "N", None), (3, "null", 5), (4, None, 7), (5, "x", 7)], "ID int, s string, n int")
+    got = {r["ID"]: r["s"] for r in clean.replace_values(df, {"s": {"Y": 1, "N": 0}}).collect()}
+    assert got == {1: "1", 2: "0", 3: "null", 4: None, 5: "x"}
+    got = {r["ID"]: r["s"] for r in clean.replace_values(df, {"s": {"null": "text", None: "gone"}}).collect()}
+    assert got == {1: "Y", 2: "N", 3: "text", 4: "gone", 5: "x"}
+    got = {r["ID"]: r["n"] for r in clean.replace_values(df, {"n": {"7": 0.5, "null": 9}}).collect()}
+    assert got == {1: 3.0, 2: 9.0, 3: 5.0, 4: 0.5, 5: 0.5}
+    got = {r["ID"]: r["n"] for r in clean.replace_values(df, {"n": {"7": "many"}}).collect()}
+    assert got == {1: "3", 2: None, 3: "5", 4: "many", 5: "many"}

@@ -165,3 +165,22 @@ def test_any_key_and_label_type(spark):
             assert n == {yes: 60, (False if yes is True else 0 if yes == 1 else "n"): 60}, (f, n)
     kept = {int(r["ID"][1:]) for r in bal.near_miss(text).collect()}
     assert kept == {r["ID"] for r in bal.near_miss(df).collect()}
+
+
+def test_hot_donor_cells_are_cut(spark):
+    """A pivot that is 95 % zeros: no task gets much more than block_rows donors, same answers."""
+    from pyspark.sql import functions as F
+    from tabforge.operators.knn import _prepare, _sub_blocks, knn_join
+    rows = [(i, 0.0 if i % 20 else float(i * 13 % 997) * 10, float(i * 7 % 101), float(i * 3 % 89)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "ID long, a double, b double, c double")
+    d = _prepare(df, "ID", ["a", "b", "c"], [], None).withColumn("__cell", (F.col("__x0") > 0).cast("int"))
+    q, d = _sub_blocks(d, d, ["__g", "__cell"], 100)
+    for side in (q, d):
+        assert side.groupBy("__g", "__cell", "__sub").count().agg(F.max("count")).first()[0] <= 160
+    pairs = q.select("__cell", "__sub", F.col("__id").alias("x")).join(d.select("__cell", "__sub", F.col("__id").alias("y")), ["__cell", "__sub"])
+    n = {r["__cell"]: r["count"] for r in pairs.groupBy("__cell").count().collect()}
+    assert n == {0: 1426 ** 2, 1: 74 ** 2} and pairs.select("x", "y").distinct().count() == sum(n.values())
+    ask = df.where("ID < 120")
+    args = dict(features=["a", "b", "c"], k=4, exclude_self=True, block_rows=100)
+    got, want = (sorted(map(tuple, knn_join(ask, df, strategy=s, **args).collect())) for s in ("partitioned", "blocked"))
+    assert got == want and len(got) == 480
