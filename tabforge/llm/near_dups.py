@@ -11,15 +11,18 @@ Plan, for documents of any number and any group size:
    minhash work is the square root of what independent tables would take. Two sets of
    similarity s share a table with probability (1 - (1 - s^r)^m)^2: 1 - 7e-5 at s = 0.8 for
    m = 10, r = 2.
-4. Candidates come out of the tables by rounds of stars, never as all pairs of a bucket: a hub
-   per bucket is compared with the bucket's other members. Links confirmed on the full sets
-   join components; buckets whose members are all in one component are finished. What is left
-   after ``star_rounds`` (pairs of different components that share a table) is emitted pair by
-   pair, so no candidate is lost.
-5. Components are label propagation with pointer jumping over confirmed links.
-
-Hot buckets: hubs are a partially aggregated minimum, and members find their hub by an
-equi-join that adaptive execution can split. Nothing is collected but counts.
+4. Stars first: in each bucket of the tables the smallest node is compared with the others, one
+   pair per row. Confirmed links make components, which take in most of every group of copies.
+5. Then every other pair that shares a table and lies in different components is looked at
+   once, by its minhashes: rows with the same A_i meet in blocks of ``block_rows`` (a larger
+   group is dealt out as pairs of blocks), and of the pairs with a common B_j those are kept
+   whose minhashes agree in ``agree`` places or more. A pair of similarity 0.8 fails this with
+   probability 1e-5; texts that share just a passage rarely pass.
+6. Whatever passes 4 or 5 is confirmed on the full sets, rebuilt from the two texts.
+7. Components are label propagation with pointer jumping over confirmed links.
+
+Hot buckets: a hub is a partially aggregated minimum, members find it by an equi-join that
+adaptive execution can split, and blocks bound what meets in step 5. Only counts are collected.
 """
 
 from __future__ import annotations
@@ -62,7 +65,7 @@ def _hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _sketcher(words: int, m: int, r: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
-                        ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))])
+                        ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("sig", pa.binary())])
 
     def run(batches):
         xor, mul = _hash_family(2 * m * r)
@@ -70,7 +73,7 @@ def _sketcher(words: int, m: int, r: int):
         for batch in batches:
             ids = batch.column("doc_id")
             for lo, hi, buf, offs in runs(batch.column("text")):
-                n, d1, d2, sig = [], [], [], np.zeros((hi - lo, 2 * m), np.uint64)
+                n, d1, d2, sig, short = [], [], [], np.zeros((hi - lo, 2 * m), np.uint64), []
                 for k, s in enumerate(shingle_sets(buf, offs, words)):
                     n.append(len(s))
                     d1.append(np.add.reduce(mix(s)) if len(s) else U(0))
@@ -80,12 +83,14 @@ def _sketcher(words: int, m: int, r: int):
                         for p in range(0, len(s), 4096):
                             np.minimum(low, ((s[p:p + 4096, None] ^ xor) * mul).min(axis=0), out=low)
                         sig[k] = np.add.reduce(mix(low.reshape(2 * m, r) + fold), axis=1)
+                    short.append((low >> U(8)).astype("<u2").tobytes() if len(s) else b"")
                 flat, off = sig.view(np.int64), pa.array(np.arange(hi - lo + 1, dtype=np.int32) * m)
                 lists = [pa.ListArray.from_arrays(off, pa.array(np.ascontiguousarray(x).ravel())) for x in (flat[:, :m], flat[:, m:])]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(np.array(d1, np.uint64).view(np.int64)),
-                     pa.array(np.array(d2, np.uint64).view(np.int64)), *lists], schema=schema)
-    return run, "doc_id long, n long, d1 long, d2 long, a array<long>, b array<long>"
+                     pa.array(np.array(d2, np.uint64).view(np.int64)), *lists,
+                     pa.array(short, pa.binary())], schema=schema)
+    return run, "doc_id long, n long, d1 long, d2 long, a array<long>, b array<long>, sig binary"
 
 
 def _pack(batches):
@@ -145,87 +150,133 @@ def connected_components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_dups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, m: int = 10, r: int = 2,
-              star_rounds: int = 4, small_bucket: int = 8) -> DataFrame:
+def _matching(m: int, r: int, agree: int, num: int, den: int):
+    """Rows (g, lo, hi, i, side, node, n, comp, sig) sorted by (g, lo, hi) -> pairs (hub, node)
+    of different components, each at the first table that it shares."""
+    def pairs_of(t: pa.Table, cell: np.ndarray):
+        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), "<u2").reshape(len(cell), -1)
+        node, comp, n, i, side, whole = (t[c].to_numpy() for c in ("node", "comp", "n", "i", "side", "whole"))
+        end = np.searchsorted(cell, cell, side="right")
+        reps = end - np.arange(len(cell)) - 1
+        cut = np.concatenate(([0], np.cumsum(reps)))
+        for a in range(0, int(cut[-1]), 400_000):
+            k = np.arange(a, min(a + 400_000, int(cut[-1])))
+            u = np.searchsorted(cut, k, side="right") - 1
+            v = u + 1 + k - cut[u]
+            ok = (comp[u] != comp[v]) & (np.minimum(n[u], n[v]) * den >= np.maximum(n[u], n[v]) * num) & (whole[u] | (side[u] != side[v]))
+            u, v = u[ok], v[ok]
+            same = sig[u] == sig[v]
+            ok = same.sum(axis=1) >= agree
+            u, v, same = u[ok], v[ok], same[ok]
+            fold = same.reshape(len(u), 2 * m, r).all(axis=2)
+            ok = fold[:, m:].any(axis=1) & (fold[:, :m].argmax(axis=1) == i[u])
+            yield np.minimum(node[u[ok]], node[v[ok]]), np.maximum(node[u[ok]], node[v[ok]])
+
+    def emit(t: pa.Table):
+        key = np.stack([t[c].to_numpy() for c in ("g", "lo", "hi")], axis=1)
+        cell = np.concatenate(([0], np.cumsum((key[1:] != key[:-1]).any(axis=1))))
+        for x, y in pairs_of(t, cell):
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["hub", "node"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            held = part if held is None else pa.concat_tables([held, part])
+            if held.num_rows < 4096:
+                continue
+            key = np.stack([held[c].to_numpy() for c in ("g", "lo", "hi")], axis=1)
+            last = int(np.flatnonzero((key == key[-1]).all(axis=1))[0])   # the last cell may go on
+            if last:
+                yield from emit(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None and held.num_rows:
+            yield from emit(held)
+    return run
+
+
+def _similar(agree: int, num: int, den: int):
+    """Pairs (hub, node, hub_n, n, hub_sig, sig) -> (hub, node) that can be similar enough."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1) for c in ("hub_sig", "sig"))
+            a, b = batch.column("hub_n").to_numpy(), batch.column("n").to_numpy()
+            ok = ((x == y).sum(axis=1) >= agree) & (np.minimum(a, b) * den >= np.maximum(a, b) * num)
+            yield batch.select(["hub", "node"]).filter(pa.array(ok))
+    return run
+
+
+def near_dups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, m: int = 10, r: int = 2, agree: int = 21,
+              block_rows: int = 2048) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text, ...).
 
     Texts are linked when ``den * intersection >= num * union`` of their shingle sets; a
     component is everything reachable, named by its smallest doc_id; ``kept`` marks the row
-    that stays. Other columns of ``docs`` are ignored, whatever their names.
+    that stays. ``agree`` fits 2 * m * r minhashes and a similarity of 0.8. Other columns of
+    ``docs`` are ignored, whatever their names.
 
     Defined cases: a null or empty text (or one without words) has 0 shingles and no links;
     rows that repeat a doc_id are one document, so their texts count as linked and each row is
     returned; a null doc_id gives a null component and is kept; an empty table gives no rows.
     """
-    spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     run, schema = _sketcher(words, m, r)
     sketch = stored(base.mapInArrow(run, schema), "sketch")
-    nodes = (sketch.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2")
-             .agg(F.min("doc_id").alias("node"), F.first("a").alias("a"), F.first("b").alias("b")))
-    nodes = stored(nodes.select("node", "n", "a", "b"), "nodes")
-    of_set = (sketch.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node")))
-    owner = stored(sketch.select("doc_id", "n", "d1", "d2").join(of_set, ["n", "d1", "d2"], "left")
-                   .select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")), "owners")
+    named = sketch.where("n > 0 and doc_id is not null")
+    nodes = stored(named.groupBy("n", "d1", "d2")
+                   .agg(F.min("doc_id").alias("node"), F.min_by(F.struct("a", "b", "sig"), "doc_id").alias("s"))
+                   .select("node", "n", "d1", "d2", "s.*"), "nodes")
+    owner = (sketch.select("doc_id", "n", "d1", "d2").join(nodes.select("node", "n", "d1", "d2"), ["n", "d1", "d2"], "left")
+             .select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")))
     # a doc_id with several texts ties their sets together
-    tied = (owner.where("node is not null").groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y"),
-                                                                F.collect_set("node").alias("all"))
-            .where("x != y").select("x", F.explode("all").alias("y")).where("x != y"))
-    rows = (nodes.select("node", "n", F.posexplode("a").alias("i", "av"), "b")
-            .select("node", "n", "i", "av", F.posexplode("b").alias("j", "bv"))
-            .select("node", F.col("n").cast("int").alias("n"), F.xxhash64("i", "j", "av", "bv").alias("key")))
-    shared = (rows.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub"))
-              .where("size > 1").select("key", "hub"))
-    rows = stored(rows.join(shared, "key"), "buckets")          # members of buckets of two or more
-    involved = stored(rows.select("node").distinct(), "involved")
-    if involved.count() <= BROADCAST_IDS:
-        wanted = base.join(F.broadcast(involved), base.doc_id == involved.node)
-    else:
-        wanted = base.join(involved, base.doc_id == involved.node)
-    texts = stored(wanted.select("node", "text").mapInArrow(_pack, "node long, packed binary").distinct(), "texts")
+    several = named.groupBy("doc_id").agg(F.min("d1").alias("x"), F.max("d1").alias("y")).where("x != y").select("doc_id")
+    own = owner.join(several, "doc_id").where("node is not null").select("doc_id", "node").distinct()
+    tied = (own.join(own.groupBy("doc_id").agg(F.min("node").alias("x")), "doc_id").where("x != node")
+            .select("x", F.col("node").alias("y")))
+
+    rows = (nodes.select("node", F.posexplode("a").alias("i", "av"), "b").select("node", "i", "av", F.posexplode("b").alias("j", "bv"))
+            .select("node", F.xxhash64("i", "j", "av", "bv").alias("key")))
+    hubs = (rows.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1").select("key", "hub"))
+    star = stored(rows.join(hubs, "key").where("node != hub").select("hub", "node").distinct(), "stars")
+    sigs = nodes.select("node", "n", "sig")
+    hub_sigs = sigs.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("sig").alias("hub_sig"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        packed = texts.withColumnRenamed("node", "node_")
-        hubs = texts.select(F.col("node").alias("hub_"), F.col("packed").alias("hub_packed"))
-        pairs = pairs.join(packed, pairs.node == packed.node_).select("hub", "node", "packed")
-        pairs = pairs.join(hubs, pairs.hub == hubs.hub_).select("hub", "node", "hub_packed", "packed")
-        found = pairs.mapInArrow(_verifier(words, num, den), "hub long, node long")
+        """The links (x, y) among candidate pairs (hub, node)."""
+        ids = stored(pairs.select("node").union(pairs.select("hub")).distinct(), "involved")
+        few = ids.count() <= BROADCAST_IDS
+        wanted = base.join(F.broadcast(ids) if few else ids, base.doc_id == ids.node)
+        texts = stored(wanted.select("node", "text").mapInArrow(_pack, "node long, packed binary").distinct(), "texts")
+        hub_texts = texts.select(F.col("node").alias("hub"), F.col("packed").alias("hub_packed"))
+        both = pairs.join(texts, "node").join(hub_texts, "hub").select("hub", "node", "hub_packed", "packed")
+        found = both.mapInArrow(_verifier(words, num, den), "hub long, node long")
         return stored(found.select(F.col("hub").alias("x"), F.col("node").alias("y")), "confirmed")
 
-    def fits(a: str, b: str):
-        """Sizes that allow the similarity."""
-        return (F.least(a, b) * den >= F.greatest(a, b) * num)
-
-    sizes = nodes.groupBy("node").agg(F.min("n").cast("int").alias("n"))
-    star = rows.where("node != hub").select("hub", "node", "n").distinct()
-    hub_n = sizes.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"))
-    star = star.join(hub_n, "hub").where(fits("n", "hub_n"))
-    links = confirmed(star.select("hub", "node")).union(tied)
+    likely = star.join(sigs, "node").join(hub_sigs, "hub").mapInArrow(_similar(agree, num, den), "hub long, node long")
+    links = confirmed(stored(likely, "likely")).union(tied)
     comps = connected_components(links)
-    rows = rows.where("node != hub").select("key", "node", "n")   # a bucket's hub has met all its members
-    for turn in range(star_rounds + 1):
-        # rows of buckets that still hold two components
-        lab = rows.select("key", "node", "n").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        order = F.xxhash64("node", F.lit(turn))
-        mixed = (lab.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"),
-                                        F.min(F.struct(order.alias("o"), F.col("node").alias("hub"), F.col("n").alias("hub_n"),
-                                                       F.col("comp").alias("hub_comp"))).alias("h"))
-                 .where("lo != hi").select("key", "size", "h.hub", "h.hub_n", "h.hub_comp"))
-        live = stored(lab.join(mixed, "key"), "live")
-        if live.isEmpty():
-            break
-        small = F.col("size") <= (small_bucket if turn < star_rounds else 1 << 62)
-        left = live.where(small).select("key", "node", "n", "comp")
-        right = left.select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
-        pairs = (left.join(right, "key").where((F.col("hub") < F.col("node")) & (F.col("comp") != F.col("hub_comp")))
-                 .where(fits("n", "hub_n")).select("hub", "node"))
-        stars = (live.where(~small).where((F.col("comp") != F.col("hub_comp")) & fits("n", "hub_n"))
-                 .select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node")))
-        new = confirmed(pairs.union(stars).distinct())
-        rows = live.where(~small).where("node != hub").select("key", "node", "n")
-        if not new.isEmpty():
-            links = links.union(new)
-            comps = connected_components(links)
+
+    candidates = star.select("node").union(star.select("hub")).distinct()
+    lab = (nodes.select("node", F.col("n").cast("int").alias("n"), "a", "sig").join(candidates, "node", "left_semi")
+           .join(comps, "node", "left").select("node", "n", "sig", F.coalesce("comp", "node").alias("comp"), F.posexplode("a").alias("i", "av"))
+           .select(F.xxhash64("i", "av").alias("g"), "i", "node", "n", "comp", "sig"))
+    lab = stored(lab, "labelled")
+    mixed = (lab.groupBy("g").agg(F.count("*").alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1")
+             .select("g", F.ceil(F.col("size") / block_rows).cast("int").alias("blocks")))
+    cells = (lab.join(mixed, "g").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("g", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "i", "side",
+                     (F.col("side") == F.col("other")).alias("whole"), "node", "n", "comp", "sig"))
+    rest = (cells.repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi")
+            .mapInArrow(_matching(m, r, agree, num, den), "hub long, node long"))
+    rest = stored(rest, "rest")
+    if not rest.isEmpty():
+        more = confirmed(rest)
+        if not more.isEmpty():
+            comps = connected_components(links.union(more))
     return _named(owner, comps)
 
 
