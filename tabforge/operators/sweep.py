@@ -31,8 +31,11 @@ SPACE = {
 
 
 def trial_table(spark, n_trials: int, imputers: list[str], balancers: list[str]) -> DataFrame:
-    t = spark.range(n_trials).select(F.col("id").alias("trial_id"))
+    return draw_trials(spark.range(n_trials).select(F.col("id").alias("trial_id")), imputers, balancers)
 
+
+def draw_trials(t: DataFrame, imputers: list[str], balancers: list[str]) -> DataFrame:
+    """Parameters of each ``trial_id`` of ``t``, drawn from SPACE by the id alone."""
     def choice(name, values):
         idx = F.floor(u("trial_id", name) * F.lit(len(values))).cast("int") + 1
         return F.element_at(F.array(*[F.lit(v) for v in values]), idx).alias(name)

@@ -479,6 +479,15 @@ def q_sweep(spark, sf_dir):
     return table.select("trial_id", "imputer", "balancer", r("score").alias("score"))
 
 
+@register("m05_trial_table")
+def q_trial_table(spark, sf_dir):
+    """Sweep parameters drawn for every part key as a trial id."""
+    ids = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("trial_id"))
+    t = swp.draw_trials(ids, ["mean", "knn"], ["none", "ros", "smote"])
+    return t.select("trial_id", "imputer", "balancer", "max_depth", "num_leaves",
+                    *[r(c).alias(c) for c in ("colsample", "subsample", "learning_rate")])
+
+
 @register("m07_sweep_summary")
 def q_sweep_summary(spark, sf_dir):
     t = fx.fx_trials(spark, sf_dir)

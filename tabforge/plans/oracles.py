@@ -821,3 +821,21 @@ ORACLES["s05_bundle_roundtrip"] = _bundle()
 ORACLES["s09_write_metrics"] = ORACLES["a01_profile"]
 ORACLES["s10_write_run_row"] = f"WITH {_LONG[1:]} SELECT round(num_value, {R}) AS metric FROM mg WHERE key = 'metric'"
 ORACLES["i02_knn_impute_partitioned"] = ORACLES["i02_knn_impute"]
+
+
+def _trial_table() -> str:
+    def x(name, lo, hi):
+        return f"(CAST({lo} AS DOUBLE) + {u_sql_duckdb('trial_id', name)} * CAST({round(hi - lo, 12)} AS DOUBLE))"
+
+    def pick(name, values):
+        return f"[{', '.join(repr(v) for v in values)}][CAST(floor({u_sql_duckdb('trial_id', name)} * {len(values)}) AS INTEGER) + 1]"
+    return f"""
+WITH t AS (SELECT p_partkey AS trial_id FROM part)
+SELECT trial_id, {pick('imputer', ['mean', 'knn'])} AS imputer, {pick('balancer', ['none', 'ros', 'smote'])} AS balancer,
+       CAST(round_even({x('max_depth', 5, 20)}, 0) AS INTEGER) AS max_depth,
+       CAST(round_even({x('num_leaves', 10, 50)}, 0) AS INTEGER) AS num_leaves,
+       round({x('colsample', 0.5, 1.0)}, 6) AS colsample, round({x('subsample', 0.5, 1.0)}, 6) AS subsample,
+       round({x('learning_rate', 0.05, 0.2)}, 6) AS learning_rate FROM t"""
+
+
+ORACLES["m05_trial_table"] = _trial_table()
