@@ -97,6 +97,8 @@ def random_oversample(df: DataFrame, key: str = "ID", label: str = "label", seed
     if n_max is None:
         return _tag_original(df, columns)
     deficits = {c: n_max - n for c, n in counts.items() if n < n_max}
+    if report is not None:
+        report.notes["added"] = dict(deficits)
     idx = global_index(df.where(F.col(label).isin(list(deficits))), key, "__idx", group=label)
     draws = draw_table(df.sparkSession, deficits, label, df.schema[label].dataType)
     n_of = _lit_map(counts, F.col(label), "bigint")
@@ -562,12 +564,15 @@ def applicable_balancers(n_features: int, n_categorical: int, enable_slow: bool
 
 
 def balance(name: str, df: DataFrame, key: str = "ID", label: str = "label", features=None,
-            cat_features=(), **kw) -> DataFrame:
-    """Apply the named balancer; ``none`` returns the rows unchanged."""
+            cat_features=(), report: BalanceReport | None = None, **kw) -> DataFrame:
+    """Apply the named balancer; ``none`` returns the rows unchanged. ``report`` collects the
+    classes that an over-sampler skipped, with the reason."""
+    if report is not None and name in ("ros", "smote", "adasyn", "borderlinesmote", "kmeanssmote"):
+        kw["report"] = report
     if name == "none":
         return df
     if name == "ros":
-        return random_oversample(df, key, label)
+        return random_oversample(df, key, label, report=kw.get("report"))
     if name == "smote":
         return smote(df, key, label, features, cat_features, **kw)
     if name == "adasyn":

@@ -37,8 +37,9 @@ def c_factor(n: float) -> float:
 
 
 def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
-    """Flat arrays: feature, threshold, left, right, size (leaf: feature -1)."""
-    feat, thr, left, right, size = [], [], [], [], []
+    """Flat arrays: feature, threshold, left, right, and the path length of a row that ends in the
+    node, depth + c(rows of the node) (leaf: feature -1)."""
+    feat, thr, left, right, path = [], [], [], [], []
 
     def node(rows, depth):
         i = len(feat)
@@ -46,7 +47,7 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
         thr.append(0.0)
         left.append(-1)
         right.append(-1)
-        size.append(len(rows))
+        path.append(depth + c_factor(len(rows)))
         if depth >= max_depth or len(rows) <= 1:
             return i
         sub = x[rows]
@@ -63,23 +64,27 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
         return i
 
     node(np.arange(len(x)), 0)
-    return feat, thr, left, right, size
+    return feat, thr, left, right, path
 
 
 def _path_lengths(x: np.ndarray, tree) -> np.ndarray:
-    feat, thr, left, right, size = (np.asarray(a) for a in tree)
-    idx = np.zeros(len(x), dtype=int)
-    depth = np.zeros(len(x))
-    active = feat[idx] >= 0
-    while active.any():
-        f = feat[idx[active]]
-        go_left = x[active, f] < thr[idx[active]]
-        nxt = np.where(go_left, left[idx[active]], right[idx[active]])
-        idx[active] = nxt
-        depth[active] += 1
-        active = feat[idx] >= 0
-    leaf_size = size[idx]
-    return depth + np.array([c_factor(s) for s in leaf_size])
+    """All rows go down one level per step; a leaf's path length is then one gather."""
+    feat, thr, left, right, path = tree
+    idx = np.zeros(len(x), dtype=np.int64)
+    live = np.arange(len(x)) if feat[0] >= 0 else np.zeros(0, dtype=np.int64)
+    while len(live):
+        at = idx[live]
+        idx[live] = np.where(x[live, feat[at]] < thr[at], left[at], right[at])
+        live = live[feat[idx[live]] >= 0]
+    return path[idx]
+
+
+def _present(c: str, key: str):
+    """Column ``c`` as a double; a missing value has no side of a split, so it fails the query."""
+    x = F.col(f"`{c}`").cast("double")
+    return F.when(x.isNull() | F.isnan(x), F.raise_error(F.concat(
+        F.lit(f"isolation forest: feature {c!r} is missing in row "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")),
+        F.lit("; impute it first")))).otherwise(x)
 
 
 class IsolationForestModel:
@@ -92,10 +97,9 @@ class IsolationForestModel:
         feats, cn = list(self.features), c_factor(self.psi)
 
         def run(batches):
-            trees = bc.value
+            trees = [tuple(np.asarray(a) for a in t) for t in bc.value]
             for pdf in batches:
-                x = pdf[[f"__if{i}" for i in range(len(feats))]].to_numpy(dtype="float64", na_value=np.nan)
-                x = np.nan_to_num(x, nan=0.0)
+                x = pdf[[f"__if{i}" for i in range(len(feats))]].to_numpy(dtype="float64")
                 h = np.mean([_path_lengths(x, t) for t in trees], axis=0) if len(x) else np.zeros(0)
                 s = np.power(2.0, -h / cn) if cn > 0 else np.ones(len(x))
                 out = pdf.drop(columns=[f"__if{i}" for i in range(len(feats))])
@@ -103,7 +107,7 @@ class IsolationForestModel:
                 out["outlier"] = np.where(s > THRESHOLD, -1, 1).astype("int32")
                 yield out
         from pyspark.sql import types as T
-        base = df.select(F.col(key), *[F.col(f"`{c}`").cast("double").alias(f"__if{i}") for i, c in enumerate(feats)])
+        base = df.select(F.col(key), *[_present(c, key).alias(f"__if{i}") for i, c in enumerate(feats)])
         schema = T.StructType([df.schema[key], T.StructField("outlier_score", T.DoubleType()),
                                T.StructField("outlier", T.IntegerType())])
         return base.mapInPandas(run, schema)
@@ -120,7 +124,7 @@ def fit_isolation_forest(df: DataFrame, features: list[str], key: str = "ID", n_
     # trees whose window [t/T, t/T + w) (mod 1) contains v
     lo = F.ceil((v - F.lit(w)) * n_trees).cast("int")
     hi = F.floor(v * n_trees).cast("int")
-    rows = df.select(F.col(key), *[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(features)],
+    rows = df.select(F.col(key), *[_present(c, key).alias(f"x{i}") for i, c in enumerate(features)],
                      v.alias("__v"), F.sequence(lo, hi).alias("__ts"))
     rows = rows.withColumn("tree", F.explode("__ts")).drop("__ts")
     rows = rows.withColumn("tree", F.pmod(F.col("tree"), F.lit(n_trees)))
@@ -132,12 +136,12 @@ def fit_isolation_forest(df: DataFrame, features: list[str], key: str = "ID", n_
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["tree"].iloc[0])
-        x = np.nan_to_num(pdf[xcols].to_numpy(dtype="float64", na_value=np.nan), nan=0.0)
-        feat, thr, left, right, size = _grow(x, np.random.default_rng(rng_seed * 1000 + t), depth)
+        x = pdf[xcols].to_numpy(dtype="float64")
+        feat, thr, left, right, path = _grow(x, np.random.default_rng(rng_seed * 1000 + t), depth)
         return pd.DataFrame({"tree": [t], "feat": [feat], "thr": [thr], "left": [left], "right": [right],
-                             "size": [size]})
+                             "path": [path]})
 
-    schema = "tree int, feat array<int>, thr array<double>, left array<int>, right array<int>, size array<int>"
+    schema = "tree int, feat array<int>, thr array<double>, left array<int>, right array<int>, path array<double>"
     grown = sample.groupBy("tree").applyInPandas(grow, schema).orderBy("tree").collect()  # n_trees small rows
-    trees = [(r["feat"], r["thr"], r["left"], r["right"], r["size"]) for r in grown]
+    trees = [(r["feat"], r["thr"], r["left"], r["right"], r["path"]) for r in grown]
     return IsolationForestModel(features, trees, psi)

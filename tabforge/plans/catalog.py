@@ -551,10 +551,6 @@ def q_run_log(spark, sf_dir):
     return merged.select("run_id", "key", r("num_value").alias("num_value"), "str_value")
 
 
-RUN_KEYS = [f"JOB_{j}.{m}" for j in ["click", "purchase", "signup", "view"]
-            for m in ["duration", "isreused", "startTime"]] + ["metric"]
-
-
 @register("r01_run_row_wide")
 def q_run_row(spark, sf_dir):
     merged = runlog.merge_last_writer(runs_long(spark, sf_dir))
