@@ -16,8 +16,10 @@ Plan, for documents of any number and any group size:
 5. Then every other pair that shares a table and lies in different components is looked at
    once, by its minhashes: rows with the same A_i meet in blocks of ``block_rows`` (a larger
    group is dealt out as pairs of blocks), and of the pairs with a common B_j those are kept
-   whose minhashes agree in ``agree`` places or more. A pair of similarity 0.8 fails this with
-   probability 1e-5; texts that share just a passage rarely pass.
+   whose minhashes agree in ``agree`` places or more (a pair of similarity 0.8 fails this with
+   probability 1e-5; texts that share just a passage rarely pass) and whose bitmaps allow the
+   similarity: bits of one set that the other lacks bound the intersection from above, so this
+   never drops a link. Stars are screened in the same way.
 6. Whatever passes 4 or 5 is confirmed on the full sets, rebuilt from the two texts.
 7. Components are label propagation with pointer jumping over confirmed links.
 
@@ -37,6 +39,7 @@ from tabforge.llm._text import NOT_SPACE, U, gram_hashes, mix, runs, span_hashes
 
 #: Node ids up to which the list of involved nodes (8 bytes each) is broadcast.
 BROADCAST_IDS = 2_000_000
+BITMAP = 2048
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, words: int) -> list[np.ndarray]:
@@ -63,9 +66,28 @@ def _hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
     return seeds[:n], seeds[n:] | U(1)
 
 
+def _bitmap(s: np.ndarray) -> bytes:
+    """A bit for each shingle, by its low bits."""
+    on = np.zeros(BITMAP, np.uint8)
+    on[(s & U(BITMAP - 1)).astype(np.int64)] = 1
+    return np.packbits(on).tobytes()
+
+
+def _allowed(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of nx and ny shingles with bitmaps x and y (rows) can be similar enough."""
+    nx, ny = nx.astype(np.int64), ny.astype(np.int64)
+    most = np.minimum(nx - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), ny - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+    return den * most >= num * (nx + ny - most)
+
+
+def _rows(col, dtype: str) -> np.ndarray:
+    """A binary column of equal lengths as a matrix."""
+    return np.frombuffer(b"".join(col.to_pylist()), dtype).reshape(len(col), -1)
+
+
 def _sketcher(words: int, m: int, r: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
-                        ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("sig", pa.binary())])
+                        ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("sig", pa.binary()), ("bits", pa.binary())])
 
     def run(batches):
         xor, mul = _hash_family(2 * m * r)
@@ -73,7 +95,7 @@ def _sketcher(words: int, m: int, r: int):
         for batch in batches:
             ids = batch.column("doc_id")
             for lo, hi, buf, offs in runs(batch.column("text")):
-                n, d1, d2, sig, short = [], [], [], np.zeros((hi - lo, 2 * m), np.uint64), []
+                n, d1, d2, sig, short, bits = [], [], [], np.zeros((hi - lo, 2 * m), np.uint64), [], []
                 for k, s in enumerate(shingle_sets(buf, offs, words)):
                     n.append(len(s))
                     d1.append(np.add.reduce(mix(s)) if len(s) else U(0))
@@ -84,13 +106,14 @@ def _sketcher(words: int, m: int, r: int):
                             np.minimum(low, ((s[p:p + 4096, None] ^ xor) * mul).min(axis=0), out=low)
                         sig[k] = np.add.reduce(mix(low.reshape(2 * m, r) + fold), axis=1)
                     short.append((low >> U(8)).astype("<u2").tobytes() if len(s) else b"")
+                    bits.append(_bitmap(s))
                 flat, off = sig.view(np.int64), pa.array(np.arange(hi - lo + 1, dtype=np.int32) * m)
                 lists = [pa.ListArray.from_arrays(off, pa.array(np.ascontiguousarray(x).ravel())) for x in (flat[:, :m], flat[:, m:])]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(np.array(d1, np.uint64).view(np.int64)),
                      pa.array(np.array(d2, np.uint64).view(np.int64)), *lists,
-                     pa.array(short, pa.binary())], schema=schema)
-    return run, "doc_id long, n long, d1 long, d2 long, a array<long>, b array<long>, sig binary"
+                     pa.array(short, pa.binary()), pa.array(bits, pa.binary())], schema=schema)
+    return run, "doc_id long, n long, d1 long, d2 long, a array<long>, b array<long>, sig binary, bits binary"
 
 
 def _pack(batches):
@@ -151,16 +174,16 @@ def connected_components(links: DataFrame) -> DataFrame:
 
 
 def _matching(m: int, r: int, agree: int, num: int, den: int):
-    """Rows (g, lo, hi, i, side, node, n, comp, sig) sorted by (g, lo, hi) -> pairs (hub, node)
+    """Rows (g, lo, hi, i, side, whole, node, n, comp, sig, bits) sorted by (g, lo, hi) -> pairs (hub, node)
     of different components, each at the first table that it shares."""
     def pairs_of(t: pa.Table, cell: np.ndarray):
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), "<u2").reshape(len(cell), -1)
+        sig, bits = _rows(t["sig"], "<u2"), _rows(t["bits"], "<u8")
         node, comp, n, i, side, whole = (t[c].to_numpy() for c in ("node", "comp", "n", "i", "side", "whole"))
         end = np.searchsorted(cell, cell, side="right")
         reps = end - np.arange(len(cell)) - 1
         cut = np.concatenate(([0], np.cumsum(reps)))
-        for a in range(0, int(cut[-1]), 400_000):
-            k = np.arange(a, min(a + 400_000, int(cut[-1])))
+        for a in range(0, int(cut[-1]), 200_000):
+            k = np.arange(a, min(a + 200_000, int(cut[-1])))
             u = np.searchsorted(cut, k, side="right") - 1
             v = u + 1 + k - cut[u]
             ok = (comp[u] != comp[v]) & (np.minimum(n[u], n[v]) * den >= np.maximum(n[u], n[v]) * num) & (whole[u] | (side[u] != side[v]))
@@ -170,6 +193,8 @@ def _matching(m: int, r: int, agree: int, num: int, den: int):
             u, v, same = u[ok], v[ok], same[ok]
             fold = same.reshape(len(u), 2 * m, r).all(axis=2)
             ok = fold[:, m:].any(axis=1) & (fold[:, :m].argmax(axis=1) == i[u])
+            u, v = u[ok], v[ok]
+            ok = _allowed(bits[u], bits[v], n[u], n[v], num, den)
             yield np.minimum(node[u[ok]], node[v[ok]]), np.maximum(node[u[ok]], node[v[ok]])
 
     def emit(t: pa.Table):
@@ -197,14 +222,14 @@ def _matching(m: int, r: int, agree: int, num: int, den: int):
 
 
 def _similar(agree: int, num: int, den: int):
-    """Pairs (hub, node, hub_n, n, hub_sig, sig) -> (hub, node) that can be similar enough."""
+    """Pairs with their sizes, minhashes and bitmaps -> (hub, node) that can be similar enough."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1) for c in ("hub_sig", "sig"))
             a, b = batch.column("hub_n").to_numpy(), batch.column("n").to_numpy()
-            ok = ((x == y).sum(axis=1) >= agree) & (np.minimum(a, b) * den >= np.maximum(a, b) * num)
+            ok = (_rows(batch.column("hub_sig"), "<u2") == _rows(batch.column("sig"), "<u2")).sum(axis=1) >= agree
+            ok &= _allowed(_rows(batch.column("hub_bits"), "<u8"), _rows(batch.column("bits"), "<u8"), a, b, num, den)
             yield batch.select(["hub", "node"]).filter(pa.array(ok))
     return run
 
@@ -227,7 +252,7 @@ def near_dups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, m:
     sketch = stored(base.mapInArrow(run, schema), "sketch")
     named = sketch.where("n > 0 and doc_id is not null")
     nodes = stored(named.groupBy("n", "d1", "d2")
-                   .agg(F.min("doc_id").alias("node"), F.min_by(F.struct("a", "b", "sig"), "doc_id").alias("s"))
+                   .agg(F.min("doc_id").alias("node"), F.min_by(F.struct("a", "b", "sig", "bits"), "doc_id").alias("s"))
                    .select("node", "n", "d1", "d2", "s.*"), "nodes")
     owner = (sketch.select("doc_id", "n", "d1", "d2").join(nodes.select("node", "n", "d1", "d2"), ["n", "d1", "d2"], "left")
              .select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")))
@@ -241,8 +266,8 @@ def near_dups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, m:
             .select("node", F.xxhash64("i", "j", "av", "bv").alias("key")))
     hubs = (rows.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1").select("key", "hub"))
     star = stored(rows.join(hubs, "key").where("node != hub").select("hub", "node").distinct(), "stars")
-    sigs = nodes.select("node", "n", "sig")
-    hub_sigs = sigs.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("sig").alias("hub_sig"))
+    sigs = nodes.select("node", "n", "sig", "bits")
+    hub_sigs = sigs.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("sig").alias("hub_sig"), F.col("bits").alias("hub_bits"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """The links (x, y) among candidate pairs (hub, node)."""
@@ -260,16 +285,15 @@ def near_dups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, m:
     comps = connected_components(links)
 
     candidates = star.select("node").union(star.select("hub")).distinct()
-    lab = (nodes.select("node", F.col("n").cast("int").alias("n"), "a", "sig").join(candidates, "node", "left_semi")
-           .join(comps, "node", "left").select("node", "n", "sig", F.coalesce("comp", "node").alias("comp"), F.posexplode("a").alias("i", "av"))
-           .select(F.xxhash64("i", "av").alias("g"), "i", "node", "n", "comp", "sig"))
-    lab = stored(lab, "labelled")
-    mixed = (lab.groupBy("g").agg(F.count("*").alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1")
+    lab = (nodes.select("node", F.col("n").cast("int").alias("n"), "a", "sig", "bits").join(candidates, "node", "left_semi")
+           .join(comps, "node", "left").select("node", "n", "sig", "bits", F.coalesce("comp", "node").alias("comp"), F.posexplode("a").alias("i", "av"))
+           .select(F.xxhash64("i", "av").alias("g"), "i", "node", "n", "comp", "sig", "bits"))
+    mixed = (lab.select("g", "comp").groupBy("g").agg(F.count("*").alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1")
              .select("g", F.ceil(F.col("size") / block_rows).cast("int").alias("blocks")))
     cells = (lab.join(mixed, "g").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("g", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "i", "side",
-                     (F.col("side") == F.col("other")).alias("whole"), "node", "n", "comp", "sig"))
+                     (F.col("side") == F.col("other")).alias("whole"), "node", "n", "comp", "sig", "bits"))
     rest = (cells.repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi")
             .mapInArrow(_matching(m, r, agree, num, den), "hub long, node long"))
     rest = stored(rest, "rest")
