@@ -315,7 +315,8 @@ def drop_copies(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``near_dups`` keeps: one document of
     each group. Rows that repeat a kept doc_id are copies too; one of them stays."""
     found = stored(near_dups(docs, **params), "groups")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone   # else the texts would be shuffled
     left = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
     again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if again.isEmpty():
