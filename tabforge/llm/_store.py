@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabforge.session import ensure_checkpoint_dir
 
@@ -21,3 +21,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = fresh_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def hash_sample(df: DataFrame, on: list[str], rows: int) -> DataFrame:
+    """The ``rows`` rows of ``df`` with the smallest hash of the columns ``on`` (all, if fewer).
+    A threshold from the row count drops most others first, so that each partition does not send
+    ``rows`` rows of its own: about twice ``rows`` move, however many partitions there are."""
+    place = F.pmod(F.xxhash64(*on), F.lit(1 << 32))
+    n = df.count()
+    if n > 4 * rows:
+        df = df.where(place < F.lit(int((1 << 32) * 2 * rows / n)))
+    return df.orderBy(place, *on).limit(rows)

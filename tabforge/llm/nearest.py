@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabforge.llm._store import stored
+from tabforge.llm._store import hash_sample, stored
 
 TOP = 20
 
@@ -178,7 +178,7 @@ def nearest(vectors: DataFrame, is_query, top: int = TOP, recall: float = 0.96,
         return spark.createDataFrame([], out_schema)
     dim, rows = sizes[0]["d"], sizes[0]["count"]
     base = usable(vectors, dim)
-    sample = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("embedding").toArrow()
+    sample = hash_sample(base, ["vec_id"], sample_rows).select("embedding").toArrow()
     model = fit(_matrix(sample["embedding"], dim), rows, recall, tables, bucket_rows, top)
     norm = base.agg(F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
     model.bound = float(norm) ** 0.5

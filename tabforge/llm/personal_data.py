@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tabforge.llm._store import hash_sample
+
 KINDS = ("email", "ip", "card", "phone")
 O = 0  # noqa: E741  label of other tokens; kind k has label k + 1
 L = len(KINDS) + 1
@@ -246,9 +248,8 @@ def added_spans(texts: list[str], spans: list[list[tuple[int, int, int]]], w: We
 
 
 def train(docs: DataFrame, train_docs: int = 1500, train_chars: int = 20_000) -> Weights:
-    some = (docs.where((F.length("text") <= train_chars) & F.col("text").rlike("[0-9@]"))
-            .select("text").orderBy(F.xxhash64("text"), "text").limit(train_docs))
-    texts = [r.text for r in some.collect()]
+    some = docs.where((F.length("text") <= train_chars) & F.col("text").rlike("[0-9@]")).select("text")
+    texts = [r.text for r in hash_sample(some, ["text"], train_docs).collect()]
     return fit(Graph(texts, [base_spans(t) for t in texts]))
 
 

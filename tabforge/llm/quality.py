@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tabforge.llm._store import hash_sample
 from tabforge.llm._sums import table_sum
 from tabforge.llm._text import U, byte_set, mix, runs, span_hashes, word_spans
 
@@ -155,8 +156,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, vec: np.ndarray, train_rows: int = 20_000) -> Network | None:
     """Network fitted on at most ``train_rows`` rows of ``labels`` (doc_id, quality 0/1), in the
     order of a hash of doc_id; None if there are none. The driver gets their pooled vectors."""
-    some = (labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").alias("id"), "quality")
-            .orderBy(F.xxhash64("id"), "id").limit(train_rows))
+    some = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").alias("id"), "quality")
+    some = hash_sample(some, ["id"], train_rows)
     sent = docs.sparkSession.sparkContext.broadcast(vec)
 
     def run(batches):
