@@ -11,7 +11,8 @@ parts (one number each) give global positions.
 
 Texts are encoded with the tokenizers library. Its normaliser and splitter never let a token
 cross a space, tab or line end and drop all of these, so each distinct chunk between them is
-encoded once per worker and whole texts are put together by NumPy gathers.
+encoded once per task run of a worker, some hundreds per call, and whole texts are put together
+by NumPy gathers.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from tabforge.llm._text import byte_set, runs, span_hashes, word_spans
 CHUNK = ~byte_set((0x20, 0x20), (0x09, 0x0A), (0x0D, 0x0D))
 END_ID = 1
 #: Distinct chunks a worker remembers before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 1_500_000
 SCHEMA = "part int, block int, first_id long, n_ids int, width int, doc_ids array<long>, doc_starts array<int>, payload binary"
 _NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 
@@ -55,54 +56,100 @@ def unpack(payload: bytes, width: int, start: int, stop: int) -> np.ndarray:
 class ChunkEncoder:
     """Ids of whole texts from the ids of their distinct chunks."""
 
+    #: A chunk of its own between others when many are encoded in one call.
+    MARK = "\ue000"
+
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(spec)
         self.width = max(1, (self.tok.get_vocab_size(with_added_tokens=True) - 1).bit_length())
-        self._clear()
-
-    def _clear(self):
-        self.place: dict[int, int] = {}
-        self.off, self.ids, self.n = np.zeros(1, np.int64), np.zeros(1 << 16, np.uint32), 0
-
-    def _learn(self, texts: list[str], hashes: list[int]):
-        got = [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-        size = np.array([len(g) for g in got], np.int64)
-        flat = np.array([x for g in got for x in g], np.uint32)
-        while self.n + len(flat) > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        self.ids[self.n:self.n + len(flat)] = flat
-        base = len(self.off) - 1
-        self.off = np.concatenate((self.off, self.n + np.cumsum(size)))
-        self.n += len(flat)
-        self.place.update(zip(hashes, range(base, base + len(got))))
+        self.mark = np.array(self.tok.encode(self.MARK, add_special_tokens=False).ids, np.uint32)
+        # known chunks: hash (sorted), first id, number of ids, whether used since the last clearing
+        self.key, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.size, self.used = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, number of ids of each); the mark tells chunks of one call apart."""
+        parts = [chunks[a:a + 400] for a in range(0, len(chunks), 400)]
+        texts = [f" {self.MARK} ".join(p) for p in parts]
+        flat, sizes = [], []
+        for part, text, e in zip(parts, texts, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            m = len(self.mark)
+            hit = np.ones(max(0, len(ids) - m + 1), bool)
+            for k in range(m):
+                hit &= ids[k:k + len(hit)] == self.mark[k]
+            cut = np.flatnonzero(hit)
+            if text.count(self.MARK) != len(part) - 1 or len(cut) != len(part) - 1:   # a chunk holds the mark itself
+                own = [np.array(x.ids, np.uint32) for x in self.tok.encode_batch_fast(part, add_special_tokens=False)]
+            else:
+                edge = np.concatenate(([-m], cut, [len(ids)]))
+                own = [ids[x + m:y] for x, y in zip(edge[:-1], edge[1:])]
+            flat += own
+            sizes += [len(x) for x in own]
+        return np.concatenate(flat) if flat else np.zeros(0, np.uint32), np.array(sizes, np.int64)
+
+    def _learn(self, chunks: list[str], hashes: np.ndarray) -> None:
+        if len(self.key) + len(hashes) > REMEMBERED:         # keep what was used since the last time
+            keep = np.flatnonzero(self.used) if 2 * self.used.sum() < REMEMBERED else np.zeros(0, np.int64)
+            off = np.concatenate(([0], np.cumsum(self.size[keep])))
+            self.ids = self.ids[np.repeat(self.at[keep] - off[:-1], self.size[keep]) + np.arange(off[-1])]
+            self.key, self.at, self.size, self.used = self.key[keep], off[:-1], self.size[keep], np.zeros(len(keep), bool)
+        ids, size = self._encode_chunks(chunks)
+        at = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate((self.ids, ids))
+        where = np.searchsorted(self.key, hashes)
+        self.key, self.at = np.insert(self.key, where, hashes), np.insert(self.at, where, at)
+        self.size, self.used = np.insert(self.size, where, size), np.insert(self.used, where, False)
+
+    def _find(self, uniq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        k = np.searchsorted(self.key, uniq)
+        known = np.zeros(len(uniq), bool)
+        inside = k < len(self.key)
+        known[inside] = self.key[k[inside]] == uniq[inside]
+        return k, known
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, each row closed by END_ID; offsets per row)."""
         starts, ends, woff = word_spans(buf, offs, CHUNK)
         uniq, first, inv = np.unique(span_hashes(buf, starts, ends, fold_case=False), return_index=True, return_inverse=True)
-        if len(self.place) + len(uniq) > REMEMBERED:
-            self._clear()
-        keys = uniq.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.place]
-        for a in range(0, len(new), 20_000):
-            some = new[a:a + 20_000]
-            self._learn([buf[starts[first[k]]:ends[first[k]]].tobytes().decode("utf-8", "replace") for k in some], [keys[k] for k in some])
-        at = np.array([self.place[h] for h in keys], np.int64)[inv] if keys else np.zeros(0, np.int64)
-        size = self.off[at + 1] - self.off[at]
+        k, known = self._find(uniq)
+        self.used[k[known]] = True
+        new = np.flatnonzero(~known)
+        if len(new):
+            self._learn([buf[starts[j]:ends[j]].tobytes().decode("utf-8", "replace") for j in first[new]], uniq[new])
+            k, known = self._find(uniq)
+            if not known.all():                              # a clearing dropped chunks of this run
+                back = np.flatnonzero(~known)
+                self._learn([buf[starts[j]:ends[j]].tobytes().decode("utf-8", "replace") for j in first[back]], uniq[back])
+                k, _ = self._find(uniq)
+        at, size = self.at[k[inv]], self.size[k[inv]]
         before = np.concatenate(([0], np.cumsum(size)))
         rows = len(offs) - 1
         out_off = before[woff] + np.arange(rows + 1)         # one END_ID after each row
         out = np.full(out_off[-1], END_ID, np.uint32)
-        src = np.repeat(self.off[at] - before[:-1], size) + np.arange(before[-1])
+        src = np.repeat(at - before[:-1], size) + np.arange(before[-1])
         row = np.repeat(np.arange(rows), before[woff[1:]] - before[woff[:-1]])
         out[np.arange(before[-1]) + row] = self.ids[src]
         return out, out_off
 
 
+_HELD: dict[int, ChunkEncoder] = {}
+
+
+def _shared(spec: str) -> ChunkEncoder:
+    """The worker's encoder for a tokenizer file; a reused worker keeps what it has learned."""
+    key = zlib.crc32(spec.encode())
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = ChunkEncoder(spec)
+    return _HELD[key]
+
+
 def _block_writer(spec, block_ids: int):
     def run(batches):
-        enc, part, block = ChunkEncoder(spec.value), TaskContext.get().partitionId(), 0
+        enc, part, block = _shared(spec.value), TaskContext.get().partitionId(), 0
         docs: list = []
         ids: list[np.ndarray] = []
         size = first = 0
