@@ -164,7 +164,9 @@ def read_records(index: DataFrame, folder: str, payload: bool = True) -> DataFra
     in pieces of at most READ_BYTES (one longer record is one read); a file's stretches of
     16 reads are separate units of work, so one large archive is read by many tasks."""
     stretch = F.floor(F.col("offset") / (16 * READ_BYTES)).alias("stretch")
-    units = (index.select("file", "offset", "length", stretch).repartition("file", "stretch")
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(1, -(-total // (8 * READ_BYTES)))            # by the archives' bytes, not the index's
+    units = (index.select("file", "offset", "length", stretch).repartition(int(tasks), "file", "stretch")
              .sortWithinPartitions("file", "offset"))
     return units.mapInArrow(_fetcher(folder, payload), RECORD if payload else RECORD.rsplit(", ", 1)[0])
 
