@@ -1,18 +1,21 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing (operator 4).
 
-Largest inner product is turned into smallest Euclidean distance: an indexed vector x of norm
-at most M gets the coordinate sqrt(M^2 - |x|^2), a query the coordinate 0. Each table hashes with
+Rows are split into ranges of norms, each with its own bound M (the largest norm in it) and its
+own hashing, and every query searches all ranges: a few long vectors do not move the others away
+from the queries. In a range, largest inner product is turned into smallest Euclidean distance: an
+indexed vector x gets, in units of M, the coordinate sqrt(1 - |x|^2), a query of length 1 the
+coordinate 0. Each table hashes with
 k functions floor((a.x + b) / w), a Gaussian. A query visits its own bucket and then the buckets
 one step to either side in some coordinates, in the order in which they are likely to hold near
 vectors: the perturbation sets are ranked once by the expected squared distances of a query to
 its k nearest and k farther bucket walls, and applied to each query's own order of walls.
 
-What is fitted, on a bounded sample of vectors in hash order (``sample_rows``): the width, the
-number of functions and the number of probes that find ``recall`` of the sample's nearest
-pairs. Every row is indexed, and every candidate of a visited bucket is ranked by its exact
+What is fitted for each range, on bounded samples of its vectors and of the queries in hash order
+(``sample_rows``, ``FIT_QUERIES``), with the bound of the whole range: the width, the number of
+functions and the number of probes that find ``recall`` of the queries' nearest in the sample. Every row is indexed, and every candidate of a visited bucket is ranked by its exact
 inner product in double precision.
 
-Spark's part: index rows and probes meet on (table, bucket, block). A bucket has one block per
+Spark's part: index rows and probes meet on (range, table, bucket, block). A bucket has one block per
 ``block_rows`` vectors and one lane per ``lane_probes`` probes, so neither a hot bucket nor a hot
 query group lands in one task. A task scores a block with one matrix product and keeps each
 probe's best; lists are merged per query as a stream.
@@ -31,6 +34,38 @@ from pyspark.sql import DataFrame, functions as F
 from tabforge.llm._store import hash_sample, stored
 
 TOP = 20
+#: Bins of norms per factor 2, norm ranges at most, queries of a fit at most.
+NORM_BINS, NORM_RANGES, FIT_QUERIES = 2, 8, 256
+
+
+def norm_bin(e):
+    """(norm, bin) of an array column without zero vectors; powers of 2 lie inside a bin."""
+    most = F.array_max(F.transform(e, F.abs))
+    norm = most * F.sqrt(F.aggregate(e, F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
+    return norm, F.floor(F.log2(norm) * NORM_BINS + 0.5).cast("int")
+
+
+def norm_ranges(bins: np.ndarray, rows: np.ndarray, most: int = NORM_RANGES) -> list[int]:
+    """Lowest bin of each norm range, longest vectors first: the fewest ranges, ``most`` at most,
+    whose rows lie half a bin or less below the top bin of their range on average; each number of
+    ranges is cut where that average is smallest."""
+    o = np.argsort(-bins)
+    b, n = bins[o].astype(np.float64), len(bins)
+    c, s = (np.concatenate(([0.0], np.cumsum(v))) for v in (rows[o], rows[o] * b))
+    cost, cut = np.full((most + 1, n + 1), np.inf), np.zeros((most + 1, n + 1), np.int64)
+    cost[0, 0] = 0
+    for g in range(1, most + 1):
+        for j in range(1, n + 1):
+            v = cost[g - 1, :j] + b[:j] * (c[j] - c[:j]) - (s[j] - s[:j])
+            cut[g, j] = np.argmin(v)
+            cost[g, j] = v[cut[g, j]]
+        if cost[g, n] <= 0.5 * c[n]:
+            break
+    lows, j = [], n
+    for g in range(g, 0, -1):
+        lows.append(int(b[j - 1]))
+        j = cut[g, j]
+    return lows[::-1]
 
 
 def probe_sets(k: int, most: int) -> list[tuple[int, ...]]:
@@ -57,10 +92,11 @@ class Hashing:
         self.probes = probe_sets(k, probes)
 
     def lift(self, x: np.ndarray, query: bool) -> np.ndarray:
+        x = x / (np.abs(x).max(axis=1, keepdims=True) if query else self.bound)
         n = (x * x).sum(axis=1)
         if query:                                           # the length of a query does not matter
-            return np.concatenate((x * (self.bound / np.sqrt(n))[:, None], np.zeros((len(x), 1))), axis=1)
-        return np.concatenate((x, np.sqrt(np.maximum(self.bound ** 2 - n, 0))[:, None]), axis=1)
+            return np.concatenate((x / np.sqrt(n)[:, None], np.zeros((len(x), 1))), axis=1)
+        return np.concatenate((x, np.sqrt(np.maximum(1 - n, 0))[:, None]), axis=1)
 
     def cells(self, x: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
         y = (x @ self.a[t] + self.b[t]) / self.width
@@ -121,23 +157,23 @@ def best(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:top]
 
 
-def fit(sample: np.ndarray, rows: int, recall: float, tables: int, bucket_rows: int, top: int) -> Hashing:
-    """Hashing for ``rows`` vectors from a sample. The sample's nearest few stand for the table's
-    ``top`` nearest: with s of n vectors sampled, the top * s / n nearest (at least one)."""
+def fit(sample: np.ndarray, ids: np.ndarray, queries: np.ndarray, names: np.ndarray, rows: int, bound: float, recall: float, tables: int,
+        bucket_rows: int, top: int) -> Hashing:
+    """Hashing for ``rows`` vectors of norm ``bound`` at most from samples of them and of the
+    queries. The sample's nearest few stand for the table's ``top`` nearest: with s of n vectors
+    sampled, the top * s / n nearest (at least one)."""
     dim, n = sample.shape[1], len(sample)
-    bound = float(np.sqrt((sample * sample).sum(axis=1).max())) * 1.0
     want_k = max(1, min(10, round(math.log(max(2, rows / bucket_rows), 2.6))))
-    queries = sample[:: max(1, n // 256)][:256]
-    at = np.arange(n)[:: max(1, n // 256)][:256]
     near = max(1, round(top * n / max(rows, n)))
     s = queries @ sample.T
-    s[np.arange(len(at)), at] = -np.inf
-    truth = np.argsort(-s, axis=1, kind="stable")[:, :min(near, n - 1)]
+    s[names[:, None] == ids[None, :]] = -np.inf
+    truth = np.argsort(-s, axis=1, kind="stable")[:, :near]
+    real = np.take_along_axis(s, truth, 1) > -np.inf
     for k in range(want_k, 0, -1):
         h = Hashing(dim, tables, k, 1.0, bound, 1)
         spread = np.std(h.lift(sample, False) @ h.a[0])
         h = Hashing(dim, tables, k, max(1e-9, 1.5 * spread), bound, 3 ** k)
-        need = np.sort(h.first_probe(sample, queries, truth).ravel())
+        need = np.sort(h.first_probe(sample, queries, truth)[real])
         last = int(need[math.ceil(recall * len(need)) - 1]) if len(need) else 0
         if last < 3 ** k or k == 1:
             h.probes = h.probes[:last + 1]
@@ -178,46 +214,60 @@ def nearest(vectors: DataFrame, is_query, top: int = TOP, recall: float = 0.96,
         return spark.createDataFrame([], out_schema)
     dim, rows = sizes[0]["d"], sizes[0]["count"]
     base = usable(vectors, dim)
-    sample = hash_sample(base, ["vec_id"], sample_rows).select("embedding").toArrow()
-    model = fit(_matrix(sample["embedding"], dim), rows, recall, tables, bucket_rows, top)
-    norm = base.agg(F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
-    model.bound = float(norm) ** 0.5
+    norm, place = norm_bin(F.col("embedding"))
+    bins = base.select(norm.alias("norm"), place.alias("bin")).groupBy("bin").agg(F.count("*").alias("n"), F.max("norm").alias("m")).toPandas()
     every = rows <= sample_rows
-    sent = spark.sparkContext.broadcast(model)
+    lows = norm_ranges(bins["bin"].to_numpy(), bins["n"].to_numpy())
+    lows = lows[-1:] if every else lows
+    bins["r"] = sum(((bins["bin"] < low).astype(int) for low in lows[:-1]), 0)
+    base = base.withColumn("r", sum(((place < low).cast("int") for low in lows[:-1]), F.lit(0)))
+    some = hash_sample(base.where(is_query), ["vec_id"], FIT_QUERIES).select("vec_id", "embedding").toArrow()
+    some, names = _matrix(some["embedding"], dim), some["vec_id"].to_numpy()
+    models = {}
+    for r, of in bins.groupby("r"):
+        sample = hash_sample(base.where(F.col("r") == int(r)), ["vec_id"], sample_rows).select("vec_id", "embedding").toArrow()
+        models[int(r)] = fit(_matrix(sample["embedding"], dim), sample["vec_id"].to_numpy(), some, names, int(of["n"].sum()), float(of["m"].max()),
+                             recall, tables, bucket_rows, top)
+    sent = spark.sparkContext.broadcast(models)
+
+    def batch_of(r, t, key, name, ids, vector, embedding):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), r, np.int32)), pa.array(np.full(len(key), t, np.int32)), pa.array(key), ids, embedding],
+                                          names=["r", "t", "key", name, vector])
 
     def index(batches):
-        m = sent.value
         for batch in batches:
-            x, ids = _matrix(batch.column("embedding"), dim), batch.column("vec_id")
-            for t in range(1 if every else m.tables):
-                key = np.zeros(len(x), np.int64) if every else m.key(m.cells(m.lift(x, False), t)[0])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(key), ids, batch.column("embedding")],
-                                                 names=["t", "key", "vec_id", "embedding"])
+            ranges = batch.column("r").to_numpy()
+            for r in np.unique(ranges):
+                m, part = sent.value[int(r)], batch.filter(pa.array(ranges == r))
+                x = _matrix(part.column("embedding"), dim)
+                for t in range(1 if every else m.tables):
+                    key = np.zeros(len(x), np.int64) if every else m.key(m.cells(m.lift(x, False), t)[0])
+                    yield batch_of(r, t, key, "vec_id", part.column("vec_id"), "embedding", part.column("embedding"))
 
     def probes(batches):
-        m = sent.value
         for batch in batches:
-            x, ids = _matrix(batch.column("embedding"), dim), batch.column("vec_id").to_numpy()
-            for t in range(1 if every else m.tables):
-                keys = np.zeros((len(x), 1), np.int64) if every else m.probe_keys(m.lift(x, True), t)
-                for p in range(keys.shape[1]):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(keys[:, p].copy()), pa.array(ids),
-                                                      batch.column("embedding")], names=["t", "key", "query_id", "q"])
-
-    cells = base.mapInArrow(index, "t int, key long, vec_id long, embedding array<double>")
-    asked = stored(base.where(is_query).mapInArrow(probes, "t int, key long, query_id long, q array<double>"), "probes")
-    lanes = asked.groupBy("t", "key").agg(F.count("*").alias("asked"))
-    blocks = cells.groupBy("t", "key").agg(F.count("*").alias("held"))
-    size = stored(blocks.join(lanes, ["t", "key"]).select(
-        "t", "key", F.ceil(F.col("held") / block_rows).cast("int").alias("blocks"), F.ceil(F.col("asked") / lane_probes).cast("int").alias("lanes")), "cells")
-    left = (cells.join(size, ["t", "key"])
+            x = _matrix(batch.column("embedding"), dim)
+            for r, m in sent.value.items():
+                for t in range(1 if every else m.tables):
+                    keys = np.zeros((len(x), 1), np.int64) if every else m.probe_keys(m.lift(x, True), t)
+                    for p in range(keys.shape[1]):
+                        yield batch_of(r, t, keys[:, p].copy(), "query_id", batch.column("vec_id"), "q", batch.column("embedding"))
+
+    cells = base.mapInArrow(index, "r int, t int, key long, vec_id long, embedding array<double>")
+    asked = stored(base.where(is_query).mapInArrow(probes, "r int, t int, key long, query_id long, q array<double>"), "probes")
+    bucket = ["r", "t", "key"]
+    lanes = asked.groupBy(*bucket).agg(F.count("*").alias("asked"))
+    blocks = cells.groupBy(*bucket).agg(F.count("*").alias("held"))
+    size = stored(blocks.join(lanes, bucket).select(
+        *bucket, F.ceil(F.col("held") / block_rows).cast("int").alias("blocks"), F.ceil(F.col("asked") / lane_probes).cast("int").alias("lanes")), "cells")
+    left = (cells.join(size, bucket)
             .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
             .withColumn("lane", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)))
-            .select("t", "key", "block", "lane", "vec_id", "embedding"))
-    right = (asked.join(size, ["t", "key"])
+            .select(*bucket, "block", "lane", "vec_id", "embedding"))
+    right = (asked.join(size, bucket)
              .withColumn("lane", F.pmod(F.xxhash64("query_id"), F.col("lanes")).cast("int"))
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("t", "key", "block", "lane", "query_id", "q"))
+             .select(*bucket, "block", "lane", "query_id", "q"))
 
     def score(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "ids": [], "scores": []})
@@ -241,7 +291,7 @@ def nearest(vectors: DataFrame, is_query, top: int = TOP, recall: float = 0.96,
                     res.append((int(names[r]), ids[pick][o].tolist(), v[o].tolist()))
         return pd.DataFrame(res, columns=["query_id", "ids", "scores"]) if res else none
 
-    keys = ["t", "key", "block", "lane"]
+    keys = [*bucket, "block", "lane"]
     lists = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
              .applyInPandas(score, "query_id long, ids array<long>, scores array<double>"))
 

@@ -182,6 +182,34 @@ def test_nearest_recall_by_hashing(spark):
     assert all(len(v) == len(set(v)) == 20 for v in got.values()) and hit >= 0.9 * 20 * len(want)
 
 
+def _recall(rows, want):
+    got = {}
+    for r in rows:
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    return sum(len({i for i, _ in want[q]} & got.get(q, set())) for q in want) / sum(map(len, want.values()))
+
+
+def test_nearest_recall_with_unequal_norms(spark):
+    from pyspark.sql import functions as F
+    from tabforge.llm.nearest import nearest
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(40, 32))[rng.integers(0, 40, 8000)] + 0.5 * rng.normal(size=(8000, 32))
+    even = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for y in (even,):
+        y[7] *= 1000                                          # one long vector
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "vec_id long, embedding array<double>")
+        rows = nearest(df, F.col("vec_id") % 100 == 0, sample_rows=1000, bucket_rows=300).collect()
+        assert _recall(rows, _truth(np.arange(8000), y, range(0, 8000, 100), 20)) >= 0.9
+
+
+def test_norm_ranges():
+    from tabforge.llm.nearest import norm_ranges
+    assert norm_ranges(np.array([0]), np.array([9])) == [0]
+    assert norm_ranges(np.array([0, 40, -1]), np.array([10_000, 1, 10])) == [40, -1]
+    lows = norm_ranges(np.arange(-2000, 2000), np.ones(4000, np.int64))
+    assert len(lows) == 8 and lows == sorted(lows, reverse=True) and lows[-1] == -2000
+
+
 def test_probe_sets_are_ordered_and_valid():
     from tabforge.llm.nearest import probe_sets
     sets = probe_sets(4, 81)
