@@ -12,13 +12,16 @@ its k nearest and k farther bucket walls, and applied to each query's own order
 
 What is fitted for each range, on bounded samples of its vectors and of the queries in hash order
 (``sample_rows``, ``FIT_QUERIES``), with the bound of the whole range: the width, the number of
-functions and the number of probes that find ``recall`` of the queries' nearest in the sample. Every row is indexed, and every candidate of a visited bucket is ranked by its exact
+functions and the number of probes that find ``recall`` of the queries' nearest in the sample,
+with more tables if need be. A range where no hashing reaches that is not hashed. Every row is indexed, and every candidate of a visited bucket is ranked by its exact
 inner product in double precision.
 
 Spark's part: index rows and probes meet on (range, table, bucket, block). A bucket has one block per
 ``block_rows`` vectors and one lane per ``lane_probes`` probes, so neither a hot bucket nor a hot
 query group lands in one task. A task scores a block with one matrix product and keeps each
-probe's best; lists are merged per query as a stream.
+probe's best; lists are merged per query as a stream. A query for which the probes found fewer
+than ``top`` rows of a range that has as many (or not all of a smaller one) then meets every row
+of that range, in the same blocks and lanes, so every query gets its full number of rows.
 """
 
 from __future__ import annotations
@@ -154,14 +157,18 @@ def exact_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def best(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
-    return np.lexsort((ids, -scores))[:top]
+    """Positions of the ``top`` best ids, each at its best score."""
+    o = np.lexsort((ids, -scores))
+    _, first = np.unique(ids[o], return_index=True)
+    return o[np.sort(first)[:top]]
 
 
 def fit(sample: np.ndarray, ids: np.ndarray, queries: np.ndarray, names: np.ndarray, rows: int, bound: float, recall: float, tables: int,
-        bucket_rows: int, top: int) -> Hashing:
+        bucket_rows: int, top: int) -> Hashing | None:
     """Hashing for ``rows`` vectors of norm ``bound`` at most from samples of them and of the
     queries. The sample's nearest few stand for the table's ``top`` nearest: with s of n vectors
-    sampled, the top * s / n nearest (at least one)."""
+    sampled, the top * s / n nearest (at least one). Fewer functions come first, then two and four
+    times the tables; None if ``recall`` is still not reached."""
     dim, n = sample.shape[1], len(sample)
     want_k = max(1, min(10, round(math.log(max(2, rows / bucket_rows), 2.6))))
     near = max(1, round(top * n / max(rows, n)))
@@ -169,16 +176,16 @@ def fit(sample: np.ndarray, ids: np.ndarray, queries: np.ndarray, names: np.ndar
     s[names[:, None] == ids[None, :]] = -np.inf
     truth = np.argsort(-s, axis=1, kind="stable")[:, :near]
     real = np.take_along_axis(s, truth, 1) > -np.inf
-    for k in range(want_k, 0, -1):
-        h = Hashing(dim, tables, k, 1.0, bound, 1)
+    for copies, k in itertools.product((1, 2, 4), range(want_k, 0, -1)):
+        h = Hashing(dim, tables * copies, k, 1.0, bound, 1)
         spread = np.std(h.lift(sample, False) @ h.a[0])
-        h = Hashing(dim, tables, k, max(1e-9, 1.5 * spread), bound, 3 ** k)
+        h = Hashing(dim, tables * copies, k, max(1e-9, 1.5 * spread), bound, 3 ** k)
         need = np.sort(h.first_probe(sample, queries, truth)[real])
         last = int(need[math.ceil(recall * len(need)) - 1]) if len(need) else 0
-        if last < 3 ** k or k == 1:
+        if last < 3 ** k:
             h.probes = h.probes[:last + 1]
             return h
-    return h
+    return None
 
 
 def _matrix(col: pa.Array, dim: int) -> np.ndarray:
@@ -239,6 +246,8 @@ def nearest(vectors: DataFrame, is_query, top: int = TOP, recall: float = 0.96,
             ranges = batch.column("r").to_numpy()
             for r in np.unique(ranges):
                 m, part = sent.value[int(r)], batch.filter(pa.array(ranges == r))
+                if m is None and not every:
+                    continue
                 x = _matrix(part.column("embedding"), dim)
                 for t in range(1 if every else m.tables):
                     key = np.zeros(len(x), np.int64) if every else m.key(m.cells(m.lift(x, False), t)[0])
@@ -248,6 +257,8 @@ def nearest(vectors: DataFrame, is_query, top: int = TOP, recall: float = 0.96,
         for batch in batches:
             x = _matrix(batch.column("embedding"), dim)
             for r, m in sent.value.items():
+                if m is None and not every:
+                    continue
                 for t in range(1 if every else m.tables):
                     keys = np.zeros((len(x), 1), np.int64) if every else m.probe_keys(m.lift(x, True), t)
                     for p in range(keys.shape[1]):
@@ -255,65 +266,84 @@ def nearest(vectors: DataFrame, is_query, top: int = TOP, recall: float = 0.96,
 
     cells = base.mapInArrow(index, "r int, t int, key long, vec_id long, embedding array<double>")
     asked = stored(base.where(is_query).mapInArrow(probes, "r int, t int, key long, query_id long, q array<double>"), "probes")
-    bucket = ["r", "t", "key"]
-    lanes = asked.groupBy(*bucket).agg(F.count("*").alias("asked"))
-    blocks = cells.groupBy(*bucket).agg(F.count("*").alias("held"))
-    size = stored(blocks.join(lanes, bucket).select(
-        *bucket, F.ceil(F.col("held") / block_rows).cast("int").alias("blocks"), F.ceil(F.col("asked") / lane_probes).cast("int").alias("lanes")), "cells")
-    left = (cells.join(size, bucket)
-            .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-            .withColumn("lane", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)))
-            .select(*bucket, "block", "lane", "vec_id", "embedding"))
-    right = (asked.join(size, bucket)
-             .withColumn("lane", F.pmod(F.xxhash64("query_id"), F.col("lanes")).cast("int"))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select(*bucket, "block", "lane", "query_id", "q"))
 
     def score(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "ids": [], "scores": []})
+        none = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "r": pd.Series([], dtype="int32"),
+                             "ids": pd.Series([], dtype=object), "scores": pd.Series([], dtype=object)})
         if not len(c) or not len(q):
             return none
-        x, ids = np.stack(c["embedding"].to_numpy()), c["vec_id"].to_numpy()
+        c = c.sort_values("vec_id", kind="stable")
+        x, ids, r_of = np.stack(c["embedding"].to_numpy()), c["vec_id"].to_numpy(), int(c["r"].iloc[0])
+        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
         res = []
         for a in range(0, len(q), 512):
             some = np.stack(q["q"].iloc[a:a + 512].to_numpy())
             names = q["query_id"].iloc[a:a + 512].to_numpy()
             s = some @ x.T
             s[names[:, None] == ids[None, :]] = -np.inf
-            n = min(top, len(ids))
-            floor = -np.partition(-s, n - 1, axis=1)[:, n - 1]
+            n = min(top, len(first))
+            floor = -np.partition(-np.maximum.reduceat(s, first, axis=1), n - 1, axis=1)[:, n - 1]
             slack = 1e-9 * (1 + np.abs(floor))
             for r in range(len(some)):
                 pick = np.flatnonzero((s[r] >= (floor[r] - slack[r])) & (s[r] > -np.inf))
                 if len(pick):
                     v = exact_scores(some[r], x[pick])
                     o = best(v, ids[pick], top)
-                    res.append((int(names[r]), ids[pick][o].tolist(), v[o].tolist()))
-        return pd.DataFrame(res, columns=["query_id", "ids", "scores"]) if res else none
-
-    keys = [*bucket, "block", "lane"]
-    lists = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
-             .applyInPandas(score, "query_id long, ids array<long>, scores array<double>"))
-
-    def merge(batches):
+                    res.append((int(names[r]), r_of, ids[pick][o].tolist(), v[o].tolist()))
+        return pd.DataFrame(res, columns=["query_id", "r", "ids", "scores"]) if res else none
+
+    lists_schema = "query_id long, r int, ids array<long>, scores array<double>"
+
+    def meet(cells: DataFrame, asked: DataFrame) -> DataFrame:
+        """Lists of the best rows of each block for the queries that ask for its bucket."""
+        bucket = ["r", "t", "key"]
+        lanes = asked.groupBy(*bucket).agg(F.count("*").alias("asked"))
+        blocks = cells.groupBy(*bucket).agg(F.count("*").alias("held"))
+        size = stored(blocks.join(lanes, bucket).select(
+            *bucket, F.ceil(F.col("held") / block_rows).cast("int").alias("blocks"), F.ceil(F.col("asked") / lane_probes).cast("int").alias("lanes")), "cells")
+        left = (cells.join(size, bucket)
+                .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+                .withColumn("lane", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)))
+                .select(*bucket, "block", "lane", "vec_id", "embedding"))
+        right = (asked.join(size, bucket)
+                 .withColumn("lane", F.pmod(F.xxhash64("query_id"), F.col("lanes")).cast("int"))
+                 .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .select(*bucket, "block", "lane", "query_id", "q"))
+        keys = [*bucket, "block", "lane"]
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, lists_schema)
+
+    def gather(batches, names):
         now, ids, val = None, np.zeros(0, np.int64), np.zeros(0)
-
-        def ranked():
-            n = len(ids)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(n, now)), pa.array(np.arange(1, n + 1), pa.int32()), pa.array(ids), pa.array(val)],
-                                              names=["query_id", "rank", "vec_id", "score"])
         for batch in batches:
-            for q, i, s in zip(batch.column("query_id").to_pylist(), batch.column("ids"), batch.column("scores")):
+            for q, i, s in zip(zip(*(batch.column(n).to_pylist() for n in names)), batch.column("ids"), batch.column("scores")):
                 if q != now:
                     if now is not None:
-                        yield ranked()
+                        yield now, ids, val
                     now, ids, val = q, np.zeros(0, np.int64), np.zeros(0)
                 i, s = np.concatenate((ids, i.values.to_numpy())), np.concatenate((val, s.values.to_numpy()))
-                o = np.lexsort((i, -s))
-                _, first = np.unique(i[o], return_index=True)
-                o = o[np.sort(first)][:top]
+                o = best(s, i, top)
                 ids, val = i[o], s[o]
         if now is not None:
-            yield ranked()
+            yield now, ids, val
+
+    def merge(batches):
+        for (q, r), ids, val in gather(batches, ["query_id", "r"]):
+            yield pa.RecordBatch.from_arrays([pa.array([q]), pa.array([r], pa.int32()), pa.array([ids]), pa.array([val])], names=["query_id", "r", "ids", "scores"])
 
-    return lists.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(merge, out_schema)
+    def rank(batches):
+        for (q,), ids, val in gather(batches, ["query_id"]):
+            n = len(ids)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, q)), pa.array(np.arange(1, n + 1), pa.int32()), pa.array(ids), pa.array(val)],
+                                             names=["query_id", "rank", "vec_id", "score"])
+
+    found = stored(meet(cells, asked).repartition("query_id").sortWithinPartitions("query_id", "r").mapInArrow(merge, lists_schema), "lists")
+    held = bins.groupby("r")["n"].sum().sort_index()
+    want = F.element_at(F.array(*[F.lit(min(top, int(n))) for n in held]), F.col("r") + 1)
+    queries = base.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    pairs = queries.select("query_id").distinct().withColumn("r", F.explode(F.array(*[F.lit(int(r)) for r in held.index])))
+    pairs = pairs.join(found.where(F.size("ids") >= want).select("query_id", "r"), ["query_id", "r"], "left_anti")
+    whole = [F.lit(-1).alias("t"), F.lit(0).cast("long").alias("key")]
+    short = stored(pairs.join(queries, "query_id").select("r", *whole, "query_id", "q"), "short")
+    if not short.isEmpty():
+        found = found.unionByName(meet(base.select("r", *whole, "vec_id", "embedding"), short))
+    return found.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(rank, out_schema)

@@ -195,13 +195,38 @@ def test_nearest_recall_with_unequal_norms(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(40, 32))[rng.integers(0, 40, 8000)] + 0.5 * rng.normal(size=(8000, 32))
     even = x / np.linalg.norm(x, axis=1, keepdims=True)
-    for y in (even,):
+    for y in (even, even * rng.lognormal(0, 1, (8000, 1))):
         y[7] *= 1000                                          # one long vector
         df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "vec_id long, embedding array<double>")
         rows = nearest(df, F.col("vec_id") % 100 == 0, sample_rows=1000, bucket_rows=300).collect()
         assert _recall(rows, _truth(np.arange(8000), y, range(0, 8000, 100), 20)) >= 0.9
 
 
+def test_nearest_gives_every_query_its_rows(spark):
+    from pyspark.sql import functions as F
+    from tabforge.llm.nearest import nearest
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=(20, 16))
+    x = centre[np.where(np.arange(6000) % 3 == 1, 0, rng.integers(0, 20, 6000))] + 0.01 * rng.normal(size=(6000, 16))   # a third in one place
+    x[[0, 300]] = rng.normal(size=(2, 16))                    # two queries in sparse directions
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = nearest(df, F.col("vec_id") % 100 == 0, sample_rows=1000, bucket_rows=30).collect()
+    count = {}
+    for r in rows:
+        count[r.query_id] = count.get(r.query_id, 0) + 1
+    assert count == {q: 20 for q in range(0, 6000, 100)}
+    same = [(5, [1.0, k / 100]) for k in range(50)] + [(k, [0.5, k / 100]) for k in range(10, 40)]
+    rows = nearest(spark.createDataFrame([(0, [1.0, 1.0]), *same], "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+    assert sorted(r.vec_id for r in rows) == [5, *range(21, 40)]   # an id in many rows takes one place
+
+
+def test_nearest_fit_says_when_it_fails():
+    from tabforge.llm.nearest import fit
+    x = np.eye(40)
+    assert fit(x, np.arange(40), -x, np.arange(100, 140), 40, 1.0, 1.0, 1, 1, 40) is None
+
+
 def test_norm_ranges():
     from tabforge.llm.nearest import norm_ranges
     assert norm_ranges(np.array([0]), np.array([9])) == [0]
