@@ -13,8 +13,9 @@ its k nearest and k farther bucket walls, and applied to each query's own order
 What is fitted for each range, on bounded samples of its vectors and of the queries in hash order
 (``sample_rows``, ``FIT_QUERIES``), with the bound of the whole range: the width, the number of
 functions and the number of probes that find ``recall`` of the queries' nearest in the sample,
-with more tables if need be. A range where no hashing reaches that is not hashed. Every row is indexed, and every candidate of a visited bucket is ranked by its exact
-inner product in double precision.
+with 95 % confidence, with more tables if need be. A range where no hashing reaches that (or with
+too few queries to show it) is not hashed: all its rows are ranked. Every candidate
+of a visited bucket is ranked by its exact inner product in double precision.
 
 Spark's part: index rows and probes meet on (range, table, bucket, block). A bucket has one block per
 ``block_rows`` vectors and one lane per ``lane_probes`` probes, so neither a hot bucket nor a hot
@@ -42,10 +43,11 @@ NORM_BINS, NORM_RANGES, FIT_QUERIES = 2, 8, 256
 
 
 def norm_bin(e):
-    """(norm, bin) of an array column without zero vectors; powers of 2 lie inside a bin."""
-    most = F.array_max(F.transform(e, F.abs))
+    """(norm, bin) of an array column, null for vectors that take no part (Spark may ask before
+    they are filtered out); powers of 2 lie inside a bin."""
+    most = F.nullif(F.array_max(F.transform(e, F.abs)), F.lit(0.0))
     norm = most * F.sqrt(F.aggregate(e, F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
-    return norm, F.floor(F.log2(norm) * NORM_BINS + 0.5).cast("int")
+    return norm, F.floor(F.log2(norm) * NORM_BINS + 0.5).try_cast("int")
 
 
 def norm_ranges(bins: np.ndarray, rows: np.ndarray, most: int = NORM_RANGES) -> list[int]:
@@ -163,12 +165,21 @@ def best(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
     return o[np.sort(first)[:top]]
 
 
+def enough(n: int, recall: float) -> int:
+    """Fewest of n pairs that, when found, show ``recall`` with 95 % confidence (Wilson's lower
+    bound); n + 1 if n pairs are too few to show it."""
+    p, z2 = np.arange(n + 1) / max(n, 1), 1.645 ** 2 / max(n, 1)
+    lower = (p + z2 / 2 - np.sqrt(z2 * (p * (1 - p) + z2 / 4))) / (1 + z2)
+    return int(np.append(np.flatnonzero(lower >= recall), n + 1)[0])
+
+
 def fit(sample: np.ndarray, ids: np.ndarray, queries: np.ndarray, names: np.ndarray, rows: int, bound: float, recall: float, tables: int,
         bucket_rows: int, top: int) -> Hashing | None:
     """Hashing for ``rows`` vectors of norm ``bound`` at most from samples of them and of the
     queries. The sample's nearest few stand for the table's ``top`` nearest: with s of n vectors
     sampled, the top * s / n nearest (at least one). Fewer functions come first, then two and four
-    times the tables; None if ``recall`` is still not reached."""
+    times the tables; None if ``recall`` is still not reached, or the pairs are too few to show it
+    (some 65 for 0.96)."""
     dim, n = sample.shape[1], len(sample)
     want_k = max(1, min(10, round(math.log(max(2, rows / bucket_rows), 2.6))))
     near = max(1, round(top * n / max(rows, n)))
@@ -176,12 +187,15 @@ def fit(sample: np.ndarray, ids: np.ndarray, queries: np.ndarray, names: np.ndar
     s[names[:, None] == ids[None, :]] = -np.inf
     truth = np.argsort(-s, axis=1, kind="stable")[:, :near]
     real = np.take_along_axis(s, truth, 1) > -np.inf
+    must = max(1, enough(int(real.sum()), recall))
+    if must > real.sum():
+        return None
     for copies, k in itertools.product((1, 2, 4), range(want_k, 0, -1)):
         h = Hashing(dim, tables * copies, k, 1.0, bound, 1)
         spread = np.std(h.lift(sample, False) @ h.a[0])
         h = Hashing(dim, tables * copies, k, max(1e-9, 1.5 * spread), bound, 3 ** k)
         need = np.sort(h.first_probe(sample, queries, truth)[real])
-        last = int(need[math.ceil(recall * len(need)) - 1]) if len(need) else 0
+        last = int(need[must - 1])
         if last < 3 ** k:
             h.probes = h.probes[:last + 1]
             return h
@@ -211,9 +225,9 @@ def nearest(vectors: DataFrame, is_query, top: int = TOP, recall: float = 0.96,
 
     Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take
     no part, nor do rows without vec_id or of another length than the most frequent one (the
-    longer on a tie); a vec_id that repeats is one candidate, with its best score; with ``top``
-    candidates or fewer in all, or ``sample_rows`` rows or fewer, every bucket is visited, so the
-    result is exact; no usable row gives no rows; other columns are ignored."""
+    longer on a tie); a vec_id that repeats is one candidate, with its best score; the number of
+    rows switches nothing (a range without a fit that reaches ``recall`` is ranked whole); with ``top`` candidates or fewer in all, the result is all of them; no
+    usable row gives no rows; other columns are ignored."""
     spark = vectors.sparkSession
     out_schema = "query_id long, rank int, vec_id long, score double"
     sizes = usable(vectors).groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
@@ -223,9 +237,7 @@ def nearest(vectors: DataFrame, is_query, top: int = TOP, recall: float = 0.96,
     base = usable(vectors, dim)
     norm, place = norm_bin(F.col("embedding"))
     bins = base.select(norm.alias("norm"), place.alias("bin")).groupBy("bin").agg(F.count("*").alias("n"), F.max("norm").alias("m")).toPandas()
-    every = rows <= sample_rows
     lows = norm_ranges(bins["bin"].to_numpy(), bins["n"].to_numpy())
-    lows = lows[-1:] if every else lows
     bins["r"] = sum(((bins["bin"] < low).astype(int) for low in lows[:-1]), 0)
     base = base.withColumn("r", sum(((place < low).cast("int") for low in lows[:-1]), F.lit(0)))
     some = hash_sample(base.where(is_query), ["vec_id"], FIT_QUERIES).select("vec_id", "embedding").toArrow()
@@ -246,21 +258,21 @@ def nearest(vectors: DataFrame, is_query, top: int = TOP, recall: float = 0.96,
             ranges = batch.column("r").to_numpy()
             for r in np.unique(ranges):
                 m, part = sent.value[int(r)], batch.filter(pa.array(ranges == r))
-                if m is None and not every:
+                if m is None:
                     continue
                 x = _matrix(part.column("embedding"), dim)
-                for t in range(1 if every else m.tables):
-                    key = np.zeros(len(x), np.int64) if every else m.key(m.cells(m.lift(x, False), t)[0])
+                for t in range(m.tables):
+                    key = m.key(m.cells(m.lift(x, False), t)[0])
                     yield batch_of(r, t, key, "vec_id", part.column("vec_id"), "embedding", part.column("embedding"))
 
     def probes(batches):
         for batch in batches:
             x = _matrix(batch.column("embedding"), dim)
             for r, m in sent.value.items():
-                if m is None and not every:
+                if m is None:
                     continue
-                for t in range(1 if every else m.tables):
-                    keys = np.zeros((len(x), 1), np.int64) if every else m.probe_keys(m.lift(x, True), t)
+                for t in range(m.tables):
+                    keys = m.probe_keys(m.lift(x, True), t)
                     for p in range(keys.shape[1]):
                         yield batch_of(r, t, keys[:, p].copy(), "query_id", batch.column("vec_id"), "q", batch.column("embedding"))
 

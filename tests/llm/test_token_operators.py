@@ -221,6 +221,18 @@ def test_nearest_gives_every_query_its_rows(spark):
     assert sorted(r.vec_id for r in rows) == [5, *range(21, 40)]   # an id in many rows takes one place
 
 
+def test_nearest_hashes_the_given_tables(spark):
+    from pyspark.sql import functions as F
+    from tabforge.llm.nearest import nearest
+    from tabforge.llm.queries import QUERIES
+    t = table(SF_SMALL, "embeddings")
+    ids, x = np.array(t["vec_id"]), np.array(list(t["embedding"]), np.float64)
+    want = _truth(ids, x, ids[ids % 20 == 0], 20)
+    assert _recall(QUERIES["op4_nearest"](spark, SF_SMALL).collect(), want) >= 0.9
+    df = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    assert _recall(nearest(df, F.col("vec_id") % 20 == 0, recall=0.3).collect(), want) < 1   # fewer probes, not all rows
+
+
 def test_nearest_fit_says_when_it_fails():
     from tabforge.llm.nearest import fit
     x = np.eye(40)
