@@ -1,9 +1,12 @@
 """Licence recognition by sentence rules (operator 3).
 
-1. Each whole text is split into sentences at line ends and at . ! ? before white space.
+1. Each whole text is split into sentences at blank lines (also of comment leaders), around lines
+   that are only an SPDX tag or a title, and at . ! ? before white space; other line ends are
+   white space, so wrapped notices stay in one piece.
 2. A sentence is normalised: A-Z in lower case, "licence" as "license", everything but a-z and
    0-9 as single spaces.
-3. Known sentences become identifiers; sentences that only speak of a license become
+3. Sentences become all identifiers whose patterns they match, by position, without those that lie
+   inside the match of an earlier pattern; sentences that only speak of a license become
    ``unknown``; all others vanish, so a licence is found in one piece although prose surrounds it.
 4. The sequence of identifiers is matched against ordered rules, longer ones first; a matched
    stretch is taken out, so that a sentence counts for one licence.
@@ -75,6 +78,11 @@ RULES = [
 ]
 #: Every sentence pattern needs one of these; most sentences end here.
 HINT = "licens|copyright|permission|redistribution|software|warrant|creative commons|cc by|cc0|bsd|rights reserved|under "
+LINE = "(?:\\r?\\n|\\r(?!\\n))"
+STOP = f"{LINE}[ \\t#*/;%|>-]*{LINE}|[.!?]+[ \\t\\n\\r]+|[.!?]+$"
+#: Lines that are sentences of their own.
+ALONE = "(?im)^([ \\t#*/;%|>-]*(?:spdx-licen[sc]e-identifier:.*|(?:the )?mit licen[sc]e[ \\t*/-]*))$"
+#: Sentence ends of the SQL oracle, which splits at every line end and names one identifier a sentence.
 END = "[\\n\\r]+|[.!?]+[ \\t\\n\\r]+|[.!?]+$"
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -84,11 +92,19 @@ def _normal(s: Column) -> Column:
     return F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))
 
 
-def _identifier(s: Column) -> Column:
-    out = F.when(~s.rlike(HINT), F.lit(""))
-    for name, pattern in SENTENCES:
-        out = out.when(s.rlike(pattern), F.lit(f"<{name}>"))
-    return out.otherwise(F.lit(""))
+def _identifiers(s: Column) -> Column:
+    hits = []
+    for k, (name, pattern) in enumerate(SENTENCES[:-1]):
+        at = F.regexp_instr(s, F.lit(pattern))
+        hits.append(F.when(s.rlike(pattern), F.struct(at.alias("at"), F.lit(k).alias("k"), (at + F.length(F.regexp_extract(s, pattern, 0))).alias("end"),
+                                                       F.lit(f"<{name}>").alias("name"))))
+    name, pattern = SENTENCES[-1]
+    hits = F.filter(F.array(*hits), lambda h: h.isNotNull())
+    # a transform over one element evaluates the hits once
+    return F.when(~s.rlike(HINT), F.lit("")).otherwise(F.element_at(F.transform(F.array(hits), lambda hs: F.when(
+        F.size(hs) == 0, F.when(s.rlike(pattern), F.lit(f"<{name}>")).otherwise(F.lit(""))).otherwise(F.array_join(F.transform(
+            F.array_sort(F.filter(hs, lambda h: ~F.exists(hs, lambda g: (g["k"] < h["k"]) & (g["at"] <= h["at"]) & (g["end"] >= h["end"])))),
+            lambda h: h["name"]), ""))), 1))
 
 
 def _seq(ids: list[str]) -> str:
@@ -102,7 +118,9 @@ def scan_licences(docs: DataFrame) -> DataFrame:
 
     Defined cases: a null or empty text has no identifiers and no licence; rows count as they
     stand, also when they repeat; an empty table gives no rows; other columns are ignored."""
-    parts = F.transform(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), END), lambda s: _identifier(_normal(s)))
+    text = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), ALONE, "\n\n$1\n\n")
+    normal = F.transform(F.split(text, STOP), _normal)
+    parts = F.transform(normal, _identifiers)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_join(parts, "").alias("sentence_ids"))
     start = F.struct(F.col("sentence_ids").alias("left"), F.array().cast("array<string>").alias("found"))
     rules = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(_seq(s)).alias("seq")) for n, s in RULES])

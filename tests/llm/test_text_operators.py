@@ -172,6 +172,72 @@ def test_licence_rules(spark):
     assert scan_licences(docs_of(spark, texts).limit(0)).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED."""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer.
+
+"""
+ENDORSE = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+AS_IS = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+
+You should have received a copy of the GNU General Public License
+along with this program."""
+
+
+def test_published_licence_notices(spark):
+    from tabforge.llm.licences import RULES, _seq, scan_licences
+    notices = {"MIT": MIT, "BSD-2-Clause": BSD2 + AS_IS, "BSD-3-Clause": BSD2 + ENDORSE + AS_IS, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL3}
+    cases = []
+    for name, text in notices.items():
+        whole = _seq(max((ids for rule, ids in RULES if rule == name), key=len))
+        joined = "\n\n".join(" ".join(part.split()) for part in text.split("\n\n"))
+        leaders = "\n".join(f"# {line}".rstrip() for line in text.split("\n"))
+        cases += [(t, name, whole) for t in (text, joined, leaders, text.replace("\n", "\r\n"))]
+    cases += [("# SPDX-License-Identifier: MIT\n# Author: A\nimport os", "MIT", "<mit_ref>"), ("MIT License\nCopyright A", "MIT", "<mit_ref>")]
+    got = {r.doc_id: r for r in scan_licences(docs_of(spark, [t for t, _, _ in cases])).collect()}
+    for i, (text, name, whole) in enumerate(cases):
+        assert got[i].licences == name and whole in got[i].sentence_ids, (text, got[i])
+
+
 def test_licence_oracle(spark):
     from tabforge.llm.queries import ORACLES, QUERIES
     from tabforge.plans.verify import compare
