@@ -70,7 +70,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_roundtrip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op12_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+    from tabforge.llm.fertility import quality_rules
+    found = quality_rules(table(spark, sf_dir, "documents"), public.path("piece_bpe_32k.model"),
+                          public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_dups, op2_byte_bpe, op3_licences, op4_nearest, op5_personal_data, op6_token_files, op7_decontaminate,
-    op8_quality, op9_language, op10_warc)}
+    op8_quality, op9_language, op10_warc, op12_fertility)}
 ORACLES: dict[str, str] = {"op3_licences": licences.oracle()}
