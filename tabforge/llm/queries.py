@@ -78,7 +78,12 @@ def op12_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm.prefix_trie import prefix_trie
+    return prefix_trie(table(spark, sf_dir, "conversations")).drop("key")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_dups, op2_byte_bpe, op3_licences, op4_nearest, op5_personal_data, op6_token_files, op7_decontaminate,
-    op8_quality, op9_language, op10_warc, op12_fertility)}
+    op8_quality, op9_language, op10_warc, op12_fertility, op13_prefix_trie)}
 ORACLES: dict[str, str] = {"op3_licences": licences.oracle()}
