@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabforge.session import ensure_checkpoint_dir
 
@@ -32,3 +32,10 @@ def hash_sample(df: DataFrame, on: list[str], rows: int) -> DataFrame:
     if n > 4 * rows:
         df = df.where(place < F.lit(int((1 << 32) * 2 * rows / n)))
     return df.orderBy(place, *on).limit(rows)
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: str, by: Column | str, how: str, salts: int = 32) -> DataFrame:
+    """Join on ``on`` where many rows of ``left`` may share a key: they are dealt by a hash of
+    ``by`` over ``salts`` copies of ``right`` (few rows)."""
+    left = left.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    return left.join(right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [on, "salt"], how).drop("salt")

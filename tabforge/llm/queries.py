@@ -70,6 +70,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_roundtrip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm.hard_negatives import hard_negatives
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op12_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
     from tabforge.llm.fertility import quality_rules
@@ -85,5 +90,5 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_near_dups, op2_byte_bpe, op3_licences, op4_nearest, op5_personal_data, op6_token_files, op7_decontaminate,
-    op8_quality, op9_language, op10_warc, op12_fertility, op13_prefix_trie)}
+    op8_quality, op9_language, op10_warc, op11_hard_negatives, op12_fertility, op13_prefix_trie)}
 ORACLES: dict[str, str] = {"op3_licences": licences.oracle()}
