@@ -29,17 +29,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabforge.llm._store import stored
+from tabforge.llm._store import salted_join, stored
 from tabforge.operators.indexing import global_index
 
 #: Turns of one conversation in a row.
 SEGMENT = 4096
-CONTAINER_ROWS = 2048
-CONTAINER_TURNS = 1 << 17
+CONTAINER_ROWS = 512
+CONTAINER_TURNS = 1 << 15
 #: Ids in one chunk of the text that a node's ends are hashed from.
 CHUNK_IDS = 1024
-#: Copies of a small side that the rows of a common key are dealt over.
-SALTS = 32
 ROOT = bytes(16)
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 _CLASS = "w long, key binary, head binary, path binary, m int, sizes array<long>, conv_id long"
@@ -172,12 +170,6 @@ def _node(j) -> Column:
     return F.when(j == 0, F.col("head")).otherwise(F.substring(F.col("path"), (j - 1) * 16 + 1, F.lit(16)))
 
 
-def _salted(left: DataFrame, right: DataFrame, on: str, by: str, how: str) -> DataFrame:
-    """Join on ``on``, the rows of a common key dealt over ``SALTS`` copies of ``right``."""
-    left = left.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
-    return left.join(right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [on, "salt"], how).drop("salt")
-
-
 def burst(classes: DataFrame, rows: int, turns: int) -> DataFrame:
     """``classes`` with ``e``: the depth of the container that holds the class (m + 1 if it ends at
     a burst head). Containers of more than ``rows`` classes, or of several with more than ``turns``
@@ -191,7 +183,7 @@ def burst(classes: DataFrame, rows: int, turns: int) -> DataFrame:
         if big.isEmpty():
             done.append(live.withColumn("e", F.lit(a)))
             break
-        last = _salted(at, big, "node", "key", "left_semi").groupBy("key").agg((F.max("j") + 1).alias("e"))
+        last = salted_join(at, big, "node", "key", "left_semi").groupBy("key").agg((F.max("j") + 1).alias("e"))
         found = stored(live.join(last, "key", "left").withColumn("e", F.coalesce("e", F.lit(a))), "containers")
         on = (F.col("e") == a + step) & (F.col("m") >= a + step)
         done.append(found.where(~on))
@@ -312,7 +304,7 @@ def _stratum(classes: DataFrame, rows: int, turns: int) -> DataFrame:
     loose = tops.drop("parent_conv_id").unionByName(heads)
     loose = loose.withColumn("over", F.substring(F.col("above"), F.length("above") - 15, F.lit(16)))
     names = [c.split()[0] for c in _NODE.split(", ")]
-    return swept.where("above is null or length(above) = 0").unionByName(_salted(loose, parents, "over", "key", "left").select(*names))
+    return swept.where("above is null or length(above) = 0").unionByName(salted_join(loose, parents, "over", "key", "left").select(*names))
 
 
 def prefix_trie(conversations: DataFrame, segment: int = SEGMENT, container_rows: int = CONTAINER_ROWS,
