@@ -1,23 +1,20 @@
 """Boosted trees, early stopping, prediction, feature ranking and isotonic
-calibration (M-01 ... M-04, M-08, M-09) on Spark ML: every fit is a
-distributed job; only the fitted model and a handful of scores reach the
-driver."""
+calibration (M-01 ... M-04, M-08, M-09): every fit is a distributed job; only
+histograms, the fitted model and a handful of scores reach the driver. Fitted
+models are Spark ML tree ensembles."""
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Seed, boosting rounds and early-stopping patience of the reference's trainer.
+from tabforge.operators.boosting import MAX_DEPTH, PATIENCE, early_stop_rounds, fit_trees, stopped, to_spark_model  # noqa: F401
+
+# Seed and boosting rounds of the reference's trainer.
 SEED = 314
 ROUNDS = 1000
-PATIENCE = 10
-#: With a valid set, boosting is tried with this many rounds first, then twice as many, and so on.
-FIRST_ROUNDS = 32
-
 
 @dataclass
 class TrialParams:
@@ -27,12 +24,8 @@ class TrialParams:
     subsample: float = 1.0
     learning_rate: float = 0.1
     max_iter: int = ROUNDS
-
-    @property
-    def depth(self) -> int:
-        """Spark trees are depth-limited, not leaf-limited: a tree with at most
-        ``num_leaves`` leaves needs depth ceil(log2(num_leaves))."""
-        return max(1, min(int(self.max_depth), math.ceil(math.log2(max(2, int(self.num_leaves)))), 30))
+    min_rows: int = 20                        # fewest rows of a leaf
+    l2: float = 0.0
 
 
 @dataclass
@@ -65,75 +58,20 @@ class GbtModel:
                                      "feature string, importance double")
 
 
-def _estimator(task: str, label: str, params: TrialParams, n_iter: int, seed: int):
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.regression import GBTRegressor
-    kw = dict(labelCol=label, featuresCol="__features", maxDepth=params.depth,
-              featureSubsetStrategy=str(min(1.0, max(0.01, float(params.colsample)))),
-              subsamplingRate=float(params.subsample), stepSize=float(params.learning_rate),
-              maxIter=int(n_iter), seed=seed)
-    return GBTRegressor(**kw) if task == "Regression" else GBTClassifier(**kw)
-
-
-def early_stop_rounds(losses: list[float], patience: int = PATIENCE) -> int:
-    """Number of trees to keep: the best iteration seen before ``patience``
-    rounds pass without improvement."""
-    best, best_i = float("inf"), 0
-    for i, loss in enumerate(losses):
-        if loss < best - 1e-12:
-            best, best_i = loss, i
-        elif i - best_i >= patience:
-            break
-    return best_i + 1
-
-
-def stopped(losses: list[float], patience: int = PATIENCE) -> bool:
-    """Whether early stopping ends inside ``losses``."""
-    return len(losses) - early_stop_rounds(losses, patience) >= patience
-
-
-def tree_prefix(spark, model, n: int, task: str):
-    """The model of the first ``n`` trees. Boosting is sequential and seeded, so this is the model
-    that a fit with ``n`` rounds would give, without that fit."""
-    from pyspark.ml.classification import GBTClassificationModel
-    from pyspark.ml.regression import GBTRegressionModel
-    sc = spark.sparkContext
-    jvm, java = sc._jvm, model._java_obj
-    trees, weights = list(java.trees())[:n], list(java.treeWeights())[:n]
-    jt = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
-    jw = sc._gateway.new_array(jvm.double, len(weights))
-    for i in range(len(trees)):
-        jt[i], jw[i] = trees[i], weights[i]
-    if task == "Regression":
-        cut = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), jt, jw, java.numFeatures()))
-    else:
-        cut = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-            java.uid(), jt, jw, java.numFeatures(), java.numClasses()))
-    return cut.setFeaturesCol("__features")
-
-
 def fit_gbt(train: DataFrame, features: list[str], label: str = "label", params: TrialParams | None = None,
             task: str = "Classification", valid: DataFrame | None = None, seed: int = SEED,
             patience: int = PATIENCE) -> GbtModel:
-    """Fit up to ``params.max_iter`` trees. With ``valid``, patience decides: the number of rounds
-    is doubled until ``patience`` rounds have passed without a better valid loss, and the trees up
-    to the best round are kept."""
-    params = params or TrialParams()
-    shell = GbtModel(None, list(features), label, task, params.max_iter)
-    data = shell._vec(train.withColumn(label, F.col(label).cast("double")))
-    if valid is None:
-        return GbtModel(_estimator(task, label, params, params.max_iter, seed).fit(data), list(features), label, task, params.max_iter, [])
-    vdata = shell._vec(valid.withColumn(label, F.col(label).cast("double")))
-    rounds = min(FIRST_ROUNDS, params.max_iter)
-    while True:
-        model = _estimator(task, label, params, rounds, seed).fit(data)
-        losses = list(model.evaluateEachIteration(vdata, "squared") if task == "Regression"
-                      else model.evaluateEachIteration(vdata))
-        if rounds >= params.max_iter or stopped(losses, patience):
-            break
-        rounds = min(2 * rounds, params.max_iter)
-    n = early_stop_rounds(losses, patience)
-    return GbtModel(tree_prefix(train.sparkSession, model, n, task) if n < len(losses) else model, list(features), label, task, n, losses)
+    """Fit up to ``params.max_iter`` trees of at most ``num_leaves`` leaves and ``max_depth`` levels,
+    grown leaf by leaf (``boosting``). With rows in ``valid``, patience decides: boosting ends once
+    ``patience`` rounds have passed without a better valid loss, and the trees up to the best round
+    are kept. It also ends when no split improves the fit. Rows without a label take no part."""
+    params, features = params or TrialParams(), list(features)
+    depth = int(params.max_depth) if params.max_depth > 0 else MAX_DEPTH
+    fit = fit_trees(train, valid, features, label, task, max(2, int(params.num_leaves)), depth, float(params.learning_rate),
+                    float(params.colsample), float(params.subsample), seed, params.l2, params.min_rows, params.max_iter, patience)
+    trees = fit.trees[:early_stop_rounds(fit.losses, patience)] if fit.losses else fit.trees
+    model = to_spark_model(train.sparkSession, trees, fit.bounds, fit.init, task, len(features))
+    return GbtModel(model, features, label, task, max(1, len(trees)), fit.losses)
 
 
 def feature_importances(model: GbtModel, spark, method: str = "gain", data: DataFrame | None = None,
