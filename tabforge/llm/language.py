@@ -152,13 +152,18 @@ def identify(docs: DataFrame, langs: list[str], logp: np.ndarray) -> DataFrame:
 
 
 def drop_unknown(docs: DataFrame, langs: list[str], logp: np.ndarray) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text has a known language."""
+    """The rows of ``docs``, with all their columns, whose text has a known language; if no language
+    was learned, those whose text has a letter."""
     model = docs.sparkSession.sparkContext.broadcast((langs, logp))
 
     def run(batches):
         langs, logp = model.value
         for batch in batches:
-            for lo, hi, best, _, _ in _predictions(batch.column("text"), langs, logp):
+            text = batch.column("text")
+            if not langs:
+                yield batch.filter(pa.array([any(c.isalpha() for c in t or "") for t in text.to_pylist()], pa.bool_()))
+                continue
+            for lo, hi, best, _, _ in _predictions(text, langs, logp):
                 yield batch.slice(lo, hi - lo).filter(pa.array([b != UNKNOWN for b in best], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
 

@@ -32,10 +32,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tabforge.llm._store import stored
 from tabforge.llm._text import NOT_SPACE, U, gram_hashes, mix, runs, span_hashes, word_spans
+from tabforge.operators.indexing import global_index
 
 #: Node ids up to which the list of involved nodes (8 bytes each) is broadcast.
 BROADCAST_IDS = 2_000_000
@@ -312,13 +313,25 @@ def _named(owner: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``near_dups`` keeps: one document of
-    each group. Rows that repeat a kept doc_id are copies too; one of them stays."""
-    found = stored(near_dups(docs, **params), "groups")
-    gone = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    """The rows of ``docs``, with all their columns, that stay when one row of each near-duplicate
+    group stays: the one with the smallest doc_id (nulls last).
+
+    Only texts make a group: rows that repeat a doc_id, or have none, lose copies and nothing else.
+    If there are such rows, all rows are numbered in the order of their doc_id first."""
+    odd = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().where("count > 1 or doc_id is null")
+    if odd.isEmpty():
+        return _without(docs, F.col("doc_id").cast("long"), params)
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    order = {f"{row}{k}": c for k, c in enumerate((F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")), F.rand(11)))}
+    numbered = stored(global_index(docs.withColumns(order), list(order), row).drop(*order), "numbered")
+    return _without(numbered, F.col(row), params).drop(row)
+
+
+def _without(docs: DataFrame, key: Column, params: dict) -> DataFrame:
+    """``docs`` without the rows that ``near_dups`` drops; ``key`` names a row."""
+    found = near_dups(docs.select(key.alias("doc_id"), "text"), **params)
+    gone = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")), "gone")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone   # else the texts would be shuffled
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
-    again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if again.isEmpty():
-        return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).union(left.where("doc_id is null"))
+    return docs.join(gone, key == F.col("gone_id"), "left_anti")
