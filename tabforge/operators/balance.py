@@ -15,12 +15,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.functions.hashing import u
-from tabforge.operators.indexing import global_index, keep_smallest
+from tabforge.operators.indexing import dealt_join, global_index, keep_smallest
 from tabforge.operators.knn import knn_join
 from tabforge.session import cut_lineage
 
@@ -200,8 +200,7 @@ def smote(df: DataFrame, key: str = "ID", label: str = "label", features: list[s
     # one checkpointed copy of the classes to grow: kNN, base rows and
     # neighbour rows all read it instead of recomputing the input
     idx = global_index(df.where(F.col(label).isin(list(usable))), key, "__idx", group=label)
-    metric, penalty, knn_feats, knn_cats = "euclidean", 0.0, features, cat_features
-    space = idx
+    metric, penalty = "euclidean", 0.0
     if features and cat_features:
         metric = "mixed"
         minority = min(counts, key=lambda c: (counts[c], str(c)))
@@ -213,10 +212,11 @@ def smote(df: DataFrame, key: str = "ID", label: str = "label", features: list[s
         report.notes["median_std"] = med
     elif not features:
         metric = "vdm"
-        space, knn_feats, n_classes = vdm_space(df, key, label, cat_features, rows=idx)
-        knn_cats, penalty = [], float(n_classes)
-    nn = knn_join(space, space, knn_feats, k=k, key=key, metric=metric, exclude_self=True, group=label,
-                  cat_features=knn_cats, cat_penalty=penalty, strategy=strategy, block_rows=block_rows)
+    if metric == "vdm":
+        nn = vdm_neighbours(df, idx, key, label, cat_features, k, strategy, block_rows)
+    else:
+        nn = knn_join(idx, idx, features, k=k, key=key, metric=metric, exclude_self=True, group=label,
+                      cat_features=cat_features, cat_penalty=penalty, strategy=strategy, block_rows=block_rows)
     draws = draw_table(df.sparkSession, {c: n_max - n for c, n in usable.items()}, label, df.schema[label].dataType)
     n_of = _lit_map(usable, F.col(label), "bigint")
     draws = draws.withColumn("__idx", F.floor(u("draw_id", f"{seed}:base") * n_of).cast("long"))
@@ -229,29 +229,52 @@ def smote(df: DataFrame, key: str = "ID", label: str = "label", features: list[s
 
 def vdm_space(df: DataFrame, key: str, label: str, cat_features: list[str], rows: DataFrame | None = None):
     """Rows mapped to P(class | value) per nominal column (value-difference
-    metric space; probabilities from all of ``df``, applied to ``rows``).
-    Value x class counts are bounded by the categories."""
+    metric space; probabilities from all of ``df``, applied to ``rows``). The
+    probabilities stay a table (column, value) that is joined to the rows."""
     classes = sorted(class_counts(df, label), key=str)
-    long = df.select(F.col(label), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("col"), F.col(f"`{c}`").cast("string").alias("v")) for c in cat_features
-    ])).alias("kv")).select(label, "kv.col", "kv.v")
-    cnt = long.groupBy("col", "v", label).count().collect()
-    tot: dict = {}
-    for r in cnt:
-        tot[(r["col"], r["v"])] = tot.get((r["col"], r["v"]), 0) + r["count"]
-    prob: dict = {}
-    for r in cnt:
-        prob[(r["col"], r["v"], r[label])] = r["count"] / tot[(r["col"], r["v"])]
-    cols, names = [], []
-    for c in cat_features:
-        values = sorted({v for (cc, v) in tot if cc == c}, key=lambda x: (x is None, x))
-        for ci, cls in enumerate(classes):
-            m = {v: prob.get((c, v, cls), 0.0) for v in values if v is not None}
-            name = f"__p_{c}_{ci}"
-            cols.append(F.coalesce(_lit_map(m, F.col(f"`{c}`").cast("string"), "double"), F.lit(0.0)).alias(name))
-            names.append(name)
-    space = (rows if rows is not None else df).select(F.col(key), F.col(label), *cols)
-    return space, names, len(classes)
+    long = df.select(F.col(label).alias("__cls"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("col"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(cat_features)
+    ])).alias("kv")).select("__cls", "kv.col", "kv.v").where(F.col("v").isNotNull())
+    prob = cut_lineage(long.groupBy("col", "v").agg(*[
+        F.avg((F.col("__cls").eqNullSafe(F.lit(c))).cast("double")).alias(f"p{i}") for i, c in enumerate(classes)]))
+    space = (rows if rows is not None else df).select(
+        F.col(key), F.col(label), *[F.col(f"`{c}`").cast("string").alias(f"__v{i}") for i, c in enumerate(cat_features)])
+    names = []
+    for i, c in enumerate(cat_features):
+        here = [f"__p_{c}_{ci}" for ci in range(len(classes))]
+        of = prob.where(F.col("col") == i).select(F.col("v").alias(f"__v{i}"), *[F.col(f"p{ci}").alias(n) for ci, n in enumerate(here)])
+        space = dealt_join(space, of, [f"__v{i}"], key).withColumns({n: F.coalesce(F.col(f"`{n}`"), F.lit(0.0)) for n in here})
+        names += here
+    return space.select(key, label, *[F.col(f"`{n}`") for n in names]), names, len(classes)
+
+
+def vdm_neighbours(df: DataFrame, rows: DataFrame, key: str, label: str, cat_features: list[str], k: int, strategy: str = "auto",
+                   block_rows: int = 20_000) -> DataFrame:
+    """The k nearest other rows of its class for each of ``rows`` in the value-difference metric:
+    (query_id, donor_id, distance, rank).
+
+    Rows of one class with the same category tuple stand at one point. So the search runs between
+    distinct tuples: a tuple asks once, for k + 1 rows, and offers its first k + 1 rows by key (no
+    answer can hold more of them). A row's neighbours are its tuple's without itself."""
+    values = [f"__t{i}" for i in range(len(cat_features))]
+    named = rows.select(F.col(key).alias("__row"), F.col(label).alias("__cls"), *[F.col(f"`{c}`").cast("string").alias(t) for c, t in zip(cat_features, values)])
+    point = ["__cls", *values]
+    few = cut_lineage(named.withColumn("__n", F.row_number().over(Window.partitionBy(*point).orderBy("__row")))   # first k + 1 of each tuple
+                      .where(F.col("__n") <= k + 1))
+    offer = few.select(F.col("__row").alias(key), F.col("__cls").alias(label), "__n", *[F.col(t).alias(c) for c, t in zip(cat_features, values)])
+    space, names, n_classes = vdm_space(df, key, label, cat_features, rows=offer)
+    space = cut_lineage(space)
+    asks = space.join(few.where("__n = 1").select(F.col("__row").alias(key)), key, "left_semi")
+    nn = knn_join(asks, space, names, k=k + 1, key=key, metric="vdm", group=label, cat_penalty=float(n_classes), strategy=strategy, block_rows=block_rows)
+    lists = nn.groupBy(F.col("query_id").alias("__row")).agg(F.sort_array(F.collect_list(F.struct("rank", "donor_id", "distance"))).alias("__nn"))   # k + 1
+    lists = few.where("__n = 1").join(lists, "__row").select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in point],
+                                                            F.concat_ws(",", *[F.col(c).isNull().cast("string") for c in point]).alias("__nulls"), "__nn")
+    asked = named.select("__row", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in point],
+                         F.concat_ws(",", *[F.col(c).isNull().cast("string") for c in point]).alias("__nulls"))
+    each = dealt_join(asked, lists, [*point, "__nulls"], "__row", "inner")
+    mine = F.slice(F.filter("__nn", lambda x: x["donor_id"] != F.col("__row")), 1, k)
+    return each.select(F.col("__row").alias("query_id"), F.posexplode(mine).alias("__at", "__d")).select(
+        "query_id", "__d.donor_id", "__d.distance", (F.col("__at") + 1).alias("rank"))
 
 
 # ------------------------------------------------------------------ B-06 ADASYN
@@ -538,7 +561,6 @@ def one_sided_selection(df: DataFrame, key: str = "ID", label: str = "label",
         lbl = pool.select(F.col(key).alias("donor_id"), F.col(label).alias("__dl"))
         hit = nn.join(lbl, "donor_id").where(F.col("__dl") == F.lit(minority)).select(F.col("query_id").alias("__k"))
         kept = maj.join(hit, F.col(key) == F.col("__k"), "left_semi")
-        hit = cut_lineage(hit)
         out = out.unionByName(seed_row).unionByName(kept.join(seed_row.select(F.col(key).alias("__s")),
                                                               F.col(key) == F.col("__s"), "left_anti"))
     return tomek_drop(cut_lineage(out), key, label, features, minority, strategy, block_rows)

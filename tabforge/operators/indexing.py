@@ -67,6 +67,14 @@ def global_index(df: DataFrame, order, index_col: str = "index", group: str | No
     return out.select(*[ranged[f"`{c}`"] for c in df.columns], idx)
 
 
+def dealt_join(left: DataFrame, right: DataFrame, on: list[str], by: str, how: str = "left", copies: int = 32) -> DataFrame:
+    """Equi-join on ``on`` where many rows of ``left`` may share a key: a hash of column ``by`` deals
+    them over ``copies`` of the few rows of ``right``, so no task gets a whole key."""
+    left = left.withColumn("__deal", F.pmod(F.xxhash64(by), F.lit(copies)).cast("int"))
+    right = right.withColumn("__deal", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return left.join(right, [*on, "__deal"], how).drop("__deal")
+
+
 def _lookup(mapping: dict, key_col: Column, dtype: str = "double") -> Column:
     if not mapping:
         return F.lit(None).cast(dtype)

@@ -1,7 +1,7 @@
 """Exact k-nearest-neighbour join (J-02): the kernel of kNN imputation and of
 every SMOTE-family, NearMiss and cleaning balancer.
 
-Two exact strategies, same results (ties by donor key):
+Exact strategies, same results (ties by donor key):
 
 * ``broadcast`` -- donors (size checked against a byte budget) are shipped
   once to every executor; query partitions stream through ``mapInPandas`` in
@@ -12,6 +12,10 @@ Two exact strategies, same results (ties by donor key):
   emits at most k candidates per query row, and a final top-k per query merges
   the candidates. A hot group just gets more blocks.
 
+* ``partitioned`` -- cells by quantiles of one coordinate, for few dimensions.
+* ``pivots`` -- cells around pivots, for many dimensions and for farthest
+  neighbours (``pivots.py``).
+
 No strategy ever materialises the pair set: each task returns k rows per query.
 Distances are computed from direct float64 differences (not the
 |a|^2+|b|^2-2ab form) so ties agree with SQL.
@@ -265,9 +269,11 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
 
     ``group`` restricts neighbours to donors of the same group value (e.g. the
     same class). ``strategy``: ``broadcast`` (donors under ``broadcast_budget``
-    bytes, measured), ``partitioned`` (exact, range-pruned cells),
+    bytes, measured), ``partitioned`` (exact, range-pruned cells), ``pivots``
+    (exact, cells pruned by the triangle inequality, also for ``farthest``),
     ``blocked`` (exact, every block pair) or ``auto``: broadcast when the
-    donors fit, else partitioned when the metric allows pruning, else blocked."""
+    donors fit, else partitioned in up to ``PRUNE_MAX_DIMS`` dimensions, else
+    pivots when the metric allows pruning, else blocked."""
     cat_features = list(cat_features)
     if not isinstance(queries.schema[key].dataType, IntegralType):
         return _by_rank(queries, donors, key, lambda q, d: knn_join(
@@ -281,6 +287,8 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
             strategy = "broadcast"
         elif metric in ("euclidean", "mixed") and not farthest and 0 < len(features) <= PRUNE_MAX_DIMS:
             strategy = "partitioned"
+        elif metric in ("euclidean", "mixed") and features:
+            strategy = "pivots"
         else:
             strategy = "blocked"
     if strategy == "broadcast":
@@ -294,6 +302,12 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
             raise ValueError("the partitioned strategy needs a euclidean-type metric, nearest neighbours and a "
                              "continuous feature to prune on; use strategy='blocked'")
         cands = _partitioned_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, block_rows)
+    elif strategy == "pivots":
+        if metric not in ("euclidean", "mixed") or not features:
+            raise ValueError("pivots need a euclidean-type metric and a continuous feature; use strategy='blocked'")
+        from tabforge.operators.pivots import PivotIndex
+        index = PivotIndex(d, len(features), len(cat_features), metric, cat_penalty, block_rows, farthest)
+        cands = index.topk(q, k, exclude_self)
     else:
         raise ValueError(strategy)
     return _rank(cands, k, farthest)

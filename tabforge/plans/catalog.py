@@ -767,6 +767,20 @@ def q_knn_partitioned(spark, sf_dir):
     return _knn_vectors(spark, sf_dir, "partitioned")
 
 
+@register("j02_knn_join_pivots")
+def q_knn_pivots(spark, sf_dir):
+    """Same result through pivots and triangle-inequality bounds."""
+    return _knn_vectors(spark, sf_dir, "pivots")
+
+
+@register("j02_knn_farthest_pivots")
+def q_knn_farthest(spark, sf_dir):
+    """The 3 farthest neighbours of every row, cells visited in the order of their upper bounds."""
+    v = fx.fx_vectors(spark, sf_dir)
+    res = knn.knn_join(v, v, fx.vector_columns(), k=3, key="ID", exclude_self=True, strategy="pivots", block_rows=400, farthest=True)
+    return res.select("query_id", "donor_id", F.col("rank").cast("int").alias("rank"), r("distance").alias("distance"))
+
+
 # ---------------------------------------------------------------- P-13, P-14, S-05, S-09, S-10
 @register("p13_align_columns")
 def q_align(spark, sf_dir):

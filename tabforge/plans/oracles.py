@@ -295,7 +295,7 @@ WITH t AS ({FX_TRIALS_SQL}) SELECT * FROM t ORDER BY score DESC, trial_id LIMIT
 from tabforge.sources.fixtures import fx_vectors_sql  # noqa: E402
 
 
-def _knn(k: int, within_class: bool) -> str:
+def _knn(k: int, within_class: bool, order: str = "distance") -> str:
     same = "AND a.label = b.label" if within_class else ""
     return f"""
 WITH v AS (SELECT vec_id AS ID, embedding, CASE WHEN label = 0 THEN 1 ELSE 0 END AS label FROM embeddings),
@@ -305,7 +305,7 @@ pairs AS (
               lambda z: (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)) * (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)))))
            AS distance
   FROM v a JOIN v b ON a.ID <> b.ID {same}),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, donor_id) AS rank FROM pairs)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {order}, donor_id) AS rank FROM pairs)
 SELECT query_id, donor_id, CAST(rank AS INTEGER) AS rank, round(distance, {R}) AS distance FROM ranked
 WHERE rank <= {k}"""
 
@@ -801,7 +801,8 @@ UNION ALL SELECT * FROM syn"""
 
 
 ORACLES["b03_smote_orders"] = _smote_orders()
-ORACLES["j02_knn_join_partitioned"] = ORACLES["j02_knn_join"]
+ORACLES["j02_knn_join_partitioned"] = ORACLES["j02_knn_join_pivots"] = ORACLES["j02_knn_join"]
+ORACLES["j02_knn_farthest_pivots"] = _knn(3, False, "distance DESC")
 
 ORACLES["p13_align_columns"] = f"WITH {_folds_cte()} SELECT label, ID, price_twin, acctbal FROM fxf WHERE fold = 'test'"
 ORACLES["p14_normalize_booleans"] = (f"WITH {_clean_orders_cte()} SELECT ID, coalesce(o_totalprice > 100000, false) AS big, "
