@@ -1,15 +1,21 @@
-"""Versioned "gold" datasets and a model registry as catalog tables
-(S-06, S-07, S-08, S-14). A catalog is a Parquet table with one appended row
-per publication; readers pick the latest version with a filter + max."""
+"""Versioned "gold" datasets and a model registry (S-06, S-07, S-08, S-14).
+
+A dataset (project and variant) or a model name has a folder of numbered version files, each put
+there once and only if its number is free (``versions``), so any number of writers may publish at
+the same time: every publication gets its own version and its own data folder, and none is lost.
+Data is written before its version file."""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.sources.stage import exists, write_stage
+from tabforge.sources.stage import write_stage
+from tabforge.sources.versions import commit, read_version, version_file, versions
 
 GOLD_SCHEMA = ("project string, variant string, version int, path string, imputers string, "
                "balancers string, downsample boolean, drop_bools boolean, published_at timestamp")
@@ -20,12 +26,20 @@ def gold_variant(downsample: bool, drop_bools: bool) -> str:
     return ("-downsample" if downsample else "") + ("-dropbools" if drop_bools else "")
 
 
-def _catalog(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The catalog table, empty before the first publication. Any other failure is raised:
-    taking it for "no catalog yet" would start again at version 1."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+def _folder(root: str, kind: str, name: str) -> str:
+    return f"{root.rstrip('/')}/_catalog/{kind}/{quote(name, safe='')}"
+
+
+def list_versions(spark: SparkSession, root: str, kind: str, name: str) -> DataFrame:
+    """Every version of a dataset (``gold``: project + variant) or model (``models``), as a table."""
+    schema = GOLD_SCHEMA if kind == "gold" else MODEL_SCHEMA
+    folder = _folder(root, kind, name)
+    files = [version_file(folder, n) for n in versions(spark, folder)]
+    return spark.read.schema(schema).json(files) if files else spark.createDataFrame([], schema)
+
+
+def _now() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
 
 
 def registry_tags(keys: DataFrame, col: str = "key") -> DataFrame:
@@ -42,43 +56,28 @@ def registry_tags(keys: DataFrame, col: str = "key") -> DataFrame:
 
 def publish_gold(df: DataFrame, root: str, project: str, downsample: bool = False, drop_bools: bool = False,
                  imputers: str = "", balancers: str = "", partition_by="fold") -> dict:
-    """Write ``df`` as a new version of ``{project}/gold{variant}`` and append
-    its row to the gold catalog (the data is written before the row)."""
-    spark = df.sparkSession
+    """Write ``df`` as a new version of ``{project}/gold{variant}``: first the data, in a folder of its
+    own, then the version file, for the next free number."""
     variant = gold_variant(downsample, drop_bools)
-    cat_path = f"{root}/_catalog/gold"
-    cat = _catalog(spark, cat_path, GOLD_SCHEMA)
-    last = cat.where((F.col("project") == project) & (F.col("variant") == variant)).agg(F.max("version")).first()[0]
-    version = (last or 0) + 1
-    path = f"{root}/{project}/gold{variant}/v={version}"
+    path = f"{root}/{project}/gold{variant}/data-{uuid.uuid4().hex}"
     write_stage(df, path, partition_by=partition_by if partition_by in df.columns else None)
-    row = [(project, variant, version, path, imputers, balancers, downsample, drop_bools,
-            dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
-    spark.createDataFrame(row, GOLD_SCHEMA).write.mode("append").parquet(cat_path)
-    return {"project": project, "variant": variant, "version": version, "path": path}
+    n, _ = commit(df.sparkSession, _folder(root, "gold", f"{project}{variant}"), lambda n, _last: {
+        "project": project, "variant": variant, "version": n, "path": path, "imputers": imputers, "balancers": balancers,
+        "downsample": downsample, "drop_bools": drop_bools, "published_at": _now()})
+    return {"project": project, "variant": variant, "version": n, "path": path}
 
 
 def read_gold(spark: SparkSession, root: str, project: str, downsample: bool = False, drop_bools: bool = False,
               version="latest") -> DataFrame:
     variant = gold_variant(downsample, drop_bools)
-    cat = spark.read.parquet(f"{root}/_catalog/gold").where(
-        (F.col("project") == project) & (F.col("variant") == variant))
-    if version == "latest":
-        row = cat.orderBy(F.desc("version")).limit(1).first()
-    else:
-        row = cat.where(F.col("version") == int(version)).first()
-    if row is None:
+    found = read_version(spark, _folder(root, "gold", f"{project}{variant}"), None if version == "latest" else int(version))
+    if found is None:
         raise FileNotFoundError(f"no gold dataset for {project}{variant} version {version}")
-    return spark.read.parquet(row["path"])
+    return spark.read.parquet(found[1]["path"])
 
 
 def register_model(spark: SparkSession, root: str, name: str, model_path: str, tags: dict) -> dict:
-    """S-14: append (name, version, path, tags) to the model catalog."""
-    cat_path = f"{root}/_catalog/models"
-    cat = _catalog(spark, cat_path, MODEL_SCHEMA)
-    last = cat.where(F.col("name") == name).agg(F.max("version")).first()[0]
-    version = (last or 0) + 1
-    row = [(name, version, model_path, {k: str(v) for k, v in tags.items()},
-            dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
-    spark.createDataFrame(row, MODEL_SCHEMA).write.mode("append").parquet(cat_path)
-    return {"name": name, "version": version, "path": model_path}
+    """S-14: a new version (name, version, path, tags) of the model."""
+    n, _ = commit(spark, _folder(root, "models", name), lambda n, _last: {
+        "name": name, "version": n, "path": model_path, "tags": {k: str(v) for k, v in tags.items()}, "registered_at": _now()})
+    return {"name": name, "version": n, "path": model_path}
