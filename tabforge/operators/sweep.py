@@ -2,13 +2,15 @@
 (M-05 ... M-07, W-05, J-04, A-09).
 
 The trial table is drawn with ``u(trial_id, parameter)``: reproducible and
-checkable in SQL. Trials run on a small driver thread pool; every fit inside a
-trial is a distributed Spark job, and each (imputer, balancer) variant is
+checkable in SQL. Trials run on a small driver thread pool, each with a job group
+that is cancelled at its time limit; every fit inside a trial is distributed, and each (imputer, balancer) variant is
 built once and shared by the trials that use it."""
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -50,15 +52,52 @@ def draw_trials(t: DataFrame, imputers: list[str], balancers: list[str]) -> Data
     return t.select("trial_id", *cols)
 
 
+class JobGroup:
+    """The Spark jobs that this thread starts inside the block: a group of their own in a fair pool of
+    their own, cancelled once ``limit`` seconds have passed. Jobs that the thread starts after that
+    are cancelled too, so the block ends with an error as soon as it next asks Spark for anything."""
+
+    EVERY = 0.2
+
+    def __init__(self, spark, name: str, limit: float):
+        self.sc, self.name, self.limit = spark.sparkContext, f"{name} {uuid.uuid4().hex}", limit
+        self.cancelled, self._over = False, threading.Event()
+
+    def _watch(self) -> None:
+        if self._over.wait(max(0.0, self.limit)):
+            return
+        self.cancelled = True
+        while True:
+            self.sc.cancelJobGroup(self.name)
+            if self._over.wait(self.EVERY):
+                return
+
+    def __enter__(self) -> "JobGroup":
+        self.sc.setJobGroup(self.name, self.name, interruptOnCancel=True)
+        self.sc.setLocalProperty("spark.scheduler.pool", self.name)
+        self._thread = threading.Thread(target=self._watch, daemon=True)
+        self._thread.start()
+        return self
+
+    def __exit__(self, *_error) -> None:
+        self._over.set()
+        self._thread.join()
+        for k in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel", "spark.scheduler.pool"):
+            self.sc.setLocalProperty(k, None)
+
+
 def run_sweep(df: DataFrame, trials: DataFrame, key: str = "ID", label: str = "label",
               task: str = "Classification", primary_metric: str = "weighted-avg_f1-score",
               max_iter: int = ROUNDS, parallelism: int = 5, features: list[str] | None = None,
-              balance_kw: dict | None = None, time_limit: float = 7200.0) -> tuple[DataFrame, dict]:
+              balance_kw: dict | None = None, time_limit: float = 7200.0,
+              trial_limit: float | None = None) -> tuple[DataFrame, dict]:
     """Run every trial; returns (trial results table, {trial_id: (model, metrics)}).
 
     A trial or a variant that fails is recorded (score NULL, the reason in ``error``) and the
-    others go on; after ``time_limit`` seconds no further trial starts. Valid and test rows are
-    kept once per imputer, balanced train rows once per variant and only while its trials run."""
+    others go on. Every trial has its own job group and scheduler pool. At ``time_limit`` seconds
+    the jobs of all running trials are cancelled and no further trial starts; ``trial_limit`` does
+    the same for one trial. A cancelled trial is recorded as such. Valid and test rows are kept
+    once per imputer, balanced train rows once per variant and only while its trials run."""
     from pyspark import StorageLevel
     spark = df.sparkSession
     features = features or model_features(df, key, label)
@@ -91,10 +130,14 @@ def run_sweep(df: DataFrame, trials: DataFrame, key: str = "ID", label: str = "l
         return model, metrics
 
     def attempt(r, *parts):
-        try:
-            done[r["trial_id"]] = (*one(r, *parts), None)
-        except Exception as e:  # one bad trial does not end the sweep
-            done[r["trial_id"]] = (None, {}, f"{type(e).__name__}: {e}")
+        limit = began + time_limit - time.time()
+        limit = limit if trial_limit is None else min(limit, trial_limit)
+        with JobGroup(spark, f"trial {r['trial_id']}", limit) as group:
+            try:
+                done[r["trial_id"]] = (*one(r, *parts), None)
+            except Exception as e:  # one bad trial does not end the sweep
+                why = f"TimeoutError: cancelled after {limit:.0f} s" if group.cancelled else f"{type(e).__name__}: {e}"
+                done[r["trial_id"]] = (None, {}, why)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         for imputer in dict.fromkeys(r["imputer"] for r in rows):

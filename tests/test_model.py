@@ -98,3 +98,33 @@ def test_calibrated_model_survives_saving(spark, tmp_path):
         assert desc["calibrated"] == (isinstance(m, mdl.Calibrated) and m.used)
         want = {r["ID"]: r["p"] for r in m.predict(df).collect()}
         assert all(abs(want[r["ID"]] - r["p"]) < 1e-12 for r in back.predict(df).collect())
+
+
+def test_running_trials_are_cancelled_at_the_limit(spark, monkeypatch):
+    """One trial never ends: its jobs are cancelled, it is recorded so, and the others finish."""
+    import time
+
+    import pytest
+    from pyspark.sql import functions as F
+    df = spark.range(300).select(F.col("id").alias("ID"), (F.col("id") % 7).cast("double").alias("a"),
+                                 F.when(F.col("id") % 7 > 3, 1).otherwise(0).alias("label"),
+                                 F.element_at(F.array(F.lit("train"), F.lit("valid"), F.lit("test")), (F.col("id") % 3 + 1).cast("int")).alias("fold"))
+    trials = spark.createDataFrame([(0, "mean", "none", 3, 8, 1.0, 1.0, 0.2), (1, "mean", "none", 4, 8, 1.0, 1.0, 0.2)],
+                                   "trial_id long, imputer string, balancer string, max_depth int, num_leaves int, colsample double, "
+                                   "subsample double, learning_rate double")
+    real = sweep.fit_gbt
+
+    def fit(train, features, label, params, *a, **k):
+        while params.max_depth == 4:                        # many jobs, each of some length
+            spark.range(4).rdd.map(lambda i: __import__("time").sleep(1) or i).count()
+        return real(train, features, label, params, *a, **k)
+    monkeypatch.setattr(sweep, "fit_gbt", fit)
+    began = time.time()
+    table, models = sweep.run_sweep(df, trials, max_iter=3, trial_limit=40.0)
+    rows = {r["trial_id"]: r for r in table.collect()}
+    assert rows[0]["error"] is None and rows[0]["score"] is not None and set(models) == {0}
+    assert rows[1]["score"] is None and "cancelled" in rows[1]["error"] and time.time() - began < 120
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None and spark.range(5).count() == 5
+    with pytest.raises(Exception, match="(?i)cancel"):
+        with sweep.JobGroup(spark, "mine", 0.0):
+            spark.range(4).rdd.map(lambda i: __import__("time").sleep(20) or i).count()
