@@ -8,6 +8,7 @@ replays the same features on any fold.
 
 from __future__ import annotations
 
+import importlib
 import json
 import math
 from dataclasses import dataclass, field
@@ -23,6 +24,8 @@ TOP_N = 10
 CORR_THRESHOLD = 0.95
 NULL_THRESHOLD = 0.95
 AGG_CHUNK = 400
+#: Features on a side of a block of pairs.
+_GRAM = 512
 
 # ------------------------------------------------------------------ primitives (X-01)
 ROW_PRIMITIVES: dict[str, dict] = {}
@@ -34,6 +37,45 @@ def register_primitive(name: str, input_kind: str, return_kind: str, fn, descrip
     ROW_PRIMITIVES[name] = {"input": input_kind, "return": return_kind, "fn": fn, "description": description}
 
 
+def register_vectorized_primitive(name: str, input_kind: str, return_kind: str, fn, return_type: str, description: str = ""):
+    """Register a row-wise primitive given as ``fn(pandas.Series) -> pandas.Series`` of the Spark type
+    ``return_type``: it runs as a pandas UDF over Arrow batches."""
+    register_primitive(name, input_kind, return_kind, lambda c: F.pandas_udf(fn, return_type)(c), description)
+    ROW_PRIMITIVES[name]["vectorized"] = (fn, return_type)
+
+
+def _reference(spec: dict) -> str:
+    """Where a primitive's function is defined, as ``module:name``."""
+    fn = spec.get("vectorized", (spec["fn"],))[0]
+    return f"{fn.__module__}:{fn.__qualname__}"
+
+
+def _described(name: str, registry: dict) -> dict:
+    """What a saved plan keeps of a primitive that is not built in."""
+    spec = registry[name]
+    return {"name": name, "sequence": registry is SEQUENCE_PRIMITIVES, "input": spec["input"], "return": spec["return"],
+            "description": spec["description"], "function": _reference(spec), "type": spec.get("vectorized", (None, None))[1]}
+
+
+def _restore(saved: dict) -> None:
+    """Register a saved plan's primitive, unless this session has it, by importing its function."""
+    if saved["name"] in (SEQUENCE_PRIMITIVES if saved["sequence"] else ROW_PRIMITIVES):
+        return
+    module, _, path = saved["function"].partition(":")
+    try:
+        fn = importlib.import_module(module)
+        for part in path.split("."):
+            fn = getattr(fn, part)
+    except (ImportError, AttributeError) as e:
+        raise ValueError(f"primitive {saved['name']!r} is not registered and {saved['function']!r} cannot be imported; register it first") from e
+    if saved["sequence"]:
+        register_sequence_primitive(saved["name"], saved["input"], saved["return"], fn, saved["description"])
+    elif saved["type"]:
+        register_vectorized_primitive(saved["name"], saved["input"], saved["return"], fn, saved["type"], saved["description"])
+    else:
+        register_primitive(saved["name"], saved["input"], saved["return"], fn, saved["description"])
+
+
 def _kind(dtype) -> str:
     if isinstance(dtype, T.BooleanType):
         return "boolean"
@@ -78,6 +120,29 @@ def _pct_change(df, value, out, order, group, key):
 
 register_sequence_primitive("CUM_SUM", "numeric", "numeric", _cum_sum, "the cumulative sum of {}")
 register_sequence_primitive("PERCENT_CHANGE", "numeric", "numeric", _pct_change, "the percent change of {}")
+_BUILT_IN = {*ROW_PRIMITIVES, *SEQUENCE_PRIMITIVES}
+
+
+def _steps(defs: list[dict]) -> list[dict]:
+    """Every definition that ``defs`` are built from, inner ones first."""
+    out: list[dict] = []
+    for d in defs:
+        out += _steps([d["arg"]]) if "arg" in d else []
+        out.append(d)
+    return out
+
+
+def with_sequences(df: DataFrame, defs: list[dict], key: str) -> DataFrame:
+    """``df`` with a column for every sequence feature that ``defs`` need, inner ones first."""
+    done = set()
+    for d in _steps(defs):
+        if d["kind"] != "sequence" or d["name"] in done:
+            continue
+        done.add(d["name"])
+        value = "__sequence_value"
+        df = df.withColumn(value, _build(d["arg"]))
+        df = SEQUENCE_PRIMITIVES[d["primitive"]]["fn"](df, value, d["name"], d["order"], d["group"], key).drop(value)
+    return df
 
 
 @dataclass
@@ -95,14 +160,19 @@ class FeaturePlan:
 
     def transform(self, df: DataFrame, keep: list[str] = ()) -> DataFrame:
         passthrough = [F.col(f"`{c}`") for c in [self.key, *keep] if c in df.columns]
+        df = with_sequences(df, self.defs, self.key)
         return df.select(*passthrough, *[self.column(d) for d in self.defs])
 
     def to_json(self) -> str:
-        return json.dumps({"key": self.key, "defs": self.defs, "dropped": self.dropped})
+        used = {(d["primitive"], d["kind"]) for d in _steps(self.defs) if "primitive" in d}
+        own = [_described(n, SEQUENCE_PRIMITIVES if k == "sequence" else ROW_PRIMITIVES) for n, k in sorted(used) if n not in _BUILT_IN]
+        return json.dumps({"key": self.key, "defs": self.defs, "dropped": self.dropped, "primitives": own})
 
     @staticmethod
     def from_json(s: str) -> "FeaturePlan":
         o = json.loads(s)
+        for saved in o.get("primitives", []):
+            _restore(saved)
         return FeaturePlan(o["key"], o["defs"], o.get("dropped", []))
 
 
@@ -110,6 +180,8 @@ def _build(d: dict) -> Column:
     k = d["kind"]
     if k == "identity":
         return F.col(f"`{d['input']}`")
+    if k == "sequence":
+        return F.col(f"`{d['name']}`")                      # made by with_sequences
     if k == "primitive":
         inner = _build(d["arg"])
         return ROW_PRIMITIVES[d["primitive"]]["fn"](inner)
@@ -127,8 +199,13 @@ def _applies(prim: str, kind: str) -> bool:
 
 
 def synthesize(df: DataFrame, key: str, exclude=(), primitives=("IS_NULL", "WEEKDAY"),
-               max_depth: int = 2) -> list[dict]:
-    """Identity features plus primitives stacked up to ``max_depth`` (D-01...D-04)."""
+               max_depth: int = 2, order=None, group: str | None = None) -> list[dict]:
+    """Identity features plus primitives stacked up to ``max_depth`` (D-01...D-04). Sequence
+    primitives among them need ``order`` (columns) and run within ``group``."""
+    order = [order] if isinstance(order, str) else list(order or [])
+    missing = [p for p in primitives if p in SEQUENCE_PRIMITIVES and not order]
+    if missing:
+        raise ValueError(f"sequence primitives {missing} need order=...")
     ex = set(exclude) | {key}
     base = []
     for f in df.schema.fields:
@@ -144,6 +221,12 @@ def synthesize(df: DataFrame, key: str, exclude=(), primitives=("IS_NULL", "WEEK
         new = []
         for prim in primitives:
             for d in frontier:
+                if prim in SEQUENCE_PRIMITIVES:
+                    spec = SEQUENCE_PRIMITIVES[prim]
+                    if spec["input"] in ("any", d["type"]):
+                        new.append({"name": f"{prim}({d['name']})", "kind": "sequence", "primitive": prim, "arg": d, "order": order,
+                                    "group": group, "type": spec["return"], "depth": depth})
+                    continue
                 if not _applies(prim, d["type"]):
                     continue
                 # stacking a boolean test on a boolean test adds nothing
@@ -223,69 +306,72 @@ def column_stats(df: DataFrame, defs: list[dict]) -> dict[str, dict]:
 
 
 def _gram_kernel(names: list[str], centers: list[float]):
-    """Per Arrow batch: pairwise-complete moment sums of centred columns.
-    Emits (cell, n, sx, sy, sxx, syy, sxy) for every ordered pair cell i*p+j."""
+    """Per Arrow batch: pairwise-complete moment sums of centred columns, by blocks of ``_GRAM`` by
+    ``_GRAM`` features. Emits (i, j, n, sx, sy, sxx, syy, sxy) for every pair j < i."""
     import numpy as np
     import pandas as pd
 
     p = len(names)
     c = np.asarray(centers, dtype="float64")
+    blocks = [(a, b) for a in range(0, p, _GRAM) for b in range(0, a + 1, _GRAM)]
 
     def run(batches):
-        acc = None
+        acc: dict = {}
         for pdf in batches:
             x = pdf[names].to_numpy(dtype="float64", na_value=np.nan) - c
             m = (~np.isnan(x)).astype("float64")
             x0 = np.where(m > 0, x, 0.0)
-            part = np.stack([m.T @ m, x0.T @ m, (x0 * x0).T @ m, x0.T @ x0])
-            acc = part if acc is None else acc + part
-        if acc is None:
-            return
-        n, s_im, q_im, sxy = acc  # s_im[i, j] = sum of x_i where both present
-        cells = np.arange(p * p)
-        yield pd.DataFrame({"cell": cells, "n": n.ravel(), "sx": s_im.ravel(), "sy": s_im.T.ravel(),
-                            "sxx": q_im.ravel(), "syy": q_im.T.ravel(), "sxy": sxy.ravel()})
+            for a, b in blocks:
+                i, j = slice(a, a + _GRAM), slice(b, b + _GRAM)
+                q = x0 * x0 if p <= _GRAM else None
+                xi, xj = (q[:, i], q[:, j]) if q is not None else (x0[:, i] ** 2, x0[:, j] ** 2)
+                part = np.stack([m[:, i].T @ m[:, j], x0[:, i].T @ m[:, j], m[:, i].T @ x0[:, j], xi.T @ m[:, j], m[:, i].T @ xj, x0[:, i].T @ x0[:, j]])
+                acc[a, b] = acc[a, b] + part if (a, b) in acc else part
+        for (a, b), sums in acc.items():
+            i, j = np.indices(sums.shape[1:])
+            i, j = i + a, j + b
+            low = j < i
+            yield pd.DataFrame({"i": i[low].astype("int32"), "j": j[low].astype("int32"),
+                                **{n: s[low] for n, s in zip(("n", "sx", "sy", "sxx", "syy", "sxy"), sums)}})
     return run
 
 
-def pair_correlations(df: DataFrame, defs: list[dict], centers: dict | None = None
-                      ) -> dict[tuple[str, str], float | None]:
-    """Pairwise-complete Pearson r for all pairs in one scan.
+def _correlation_cells(df: DataFrame, defs: list[dict], centers: dict | None) -> DataFrame:
+    """(i, j, r) for all j < i: pairwise-complete Pearson r, NULL where it is not defined.
 
     Each task multiplies its centred, NULL-masked feature block with itself
-    (NumPy/BLAS on Arrow batches) and emits p*p cells of moment sums; Spark sums
-    the cells across tasks (map-side combined), so the driver receives p*p rows
-    whatever the row count. Centring on the column mean keeps the sums stable."""
-    import numpy as np
-
-    if len(defs) < 2:
-        return {}
+    (NumPy/BLAS on Arrow batches) and emits one cell of moment sums per pair; Spark sums
+    the cells across tasks (map-side combined). Centring on the column mean keeps the sums stable."""
     names = [f"f{i}" for i in range(len(defs))]
-    centers = centers or {}
-    ctr = [float(centers.get(d["name"]) or 0.0) for d in defs]
+    ctr = [float((centers or {}).get(d["name"]) or 0.0) for d in defs]
     block = df.select(*[_build(d).cast("double").alias(n) for d, n in zip(defs, names)])
-    schema = "cell long, n double, sx double, sy double, sxx double, syy double, sxy double"
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
     cells = block.mapInPandas(_gram_kernel(names, ctr), schema)
-    sums = cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
-    p = len(defs)
-    res = {}
-    for r in sums.collect():  # p*p rows
-        i, j = divmod(r["cell"], p)
-        if j >= i:
-            continue
-        n = r["n"]
-        if not n:
-            res[(defs[i]["name"], defs[j]["name"])] = None
-            continue
-        cov = r["sxy"] / n - (r["sx"] / n) * (r["sy"] / n)
-        vx = r["sxx"] / n - (r["sx"] / n) ** 2
-        vy = r["syy"] / n - (r["sy"] / n) ** 2
-        tol = 1e-12
-        if vx <= tol * max(1.0, r["sxx"] / n) or vy <= tol * max(1.0, r["syy"] / n):
-            res[(defs[i]["name"], defs[j]["name"])] = None
-        else:
-            res[(defs[i]["name"], defs[j]["name"])] = float(np.clip(cov / np.sqrt(vx * vy), -1.0, 1.0))
-    return res
+    sums = cells.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]]).where("n > 0")
+    n = F.col("n")
+    cov = F.col("sxy") / n - (F.col("sx") / n) * (F.col("sy") / n)
+    vx, vy = (F.col(f"s{a}{a}") / n - (F.col(f"s{a}") / n) * (F.col(f"s{a}") / n) for a in "xy")
+    flat = (vx <= 1e-12 * F.greatest(F.lit(1.0), F.col("sxx") / n)) | (vy <= 1e-12 * F.greatest(F.lit(1.0), F.col("syy") / n))
+    r = F.when(~flat, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cov / F.sqrt(vx * vy))))
+    return sums.select("i", "j", r.alias("r"))
+
+
+def pair_correlations(df: DataFrame, defs: list[dict], centers: dict | None = None
+                      ) -> dict[tuple[str, str], float | None]:
+    """Pearson r of every pair of features, on the driver: p * p / 2 numbers (None: not defined)."""
+    if len(defs) < 2:
+        return {}
+    found = {(r["i"], r["j"]): r["r"] for r in _correlation_cells(df, defs, centers).collect()}
+    return {(defs[i]["name"], defs[j]["name"]): found.get((i, j)) for i in range(len(defs)) for j in range(i)}
+
+
+def correlated_features(df: DataFrame, defs: list[dict], centers: dict | None = None, threshold: float = CORR_THRESHOLD) -> set[str]:
+    """D-08 without the pairs: features with |r| >= threshold to some feature on their left, dropped
+    or not. The pairs are judged on the executors; the driver gets at most p names."""
+    if len(defs) < 2:
+        return set()
+    near = _correlation_cells(df, defs, centers).where(F.abs("r") >= threshold).select("i").distinct()
+    return {defs[r["i"]]["name"] for r in near.collect()}
 
 
 def low_information(st: dict) -> bool:
@@ -319,21 +405,25 @@ def fit_features(train: DataFrame, key: str = "ID", exclude=(), top_n: int = TOP
                  remove_low_info: bool = True, remove_high_corr: bool = True,
                  remove_high_nan: bool = True, remove_single_val: bool = True,
                  corr_threshold: float = CORR_THRESHOLD, null_threshold: float = NULL_THRESHOLD,
-                 primitives=("IS_NULL", "WEEKDAY"), max_depth: int = 2) -> FeaturePlan:
+                 primitives=("IS_NULL", "WEEKDAY"), max_depth: int = 2, order=None, group: str | None = None) -> FeaturePlan:
+    """Plan of features synthesized from and pruned on ``train``. ``primitives`` may name row, vectorized
+    and sequence primitives; the latter follow ``order`` within ``group``, on whatever rows the
+    plan is replayed."""
     from pyspark import StorageLevel
     # the fit reads train three times (category counts, column stats, Gram
     # cells): keep it for the duration of the fit (recomputed if evicted)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _fit(train, key, exclude, top_n, remove_low_info, remove_high_corr, remove_high_nan,
-                    remove_single_val, corr_threshold, null_threshold, primitives, max_depth)
+                    remove_single_val, corr_threshold, null_threshold, primitives, max_depth, order, group)
     finally:
         train.unpersist()
 
 
 def _fit(train, key, exclude, top_n, remove_low_info, remove_high_corr, remove_high_nan, remove_single_val,
-         corr_threshold, null_threshold, primitives, max_depth) -> FeaturePlan:
-    defs = synthesize(train, key, exclude, primitives, max_depth)
+         corr_threshold, null_threshold, primitives, max_depth, order=None, group=None) -> FeaturePlan:
+    defs = synthesize(train, key, exclude, primitives, max_depth, order, group)
+    train = with_sequences(train, defs, key)
     cats = [d["name"] for d in defs if d["type"] == "categorical"]
     tops = category_tops(train.select(*[_build(d).alias(d["name"]) for d in defs if d["type"] == "categorical"]),
                          cats, top_n) if cats else {}
@@ -347,8 +437,7 @@ def _fit(train, key, exclude, top_n, remove_low_info, remove_high_corr, remove_h
         defs = keep
     if remove_high_corr:
         numeric = [d for d in defs if d["type"] in ("numeric", "boolean")]
-        corr = pair_correlations(train, numeric, {k: v.get("mean") for k, v in stats.items()})
-        gone = correlated_drops(numeric, corr, corr_threshold)
+        gone = correlated_features(train, numeric, {k: v.get("mean") for k, v in stats.items()}, corr_threshold)
         dropped += [{"name": n, "reason": "highly_correlated"} for n in [d["name"] for d in defs] if n in gone]
         defs = [d for d in defs if d["name"] not in gone]
     if remove_high_nan:

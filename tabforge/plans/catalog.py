@@ -692,6 +692,26 @@ def q_primitive(spark, sf_dir):
     return out.select("event_id", "user_id", r("CUM_SUM(value)").alias("cum_value"))
 
 
+def _halved(x):
+    """A user's vectorized primitive."""
+    return x / 2
+
+
+@register("x01_primitives_in_a_plan")
+def q_primitives_in_a_plan(spark, sf_dir):
+    """Sequence, row and vectorized primitives synthesized together; the saved plan is read again and
+    replayed: running sums per user, and halves of them."""
+    if "HALF" not in feat.ROW_PRIMITIVES:
+        feat.register_vectorized_primitive("HALF", "numeric", "numeric", _halved, "double", "half of {}")
+    df = events_with_gaps(spark, sf_dir).select("event_id", "user_id", "ts", "value")
+    plan = feat.fit_features(df, "event_id", exclude=["ts", "user_id"], primitives=["CUM_SUM", "HALF"], max_depth=2, order=["ts"], group="user_id",
+                             remove_low_info=False, remove_high_corr=False, remove_high_nan=False, remove_single_val=False)
+    plan = feat.FeaturePlan.from_json(plan.to_json())
+    out = plan.transform(df, keep=["user_id"])
+    return out.select("event_id", "user_id", r("CUM_SUM(value)").alias("cum_value"), r("HALF(CUM_SUM(value))").alias("half_cum"),
+                      r("CUM_SUM(HALF(value))").alias("cum_half"))
+
+
 # ---------------------------------------------------------------- X-02 ... X-04
 from tabforge.config import CompactConfig, FeaturizeConfig, TrainConfig  # noqa: E402
 
@@ -858,7 +878,7 @@ def q_model_roundtrip(spark, sf_dir):
     root = scratch(spark, "models")
     path = stage.save_model(cal, f"{root}/toxic/m1", {"runId": "m1"})
     catalog.register_model(spark, root, "toxic", path, {"calibrated": cal.used})
-    entry = spark.read.parquet(f"{root}/_catalog/models").where("name = 'toxic'").orderBy(F.desc("version")).first()
+    entry = catalog.list_versions(spark, root, "models", "toxic").orderBy(F.desc("version")).first()
     loaded, _desc = stage.load_model(spark, entry["path"])
     a = cal.predict(parts["test"]).select("ID", F.col("p").alias("p_memory"))
     b = loaded.predict(parts["test"]).select("ID", F.col("p").alias("p_loaded"))

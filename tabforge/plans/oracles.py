@@ -840,3 +840,23 @@ SELECT trial_id, {pick('imputer', ['mean', 'knn'])} AS imputer, {pick('balancer'
 
 
 ORACLES["m05_trial_table"] = _trial_table()
+
+
+def _variant_valid() -> str:
+    """B-15: mean of the train rows in place of a missing value, valid rows kept as they are."""
+    uu, cols = u_sql_duckdb("ID", 42), ["n_chars", "n_spaces", "n_dots"]
+    fold = f"CASE WHEN {uu} < {T_TEST} THEN 'test' WHEN {uu} < {T_VALID} THEN 'valid' ELSE 'train' END"
+    return (f"WITH t AS (SELECT *, {fold} AS fold FROM ({FX_TOXIC_SQL}) t0), m AS (SELECT "
+            + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}" for c in cols) + " FROM t WHERE fold = 'train') SELECT ID, label, "
+            + ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), m_{c}), {R}) AS {c}" for c in cols) + " FROM t, m WHERE fold = 'valid'")
+
+
+ORACLES["b15_variant"] = _variant_valid()
+ORACLES["x01_primitives_in_a_plan"] = f"""
+WITH ev AS ({_EV}), s AS (
+SELECT event_id, user_id, CASE WHEN value IS NOT NULL THEN sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS c,
+       CASE WHEN value IS NOT NULL THEN sum(value / 2) OVER (PARTITION BY user_id ORDER BY ts, event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS h
+FROM ev)
+SELECT event_id, user_id, round(c, {R}) AS cum_value, round(c / 2, {R}) AS half_cum, round(h, {R}) AS cum_half FROM s"""

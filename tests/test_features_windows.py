@@ -81,3 +81,61 @@ def test_groups_that_cross_slices(spark):
     got = {r["k"]: r["i"] for r in global_index(df, "k", "i", group="g", num_partitions=13).collect()}
     assert got == want.to_dict()
     assert sorted(r["i"] for r in global_index(df, "k", "i", num_partitions=13).collect()) == list(range(600))
+
+
+def _jump(x):
+    """A user's vectorized primitive: the part above 2."""
+    return (x - 2).clip(lower=0)
+
+
+def _seen_before(df, value, out, order, group, key):
+    """A user's sequence primitive: rows with a value that stand before, by running counts."""
+    from pyspark.sql import functions as F
+    from tabforge.operators.windows import cumulative_sum
+    ones = df.withColumn("__one", F.when(F.col(value).isNotNull(), 1.0).otherwise(0.0))
+    return cumulative_sum(ones, "__one", order, out, group=group, key=key).drop("__one")
+
+
+def test_custom_primitives_go_through_a_saved_plan(spark):
+    import pytest
+    from tabforge.operators import features as feat
+    feat.register_vectorized_primitive("JUMP", "numeric", "numeric", _jump, "double", "the part of {} above 2")
+    feat.register_sequence_primitive("SEEN", "numeric", "numeric", _seen_before, "rows of {} so far")
+    rows = [(i, i % 3, float(i % 7) if i % 5 else None, i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "ID long, user long, x double, fold int")
+    train, other = df.where("fold = 0"), df.where("fold = 1")
+    plan = feat.fit_features(train, "ID", exclude=["fold", "user"], primitives=["JUMP", "SEEN"], max_depth=2, order="ID", group="user",
+                             remove_high_corr=False)
+    assert {"x", "JUMP(x)", "SEEN(x)", "SEEN(JUMP(x))", "JUMP(SEEN(x))"} <= set(plan.names)
+    text = plan.to_json()
+    for n, reg in (("JUMP", feat.ROW_PRIMITIVES), ("SEEN", feat.SEQUENCE_PRIMITIVES)):
+        del reg[n]                                          # another session: the plan brings them back
+    again = feat.FeaturePlan.from_json(text)
+    got = {r["ID"]: r for r in again.transform(other).collect()}
+    count: dict = {}
+    for i, user, x, fold in rows:
+        if fold == 1:
+            count[user] = count.get(user, 0) + (x is not None)
+            jump = None if x is None else max(0.0, x - 2)
+            assert got[i]["JUMP(x)"] == jump and got[i]["SEEN(x)"] == count[user] and got[i]["JUMP(SEEN(x))"] == max(0, count[user] - 2)
+    with pytest.raises(ValueError, match="order"):
+        feat.synthesize(df, "ID", primitives=["SEEN"])
+    with pytest.raises(ValueError, match="register it first"):
+        feat.FeaturePlan.from_json(text.replace("_seen_before", "nowhere").replace('"SEEN"', '"GONE"'))
+
+
+def test_correlated_features_equal_the_rule_over_all_pairs(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+    from tabforge.operators import features as feat
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 40))
+    for j in range(5, 40, 3):
+        x[:, j] = x[:, j - 4] * (2 if j % 2 else -1) + 0.05 * rng.normal(size=300)
+    x[rng.random(x.shape) < 0.05] = np.nan
+    x[:, 7] = 3.0
+    df = spark.createDataFrame(pd.DataFrame(x, columns=[f"c{j}" for j in range(40)]))
+    defs = [{"name": f"c{j}", "kind": "identity", "input": f"c{j}", "type": "numeric", "depth": 0} for j in range(40)]
+    want = feat.correlated_drops(defs, feat.pair_correlations(df, defs))
+    monkeypatch.setattr(feat, "_GRAM", 16)                  # several blocks of pairs
+    assert want and feat.correlated_features(df, defs) == want == feat.correlated_drops(defs, feat.pair_correlations(df, defs))
