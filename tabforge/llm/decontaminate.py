@@ -8,13 +8,15 @@ its own length). Per pattern length m, as in Wu and Manber's method:
   block allows m - 1 words, so nearly all positions are never looked at;
 * at shift 0 the alignment's suffix block and the hash of its other words pick the bucket of
   test windows;
-* the bucket's window is compared with the document word for word (64-bit word codes) before it
-  counts.
+* the bucket's window is compared with the document word for word, first by 64-bit word codes and
+  then by the words' bytes, before it counts.
 
 NumPy moves one cursor per stretch of m - 1 alignments, all cursors of a run of texts at once.
-The benchmark is a stated query set: it is read in slices of at most ``slice_words`` words, one
-broadcast at a time. One slice is the usual case and needs no shuffle; with more, documents with
-what they have collected so far are written between slices. No step gathers documents.
+The windows and their owners are made by Spark (one row per distinct window); the driver gets them
+packed, in slices of about ``slice_words`` windows, and sorts a slice into tables. One slice is
+broadcast at a time. One slice is the usual case and documents are not shuffled; with more,
+documents with what they have collected so far are written between slices. No step gathers
+documents.
 """
 
 from __future__ import annotations
@@ -23,56 +25,76 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from tabforge.llm._store import stored
-from tabforge.llm._text import ALNUM, U, gram_hashes, rows_of, runs, span_hashes, string_buffers, word_spans
+from tabforge.llm._text import ALNUM, LOWER, gram_hashes, rows_of, runs, span_hashes, word_spans
 
 WINDOW = 13
 _HELD = "text string, spans array<int>, items array<string>"
 _FOUND = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<int>, items array<string>"
 
 
-def word_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    buf, offs = string_buffers(pa.array(texts, pa.large_string()))
-    starts, ends, woff = word_spans(buf, offs, ALNUM)
-    return span_hashes(buf, starts, ends), woff
-
-
-def build_patterns(items: list[tuple[str, str]], window: int = WINDOW) -> dict:
-    """Shift tables, buckets and owners of the windows of ``items`` (id, text), by length."""
-    codes, woff = word_codes([t for _, t in items])
-    by_len: dict[int, dict[tuple, set[int]]] = {}
-    for k in range(len(items)):
-        w = codes[woff[k]:woff[k + 1]]
-        m = min(window, len(w))
-        for i in range(len(w) - m + 1 if m else 0):
-            by_len.setdefault(m, {}).setdefault(tuple(w[i:i + m].tolist()), set()).add(k)
+def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(m, raw, codes, items): every distinct window of ``items`` (item_id, text), its words in lower
+    case and their codes, with the sorted ids of the items that hold it."""
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("item_id")
+            for lo, hi, buf, offs in runs(batch.column("text")):
+                starts, ends, woff = word_spans(buf, offs, ALNUM)
+                codes, low = span_hashes(buf, starts, ends), LOWER[buf].tobytes()
+                words = [low[x:y] for x, y in zip(starts.tolist(), ends.tolist())]
+                n = np.diff(woff)
+                m = np.minimum(n, window)
+                for k in np.unique(m[m > 0]).tolist():
+                    own = np.flatnonzero(m == k)
+                    many = n[own] - k + 1
+                    at = np.repeat(woff[own] - np.cumsum(many) + many, many) + np.arange(many.sum())
+                    for a in range(0, len(at), 20_000):
+                        some, who = at[a:a + 20_000], np.repeat(own, many)[a:a + 20_000]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(some), k, np.int32)), pa.array([b" ".join(words[i:i + k]) for i in some.tolist()], pa.binary()),
+                             pa.array([codes[i:i + k].tobytes() for i in some.tolist()], pa.binary()), ids.take(pa.array(lo + who))],
+                            names=["m", "raw", "codes", "item_id"])
+
+    each = items.mapInArrow(run, "m int, raw binary, codes binary, item_id string").distinct()
+    return each.groupBy("m", "raw", "codes").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+
+
+def pattern_tables(windows: pa.Table) -> dict:
+    """Shift tables, buckets and owners of the rows of ``benchmark_windows``, by length."""
+    lengths = windows["m"].to_numpy()
+    names, own = np.unique(np.array([x for i in windows["items"].to_pylist() for x in i], object), return_inverse=True)
+    n_own = pc.list_value_length(windows["items"]).to_numpy().astype(np.int64)
+    first = np.cumsum(n_own) - n_own
     tables = []
-    for m, windows in sorted(by_len.items()):
-        pat = np.array(list(windows), np.uint64).reshape(-1, m)
+    for m in np.unique(lengths).tolist():
+        rows = np.flatnonzero(lengths == m)
+        pat = np.frombuffer(b"".join(windows["codes"].take(pa.array(rows)).to_pylist()), np.uint64).reshape(-1, m)
         size = min(2, m)
         far = m - size + 1
-        shift: dict[int, int] = {}
-        for p in pat:
-            for end, block in enumerate(gram_hashes(p, size).tolist()):
-                left = far - 1 - end                        # words between the block's end and the pattern's
-                shift[block] = min(shift.get(block, far), left)
-        keys = np.array(sorted(shift), np.uint64)
-        whole = np.array([gram_hashes(p, m)[0] for p in pat], np.uint64)
+        blocks = gram_hashes(pat.ravel(), size)             # block k of row i starts at word i * m + k
+        block = blocks[np.arange(len(pat))[:, None] * m + np.arange(far)].ravel()
+        left = np.tile(far - 1 - np.arange(far), len(pat))  # words between the block's end and the pattern's
+        keys, of = np.unique(block, return_inverse=True)
+        shift = np.full(len(keys), far)
+        np.minimum.at(shift, of, left)
+        whole = gram_hashes_rows(pat)
         order = np.argsort(whole, kind="stable")
-        owners = [sorted(windows[tuple(pat[i].tolist())]) for i in order]
-        tables.append({"m": m, "size": size, "far": far, "keys": keys,
-                       "shift": np.array([shift[k] for k in keys.tolist()], np.int64),
-                       "whole": whole[order], "pat": pat[order],
-                       "own": np.array([x for o in owners for x in o], np.int64),
-                       "off": np.concatenate(([0], np.cumsum([len(o) for o in owners]))).astype(np.int64)})
-    return {"ids": [i for i, _ in items], "tables": tables}
+        rows, many = rows[order], n_own[rows[order]]
+        raw = windows["raw"].take(pa.array(rows)).to_pylist()
+        tables.append({"m": m, "size": size, "far": far, "keys": keys, "shift": shift, "whole": whole[order], "pat": pat[order], "raw": raw,
+                       "own": own[np.repeat(first[rows] - np.cumsum(many) + many, many) + np.arange(many.sum())],
+                       "off": np.concatenate(([0], np.cumsum(many))).astype(np.int64)})
+    return {"ids": names.tolist(), "tables": tables}
 
 
-def occurrences(codes: np.ndarray, woff: np.ndarray, t: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the last word, pattern) of every occurrence of the patterns of one length."""
+def occurrences(codes: np.ndarray, woff: np.ndarray, t: dict, word) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the last word, pattern) of every occurrence of the patterns of one length;
+    ``word(i)`` gives the bytes of word i in lower case."""
     m, far = t["m"], t["far"]
     none = np.zeros(0, np.int64)
     if len(codes) < m or not len(t["keys"]):
@@ -99,10 +121,16 @@ def occurrences(codes: np.ndarray, woff: np.ndarray, t: dict) -> tuple[np.ndarra
         e = ends[a:a + 65536]
         words = codes[e[:, None] + np.arange(1 - m, 1)]
         whole = gram_hashes_rows(words)
-        p = np.minimum(np.searchsorted(t["whole"], whole), len(t["whole"]) - 1)
-        same = (t["pat"][p] == words).all(axis=1)
-        good_e.append(e[same])
-        good_p.append(p[same])
+        p = np.searchsorted(t["whole"], whole)
+        while len(p):                                       # every window in the bucket: more than one only if hashes clash
+            inside = p < len(t["whole"])
+            inside[inside] = t["whole"][p[inside]] == whole[inside]
+            e, p, words, whole = e[inside], p[inside], words[inside], whole[inside]
+            same = np.flatnonzero((t["pat"][p] == words).all(axis=1))
+            same = same[[t["raw"][p[i]] == b" ".join(map(word, range(e[i] - m + 1, e[i] + 1))) for i in same]] if len(same) else same
+            good_e.append(e[same])
+            good_p.append(p[same])
+            p = p + 1
     return (np.concatenate(good_e), np.concatenate(good_p)) if good_e else (none, none)
 
 
@@ -122,8 +150,14 @@ def scan_run(buf: np.ndarray, offs: np.ndarray, patterns: dict) -> tuple[np.ndar
     hit = np.zeros(len(codes) + 1, np.int64)
     pairs = []
     doc_of = rows_of(woff)
+    known: dict[int, bytes] = {}
+
+    def word(i: int) -> bytes:
+        if i not in known:
+            known[i] = LOWER[buf[starts[i]:ends[i]]].tobytes()
+        return known[i]
     for t in patterns["tables"]:
-        e, p = occurrences(codes, woff, t)
+        e, p = occurrences(codes, woff, t, word)
         if not len(e):
             continue
         np.add.at(hit, e - t["m"] + 1, 1)
@@ -180,32 +214,23 @@ def _union(a: list[int], b: list[int]) -> list[int]:
     return out
 
 
-def _slices(benchmark: DataFrame, slice_words: int):
-    part, words = [], 0
-    for row in benchmark.toLocalIterator():
-        n = len(row.text) // 2 + 1
-        if part and words + n > slice_words:
-            yield part
-            part, words = [], 0
-        part.append(("null" if row.item_id is None else str(row.item_id), row.text))
-        words += n
-    yield part
-
-
 def _scan(rows: DataFrame, benchmark: DataFrame, window: int, slice_words: int) -> DataFrame:
     """``rows`` (row, text) -> (row, what was found)."""
     sc, kind = rows.sparkSession.sparkContext, StructType([rows.schema["row"]])
     schema = lambda ddl: StructType([*kind.fields, *StructType.fromDDL(ddl).fields])
-    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    item = F.coalesce(F.col("item_id").cast("string"), F.lit("null"))
+    items = benchmark.select(item.alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    windows = stored(benchmark_windows(items, window), "windows")
+    slices = max(1, -(-windows.count() // slice_words))
     held, ahead = False, None
-    for part in _slices(items, slice_words):
+    for k in range(slices):
         if ahead is not None:
             rows, held = stored(rows.mapInArrow(_scanner(ahead, False, held), schema(_HELD)), "scanned"), True
-        ahead = sc.broadcast(build_patterns(part, window))
+        ahead = sc.broadcast(pattern_tables(windows.where(F.pmod(F.xxhash64("m", "raw"), F.lit(slices)) == k).toArrow()))
     return rows.mapInArrow(_scanner(ahead, True, held), schema(_FOUND))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_words: int = 4_000_000) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_words: int = 500_000) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans, items), one row per
     row of ``docs``: ``spans`` are the hit words as first, end, first, end, ...; ``items`` the
     sorted ids of the items with an occurring window. A document is contaminated if 5 % of its
@@ -219,7 +244,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     return _scan(rows, benchmark, window, slice_words).withColumnRenamed("row", "doc_id")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_words: int = 4_000_000) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_words: int = 500_000) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are not contaminated."""
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
     return _scan(rows, benchmark, window, slice_words).where("not contaminated").select("row.*")

@@ -43,6 +43,25 @@ def test_contamination_cases(spark, slice_words):
     assert contamination(docs.limit(0), bench).count() == 0
 
 
+def test_clashing_hashes_do_not_hit(spark, monkeypatch):
+    """One bucket for all windows, and windows whose codes agree but whose words do not."""
+    import numpy as np
+    import pyarrow as pa
+    from tabforge.llm import decontaminate as dc
+    items = [("a", "one two three"), ("b", "four five six seven"), ("b2", "Four five, six seven"), ("c", "x")]
+    windows = dc.benchmark_windows(spark.createDataFrame(items, "item_id string, text string"), 3).toArrow()
+    assert sorted(r["raw"] for r in windows.to_pylist()) == [b"five six seven", b"four five six", b"one two three", b"x"]
+    text = "zero one two three x Four five six seven"
+    buf, offs = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])
+    real = dc.gram_hashes_rows
+    monkeypatch.setattr(dc, "gram_hashes_rows", lambda w: np.zeros(len(w), np.uint64))
+    n, spans, found = dc.scan_run(buf, offs, dc.pattern_tables(windows))
+    assert n.tolist() == [9] and spans == [[1, 9]] and sorted(found[0]) == ["a", "b", "b2", "c"]
+    monkeypatch.setattr(dc, "gram_hashes_rows", real)
+    other = windows.set_column(windows.schema.get_field_index("raw"), "raw", pa.array([b"other words"] * windows.num_rows))
+    assert dc.scan_run(buf, offs, dc.pattern_tables(other))[1:] == ([[]], [[]])
+
+
 # ---------------------------------------------------------------- personal data
 TRICKY = ["a@b.c@d.e", "x.y@z", "@a.b", "a..b@-.-x", "1.2.3.4.5.6.7.8 256.1.1.1 01.002.3.4", "4111 1111 1111 1111-0 4111-1111-1111-1111",
           "4111111111111111", "+1 (017) 555-7713 +12 +1234567890123456", "+1 2 3 4 5 6 7 8 9 0x", "é4111111111111111é", "1" * 500, "1.1." * 200,
