@@ -23,8 +23,14 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
-from tabforge.llm._store import fresh_dir, stored
-
+from tabforge.llm._store import fresh_dir, salted_join, stored
+
+#: The date of every record: one value, so that the same pages give the same archives.
+DATE = "2000-01-01T00:00:00Z"
+_HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
+#: A page_id of more rows than this is dealt over several tasks.
+HOT_ROWS = 10_000
+HOT_SALTS = 256
 #: A payload of at least this many bytes can be stood for by a revisit record.
 REVISIT_BYTES = 1000
 FILE_BYTES = 256 << 20
@@ -42,19 +48,29 @@ def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+def _record(head: list[tuple[str, str]], block: bytes) -> bytes:
+    head = [*head, ("Content-Length", str(len(block)))]
+    return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def file_record(name: str) -> bytes:
+    """The warcinfo record that every archive begins with. It is in no index."""
+    block = b"software: tabforge\r\nformat: WARC File Format 1.1\r\n"
+    return _record([("WARC-Type", "warcinfo"), ("WARC-Date", DATE), ("WARC-Record-ID", f"<urn:archive:{name}>"), ("WARC-Filename", name),
+                    ("Content-Type", "application/warc-fields")], block)
+
+
 def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One WARC/1.1 record. A revisit has no payload: its block is empty and it names the
-    response's id, the payload's digest and the payload's size."""
+    """One WARC/1.1 record: a response's block is an HTTP message with the payload. A revisit has no
+    payload: its block is empty and it names the response's id, the payload's digest and its size."""
     revisit = refers_to is not None
-    block = b"" if revisit else payload
     clean = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
     head = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"),
-            ("WARC-Target-URI", clean), ("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Payload-Length", str(len(payload)))]
+            ("WARC-Date", DATE), ("WARC-Target-URI", clean), ("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Payload-Length", str(len(payload)))]
     if revisit:
         head += [("WARC-Refers-To", f"<urn:page:{refers_to}>"),
                  ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
-    head += [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(block)))]
-    return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
+    return _record([*head, ("Content-Type", "application/http; msgtype=response")], b"" if revisit else _HTTP % len(payload) + payload)
 
 
 def parse_record(raw: bytes) -> dict:
@@ -63,6 +79,7 @@ def parse_record(raw: bytes) -> dict:
     block = raw[cut + 4:cut + 4 + int(head["Content-Length"])]
     number = lambda s: int(m[1]) if (m := re.fullmatch(r"<urn:page:(-?\d+)>", s)) else None
     revisit = head["WARC-Type"] == "revisit"
+    block = block if revisit else block[block.index(b"\r\n\r\n") + 4:]
     if not revisit and (len(block) != int(head["WARC-Payload-Length"]) or "sha1:" + hashlib.sha1(block).hexdigest() != head["WARC-Payload-Digest"]):
         raise ValueError(f"record {head['WARC-Record-ID']}: payload does not match its digest")
     return {"page_id": number(head["WARC-Record-ID"]), "url": head["WARC-Target-URI"] or None,
@@ -79,16 +96,18 @@ def _writer(folder: str):
         try:
             for batch in batches:
                 index = []
-                for page_id, url, html, refers in zip(*(batch.column(c) for c in ("page_id", "url", "html", "refers_to"))):
-                    page_id, url, refers = page_id.as_py(), url.as_py(), refers.as_py()
+                for page_id, url, html, digest, refers in zip(*(batch.column(c) for c in ("page_id", "url", "html", "digest", "refers_to"))):
+                    page_id, url, digest, refers = page_id.as_py(), url.as_py(), digest.as_py(), refers.as_py()
                     payload = (html.as_py() or "").encode()
-                    digest = hashlib.sha1(payload).hexdigest()
                     packed = gzip.compress(record_bytes(page_id, url, payload, digest, refers), 4, mtime=0)
                     if out is None or at >= FILE_BYTES:
                         if out is not None:
                             out.close()
                         name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                         out = store.open_output_stream(f"{base}/{name}", compression=None)
+                        first = gzip.compress(file_record(name), 4, mtime=0)
+                        out.write(first)
+                        at = len(first)
                     out.write(packed)
                     index.append((page_id, name, at, len(packed), url, digest, len(payload), "response" if refers is None else "revisit"))
                     at += len(packed)
@@ -107,7 +126,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     Of records with equal payloads of at least REVISIT_BYTES, the one with the largest page_id
     is a response and the others are revisits that refer to it. Groups meet only as (digest,
     largest page_id), partially aggregated, and the html moves by page_id, so a payload that
-    a third of all pages share lands nowhere in one piece.
+    a third of all pages share lands nowhere in one piece. Rows without page_id do not move, and
+    those of a page_id with more than HOT_ROWS rows are dealt over several tasks.
 
     Defined cases: a null html is an empty payload; a null page_id is always a response;
     a repeated page_id is written as often as it occurs, the largest one as a response each
@@ -115,14 +135,23 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
     body = F.coalesce("html", F.lit("")).cast("binary")
-    digests = stored(base.select("page_id", F.sha1(body).alias("digest"), F.octet_length(body).alias("size"))
+    base = base.withColumn("digest", F.sha1(body))
+    digests = stored(base.select("page_id", "digest", F.octet_length(body).alias("size"))
                      .where((F.col("size") >= REVISIT_BYTES) & F.col("page_id").isNotNull()), "digests")
     leaders = (digests.groupBy("digest", "size").agg(F.max("page_id").alias("leader"), F.count("*").alias("n"))
                .where("n > 1").drop("n"))
     revisits = (digests.join(leaders, ["digest", "size"]).where("page_id != leader")
                 .groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("digest", "leader"))).alias("refer")))
-    rows = base.join(revisits, "page_id", "left").select(
-        "page_id", "url", "html", F.col("refer")[F.sha1(body)].alias("refers_to"))
+    known, none = base.where("page_id is not null"), base.where("page_id is null").withColumn("refer", F.lit(None).cast("map<string,long>"))
+    hot = stored(known.groupBy("page_id").count().where(F.col("count") > HOT_ROWS).select("page_id"), "hot")     # at most rows / HOT_ROWS
+    if hot.isEmpty():
+        met = known.join(revisits, "page_id", "left")
+    else:
+        row = F.monotonically_increasing_id()
+        often = salted_join(known, hot, "page_id", row, "left_semi")
+        met = salted_join(known, hot, "page_id", row, "left_anti").join(revisits, "page_id", "left")
+        met = met.unionByName(salted_join(often, revisits.join(hot, "page_id", "left_semi"), "page_id", row, "left", HOT_SALTS))
+    rows = met.unionByName(none).select("page_id", "url", "html", "digest", F.col("refer")[F.col("digest")].alias("refers_to"))
     return stored(rows.mapInArrow(_writer(folder), INDEX), "index")
 
 

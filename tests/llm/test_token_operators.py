@@ -11,7 +11,8 @@ import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from tests.conftest import SF_SMALL
+from tabforge.llm.queries import QUERIES
+from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.llm.helpers import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -98,6 +99,57 @@ def test_token_files(spark):
 
 
 # ---------------------------------------------------------------- archives
+def _brute_archives(pages):
+    """[(page_id, html)] -> sorted rows of the contract."""
+    leader: dict = {}
+    for i, t in pages:
+        b = (t or "").encode()
+        if i is not None and len(b) >= 1000:
+            leader[b] = max(leader.get(b, i), i)
+    out = []
+    for i, t in pages:
+        b = (t or "").encode()
+        to = leader.get(b) if i is not None and leader.get(b) != i else None
+        out.append((i, len(b), hashlib.sha1(b).hexdigest(), "response" if to is None else "revisit", to))
+    return sorted(out, key=str)
+
+
+def test_archive_query_over_whole_tables(spark):
+    for sf in (SF_SMALL, SF_ORACLE):
+        d = table(sf, "pages")
+        want = _brute_archives(list(zip(d["page_id"], d["html"])))
+        got = QUERIES["op10_warc"](spark, sf).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+        assert sorted(map(tuple, got), key=str) == want
+
+
+def test_archives_of_a_hot_page(spark, monkeypatch):
+    """A page_id, and pages without one, that hold most rows; very long html."""
+    from tabforge.llm import warc
+    monkeypatch.setattr(warc, "HOT_ROWS", 20)
+    rows = [(7, "u", "x" * 1500)] * 60 + [(None, "u", "x" * 1500)] * 40 + [(9, "u", "x" * 1500), (7, "u", "other" * 300), (3, None, "y" * 3_000_000)]
+    got = warc.archive_roundtrip(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = sorted(map(tuple, got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str)
+    assert got == _brute_archives([(i, t) for i, _, t in rows])
+
+
+def test_records_have_the_mandatory_headers(spark):
+    import glob
+    import gzip
+    from tabforge.llm._store import fresh_dir
+    from tabforge.llm.warc import write_archives
+    folder = fresh_dir(spark, "warc-heads")
+    write_archives(spark.createDataFrame([(1, "http://a/", "z" * 1000), (2, "http://b/", "z" * 1000)], "page_id long, url string, html string").coalesce(1), folder)
+    file, = glob.glob(folder.removeprefix("file:") + "/*.warc.gz")
+    records = [r for r in gzip.open(file, "rb").read().split(b"WARC/1.1\r\n") if r]
+    assert [r.split(b"\r\n")[0] for r in records] == [b"WARC-Type: warcinfo", b"WARC-Type: revisit", b"WARC-Type: response"]
+    for r in records:
+        head, _, rest = r.partition(b"\r\n\r\n")
+        names = dict(line.split(b": ", 1) for line in head.split(b"\r\n"))
+        assert {b"WARC-Type", b"WARC-Date", b"WARC-Record-ID", b"Content-Length"} <= set(names)
+        assert rest[int(names[b"Content-Length"]):] == b"\r\n\r\n"
+    assert b"HTTP/1.1 200 OK\r\n" in records[2] and names[b"Content-Type"] == b"application/http; msgtype=response"
+
+
 def test_archives(spark):
     from tabforge.llm._store import fresh_dir
     from tabforge.llm.warc import open_store, read_records, write_archives
