@@ -35,6 +35,7 @@ from tabforge.session import cut_lineage
 
 OUT_SCHEMA = "query_id long, donor_id long, distance double"
 PAIR_CHUNK = 2_000_000  # float64 cells (queries x donors) per distance chunk inside a task
+PATTERN_BLOCKS = 16     # auto imputes by presence patterns from this many donor blocks on
 PRUNE_MAX_DIMS = 8      # auto uses one-coordinate pruning up to this many continuous features
 
 
@@ -429,7 +430,8 @@ def impute_candidates(queries: DataFrame, donors: DataFrame, features: list[str]
                       key: str = "ID", block_rows: int = 20_000, strategy: str = "auto") -> DataFrame:
     """(query_id, col, donor_id, distance, value) for the k nearest donors per
     missing cell, merged per (query, column). ``partitioned`` (the ``auto``
-    choice when the donors span several cells) prunes by one coordinate;
+    choice when the donors span several cells) prunes by one coordinate in few
+    dimensions; ``patterns`` by presence pattern and region (``patterns.py``);
     ``blocked`` compares every query block with every donor block."""
     q = _prepare(queries, key, features, [], None, missing_ok=True)
     d = _prepare(donors, key, features, [], None, missing_ok=True)
@@ -442,6 +444,11 @@ def impute_candidates(queries: DataFrame, donors: DataFrame, features: list[str]
         if strategy == "partitioned":
             raise ValueError("no coordinate to prune on (too many missing values or one cell)")
     nq, nd = q.count(), d.count()
+    if strategy == "patterns" or (strategy == "auto" and nd >= PATTERN_BLOCKS * block_rows):
+        from tabforge.operators.patterns import PatternIndex
+        cands = PatternIndex(d, len(features), block_rows).candidates(q, k)
+        w = Window.partitionBy("query_id", "col").orderBy("distance", "donor_id")
+        return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     bq, bd = max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nd / block_rows))
     qb = q.withColumn("__qb", F.pmod(F.xxhash64("__id"), F.lit(bq)).cast("int")) \
         .withColumn("__db", F.explode(F.sequence(F.lit(0), F.lit(bd - 1))))

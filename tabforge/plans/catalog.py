@@ -909,3 +909,11 @@ def q_knn_impute_partitioned(spark, sf_dir):
     model = imp.fit_knn_imputer(v, "ID", columns=fx.vector_columns(), k=5, block_rows=200,
                                 strategy="partitioned")
     return model.imputed_cells(v).select("ID", "feature", r("value").alias("value"))
+
+
+@register("i02_knn_impute_patterns")
+def q_knn_impute_patterns(spark, sf_dir):
+    """I-02 through cells of presence pattern and region."""
+    v = fx.fx_vectors(spark, sf_dir, missing=True)
+    model = imp.fit_knn_imputer(v, "ID", columns=fx.vector_columns(), k=5, block_rows=400, strategy="patterns")
+    return model.imputed_cells(v).select("ID", "feature", r("value").alias("value"))

@@ -821,7 +821,7 @@ def _bundle() -> str:
 ORACLES["s05_bundle_roundtrip"] = _bundle()
 ORACLES["s09_write_metrics"] = ORACLES["a01_profile"]
 ORACLES["s10_write_run_row"] = f"WITH {_LONG[1:]} SELECT round(num_value, {R}) AS metric FROM mg WHERE key = 'metric'"
-ORACLES["i02_knn_impute_partitioned"] = ORACLES["i02_knn_impute"]
+ORACLES["i02_knn_impute_partitioned"] = ORACLES["i02_knn_impute_patterns"] = ORACLES["i02_knn_impute"]
 
 
 def _trial_table() -> str:
