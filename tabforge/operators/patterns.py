@@ -58,6 +58,7 @@ class PatternIndex:
     def __init__(self, donors: DataFrame, n_features: int, block_rows: int):
         self.xcols = xcols = [f"__x{i}" for i in range(n_features)]
         self.block_rows = block_rows
+        donors = cut_lineage(donors)                        # read several times below
         spark, n = donors.sparkSession, donors.count()
         bits = F.concat(*[F.when(F.col(c).isNull() | F.isnan(c), "0").otherwise("1") for c in xcols])
         common = [r[0] for r in donors.groupBy(bits.alias("b")).count().where(F.col("count") >= max(2, block_rows // 8))
@@ -117,6 +118,7 @@ class PatternIndex:
                     q = part[xcols].to_numpy(dtype="float64", na_value=np.nan)
                     bound = lower_bounds(q, always, ever, lo, hi)
                     order = np.argsort(bound, axis=1, kind="stable")
+                    rows, cells = [], []
                     for i in range(len(q)):
                         miss = np.flatnonzero(np.isnan(q[i]))
                         o = order[i][np.isfinite(bound[i][order[i]])]
@@ -127,9 +129,11 @@ class PatternIndex:
                             known = dict(part["__t"].iloc[i] or {})
                             t = np.array([known.get(int(c), np.inf) for c in miss])
                             go = ~first & ((can > 0) & (bound[i][o][:, None] <= t * (1 + 1e-9))).any(axis=1)
-                        if go.any():
-                            out = part.iloc[[i] * int(go.sum())].drop(columns=["__t"])
-                            yield out.assign(__cell=cell[o[go]].astype("int32"))
+                        rows.append(np.full(int(go.sum()), i))
+                        cells.append(cell[o[go]])
+                    rows, cells = np.concatenate(rows), np.concatenate(cells)
+                    if len(rows):
+                        yield part.iloc[rows].drop(columns=["__t"]).assign(__cell=cells.astype("int32"))
         schema = StructType([f for f in queries.schema.fields if f.name != "__t"] + [StructField("__cell", IntegerType())])
         return queries.mapInPandas(run, schema)
 
@@ -141,16 +145,16 @@ class PatternIndex:
             got = local_impute_candidates(left["__id"].to_numpy(), _matrix(left, xcols), right["__id"].to_numpy(), _matrix(right, xcols), k)
             return pd.DataFrame({n: pd.Series(v, dtype=t) for n, v, t in zip(
                 ("query_id", "col", "donor_id", "distance", "value"), got, ("int64", "int32", "int64", "float64", "float64"))})
-        qq, dd = _sub_blocks(visits, self.donors, ["__cell"], self.block_rows)
+        qq, dd = _sub_blocks(cut_lineage(visits), self.donors, ["__cell"], self.block_rows)   # read twice
         return qq.groupBy("__cell", "__sub").cogroup(dd.groupBy("__cell", "__sub")).applyInPandas(pair, IMPUTE_SCHEMA)
 
     def candidates(self, queries: DataFrame, k: int) -> DataFrame:
         """Rows that hold the k nearest donors of every missing cell."""
-        holes = queries.where(F.greatest(*[(F.col(c).isNull() | F.isnan(c)).cast("int") for c in self.xcols], F.lit(0)) > 0)
-        open_ = holes.withColumn("__t", F.lit(None).cast("map<int,double>"))
+        queries = cut_lineage(queries)                      # read twice
+        open_ = queries.withColumn("__t", F.lit(None).cast("map<int,double>"))
         first = cut_lineage(self.search(self.visits(open_, k, False), k))
         best = F.sort_array(F.collect_list("distance"))     # k rows of each first cell
         kth = first.groupBy("query_id", "col").agg(F.get(best, F.lit(k - 1)).alias("t")).where("t is not null")
         kth = kth.groupBy(F.col("query_id").alias("__id")).agg(F.map_from_entries(F.collect_list(F.struct("col", "t"))).alias("__t"))
-        known = holes.join(kth, "__id", "left").select(*open_.columns)
+        known = queries.join(kth, "__id", "left").select(*open_.columns)
         return first.unionByName(self.search(self.visits(known, k, True), k))

@@ -61,6 +61,7 @@ class PivotIndex:
     def __init__(self, donors: DataFrame, n_features: int, n_cats: int, metric: str, cat_penalty: float, block_rows: int, farthest: bool):
         self.xcols, self.ccols = [f"__x{i}" for i in range(n_features)], [f"__c{i}" for i in range(n_cats)]
         self.metric, self.penalty, self.block_rows, self.farthest = metric, cat_penalty, block_rows, farthest
+        donors = cut_lineage(donors)                        # read several times below
         n = donors.count()
         want = min(MOST_PIVOTS, max(1, math.ceil(4 * n / block_rows)))
         rows, place = max(SAMPLE_LEAST, SAMPLE_PER_PIVOT * want), F.pmod(F.xxhash64("__id"), F.lit(1 << 32))
@@ -153,7 +154,7 @@ class PivotIndex:
                         o += v
             return pd.DataFrame({n: pd.Series(v, dtype=t) for n, v, t in zip(("query_id", "donor_id", "distance"), out, ("int64", "int64", "float64"))})
 
-        qq, dd = _sub_blocks(visits, self.donors, ["__g", "__cell"], self.block_rows)
+        qq, dd = _sub_blocks(cut_lineage(visits), self.donors, ["__g", "__cell"], self.block_rows)   # read twice
         keys = ["__g", "__cell", "__sub"]
         return qq.groupBy(*keys).cogroup(dd.groupBy(*keys)).applyInPandas(pair, OUT_SCHEMA)
 
