@@ -31,9 +31,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from tabforge.operators import pages
+from tabforge.operators.best import NO_KEY, QUERIES, Nearest, NearestPresent, frame, keys_of
 from tabforge.session import cut_lineage
 
 OUT_SCHEMA = "query_id long, donor_id long, distance double"
+OUT_COLUMNS = {"query_id": "int64", "donor_id": "int64", "distance": "float64"}
 PAIR_CHUNK = 2_000_000  # float64 cells (queries x donors) per distance chunk inside a task
 PATTERN_BLOCKS = 16     # auto imputes by presence patterns from this many donor blocks on
 PRUNE_MAX_DIMS = 8      # auto uses one-coordinate pruning up to this many continuous features
@@ -142,72 +145,11 @@ def local_topk(qids, Q, dids, D, k, metric="euclidean", exclude_self=False,
     return out_q, out_d, out_v
 
 
-def _exact_d2(Qr: np.ndarray, Dr: np.ndarray) -> np.ndarray:
-    """Squared distance of row pairs by direct differences, left to right."""
-    d2 = np.zeros(len(Qr))
-    for j in range(Qr.shape[1]):
-        diff = Qr[:, j] - Dr[:, j]
-        d2 += diff * diff
-    return d2
-
-
-def _mismatches(qc: np.ndarray, dc: np.ndarray) -> np.ndarray:
-    m = np.zeros((qc.shape[0], dc.shape[0]))
-    for j in range(qc.shape[1]):
-        m += qc[:, j][:, None] != dc[:, j][None, :]
-    return m
-
-
 def _euclid_topk(qids, Q, dids, D, k, exclude_self, farthest, qcat=None, dcat=None, cat_penalty=0.0):
-    """Euclidean top-k: BLAS screening, exact re-ranking.
-
-    On centred data the squared distance |q|^2 + |d|^2 - 2 q.d (one matrix
-    product) is within eps = 4 (p + 2) u (|q|^2 + max |d|^2) of the exact
-    value. Every true top-k donor is within 2 eps of the k-th screened value,
-    so those candidates (usually k, a few more on near ties) are re-scored by
-    direct differences and ranked by (distance, key): identical to the
-    brute-force result."""
-    out_q, out_d, out_v = [], [], []
-    n, p = D.shape
-    kk = min(k, n)
-    mu = D.mean(axis=0)
-    Qc, Dc = Q - mu, D - mu
-    qn, dn = (Qc * Qc).sum(axis=1), (Dc * Dc).sum(axis=1)
-    dmax = dn.max() if n else 0.0
-    unit = 4.0 * (p + 2) * np.finfo("float64").eps
-    per = max(1, PAIR_CHUNK // max(1, n))
-    for s in range(0, len(qids), per):
-        qs = slice(s, s + per)
-        a2 = qn[qs][:, None] + dn[None, :] - 2.0 * (Qc[qs] @ Dc.T)
-        if qcat is not None:  # SMOTENC: nominal mismatches are exact, only the euclidean part is screened
-            a2 = a2 + cat_penalty * _mismatches(qcat[qs], dcat)
-        eps = unit * (qn[qs] + dmax)
-        key = -a2 if farthest else a2
-        if exclude_self:
-            key = np.where(qids[qs][:, None] == dids[None, :], np.inf, key)
-        if kk < n:
-            kth = np.partition(key, kk - 1, axis=1)[:, kk - 1]
-        else:
-            kth = np.where(np.isfinite(key), key, -np.inf).max(axis=1)
-        mask = (key <= (kth + 2.0 * eps)[:, None]) & np.isfinite(key)
-        rows, cols = np.nonzero(mask)
-        if rows.size == 0:
-            continue
-        d2 = _exact_d2(Q[qs][rows], D[cols])
-        if qcat is not None:
-            mm = np.zeros(len(rows))
-            for j in range(qcat.shape[1]):
-                mm += qcat[qs][rows, j] != dcat[cols, j]
-            d2 = d2 + cat_penalty * mm
-        dist = np.sqrt(np.maximum(d2, 0.0))
-        order = np.lexsort((dids[cols], -dist if farthest else dist, rows))
-        rows, cols, dist = rows[order], cols[order], dist[order]
-        first = np.searchsorted(rows, rows, side="left")
-        keep = (np.arange(len(rows)) - first) < kk
-        out_q.extend(qids[qs][rows[keep]].tolist())
-        out_d.extend(dids[cols[keep]].tolist())
-        out_v.extend(dist[keep].tolist())
-    return out_q, out_d, out_v
+    """Euclidean top-k: BLAS screening, exact re-ranking (``best.py``)."""
+    best = Nearest(qids, Q, k, exclude_self, farthest, qcat, cat_penalty)
+    best.sweep(keys_of(dids), D, dcat)
+    return tuple(v.tolist() for v in best.rows())
 
 
 def _matrix(pdf: pd.DataFrame, cols: list[str]) -> np.ndarray:
@@ -357,73 +299,118 @@ def _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_p
     return q.repartition(n_parts).mapInPandas(run, OUT_SCHEMA)
 
 
-def _lookup(mapping: dict, col):
-    args = []
-    for kk, v in mapping.items():
-        args += [F.lit(kk), F.lit(int(v))]
-    return F.element_at(F.create_map(*args), col) if args else F.lit(1)
+def _row_bytes(n_features: int, n_cats: int = 0) -> int:
+    return 8 * (n_features + 4) + 64 * n_cats
 
 
-def _blocked_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, block_rows,
-                  farthest=False):
-    qn = {r[0]: r[1] for r in q.groupBy("__g").count().collect()}  # one row per group
-    dn = {r[0]: r[1] for r in d.groupBy("__g").count().collect()}
-    groups = [g for g in qn if g in dn]
-    bq = {g: max(1, math.ceil(qn[g] / block_rows)) for g in groups}
-    bd = {g: max(1, math.ceil(dn[g] / block_rows)) for g in groups}
-    g = F.col("__g")
-    qb = q.where(g.isin(groups)).withColumn("__qb", F.pmod(F.xxhash64("__id"), _lookup(bq, g)).cast("int")) \
-        .withColumn("__db", F.explode(F.sequence(F.lit(0), _lookup(bd, g) - 1)))
-    db = d.where(g.isin(groups)).withColumn("__db", F.pmod(F.xxhash64("__id"), _lookup(bd, g)).cast("int")) \
-        .withColumn("__qb", F.explode(F.sequence(F.lit(0), _lookup(bq, g) - 1)))
-    xcols = [f"__x{i}" for i in range(len(features))]
-    ccols = [f"__c{i}" for i in range(len(cat_features))]
+def _columns(t, names: list[str]) -> np.ndarray:
+    """Numeric columns of an Arrow table as a matrix, missing ones as NaN."""
+    out = np.empty((t.num_rows, len(names)))
+    for j, c in enumerate(names):
+        out[:, j] = t[c].to_numpy()
+    return out
+
+
+def _keys(t) -> np.ndarray:
+    return t["__id"].fill_null(NO_KEY).to_numpy()
+
+
+def _by_group(t) -> dict:
+    """Row numbers of each group of a page."""
+    return t.select(["__g"]).to_pandas().groupby("__g", sort=False, dropna=False).indices
+
+
+class BlockState:
+    """A page of queries that meets pages of donors, group by group. With ``limit`` the column __t
+    holds distances that the k-th best is known not to exceed."""
+
+    def __init__(self, t, features, cat_features, k, metric, exclude_self, cat_penalty, farthest, limit=False):
+        self.xcols, self.ccols = [f"__x{i}" for i in range(len(features))], [f"__c{i}" for i in range(len(cat_features))]
+        self.k, self.metric, self.exclude_self, self.penalty, self.farthest = k, metric, exclude_self, cat_penalty, farthest
+        self.streams = metric in ("euclidean", "mixed") and len(self.xcols) > 0
+        self.found: list[pd.DataFrame] = []
+        self.groups = {}
+        for g, (rows, ids, x, cats) in self._parts(t):
+            bound = t["__t"].to_numpy()[rows] if limit else None
+            self.groups[g] = Nearest(ids, x, k, exclude_self, farthest, self._nominal(cats), cat_penalty, bound) if self.streams else (ids, x, cats)
+
+    def _nominal(self, cats):
+        return cats if self.metric == "mixed" else None
+
+    def _parts(self, t):
+        ids, x, cats = _keys(t), _columns(t, self.xcols), _cats(t.select(self.ccols).to_pandas(), self.ccols)
+        for g, rows in _by_group(t).items():
+            yield g, (rows, ids[rows], x[rows], None if cats is None else cats[rows])
 
-    def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        a, b, c = local_topk(left["__id"].to_numpy(), _matrix(left, xcols), right["__id"].to_numpy(),
-                             _matrix(right, xcols), k, metric, exclude_self,
-                             _cats(left, ccols), _cats(right, ccols), cat_penalty, farthest)
-        return pd.DataFrame({"query_id": pd.Series(a, dtype="int64"), "donor_id": pd.Series(b, dtype="int64"),
-                             "distance": pd.Series(c, dtype="float64")})
+    def meet(self, t) -> None:
+        for g, (rows, ids, x, cats) in self._parts(t):
+            if g not in self.groups:
+                continue
+            if self.streams:
+                self.against(self.groups[g], g, rows, ids, x, self._nominal(cats), t)
+            else:
+                qids, q, qcats = self.groups[g]
+                got = local_topk(qids, q, ids, x, self.k, self.metric, self.exclude_self, qcats, cats, self.penalty, self.farthest)
+                self.found.append(frame(OUT_COLUMNS, got))
 
-    keys = ["__g", "__qb", "__db"]
-    return qb.groupBy(*keys).cogroup(db.groupBy(*keys)).applyInPandas(pair, OUT_SCHEMA)
+    def against(self, best: Nearest, g, rows, ids, x, cats, t) -> None:
+        best.sweep(ids, x, cats)
+
+    def result(self) -> pd.DataFrame:
+        found = self.found + ([frame(OUT_COLUMNS, best.rows()) for best in self.groups.values()] if self.streams else [])
+        return pd.concat(found, ignore_index=True) if found else frame(OUT_COLUMNS, ([], [], []))
+
+
+def _blocked_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, block_rows,
+                  farthest=False):
+    def state(t):
+        return BlockState(t, features, cat_features, k, metric, exclude_self, cat_penalty, farthest)
+    some = F.col("__g").isNotNull()
+    return pages.meet(q.where(some), d.where(some), _row_bytes(len(features), len(cat_features)), state, OUT_SCHEMA)
 
 
 # ------------------------------------------------------------------ imputation kernel (I-02)
 IMPUTE_SCHEMA = "query_id long, col int, donor_id long, distance double, value double"
 
 
+IMPUTE_COLUMNS = {"query_id": "int64", "col": "int32", "donor_id": "int64", "distance": "float64", "value": "float64"}
+
+
+class ImputeState:
+    """A page of rows with missing values that meets pages of donors. ``along`` is the column that
+    pages are ordered by; __t then bounds the k-th distance of every missing column."""
+
+    def __init__(self, t, n_features: int, k: int, along: int | None = None):
+        self.xcols, self.along = [f"__x{i}" for i in range(n_features)], along
+        x = _columns(t, self.xcols)
+        limit = None if along is None else np.repeat(t["__t"].to_numpy()[:, None], n_features, axis=1)
+        self.best = NearestPresent(_keys(t), x, k, limit)
+
+    def meet(self, t) -> None:
+        ids, d = _keys(t), _columns(t, self.xcols)
+        if self.along is None:
+            return self.best.meet(np.arange(len(self.best.x)), ids, d)
+        x, y = self.best.x[:, self.along], d[:, self.along]
+        turn = np.argsort(x, kind="stable")                 # missing ones last
+        for a in range(0, len(turn), QUERIES):
+            rows = turn[a:a + QUERIES]
+            r = self.best.bound(rows).max() * (1 + 1e-9)
+            with np.errstate(invalid="ignore"):
+                near = ~((y < x[rows].min() - r) | (y > x[rows].max() + r))     # NaN: no bound
+            self.best.meet(rows, ids[near], d[near])
+
+    def result(self) -> pd.DataFrame:
+        return frame(IMPUTE_COLUMNS, self.best.rows())
+
+
 def local_impute_candidates(qids, Q, dids, D, k):
     """For each query row and each of its missing columns: the k nearest donors
     (nan-euclidean, ties by donor key) that have that column."""
-    out = ([], [], [], [], [])
     if len(qids) == 0 or len(dids) == 0:
-        return out
-    per = max(1, PAIR_CHUNK // max(1, len(dids)))
-    dids = np.asarray(dids)
-    dmiss = np.isnan(D)
-    for s in range(0, len(qids), per):
-        Qc = Q[s:s + per]
-        dist = pair_distances(Qc, D, "nan_euclidean")
-        for i in range(Qc.shape[0]):
-            row = dist[i]
-            for c in np.nonzero(np.isnan(Qc[i]))[0]:
-                ok = ~dmiss[:, c] & np.isfinite(row)
-                cand = np.nonzero(ok)[0]
-                if len(cand) == 0:
-                    continue
-                if len(cand) > k:
-                    kth = np.partition(row[cand], k - 1)[k - 1]
-                    cand = cand[row[cand] <= kth]
-                o = cand[np.lexsort((dids[cand], row[cand]))][:k]
-                n = len(o)
-                out[0].extend([qids[s + i]] * n)
-                out[1].extend([int(c)] * n)
-                out[2].extend(dids[o].tolist())
-                out[3].extend(row[o].tolist())
-                out[4].extend(D[o, c].tolist())
-    return out
+        return [], [], [], [], []
+    best = NearestPresent(qids, Q, k)
+    best.meet(np.arange(len(Q)), keys_of(dids), D)
+    return tuple(v.tolist() for v in best.rows())
 
 
 def impute_candidates(queries: DataFrame, donors: DataFrame, features: list[str], k: int = 5,
@@ -443,28 +430,13 @@ def impute_candidates(queries: DataFrame, donors: DataFrame, features: list[str]
             return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
         if strategy == "partitioned":
             raise ValueError("no coordinate to prune on (too many missing values or one cell)")
-    nq, nd = q.count(), d.count()
-    if strategy == "patterns" or (strategy == "auto" and nd >= PATTERN_BLOCKS * block_rows):
+    if strategy == "patterns" or (strategy == "auto" and d.count() >= PATTERN_BLOCKS * block_rows):
         from tabforge.operators.patterns import PatternIndex
         cands = PatternIndex(d, len(features), block_rows).candidates(q, k)
         w = Window.partitionBy("query_id", "col").orderBy("distance", "donor_id")
         return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    bq, bd = max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nd / block_rows))
-    qb = q.withColumn("__qb", F.pmod(F.xxhash64("__id"), F.lit(bq)).cast("int")) \
-        .withColumn("__db", F.explode(F.sequence(F.lit(0), F.lit(bd - 1))))
-    db = d.withColumn("__db", F.pmod(F.xxhash64("__id"), F.lit(bd)).cast("int")) \
-        .withColumn("__qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
-    xcols = [f"__x{i}" for i in range(len(features))]
-
-    def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        a, c, b, dist, v = local_impute_candidates(left["__id"].to_numpy(), _matrix(left, xcols),
-                                                   right["__id"].to_numpy(), _matrix(right, xcols), k)
-        return pd.DataFrame({"query_id": pd.Series(a, dtype="int64"), "col": pd.Series(c, dtype="int32"),
-                             "donor_id": pd.Series(b, dtype="int64"), "distance": pd.Series(dist, dtype="float64"),
-                             "value": pd.Series(v, dtype="float64")})
-
-    cands = qb.groupBy("__qb", "__db").cogroup(db.groupBy("__qb", "__db")).applyInPandas(pair, IMPUTE_SCHEMA)
-    w = Window.partitionBy("query_id", "col").orderBy("distance", "donor_id")  # blocks x k rows
+    cands = pages.meet(q, d, _row_bytes(len(features)), lambda t: ImputeState(t, len(features), k), IMPUTE_SCHEMA)
+    w = Window.partitionBy("query_id", "col").orderBy("distance", "donor_id")
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -510,9 +482,10 @@ def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, met
     Donors are cut into cells of about ``block_rows`` rows by quantiles of the
     highest-variance coordinate (per group). Pass 1 searches each query's own
     cell; the k-th distance r found there bounds the answer, and since
-    |x_p - y_p| <= distance, pass 2 only visits the other cells that
-    intersect [x_p - r, x_p + r]. Crowded cells are cut on both sides, so every
-    task holds at most about block_rows donors and block_rows queries."""
+    |x_p - y_p| <= distance, pass 2 only visits what intersects
+    [x_p - r, x_p + r]: pages in the order of the coordinate, and rows inside
+    them. Crowded cells are cut on both sides, so a task of pass 1 holds at most
+    about block_rows donors and block_rows queries."""
     spark = q.sparkSession
     xcols = [f"__x{i}" for i in range(len(features))]
     ccols = [f"__c{i}" for i in range(len(cat_features))]
@@ -557,37 +530,20 @@ def _partitioned_topk(q: DataFrame, d: DataFrame, features, cat_features, k, met
 
         return qq.groupBy(*keys).cogroup(dd.groupBy(*keys)).applyInPandas(pair, OUT_SCHEMA)
 
-    first = cut_lineage(run_pass(qc))  # read twice: radius and final union
+    first = run_pass(qc)
     # radius: k-th distance in the own cell (infinite when the cell has fewer than k donors)
     kth = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("r"))
     radius = F.when(F.col("n") >= k, F.col("r")).otherwise(F.lit(float("inf")))
     qr = qc.join(kth.select(F.col("query_id").alias("__id"), radius.alias("__r")), "__id", "left") \
         .withColumn("__r", F.coalesce("__r", F.lit(float("inf"))))
 
-    @F.pandas_udf("lo int, hi int")
-    def window_cells(g: pd.Series, x: pd.Series, r: pd.Series) -> pd.DataFrame:
-        """First and last cell of the group's cells that meet [x - r, x + r]
-        (vectorised per group; unbounded r spans every cell)."""
-        b = bb.value
-        xv = x.to_numpy(dtype="float64")
-        rv = r.to_numpy(dtype="float64", na_value=np.inf)
-        lo = np.zeros(len(x), dtype="int32")
-        hi = np.zeros(len(x), dtype="int32")
-        for gv in pd.unique(g):
-            m = (g == gv).to_numpy()
-            bg = b.get(gv, np.array([]))
-            fin = np.isfinite(rv[m])
-            with np.errstate(invalid="ignore"):
-                lo[m] = np.where(fin, _cells(xv[m] - rv[m], bg), 0)
-                hi[m] = np.where(fin, _cells(xv[m] + rv[m], bg), len(bg))
-        return pd.DataFrame({"lo": lo, "hi": hi})
+    x = F.col(pivot)
+    reach = qr.withColumnRenamed("__r", "__t").withColumns({"__lo": x - F.col("__t") * (1 + 1e-9), "__hi": x + F.col("__t") * (1 + 1e-9)})
 
-    win = window_cells(F.col("__g"), F.col(pivot), F.col("__r"))
-    second_q = qr.withColumn("__w", win) \
-        .withColumn("__cells", F.array_remove(F.sequence(F.col("__w.lo"), F.col("__w.hi")), F.col("__cell"))) \
-        .where(F.size("__cells") > 0).withColumn("__cell", F.explode("__cells")).drop("__cells", "__w", "__r")
-    second = run_pass(second_q)
-    return first.unionByName(second)
+    def state(t):
+        return BlockState(t, features, cat_features, k, metric, exclude_self, cat_penalty, False, limit=True)
+    return pages.meet(reach.drop("__cell"), d.withColumns({"__lo": x, "__hi": x}), _row_bytes(len(features), len(cat_features)), state,
+                      OUT_SCHEMA, [pivot])
 
 
 def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int, block_rows: int):
@@ -597,9 +553,9 @@ def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int,
     (the weight p / present is at least 1), so the cell pruning of
     ``_partitioned_topk`` holds per (query, missing column): pass 1 searches
     the own cell, pass 2 the cells within the largest k-th distance of the
-    query's missing columns. Donors missing the pivot carry no bound: they sit
-    in hash-blocked cells (-1, -2, ...) that every query visits. Queries
-    missing the pivot visit every cell."""
+    query's missing columns, as pages in the order of the coordinate. Donors
+    missing the pivot carry no bound: their pages meet every query. Queries
+    missing the pivot meet every page."""
     spark = q.sparkSession
     xcols = [f"__x{i}" for i in range(len(features))]
     n_d = d.count()
@@ -616,16 +572,12 @@ def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int,
     fr = [i / cells for i in range(1, cells)]
     b = d.where(F.col(pivot).isNotNull()).agg(F.percentile_approx(pivot, fr, _accuracy(cells)).alias("b")).first()["b"]
     bounds = np.unique(np.asarray(b, dtype="float64"))
-    n_cells = len(bounds) + 1
-    n_miss_blocks = max(1, math.ceil((n_d - stats[f"n{pi}"]) / block_rows))
-
-    cell = F.when(F.col(pivot).isNull(), -1 - F.pmod(F.xxhash64("__id"), F.lit(n_miss_blocks)))
     # bucket = number of bounds <= pivot: a JVM-side binary search over the bounds (NULL rows replaced below)
     from pyspark.ml.feature import Bucketizer
     buck = Bucketizer(splits=[float("-inf"), *[float(v) for v in bounds], float("inf")], inputCol=pivot,
                       outputCol="__bucket", handleInvalid="keep")
     bucket = F.col("__bucket")
-    dc = buck.transform(d).withColumn("__cell", cell.otherwise(bucket).cast("int")).drop("__bucket")
+    dc = buck.transform(d.where(F.col(pivot).isNotNull())).withColumn("__cell", bucket.cast("int")).drop("__bucket")
     qc = buck.transform(q).withColumn("__cell", F.when(F.col(pivot).isNull(), F.lit(-1))
                                       .otherwise(bucket).cast("int")).drop("__bucket")
 
@@ -641,7 +593,7 @@ def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int,
         return qq.groupBy("__cell", "__sub").cogroup(dd.groupBy("__cell", "__sub")).applyInPandas(kernel, IMPUTE_SCHEMA)
 
     # pass 1: pivot-present queries in their own cell
-    first = cut_lineage(run(qc.where(F.col("__cell") >= 0), dc.where(F.col("__cell") >= 0)))  # read twice
+    first = run(qc.where(F.col("__cell") >= 0), dc)
     per_col = first.groupBy("query_id", "col").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("r"))
     rad = per_col.groupBy("query_id").agg(
         F.max(F.when(F.col("n") >= k, F.col("r")).otherwise(F.lit(float("inf")))).alias("__r"),
@@ -652,18 +604,12 @@ def _partitioned_impute(q: DataFrame, d: DataFrame, features: list[str], k: int,
         .withColumn("__r", F.when(F.coalesce(F.col("__ncols"), F.lit(0)) < miss_cols, F.lit(float("inf")))
                     .otherwise(F.col("__r")))
 
-    # cells to visit: those meeting [x - r, x + r] except the own one, found by the same
-    # JVM-side binary search; every cell when the pivot is missing or r is unbounded; plus
-    # every missing-pivot block
-    win = Bucketizer(splitsArray=[buck.getSplits()] * 2, inputCols=["__lo_x", "__hi_x"],
-                     outputCols=["__lo", "__hi"], handleInvalid="keep")
-    ranged = win.transform(qr.withColumn("__lo_x", F.col(pivot) - F.col("__r"))
-                           .withColumn("__hi_x", F.col(pivot) + F.col("__r")))
-    unbounded = (F.col("__cell") < 0) | F.col("__r").isNull() | (F.col("__r") == F.lit(float("inf")))
-    near = F.array_remove(F.sequence(F.col("__lo").cast("int"), F.col("__hi").cast("int")), F.col("__cell"))
-    visit = F.concat(F.when(unbounded, F.sequence(F.lit(0), F.lit(n_cells - 1))).otherwise(near),
-                     F.sequence(F.lit(-n_miss_blocks), F.lit(-1)))
-    second_q = ranged.withColumn("__cell", F.explode(visit)) \
-        .drop("__r", "__ncols", "__lo_x", "__hi_x", "__lo", "__hi")
-    second = run(second_q, dc)
-    return first.unionByName(second)
+    # pages that meet [x - r, x + r]; every page when the pivot is missing or r is unbounded, and
+    # those with donors that miss the pivot
+    ends = {c: F.lit(float(v)) for c, v in (("__lo", "-inf"), ("__hi", "inf"))}
+    x, t = F.nanvl(pivot, F.lit(None).cast("double")), F.coalesce("__r", F.lit(float("inf")))
+    known = qr.withColumn("__t", t).withColumns({"__lo": F.coalesce(x - F.col("__t") * (1 + 1e-9), ends["__lo"]),
+                                                 "__hi": F.coalesce(x + F.col("__t") * (1 + 1e-9), ends["__hi"])})
+    spread = d.withColumns({c: F.coalesce(x, e) for c, e in ends.items()})
+    return pages.meet(known.drop("__cell", "__r", "__ncols"), spread, _row_bytes(len(features)),
+                      lambda page: ImputeState(page, len(xcols), k, pi), IMPUTE_SCHEMA, [pivot])

@@ -9,9 +9,10 @@ the distance D of a query to the pivot bounds every distance into the cell:
 * from above by ``D + largest`` (the bound that farthest neighbours need).
 
 Pass 1 takes a query through its most promising cells until they hold enough donors; the k-th
-distance found is the threshold of pass 2, which visits only the cells that can still matter. Inside
-a cell donors are ordered by their distance to the pivot, and rows outside ``D +- threshold`` are
-skipped the same way. Crowded cells are cut on both sides, as in the other strategies."""
+distance found is the threshold of pass 2, which meets pages of donors in the order of their cells and
+looks only into the cells that can still matter (``pages.py``; no row is copied per cell). In pass 1
+donors of a cell are ordered by their distance to the pivot, and rows outside ``D +- threshold`` are
+skipped; crowded cells are cut on both sides, as in the other strategies."""
 
 from __future__ import annotations
 
@@ -55,6 +56,18 @@ def choose_pivots(sample: np.ndarray, n: int, turns: int = 6) -> np.ndarray:
     return np.unique(pivots, axis=0)
 
 
+def _bounds(x: np.ndarray, pivots: np.ndarray, cells: np.ndarray, lo: np.ndarray, hi: np.ndarray, farthest: bool, more: float) -> np.ndarray:
+    """(rows, cells): no donor of the cell is nearer, or with ``farthest`` none is farther."""
+    every, slack = _distances(x, pivots), _slack(x, pivots)[:, None]
+    d, own = every[:, cells], every.argmin(axis=1)
+    if farthest:
+        return np.sqrt((d + hi + slack) ** 2 + more)
+    gap = _distances(pivots[own], pivots)[:, cells] + slack                # never too small
+    plane = (d * d - every[np.arange(len(x)), own][:, None] ** 2) / (2 * gap)
+    plane -= slack * (d + every.max(axis=1)[:, None]) / gap                # of the plane, from those of its distances
+    return np.maximum.reduce([d - hi - slack, lo - d - slack, np.where(cells == own[:, None], 0.0, plane), np.zeros_like(d)])
+
+
 class PivotIndex:
     """``donors`` as ``_prepare`` returns them: __id, __g, __x0 ..., __c0 ..."""
 
@@ -76,7 +89,10 @@ class PivotIndex:
             cell = np.concatenate([_distances(x[a:a + 4096], p).argmin(axis=1) for a in range(0, len(x), 4096)]) if len(x) else np.zeros(0, int)
             return pd.DataFrame({"cell": cell.astype("int32"), "r": np.sqrt(((x - p[cell]) ** 2).sum(axis=1))})
 
-        self.donors = cut_lineage(donors.withColumn("__p", own(*self.xcols)).select("*", F.col("__p.cell").alias("__cell"), F.col("__p.r").alias("__r")).drop("__p"))
+        def placed(df: DataFrame) -> DataFrame:
+            return df.withColumn("__p", own(*self.xcols)).select("*", F.col("__p.cell").alias("__cell"), F.col("__p.r").alias("__r")).drop("__p")
+        self.placed = placed
+        self.donors = cut_lineage(placed(donors))
         stats = self.donors.groupBy("__g", "__cell").agg(F.count("*").alias("n"), F.min("__r").alias("lo"), F.max("__r").alias("hi")).toPandas()
         self.cells = {g: (s["__cell"].to_numpy(), s["n"].to_numpy(), s["lo"].to_numpy(), s["hi"].to_numpy())
                       for g, s in stats.sort_values("__cell").groupby("__g", dropna=False)}     # groups x pivots rows
@@ -89,7 +105,6 @@ class PivotIndex:
 
         def run(batches):
             pivots, groups = sent.value
-            between = _distances(pivots, pivots)
             for batch in batches:
                 for a in range(0, len(batch), _CHUNK):
                     some = batch.iloc[a:a + _CHUNK]
@@ -98,18 +113,8 @@ class PivotIndex:
                             continue
                         cell, n, lo, hi = groups[g]
                         x = part[xcols].to_numpy(dtype="float64")
-                        every, slack = _distances(x, pivots), _slack(x, pivots)[:, None]
-                        d, own = every[:, cell], every.argmin(axis=1)
-                        if farthest:
-                            bound = np.sqrt((d + hi + slack) ** 2 + more)
-                            order = np.argsort(-bound, axis=1, kind="stable")
-                        else:
-                            gap = between[own][:, cell] + slack             # never too small
-                            plane = (d * d - every[np.arange(len(x)), own][:, None] ** 2) / (2 * gap)
-                            err = slack * (d + every.max(axis=1)[:, None]) / gap         # of the plane, from those of its distances
-                            plane = np.where(cell == own[:, None], 0.0, plane - err)
-                            bound = np.maximum.reduce([d - hi - slack, lo - d - slack, plane, np.zeros_like(d)])
-                            order = np.argsort(d, axis=1, kind="stable")
+                        d, bound = _distances(x, pivots)[:, cell], _bounds(x, pivots, cell, lo, hi, farthest, more)
+                        order = np.argsort(-bound if farthest else d, axis=1, kind="stable")
                         held = np.cumsum(n[order], axis=1) - n[order]
                         first = np.zeros(d.shape, bool)
                         np.put_along_axis(first, order, held < need, axis=1)
@@ -167,4 +172,33 @@ class PivotIndex:
         best = F.sort_array(F.collect_list("distance"), asc=not self.farthest)
         kth = first.groupBy("query_id").agg(F.get(best, F.lit(k - 1)).alias("__t")).select(F.col("query_id").alias("__id"), "__t")
         known = queries.join(kth, "__id", "left").withColumn("__t", F.coalesce("__t", F.lit(none))).select(*open_.columns)
-        return first.unionByName(self.search(self.visits(known, k, exclude_self, True), k, exclude_self))
+        return self.rest(known, k, exclude_self)
+
+    def rest(self, queries: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+        """The k best donors of ``queries`` with thresholds __t: pages of either side in the order of
+        cells; a chunk of queries meets the donors of the cells that matter to any of them."""
+        from tabforge.operators import pages
+        from tabforge.operators.best import QUERIES
+        from tabforge.operators.knn import OUT_SCHEMA, BlockState, _row_bytes
+        sent = queries.sparkSession.sparkContext.broadcast((self.pivots, self.cells))
+        names, cats, metric, penalty, farthest = self.xcols, self.ccols, self.metric, self.penalty, self.farthest
+        more = penalty * len(cats) if metric == "mixed" else 0.0
+
+        class State(BlockState):
+            def against(self, best, g, rows, ids, x, nominal, t):
+                pivots, groups = sent.value
+                cells, _, lo, hi = groups[g]
+                here = t["__cell"].to_numpy()[rows]
+                some = np.unique(here)
+                at, place = np.searchsorted(cells, some), np.searchsorted(some, here)
+                for a in range(0, len(best.x), QUERIES):
+                    turn = np.arange(a, min(a + QUERIES, len(best.x)))
+                    bound = _bounds(best.x[turn], pivots, some, lo[at], hi[at], farthest, more)
+                    limit = best.bound(turn)[:, None]
+                    go = (bound >= -limit * (1 - 1e-9)) if farthest else (bound <= limit * (1 + 1e-9))
+                    met = go.any(axis=0)[place]
+                    best.meet(turn, ids[met], x[met], None if nominal is None else nominal[met])
+
+        def state(t):
+            return State(t, names, cats, k, metric, exclude_self, penalty, farthest, limit=True)
+        return pages.meet(self.placed(queries).drop("__r"), self.donors.drop("__r"), _row_bytes(len(names), len(cats)), state, OUT_SCHEMA, ["__cell"])
