@@ -508,6 +508,7 @@ def neighbourhood_cleaning(df: DataFrame, key: str = "ID", label: str = "label",
     """Drop non-minority rows out-voted by their k-NN, and non-minority
     neighbours of minority rows out-voted by their k-NN."""
     features = list(features) if features is not None else [c for c in df.columns if c not in (key, label)]
+    df = cut_lineage(df)                                    # read several times below
     counts = class_counts(df, label)
     if len(counts) < 2:
         return df

@@ -9,7 +9,8 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 
-QUERIES, DONORS = 512, 4096     # rows of a chunk
+QUERIES, DONORS = 512, 2048     # rows of a chunk
+SINGLE_DIMS = 16                # single precision pays from this many coordinates on
 _PAIRS = 100_000                # pairs scored at a time
 _LAST = np.iinfo("int64").max
 NO_KEY = _LAST - 1              # stands for a missing key, which must not be reported
@@ -54,6 +55,7 @@ class Nearest:
         self.key = np.full((len(x), k), np.inf)             # distances, negative for farthest
         self.donor = np.full((len(x), k), _LAST)
         self.t = np.full(len(x), np.inf) if t is None else self.sign * t
+        self.single = True                                  # screening may use single precision
 
     def bound(self, rows) -> np.ndarray:
         return np.minimum(self.t[rows], self.key[rows, -1])
@@ -66,25 +68,50 @@ class Nearest:
                 self._chunk(rows[b:b + QUERIES], dids[part], d[part], None if dcats is None else dcats[part])
 
     def _chunk(self, rows, dids, d, dcats):
-        mu, n = d.mean(axis=0), len(d)
+        mu = d.mean(axis=0)
         q, c = self.x[rows] - mu, d - mu
-        qn, dn = (q * q).sum(axis=1), (c * c).sum(axis=1)
+        sizes = (q * q).sum(axis=1), (c * c).sum(axis=1)
+        at = self._screen(rows, dids, q, c, *sizes, dcats, np.float32) if self.single and dcats is None and d.shape[1] >= SINGLE_DIMS else None
+        if at is None:
+            at = self._screen(rows, dids, q, c, *sizes, dcats, np.float64)
+        self._score(at, rows, dids, d, dcats)
+
+    def _screen(self, rows, dids, q, c, qn, dn, dcats, kind):
+        """Places (query * donors + donor) of the pairs that may be within the bound. In single precision
+        None if its error lets too many through: the search then goes on in double precision."""
+        n, bound = len(c), self.bound(rows)
+        more = self.penalty * (0 if dcats is None else dcats.shape[1])
+        eps = 4.0 * (c.shape[1] + 2) * np.finfo(kind).eps * (qn + dn.max() + more) + np.finfo(kind).tiny * 4 * (c.shape[1] + 2)
+        if kind is np.float32 and not (qn.max() + dn.max() < 1e30):
+            self.single = False
+            return None
         # squared distance less qn, negative for farthest
-        near = np.column_stack([-2.0 * self.sign * q, np.full(len(q), self.sign)]) @ np.column_stack([c, dn]).T
+        near = np.column_stack([-2.0 * self.sign * q, np.full(len(q), self.sign)]).astype(kind, copy=False) @ np.column_stack([c, dn]).astype(kind, copy=False).T
         if self.cats is not None:                           # mismatches are exact
             for j in range(dcats.shape[1]):
                 near += self.sign * self.penalty * (self.cats[rows][:, j][:, None] != dcats[:, j][None, :])
-        eps = 4.0 * (d.shape[1] + 2) * np.finfo("float64").eps * (qn + dn.max() + self.penalty * (0 if dcats is None else dcats.shape[1]))
-        bound = self.bound(rows)
-        with np.errstate(invalid="ignore"):
+        with np.errstate(invalid="ignore", over="ignore"):
             cut = self.sign * (bound * bound) * (1 + self.sign * 1e-9) - self.sign * qn + 2 * eps
-        open_ = np.flatnonzero(np.isinf(bound))
-        if len(open_):
-            some = near[open_]
+            cut = np.where(np.isinf(bound), np.inf, cut)
+            hit = np.flatnonzero(near.min(axis=1) <= cut)
+            near, cut, eps = near[hit], np.nextafter(cut[hit].astype(kind), kind(np.inf)), eps[hit]
+        within = near <= cut[:, None]
+        many = np.flatnonzero(within.sum(axis=1) > 4 * self.k + 16) if self.k < n else []
+        if len(many):                                       # the k-th best of this chunk bounds them, too
+            some = near[many]
             if self.exclude_self:
-                some[self.ids[rows][open_][:, None] == dids[None, :]] = np.inf
-            cut[open_] = (np.partition(some, self.k - 1, axis=1)[:, self.k - 1] if self.k < n else np.inf) + 2 * eps[open_]
-        at = np.flatnonzero((near <= cut[:, None]).ravel())
+                some[self.ids[rows][hit[many]][:, None] == dids[None, :]] = np.inf
+            kth = np.partition(some, self.k - 1, axis=1)[:, self.k - 1]
+            tight = np.nextafter((kth + 2 * eps[many]).astype(kind), kind(np.inf))
+            within[many] = some <= np.minimum(tight, cut[many])[:, None]
+        at = np.flatnonzero(within)
+        if kind is np.float32 and len(at) > (64 + 4 * self.k) * len(rows):
+            self.single = False
+            return None
+        return hit[at // n] * n + at % n
+
+    def _score(self, at, rows, dids, d, dcats):
+        n = len(d)
         for a in range(0, len(at), _PAIRS):
             r, c = np.divmod(at[a:a + _PAIRS], n)
             r = rows[r]
@@ -121,15 +148,16 @@ class Nearest:
         if self.farthest or d.shape[1] == 0:
             return self.meet(np.arange(len(self.x)), dids, d, dcats)
         j = int(np.argmax(d.var(axis=0)))
-        order = np.argsort(d[:, j], kind="stable")
-        dids, d, dcats = dids[order], d[order], None if dcats is None else dcats[order]
+        if (d[1:, j] < d[:-1, j]).any():
+            order = np.argsort(d[:, j], kind="stable")
+            dids, d, dcats = dids[order], d[order], None if dcats is None else dcats[order]
         along, n, turn = d[:, j], len(d), np.argsort(self.x[:, j], kind="stable")
         for s in range(0, len(turn), QUERIES):
             rows = turn[s:s + QUERIES]
             lo, mid, hi = self.x[rows[[0, len(rows) // 2, -1]], j]
             a = b = int(np.searchsorted(along, mid))
             if np.isinf(self.bound(rows)).any():
-                a, b = max(0, a - DONORS // 4), min(n, a + DONORS // 4)
+                a, b = max(0, a - DONORS // 2), min(n, a + DONORS // 2)
                 self.meet(rows, dids[a:b], d[a:b], None if dcats is None else dcats[a:b])
             while True:
                 was = a, b
@@ -164,9 +192,9 @@ class NearestPresent:
         return self.t[rows].max(axis=1, initial=-np.inf)
 
     def meet(self, rows: np.ndarray, dids: np.ndarray, d: np.ndarray) -> None:
-        for a in range(0, len(dids), DONORS // 2):
+        for a in range(0, len(dids), DONORS):
             for b in range(0, len(rows), QUERIES):
-                self._chunk(rows[b:b + QUERIES], dids[a:a + DONORS // 2], d[a:a + DONORS // 2])
+                self._chunk(rows[b:b + QUERIES], dids[a:a + DONORS], d[a:a + DONORS])
 
     def _chunk(self, rows, dids, d):
         have = ~np.isnan(d)

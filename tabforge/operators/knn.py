@@ -5,7 +5,9 @@ Exact strategies, same results (ties by donor key):
 
 * ``broadcast`` -- donors (size checked against a byte budget) are shipped
   once to every executor; query partitions stream through ``mapInPandas`` in
-  Arrow batches and keep only their top-k per query row.
+  Arrow batches and keep only their top-k per query row. Queries lie in the
+  order of the donors' widest coordinate, so a batch looks only at donors near
+  it.
 * ``blocked`` -- queries and donors are hashed into blocks per group (e.g.
   per class); every (query block, donor block) pair meets in one
   ``cogroup().applyInPandas`` task whose memory is bounded by the block size,
@@ -98,17 +100,16 @@ def local_topk(qids, Q, dids, D, k, metric="euclidean", exclude_self=False,
     out_q, out_d, out_v = [], [], []
     if len(qids) == 0 or len(dids) == 0:
         return out_q, out_d, out_v
-    dids = np.asarray(dids)
+    dids, qids = np.asarray(dids), np.asarray(qids)
+    if metric in ("euclidean", "mixed") and Q.shape[1] > 0:
+        mixed = metric == "mixed" and qcat is not None and qcat.shape[1] > 0
+        return _euclid_topk(qids, Q, dids, D, k, exclude_self, farthest,
+                            qcat if mixed else None, dcat if mixed else None, cat_penalty)
     order = np.argsort(dids, kind="stable")
     dids, D = dids[order], D[order]
     if dcat is not None:
         dcat = dcat[order]
-    qids = np.asarray(qids)
     n = len(dids)
-    if metric in ("euclidean", "mixed") and Q.shape[1] > 0:
-        mixed = metric == "mixed" and qcat is not None and qcat.shape[1] > 0
-        return _euclid_topk(qids, Q, dids, D, k, exclude_self, farthest,
-                            qcat if mixed else None, dcat if mixed else None, cat_penalty)
     per = max(1, PAIR_CHUNK // max(1, n))
     for s in range(0, len(qids), per):
         qs = slice(s, s + per)
@@ -211,7 +212,7 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
     """k nearest donors for every query row -> (query_id, donor_id, distance, rank).
 
     ``group`` restricts neighbours to donors of the same group value (e.g. the
-    same class). ``strategy``: ``broadcast`` (donors under ``broadcast_budget``
+    same class). ``strategy``: ``broadcast`` (while donors stay under ``broadcast_budget``
     bytes, measured), ``partitioned`` (exact, range-pruned cells), ``pivots``
     (exact, cells pruned by the triangle inequality, also for ``farthest``),
     ``blocked`` (exact, every block pair) or ``auto``: broadcast when the
@@ -224,9 +225,12 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
             block_rows, farthest))
     missing_ok = metric == "nan_euclidean"
     q = _prepare(queries, key, features, cat_features, group, missing_ok)
-    d = _prepare(donors, key, features, cat_features, group, missing_ok)
+    d = _first_copies(_prepare(donors, key, features, cat_features, group, missing_ok), k + exclude_self)
+    fits = strategy in ("auto", "broadcast") and _bytes(d, len(features), len(cat_features)) <= broadcast_budget
+    if strategy == "broadcast" and not fits:
+        raise ValueError(f"donors are over the broadcast budget {broadcast_budget}; use strategy='blocked'")
     if strategy == "auto":
-        if _bytes(d, len(features), len(cat_features)) <= broadcast_budget:
+        if fits:
             strategy = "broadcast"
         elif metric in ("euclidean", "mixed") and not farthest and 0 < len(features) <= PRUNE_MAX_DIMS:
             strategy = "partitioned"
@@ -235,8 +239,7 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
         else:
             strategy = "blocked"
     if strategy == "broadcast":
-        cands = _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty,
-                                broadcast_budget, farthest)
+        cands = _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, farthest)
     elif strategy == "blocked":
         cands = _blocked_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, block_rows,
                               farthest)
@@ -263,17 +266,25 @@ def _bytes(d: DataFrame, n_features: int, n_cats: int) -> int:
     return r[0] * 8 * (n_features + 2) + r[1]
 
 
-def _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, budget,
-                    farthest=False):
+def _first_copies(d: DataFrame, n: int) -> DataFrame:
+    """Donors without those that no query can have: of equal donors (coordinates, nominal values and
+    group) the ``n`` smallest keys come before all others, since ties go by key. Stored, as it is
+    read several times."""
+    by = [c for c in d.columns if c != "__id"]
+    first = Window.partitionBy(F.xxhash64(*by), *by).orderBy(F.asc_nulls_last("__id"))
+    ranked = d.withColumn("__copy", F.dense_rank().over(first)).where(F.col("__copy") <= n).drop("__copy")
+    return cut_lineage(ranked)
+
+
+def _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_penalty, farthest=False):
     spark = q.sparkSession
-    size = _bytes(d, len(features), len(cat_features))
-    if size > budget:
-        raise ValueError(f"donors need ~{size} bytes, over the broadcast budget {budget}; "
-                         "use strategy='blocked'")
-    pdf = d.toPandas()  # size checked above
+    pdf = d.toPandas()  # the caller checked its size
     xcols = [f"__x{i}" for i in range(len(features))]
     ccols = [f"__c{i}" for i in range(len(cat_features))]
-    by_group = {}
+    by_group, order = {}, []
+    if xcols and len(pdf):
+        along = pdf[xcols].var().fillna(0.0).idxmax()
+        pdf, order = pdf.sort_values(along, kind="stable"), [F.col(along)]
     for g, part in pdf.groupby("__g", sort=False, dropna=False):
         by_group[g] = (part["__id"].to_numpy(), _matrix(part, xcols), _cats(part, ccols))
     bc = spark.sparkContext.broadcast(by_group)
@@ -295,8 +306,8 @@ def _broadcast_topk(q, d, features, cat_features, k, metric, exclude_self, cat_p
                                 "donor_id": pd.Series(od, dtype="int64"),
                                 "distance": pd.Series(ov, dtype="float64")})
     # explicit partition count: AQE must not fold a small query set into one task
-    n_parts = max(q.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
-    return q.repartition(n_parts).mapInPandas(run, OUT_SCHEMA)
+    by = [F.xxhash64("__g"), *order, F.xxhash64("__id")]
+    return q.repartitionByRange(pages.TASKS * spark.sparkContext.defaultParallelism, *by).sortWithinPartitions(*by).mapInPandas(run, OUT_SCHEMA)
 
 
 def _row_bytes(n_features: int, n_cats: int = 0) -> int:
