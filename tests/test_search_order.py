@@ -50,7 +50,7 @@ def test_equal_donors_are_met_once_and_keys_may_repeat(spark, strategy):
     assert kept.where("__x0 = 1.0 and __id < 150").count() == 4 + 4     # keys 0 to 3, the last of them five times
 
 
-@pytest.mark.parametrize("clean", [bal.neighbourhood_cleaning])
+@pytest.mark.parametrize("clean", [bal.neighbourhood_cleaning, bal.one_sided_selection])
 def test_rows_are_read_once(spark, clean):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"ID": np.arange(120), "a": rng.normal(size=120), "label": np.arange(120) % 5 // 4})
