@@ -7,7 +7,7 @@ Exact strategies, same results (ties by donor key):
   once to every executor; query partitions stream through ``mapInPandas`` in
   Arrow batches and keep only their top-k per query row. Queries lie in the
   order of the donors' widest coordinate, so a batch looks only at donors near
-  it.
+  it. Donors over the budget are met as pages instead.
 * ``blocked`` -- queries and donors are hashed into blocks per group (e.g.
   per class); every (query block, donor block) pair meets in one
   ``cogroup().applyInPandas`` task whose memory is bounded by the block size,
@@ -213,7 +213,7 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
 
     ``group`` restricts neighbours to donors of the same group value (e.g. the
     same class). ``strategy``: ``broadcast`` (while donors stay under ``broadcast_budget``
-    bytes, measured), ``partitioned`` (exact, range-pruned cells), ``pivots``
+    bytes, measured; then as ``blocked``), ``partitioned`` (exact, range-pruned cells), ``pivots``
     (exact, cells pruned by the triangle inequality, also for ``farthest``),
     ``blocked`` (exact, every block pair) or ``auto``: broadcast when the
     donors fit, else partitioned in up to ``PRUNE_MAX_DIMS`` dimensions, else
@@ -228,7 +228,7 @@ def knn_join(queries: DataFrame, donors: DataFrame, features: list[str], k: int
     d = _first_copies(_prepare(donors, key, features, cat_features, group, missing_ok), k + exclude_self)
     fits = strategy in ("auto", "broadcast") and _bytes(d, len(features), len(cat_features)) <= broadcast_budget
     if strategy == "broadcast" and not fits:
-        raise ValueError(f"donors are over the broadcast budget {broadcast_budget}; use strategy='blocked'")
+        strategy = "blocked"
     if strategy == "auto":
         if fits:
             strategy = "broadcast"
