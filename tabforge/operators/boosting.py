@@ -72,19 +72,26 @@ class Tree:
     nodes: dict[int, Node] = field(default_factory=dict)
     splits: dict[int, Split] = field(default_factory=dict)
 
+    def leaves(self, bins: np.ndarray) -> dict[int, np.ndarray]:
+        """Row numbers in each leaf: a row is looked at once a level."""
+        held = {1: np.arange(len(bins))}
+        for i in sorted(self.splits):
+            s, here = self.splits[i], held.pop(i)
+            right = bins[here, s.feature] > s.bin
+            held[2 * i], held[2 * i + 1] = here[~right], here[right]
+        return held
+
     def route(self, bins: np.ndarray) -> np.ndarray:
         """Number of the leaf of each binned row."""
         at = np.ones(len(bins), np.int64)
-        for i in sorted(self.splits):
-            s = self.splits[i]
-            here = np.flatnonzero(at == i)
-            at[here] = 2 * i + (bins[here, s.feature] > s.bin)
+        for i, here in self.leaves(bins).items():
+            at[here] = i
         return at
 
     def add(self, margin: np.ndarray, bins: np.ndarray) -> None:
-        at = self.route(bins)
-        for i in np.unique(at):
-            margin[at == i] += self.nodes[i].value
+        for i, here in self.leaves(bins).items():
+            if len(here):
+                margin[here] += self.nodes[i].value
 
 
 def bin_bounds(df: DataFrame, features: list[str], max_bins: int = MAX_BINS) -> list[np.ndarray]:
@@ -148,9 +155,10 @@ def _loss(y: np.ndarray, margin: np.ndarray, task: str) -> float:
 def histogram(bins: np.ndarray, at: np.ndarray, g: np.ndarray, h: np.ndarray, nodes: list[int], cols: np.ndarray, width: int) -> np.ndarray:
     """(nodes, features, bins, [rows, gradient, hessian]) sums of the rows ``at`` the nodes."""
     out = np.zeros((3, len(nodes) * len(cols) * width))
-    place = np.full(len(at), -1)
-    for k, n in enumerate(nodes):
-        place[at == n] = k
+    order = np.argsort(nodes)
+    known = np.asarray(nodes)[order]
+    near = np.minimum(np.searchsorted(known, at), len(nodes) - 1)
+    place = np.where(known[near] == at, order[near], -1)
     rows = np.flatnonzero(place >= 0)
     step = max(1, 2_000_000 // max(1, len(cols)))
     for a in range(0, len(rows), step):
@@ -264,15 +272,19 @@ class Spec:
         n = max(1, min(self.p, round(self.colsample * self.p)))
         return np.sort(np.random.default_rng([self.seed, round_]).choice(self.p, n, replace=False)) if self.p else np.zeros(0, np.int64)
 
-    def add(self, total: np.ndarray, block: tuple, round_: int, tree: Tree | None, nodes: list[int], cols: np.ndarray, loss: bool) -> None:
+    def used(self, block: tuple, round_: int) -> tuple:
+        """Bins and derivatives of the rows that a round's tree is grown on."""
+        bins, y, v, d, margin = block
+        use = ~v & _sampled(d, self.subsample, self.seed, round_)
+        return bins[use], *_derivatives(y[use], margin[use], self.task)
+
+    def add(self, total: np.ndarray, block: tuple, used: tuple, tree: Tree | None, nodes: list[int], cols: np.ndarray, loss: bool) -> None:
         """Add a block's sums for the ``nodes`` of an unfinished tree (none: the root), then its valid
         loss and valid rows."""
-        bins, y, v, d, margin = block
+        _, y, v, _, margin = block
         if loss and v.any():
             total[-2:] += _loss(y[v], margin[v], self.task), v.sum()
-        use = ~v & _sampled(d, self.subsample, self.seed, round_)
-        g, h = _derivatives(y[use], margin[use], self.task)
-        b = bins[use]
+        b, g, h = used
         at = tree.route(b) if tree else np.ones(len(b), np.int64)
         total[:-2] += histogram(b, at, g, h, nodes, cols, self.width).ravel()
 
@@ -281,16 +293,17 @@ class InTask:
     """Passes over blocks that one task holds."""
 
     def __init__(self, spec: Spec, blocks: list[tuple]):
-        self.spec, self.blocks, self.rounds = spec, blocks, 0
+        self.spec, self.blocks, self.rounds, self.used = spec, blocks, 0, []
 
     def sums(self, tree, nodes, cols, loss):
         total = np.zeros(len(nodes) * len(cols) * self.spec.width * 3 + 2)
-        for block in self.blocks:
-            self.spec.add(total, block, self.rounds, tree, nodes, cols, loss)
+        self.used = self.used or [self.spec.used(block, self.rounds) for block in self.blocks]     # once a round
+        for block, used in zip(self.blocks, self.used):
+            self.spec.add(total, block, used, tree, nodes, cols, loss)
         return total
 
     def added(self, tree: Tree) -> None:
-        self.rounds += 1
+        self.rounds, self.used = self.rounds + 1, []
         for bins, _, _, _, margin in self.blocks:
             tree.add(margin, bins)
 
@@ -311,7 +324,7 @@ class Spread:
             for block in _unpack(batches, spec.p):
                 for t in fresh:
                     t.add(block[4], block[0])
-                spec.add(total, block, round_, tree, nodes, cols, loss)
+                spec.add(total, block, spec.used(block, round_), tree, nodes, cols, loss)
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
                                              names=["part", "sums"])
 
