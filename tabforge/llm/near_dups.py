@@ -40,9 +40,17 @@ from tabforge.operators.indexing import global_index
 
 #: Node ids up to which the list of involved nodes (8 bytes each) is broadcast.
 BROADCAST_IDS = 2_000_000
+#: Rows from which a stored table is merged, whatever its files' size.
+MERGE_ROWS = 200_000
 BITMAP = 2048
 
 
+def _beside(df: DataFrame) -> DataFrame:
+    """A stored table as one side of a join: Spark sizes it by its compressed files, a
+    fraction of what a broadcast of it takes on the driver, so only a small one is left to it."""
+    return df.hint("merge") if df.count() > MERGE_ROWS else df
+
+
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, words: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each row: ``words`` consecutive words in lower case,
     the whole sequence if a row has fewer, an empty array without words."""
@@ -163,10 +171,11 @@ def connected_components(links: DataFrame) -> DataFrame:
     near = stored(both.distinct(), "links")
     labels = stored(near.groupBy(F.col("s").alias("node")).agg(F.least(F.first("s"), F.min("t")).alias("comp")), "labels")
     while True:
-        told = near.join(labels, near.t == labels.node).groupBy("s").agg(F.min("comp").alias("told"))
-        better = labels.join(told, labels.node == told.s, "left").select(
+        names = _beside(labels)
+        told = near.join(names, near.t == labels.node).groupBy("s").agg(F.min("comp").alias("told"))
+        better = names.join(told, labels.node == told.s, "left").select(
             "node", F.col("comp").alias("old"), F.least("comp", "told").alias("comp"))
-        up = labels.select(F.col("node").alias("comp"), F.col("comp").alias("up"))
+        up = names.select(F.col("node").alias("comp"), F.col("comp").alias("up"))
         new = stored(better.join(up, "comp", "left").select(
             "node", "old", F.least(F.col("comp"), F.col("up")).alias("comp")), "labels")
         labels = new.select("node", "comp")
@@ -255,7 +264,7 @@ def near_dups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, m:
     nodes = stored(named.groupBy("n", "d1", "d2")
                    .agg(F.min("doc_id").alias("node"), F.min_by(F.struct("a", "b", "sig", "bits"), "doc_id").alias("s"))
                    .select("node", "n", "d1", "d2", "s.*"), "nodes")
-    owner = (sketch.select("doc_id", "n", "d1", "d2").join(nodes.select("node", "n", "d1", "d2"), ["n", "d1", "d2"], "left")
+    owner = (sketch.select("doc_id", "n", "d1", "d2").join(_beside(nodes.select("node", "n", "d1", "d2")), ["n", "d1", "d2"], "left")
              .select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")))
     # a doc_id with several texts ties their sets together
     several = named.groupBy("doc_id").agg(F.min("d1").alias("x"), F.max("d1").alias("y")).where("x != y").select("doc_id")
@@ -266,7 +275,8 @@ def near_dups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, m:
     rows = (nodes.select("node", F.posexplode("a").alias("i", "av"), "b").select("node", "i", "av", F.posexplode("b").alias("j", "bv"))
             .select("node", F.xxhash64("i", "j", "av", "bv").alias("key")))
     hubs = (rows.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1").select("key", "hub"))
-    star = stored(rows.join(hubs, "key").where("node != hub").select("hub", "node").distinct(), "stars")
+    # m * m rows a node, which Spark takes for no more bytes than the node's: left to it, either side may be broadcast
+    star = stored(rows.join(hubs.hint("merge"), "key").where("node != hub").select("hub", "node").distinct(), "stars")
     sigs = nodes.select("node", "n", "sig", "bits")
     hub_sigs = sigs.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("sig").alias("hub_sig"), F.col("bits").alias("hub_bits"))
 
@@ -277,17 +287,17 @@ def near_dups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, m:
         wanted = base.join(F.broadcast(ids) if few else ids, base.doc_id == ids.node)
         texts = stored(wanted.select("node", "text").mapInArrow(_pack, "node long, packed binary").distinct(), "texts")
         hub_texts = texts.select(F.col("node").alias("hub"), F.col("packed").alias("hub_packed"))
-        both = pairs.join(texts, "node").join(hub_texts, "hub").select("hub", "node", "hub_packed", "packed")
+        both = _beside(pairs).join(texts, "node").join(hub_texts, "hub").select("hub", "node", "hub_packed", "packed")
         found = both.mapInArrow(_verifier(words, num, den), "hub long, node long")
         return stored(found.select(F.col("hub").alias("x"), F.col("node").alias("y")), "confirmed")
 
-    likely = star.join(sigs, "node").join(hub_sigs, "hub").mapInArrow(_similar(agree, num, den), "hub long, node long")
+    likely = _beside(star).join(sigs, "node").join(hub_sigs, "hub").mapInArrow(_similar(agree, num, den), "hub long, node long")
     links = confirmed(stored(likely, "likely")).union(tied)
     comps = connected_components(links)
 
     candidates = star.select("node").union(star.select("hub")).distinct()
     lab = (nodes.select("node", F.col("n").cast("int").alias("n"), "a", "sig", "bits").join(candidates, "node", "left_semi")
-           .join(comps, "node", "left").select("node", "n", "sig", "bits", F.coalesce("comp", "node").alias("comp"), F.posexplode("a").alias("i", "av"))
+           .join(_beside(comps), "node", "left").select("node", "n", "sig", "bits", F.coalesce("comp", "node").alias("comp"), F.posexplode("a").alias("i", "av"))
            .select(F.xxhash64("i", "av").alias("g"), "i", "node", "n", "comp", "sig", "bits"))
     mixed = (lab.select("g", "comp").groupBy("g").agg(F.count("*").alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1")
              .select("g", F.ceil(F.col("size") / block_rows).cast("int").alias("blocks")))
@@ -307,7 +317,7 @@ def near_dups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, m:
 
 def _named(owner: DataFrame, comps: DataFrame) -> DataFrame:
     comp = F.coalesce("comp", "node", "doc_id")
-    return owner.join(comps, "node", "left").select(
+    return owner.join(_beside(comps), "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"),
         F.coalesce(comp == F.col("doc_id"), F.lit(True)).alias("kept"))
 

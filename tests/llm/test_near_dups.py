@@ -63,3 +63,25 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101)], "x long, y long")
     got = {r.node: r.comp for r in connected_components(links).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100}
+
+
+def test_no_exploded_or_large_table_is_broadcast(spark, monkeypatch):
+    """Whatever Spark takes their size for: a generous limit stands for tables that it sizes too low."""
+    from tabforge.llm import near_dups as module
+    plans, store = {}, module.stored
+
+    def stored(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+    monkeypatch.setattr(module, "stored", stored)
+    monkeypatch.setattr(module, "MERGE_ROWS", 0, raising=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        docs = [(i, f"a b c d e f g h i j k l m n o p{i // 3}") for i in range(12)] + [(20, "q r s")]
+        got = _result(near_dups(spark.createDataFrame(docs, "doc_id long, text string"), words=2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == components(docs, 2)
+    assert "BroadcastHashJoin" not in plans["stars"][0]                   # m * m rows of each node
+    assert all("BroadcastHashJoin [t#" not in p for p in plans["labels"])     # of the links with the labels
