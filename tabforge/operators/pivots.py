@@ -30,6 +30,8 @@ MOST_PIVOTS = 4096
 #: Donors in the sample that pivots are fitted on, per pivot, and at least.
 SAMPLE_PER_PIVOT, SAMPLE_LEAST = 16, 4096
 _CHUNK = 256
+#: Bytes of distances to all pivots that are held at a time.
+_HELD_BYTES = 16 << 20
 
 
 def _distances(x: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -39,6 +41,19 @@ def _distances(x: np.ndarray, p: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (p * p).sum(axis=1) - 2 * (x @ p.T), 0))
 
 
+def nearest_pivot(x: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """The number of each row's nearest pivot, by blocks of rows."""
+    mu = p.mean(axis=0)
+    p, rows = p - mu, max(1, _HELD_BYTES // (8 * len(p)))
+    size, out = (p * p).sum(axis=1), np.empty(len(x), np.int64)
+    for a in range(0, len(x), rows):
+        near = (x[a:a + rows] - mu) @ p.T
+        near *= -2.0
+        near += size                                        # squared distances less the row's own square
+        out[a:a + rows] = near.argmin(axis=1)
+    return out
+
+
 def _slack(x: np.ndarray, p: np.ndarray) -> np.ndarray:
     mu = p.mean(axis=0)
     far = np.sqrt(((p - mu) ** 2).sum(axis=1).max()) if len(p) else 0.0
@@ -50,7 +65,7 @@ def choose_pivots(sample: np.ndarray, n: int, turns: int = 6) -> np.ndarray:
     distinct = np.unique(sample, axis=0)
     pivots = distinct[np.unique(np.linspace(0, len(distinct) - 1, min(n, len(distinct))).astype(int))]
     for _ in range(turns):
-        own = _distances(sample, pivots).argmin(axis=1)
+        own = nearest_pivot(sample, pivots)
         some = np.unique(own)
         pivots = np.stack([sample[own == k].mean(axis=0) for k in some])
     return np.unique(pivots, axis=0)
@@ -86,7 +101,7 @@ class PivotIndex:
         @F.pandas_udf("cell int, r double")
         def own(*cols: pd.Series) -> pd.DataFrame:
             x, p = np.column_stack([c.to_numpy(dtype="float64") for c in cols]), pivots.value
-            cell = np.concatenate([_distances(x[a:a + 4096], p).argmin(axis=1) for a in range(0, len(x), 4096)]) if len(x) else np.zeros(0, int)
+            cell = nearest_pivot(x, p)
             return pd.DataFrame({"cell": cell.astype("int32"), "r": np.sqrt(((x - p[cell]) ** 2).sum(axis=1))})
 
         def placed(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabforge.operators import knn
-from tabforge.operators.pivots import PivotIndex
+from tabforge.operators.pivots import PivotIndex, _distances, choose_pivots
 
 
 def _rows(res):
@@ -82,3 +82,18 @@ def test_tuples_of_categories_give_the_neighbours_of_rows(spark):
         space, names, classes = vdm_space(df, "ID", "label", ["a b", "c"], rows=rows)
         want = knn.knn_join(space, space, names, k=5, key="ID", metric="vdm", exclude_self=True, group="label", cat_penalty=float(classes))
         assert _rows(vdm_neighbours(df, rows, "ID", "label", ["a b", "c"], 5)) == _rows(want)
+
+
+def test_pivots_are_chosen_in_bounded_memory():
+    """The distances of the sample to all pivots are not held at once."""
+    import tracemalloc
+
+    from tabforge.operators.pivots import nearest_pivot
+    rng = np.random.default_rng(2)
+    sample = rng.normal(size=(16384, 8))
+    tracemalloc.start()
+    pivots = choose_pivots(sample, 1024, turns=1)           # 128 MB for all of them
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(pivots) == 1024 and peak < 48 << 20
+    assert (nearest_pivot(sample, pivots)[-3000:] == _distances(sample[-3000:], pivots).argmin(axis=1)).all()
