@@ -57,3 +57,27 @@ def test_cells_that_cannot_matter_are_not_met(spark):
     t = t.groupBy("__id").agg({"d": "max"}).selectExpr("__id", "transform_values(map_from_arrays(sequence(0, 23), sequence(0, 23)), (k, v) -> `max(d)`) AS __t")
     rest = index.visits(q.join(t, "__id"), 5, True)
     assert len(index.cell) >= 15 and rest.count() <= 0.4 * q.count() * len(index.cell)
+
+
+def test_rows_of_one_pattern_meet_as_plain_vectors(monkeypatch):
+    """Only rows of rare patterns need products over presence; results are those of every pair."""
+    from tabforge.operators.best import NearestPresent
+    rng = np.random.default_rng(9)
+    n, dim, k = 900, 24, 3
+    x = rng.normal(size=(n, dim)).round(1)
+    x[(np.arange(n)[:, None] + np.arange(dim)) % 5 == 0] = np.nan
+    x[::97, 0] = np.nan                                     # patterns of few rows
+    x[5:200:5] = x[5]                                       # ties
+    ids, met, real = rng.permutation(n), [], NearestPresent._any
+    monkeypatch.setattr(NearestPresent, "_any", lambda self, rows, dids, d: met.append(len(rows) * len(dids)) or real(self, rows, dids, d))
+    best = NearestPresent(ids[:300], x[:300], k)
+    for a in range(0, n, 450):
+        best.meet(np.arange(300), ids[a:a + 450], x[a:a + 450])
+    got = sorted(zip(*[v.tolist() for v in best.rows()]))
+    dist, want = knn.pair_distances(x[:300], x, "nan_euclidean"), []
+    for i in range(300):
+        for c in np.flatnonzero(np.isnan(x[i])):
+            can = np.flatnonzero(~np.isnan(x[:, c]) & ~np.isnan(dist[i]))
+            for j in can[np.lexsort((ids[can], dist[i, can]))][:k]:
+                want.append((ids[i], c, ids[j], dist[i, j], x[j, c]))
+    assert got == sorted(want) and sum(met) < 300 * n * 0.2
